@@ -92,7 +92,7 @@ def recent_alerts(alerts: DataFrame, limit: int = 20) -> DataFrame:
 def alert_banners(alerts: DataFrame, limit: int = 5) -> DataFrame:
     """Banner text of the newest alerts."""
     text = F.format_string(
-        "%s — %.1f%% pneumonia probability at %s",
+        "⚠️ **%s** — %.1f%% pneumonia probability at %s",
         F.col("filename"),
         F.col("pneumonia_probability") * 100,
         F.date_format("alert_timestamp", "yyyy-MM-dd HH:mm:ss"),
