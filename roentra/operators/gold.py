@@ -57,11 +57,14 @@ def rows_of_split(gold: DataFrame, split: str) -> DataFrame:
     return gold.where(F.col("split") == split)
 
 
-def training_examples(gold: DataFrame, images: DataFrame) -> DataFrame:
+def training_examples(
+    gold: DataFrame, images: DataFrame, hot: DataFrame | None = None
+) -> DataFrame:
     """Gold rows with the pixels of their image (images: image_id, pixels).
 
     Image ids are unique and the gold side may repeat a file name, so hot names
-    are spread over tasks and only their few images are copied.
+    are spread over tasks and only their few images are copied. While gold is
+    not a written table, ``hot`` is better taken from the headers.
     """
     pixels = images.select(F.col("image_id").cast("string").alias("image_id"), "pixels")
     return salted_join(
@@ -69,4 +72,5 @@ def training_examples(gold: DataFrame, images: DataFrame) -> DataFrame:
         pixels,
         "original_filename",
         "image_id",
+        hot=hot,
     ).select("original_filename", "label", "split", "file_path", "pixels")

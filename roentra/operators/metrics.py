@@ -96,9 +96,10 @@ def _range_bucket(df: DataFrame, sample_of: DataFrame, column: str, buckets: int
     shares = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(sample_of.approxQuantile(column, shares, 1 / (4 * buckets))))
     if not cuts:
-        return df.withColumn("_bucket", F.lit(0.0))
+        return df.withColumn("_bucket", F.lit(0))
     splits = [float("-inf"), *cuts, float("inf")]
-    return Bucketizer(splits=splits, inputCol=column, outputCol="_bucket").transform(df)
+    bucketed = Bucketizer(splits=splits, inputCol=column, outputCol="_range").transform(df)
+    return bucketed.withColumn("_bucket", F.col("_range").cast("int")).drop("_range")
 
 
 def auroc(

@@ -33,6 +33,7 @@ def salted_join(
     right_key: str,
     salts: int = 64,
     min_rows: int = 1_000_000,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Inner equi-join for a left side with repeated, possibly hot keys and a right side of unique keys.
 

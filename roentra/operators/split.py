@@ -37,7 +37,10 @@ def split_boundaries(
     prefix_digits: int = PREFIX_DIGITS,
 ) -> DataFrame:
     """One row (train_until, val_until): the first key past the train and past the val quota."""
-    with_prefix = keyed.select("_key", F.substring("_key", 1, prefix_digits).alias("_prefix"))
+    # Declared non-null, so that the join below infers no extra filter: with the
+    # same plan underneath, all uses of the patients share one shuffle.
+    prefix = F.coalesce(F.substring("_key", 1, prefix_digits), F.lit(""))
+    with_prefix = keyed.select("_key", prefix.alias("_prefix"))
     counts = with_prefix.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_in_prefix"))
 
     # At most 16^prefix_digits rows, so this ordered window is a bounded single task.

@@ -25,6 +25,7 @@ from roentra.operators import (
     split,
 )
 from roentra.operators.durable import materialize, new_table_path
+from roentra.operators.skew import hot_keys
 from roentra.plans import dashboard
 from roentra.streaming import alerts as alert_stream, arrivals as arrival_stream
 
@@ -222,7 +223,8 @@ def class_weight(spark, sf):
 
 @query
 def training_examples(spark, sf):
-    examples = gold.training_examples(_gold(spark, sf), view(spark, sf, "fx_pixels"))
+    hot = hot_keys(_silver(spark, sf), "original_filename")
+    examples = gold.training_examples(_gold(spark, sf), view(spark, sf, "fx_pixels"), hot)
     return examples.select(
         "original_filename", "label", "split", F.size("pixels").alias("n_pixels")
     )
