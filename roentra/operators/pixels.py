@@ -7,6 +7,7 @@ by cell, so it runs in numpy on Arrow batches; rows never leave their partition.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,8 +17,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from roentra import schemas
 
 PROCESSED_SCHEMA = (
-    "image_id string, file_path string, height int, width int, pixels array<int>, error string"
+    "image_id string, file_path string, height int, width int, pixels array<int>, "
+    "content_hash string, error string"
 )
+PROCESSED_COLUMNS = [part.split()[0] for part in PROCESSED_SCHEMA.split(", ")]
 
 
 def scale_to_byte(pixels: Column) -> Column:
@@ -119,7 +122,8 @@ def preprocess_images(
     """Binary files (path, content) -> one row per file: processed pixels, or the error text.
 
     ``decode`` turns the bytes of one file into a 2-D array. A file that fails
-    becomes a row with ``error`` set; the job goes on.
+    becomes a row with ``error`` set; the job goes on. ``content_hash`` is the
+    MD5 of the processed bytes, for duplicate detection.
     """
 
     def process(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,13 +133,12 @@ def preprocess_images(
                 image_id = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
                 try:
                     out = preprocess_array(decode(content), target)
-                    rows.append((image_id, path, target[0], target[1], out.ravel(), None))
+                    digest = hashlib.md5(out.astype(np.uint8).tobytes()).hexdigest()
+                    rows.append((image_id, path, *target, out.ravel(), digest, None))
                 except Exception as problem:  # quarantined, see ``error``
                     text = str(problem) or type(problem).__name__
-                    rows.append((image_id, path, None, None, None, text))
-            yield pd.DataFrame(
-                rows, columns=["image_id", "file_path", "height", "width", "pixels", "error"]
-            )
+                    rows.append((image_id, path, None, None, None, None, text))
+            yield pd.DataFrame(rows, columns=PROCESSED_COLUMNS, dtype=object)
 
     return files.select("path", "content").mapInPandas(process, PROCESSED_SCHEMA)
 

@@ -40,9 +40,10 @@ def salted_join(
     Left rows of hot keys are spread over ``salts`` tasks by a hash of the row
     (stable under task retries, unlike a random salt); only the at most
     ``MAX_HOT_KEYS`` matching right rows are copied to every salt. All other
-    rows join as usual. Both key columns are kept.
+    rows join as usual. Both key columns are kept. Pass ``hot`` (from ``hot_keys``)
+    when the hot keys can be read off a source that is cheaper to scan than ``left``.
     """
-    hot = F.broadcast(hot_keys(left, left_key, min_rows))
+    hot = F.broadcast(hot_keys(left, left_key, min_rows) if hot is None else hot)
     is_hot = F.col("_hot_key").isNotNull()
 
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")

@@ -1,0 +1,109 @@
+from collections import Counter
+
+import pytest
+
+from roentra import schemas
+from roentra.operators import headers, quality
+
+
+def files(spark, contents):
+    rows = [(f"f{i:04d}.png", bytearray(c)) for i, c in enumerate(contents)]
+    return spark.createDataFrame(rows, "file_name string, content binary")
+
+
+def check(df):
+    row = df.first()
+    return row["total_rows"], row["failing_rows"], row["passed"]
+
+
+@pytest.mark.parametrize(
+    "contents,expected",
+    [
+        ([b"unique content one", b"unique content two"], (2, 0, True)),
+        ([b"identical content", b"identical content"], (2, 1, False)),
+        ([b"a", b"a", b"a", b"b"], (4, 2, False)),
+        ([], (0, 0, True)),
+    ],
+)
+def test_duplicate_detection(spark, contents, expected):
+    assert check(quality.duplicate_detection(quality.file_digests(files(spark, contents)))) == expected
+
+
+def test_duplicate_detection_on_a_sample(spark):
+    digests = quality.file_digests(files(spark, [b"%d" % i for i in range(5)]))
+    assert check(quality.duplicate_detection(digests, sample=3)) == (3, 0, True)
+
+
+def test_duplicate_pairs_with_a_hot_hash(spark):
+    contents = [b"hot" if i % 3 == 0 else b"%d" % (i % 400) for i in range(1200)]
+    df = files(spark, contents)
+    first, expected = {}, []
+    for i, c in enumerate(contents):
+        name = f"f{i:04d}.png"
+        if c in first:
+            expected.append((name, first[c]))
+        else:
+            first[c] = name
+    got = quality.duplicate_pairs(df.repartition(6), min_hot_rows=50).collect()
+    assert Counter(map(tuple, got)) == Counter(expected)
+
+
+def header_frame(spark, rows):
+    return spark.createDataFrame(
+        rows, "patient_id_hash string, original_filename string, modality string, view_position string, "
+        "patient_sex string, rows int, columns int, patient_age_bucket string"
+    )
+
+
+def test_completeness_and_age_range(spark):
+    df = header_frame(
+        spark,
+        [
+            ("h", "a", "CR", "PA", "M", 1, 1, "50-59"),
+            ("h", "b", None, "", "F", 1, None, "120-129"),
+            (None, "c", None, "AP", "F", 1, 1, "130-139"),
+            ("h", "d", "CR", "AP", "F", 1, 1, "UNKNOWN"),
+            ("h", "e", "CR", "AP", "F", 1, 1, None),
+        ],
+    )
+    rows = {r["field"]: r for r in quality.schema_completeness(df).collect()}
+    assert set(rows) == set(schemas.REQUIRED_HEADER_FIELDS)
+    assert {f: r["failing_rows"] for f, r in rows.items() if not r["passed"]} == {
+        "patient_id_hash": 1, "modality": 2, "columns": 1,
+    }
+    assert check(quality.age_range_validity(df)) == (5, 1, False)
+    assert check(quality.age_range_validity(df, max_age=110)) == (5, 2, False)
+    empty = quality.schema_completeness(df.where("false")).collect()
+    assert len(empty) == 7 and all(r["passed"] and r["total_rows"] == 0 for r in empty)
+
+
+def test_referential_integrity_treats_null_as_one_id(spark):
+    info = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "patient_id string")
+    some = spark.createDataFrame([("a",), ("z",), ("a",)], "original_filename string")
+    assert check(quality.referential_integrity(some, info)) == (3, 2, False)
+    with_null = some.union(spark.createDataFrame([(None,)], "original_filename string"))
+    assert check(quality.referential_integrity(with_null, info)) == (3, 1, False)
+
+
+def test_suite_report_and_summary(spark):
+    df = header_frame(spark, [("h", "a", "CR", "PA", "M", 1, 1, "50-59"), ("h", "b", None, "PA", "M", 1, 1, "50-59")])
+    info = spark.createDataFrame([("a",), ("b",)], "patient_id string")
+    digests = quality.file_digests(files(spark, [b"x", b"x"]))
+    results = quality.suite(df, info, digests)
+    assert results.schema.fieldNames() == schemas.DQ_RESULTS.fieldNames()
+    assert results.count() == 10
+    lines = {r["line"] for r in quality.report(results).collect()}
+    assert "[FAIL] duplicate_detection (image_pixel_hash): 1/2 failing" in lines
+    assert "[PASS] referential_integrity (patient_id_to_image): 0/2 failing" in lines
+    rates = {r["check_name"]: (r["total_checks"], r["pass_rate"]) for r in quality.summary(results).collect()}
+    assert rates["schema_completeness"] == (7, 6 / 7)
+    assert rates["duplicate_detection"] == (1, 0.0)
+
+
+def test_value_counts_all_and_first_files(spark):
+    rows = [(f"f{i:03d}", "PA" if i < 5 else None, "CR", "M") for i in range(300)]
+    raw = spark.createDataFrame(rows, "file_name string, view_position string, modality string, patient_sex string")
+    every = {(r["field"], r["value"]): r["n"] for r in headers.value_counts(raw).collect()}
+    assert every[("view_position", "MISSING")] == 295 and every[("modality", "CR")] == 300
+    first = {(r["field"], r["value"]): r["n"] for r in headers.value_counts(raw, sample=200).collect()}
+    assert first[("view_position", "MISSING")] == 195 and first[("view_position", "PA")] == 5
