@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 BROKEN = "_broken_line"
@@ -15,20 +15,24 @@ def append_json_lines(df: DataFrame, path: str) -> None:
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Rows of all readable lines; an absent path is an empty table."""
-    return _load(spark, path, schema, "DROPMALFORMED")
+    reader = spark.read.schema(schema).option("mode", "DROPMALFORMED").format("json")
+    return _load(spark, reader, path, schema)
 
 
 def broken_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The text of the lines ``read_json_lines`` skips."""
+    text = StructType([StructField("line", StringType(), True)])
+    lines = _load(spark, spark.read.schema(text).format("text"), path, text)
     with_text = StructType([*schema.fields, StructField(BROKEN, StringType(), True)])
-    lines = _load(spark, path, with_text, "PERMISSIVE")
-    return lines.where(F.col(BROKEN).isNotNull()).select(F.col(BROKEN).alias("line"))
+    parsed = F.from_json("line", with_text, {"columnNameOfCorruptRecord": BROKEN})
+    return lines.where(parsed[BROKEN].isNotNull())
 
 
-def _load(spark: SparkSession, path: str, schema: StructType, mode: str) -> DataFrame:
-    reader = spark.read.schema(schema).option("mode", mode)
+def _load(
+    spark: SparkSession, reader: DataFrameReader, path: str, schema: StructType
+) -> DataFrame:
     try:
-        return reader.option("columnNameOfCorruptRecord", BROKEN).json(path)
+        return reader.load(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
