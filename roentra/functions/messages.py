@@ -21,7 +21,9 @@ def json_object(text: Column) -> Column:
         "array<map<string,string>>",
         {"allowSingleQuotes": "false"},
     )
-    return F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0)))
+    # Bound to a lambda variable, so that the text is parsed once.
+    single = F.transform(F.array(parsed), lambda p: F.when(F.size(p) == 1, F.get(p, F.lit(0))))
+    return single[0]
 
 
 def is_json_value(text: Column) -> Column:

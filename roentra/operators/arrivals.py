@@ -20,9 +20,14 @@ def arrival_events(files: DataFrame, published_at: Column | None = None) -> Data
 
 
 def parsed_messages(topic: DataFrame) -> DataFrame:
-    """Add ``text`` and ``event`` (NULL unless the payload is one JSON object) to a topic frame."""
-    text = messages.payload_text(F.col("value"))
-    return topic.withColumn("text", text).withColumn("event", messages.json_object(F.col("text")))
+    """Add ``text`` and ``event`` (NULL unless the payload is one JSON object) to a topic frame.
+
+    The event comes out of a generator, because a plain column would be parsed
+    again by every filter and field access on it.
+    """
+    event = messages.json_object(F.col("text"))
+    with_text = topic.withColumn("text", messages.payload_text(F.col("value")))
+    return with_text.select("*", F.explode(F.array(event)).alias("event"))
 
 
 def is_valid_arrival(event: Column) -> Column:
@@ -61,12 +66,8 @@ def reject_reason(text: Column, event: Column) -> Column:
 def rejected_messages(topic: DataFrame) -> DataFrame:
     """Invalid messages with the reason, for a quarantine table."""
     reason = reject_reason(F.col("text"), F.col("event"))
-    return (
-        parsed_messages(topic)
-        .withColumn("reason", reason)
-        .where(F.col("reason").isNotNull())
-        .drop("text", "event")
-    )
+    judged = parsed_messages(topic).select("*", F.explode(F.array(reason)).alias("reason"))
+    return judged.where(F.col("reason").isNotNull()).drop("text", "event")
 
 
 def reject_counts(topic: DataFrame) -> DataFrame:

@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roentra import schemas
 from roentra.operators import metrics
+from roentra.operators.durable import new_table_path
 from roentra.operators.labels import class_weight
 
 
@@ -36,6 +37,14 @@ def score(model: LogisticRegressionModel, examples: DataFrame) -> DataFrame:
     )
 
 
+def _stored(model: LogisticRegressionModel) -> LogisticRegressionModel:
+    """The model without its training summary, which cannot be sent to executors in a
+    session that has observed a query."""
+    path = new_table_path(SparkSession.active(), "classifier")
+    model.save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def evaluate(scored: DataFrame, pos_weight: float) -> tuple[float, float]:
     """(mean weighted loss, AUROC)."""
     loss = metrics.weighted_log_loss(scored, pos_weight).first()["loss"]
@@ -66,7 +75,7 @@ def train_weighted(
         learner = LogisticRegression(
             labelCol="label", weightCol="weight", regParam=reg, maxIter=max_iter
         )
-        candidate = learner.fit(weighted)
+        candidate = _stored(learner.fit(weighted))
         train_loss = metrics.weighted_log_loss(score(candidate, train), pos_weight).first()["loss"]
         val_loss, val_auroc = evaluate(score(candidate, val), pos_weight)
         log += [

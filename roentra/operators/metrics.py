@@ -147,6 +147,12 @@ def weighted_log_loss(
     return logits.agg(F.avg(loss).alias("loss"))
 
 
+def metric_values(run_metrics: DataFrame, metric: str) -> DataFrame:
+    """One metric of a (run_name, step, metric, value) log as its own column."""
+    rows = run_metrics.where(F.col("metric") == metric)
+    return rows.select("run_name", "step", F.col("value").alias(metric))
+
+
 def best_epoch(run_metrics: DataFrame, metric_col: str = "val_auroc") -> DataFrame:
     """Best value per run and the first step that reached it."""
     earliest_best = F.min_by("step", F.struct(-F.col(metric_col), F.col("step")))

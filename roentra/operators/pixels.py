@@ -72,14 +72,30 @@ def area_weights(source: int, target: int) -> np.ndarray:
     return np.maximum(upper - lower, 0) / source
 
 
-def area_resize(image: np.ndarray, target: tuple[int, int]) -> np.ndarray:
-    """Area-average resize of one or a stack of images (..., height, width)."""
-    by_row = area_weights(image.shape[-2], target[0])
-    by_col = area_weights(image.shape[-1], target[1])
+def bilinear_weights(source: int, target: int) -> np.ndarray:
+    """target x source matrix of a tent filter, widened when shrinking (antialiased bilinear)."""
+    ratio = source / target
+    reach = max(ratio, 1.0)
+    centre = (np.arange(target)[:, None] + 0.5) * ratio
+    distance = np.abs(np.arange(source)[None, :] + 0.5 - centre)
+    weights = np.maximum(0.0, 1.0 - distance / reach)
+    return weights / weights.sum(axis=1, keepdims=True)
+
+
+WEIGHTS = {"area": area_weights, "bilinear": bilinear_weights}
+
+
+def resample(image: np.ndarray, target: tuple[int, int], method: str = "area") -> np.ndarray:
+    """Resize one or a stack of images (..., height, width) by two weight products."""
+    weights = WEIGHTS[method]
+    by_row = weights(image.shape[-2], target[0])
+    by_col = weights(image.shape[-1], target[1])
     return by_row @ image @ by_col.T
 
 
-def resize_pixels(images: DataFrame, target: tuple[int, int]) -> DataFrame:
+def resize_pixels(
+    images: DataFrame, target: tuple[int, int], method: str = "area"
+) -> DataFrame:
     """(image_id, height, width, pixels) -> same columns at the target size, row-major doubles."""
 
     def resize_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,7 +103,7 @@ def resize_pixels(images: DataFrame, target: tuple[int, int]) -> DataFrame:
             # Images of one shape go through the product as one stack.
             for (height, width), group in batch.groupby(["height", "width"], sort=False):
                 stack = np.stack(group["pixels"].to_numpy()).astype(np.float64)
-                out = area_resize(stack.reshape(-1, height, width), target)
+                out = resample(stack.reshape(-1, height, width), target, method)
                 yield pd.DataFrame(
                     {
                         "image_id": group["image_id"].to_numpy(),
@@ -111,26 +127,28 @@ def preprocess_array(pixels: np.ndarray, target: tuple[int, int]) -> np.ndarray:
     if high > low:
         image = (image - low) / (high - low) * np.float32(255.0)
     truncated = image.astype(np.int64) & 255
-    return np.rint(area_resize(truncated.astype(np.float64), target)).astype(np.int32)
+    return np.rint(resample(truncated.astype(np.float64), target)).astype(np.int32)
 
 
 def preprocess_images(
     files: DataFrame,
     decode: Callable[[bytes], np.ndarray],
     target: tuple[int, int] = schemas.TARGET_SIZE,
+    suffix: str = ".dcm",
 ) -> DataFrame:
     """Binary files (path, content) -> one row per file: processed pixels, or the error text.
 
     ``decode`` turns the bytes of one file into a 2-D array. A file that fails
     becomes a row with ``error`` set; the job goes on. ``content_hash`` is the
-    MD5 of the processed bytes, for duplicate detection.
+    MD5 of the processed bytes, for duplicate detection; ``image_id`` is the same
+    key the headers carry as original_filename.
     """
 
     def process(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for path, content in zip(batch["path"], batch["content"]):
-                image_id = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+                image_id = path.rsplit("/", 1)[-1].replace(suffix, "")
                 try:
                     out = preprocess_array(decode(content), target)
                     digest = hashlib.md5(out.astype(np.uint8).tobytes()).hexdigest()

@@ -115,7 +115,7 @@ def duplicate_pairs(files: DataFrame, min_hot_rows: int = 1_000_000) -> DataFram
     name per hash is a map-side combined minimum, and the way back to the files
     is a salted join, so a hash shared by very many files is not one task.
     """
-    digests = materialize(file_digests(files))
+    digests = materialize(file_digests(files), "digests")
     firsts = (
         digests.groupBy("content_hash")
         .agg(F.min("file_name").alias("first_file_name"), F.count(F.lit(1)).alias("copies"))

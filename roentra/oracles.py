@@ -118,6 +118,10 @@ PARTS = {
     "overlap": """
         SELECT i, o, greatest(0, least((i + 1) * 3, (o + 1) * 8) - greatest(i * 3, o * 8)) / 8.0::DOUBLE AS w
         FROM range(8) t(i), range(3) u(o)""",
+    "tent": """
+        SELECT i, o, w / sum(w) OVER (PARTITION BY o) AS w
+        FROM (SELECT i, o, greatest(0, 1 - abs(i + 0.5::DOUBLE - (o + 0.5::DOUBLE) * 8 / 3) * 3 / 8) AS w
+              FROM range(8) t(i), range(3) u(o))""",
     "examples": "SELECT CAST(image_id AS VARCHAR) AS image_id, len(pixels) AS n_pixels FROM fx_pixels",
 }
 
@@ -244,6 +248,10 @@ FINAL = {
         SELECT image_id, CAST(a.o AS INTEGER) AS r, CAST(b.o AS INTEGER) AS c, round(sum(x::DOUBLE * a.w * b.w), 5) AS v
         FROM flat_pixels JOIN overlap a ON a.i = pos // 8 JOIN overlap b ON b.i = pos % 8
         GROUP BY image_id, a.o, b.o""",
+    "pixels_bilinear": """
+        SELECT image_id, CAST(a.o AS INTEGER) AS r, CAST(b.o AS INTEGER) AS c, round(sum(x::DOUBLE * a.w * b.w), 5) AS v
+        FROM flat_pixels JOIN tent a ON a.i = pos // 8 JOIN tent b ON b.i = pos % 8
+        GROUP BY image_id, a.o, b.o""",
     "images_processed": """
         SELECT image_id, CAST(a.o AS INTEGER) AS r, CAST(b.o AS INTEGER) AS c,
                CAST(round_even(sum(v * a.w * b.w), 0) AS INTEGER) AS v

@@ -17,9 +17,16 @@ def ops_metrics(audit: DataFrame) -> DataFrame:
 
 
 def run_history(audit: DataFrame, limit: int | None = None) -> DataFrame:
-    """All runs, newest first; ``limit`` bounds what a page shows."""
-    newest = audit.select("job_name", "run_timestamp", "row_count", "notes").orderBy(
-        F.desc("run_timestamp"), "job_name", "row_count", "notes"
+    """All runs, newest first; ``limit`` bounds what a page shows.
+
+    The row number as last sort key lets the range partitioner split a large
+    group of identical rows over several tasks.
+    """
+    runs = audit.select("job_name", "run_timestamp", "row_count", "notes")
+    newest = (
+        runs.withColumn("_row", F.monotonically_increasing_id())
+        .orderBy(F.desc("run_timestamp"), "job_name", "row_count", "notes", "_row")
+        .drop("_row")
     )
     return newest if limit is None else newest.limit(limit)
 

@@ -6,12 +6,15 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roentra import schemas
-from roentra.operators import gold, headers, parsing, pixels, quality
+from roentra.functions import times
+from roentra.operators import classifier, gold, headers, parsing, pixels, quality, scoring
 from roentra.plans.audit import log_run
 from roentra.sources.tables import read_table, write_table
+from roentra.streaming.arrivals import run_manifest
 
 
 @dataclass(frozen=True)
@@ -47,6 +50,11 @@ MODEL_READY = "gold/model_ready"
 CASE_COUNTS = "gold/analytics_summary/case_counts"
 DEMOGRAPHICS = "gold/analytics_summary/demographics"
 DQ_SUMMARY = "gold/analytics_summary/dq_summary"
+MANIFEST = "bronze/image_manifest"
+EXAMPLES = "gold/training_examples"
+RUN_METRICS = "models/run_metrics"
+PREDICTIONS = "gold/predictions"
+ALERTS = "gold/clinical_alerts"
 
 
 def ingest_class_info(class_info: DataFrame, layout: Layout) -> int:
@@ -185,6 +193,64 @@ def build_summaries(spark: SparkSession, layout: Layout) -> dict[str, int]:
     return rows
 
 
+def ingest_manifest(topic: DataFrame, layout: Layout) -> dict[str, int]:
+    """Drain a streaming arrival topic into the image manifest."""
+    counts = run_manifest(
+        topic,
+        layout.path(MANIFEST),
+        layout.path("bronze/_image_manifest_progress"),
+        "json",
+        times.iso_utc(times.utc_now()),
+    )
+    log_run(
+        topic.sparkSession,
+        layout.audit,
+        "kafka_consumer_image_manifest",
+        counts["written"],
+        notes=f"Consumed from arrival topic, {counts['seen']} messages seen",
+    )
+    return counts
+
+
+def train_classifier(
+    spark: SparkSession, layout: Layout, **training
+) -> classifier.TrainedClassifier:
+    """Gold rows + processed images -> examples table, selected model, metric log.
+
+    The examples are written partitioned by split, so the many passes of the
+    training read only their partition and never repeat the join.
+    """
+    examples = gold.training_examples(
+        layout.read(spark, MODEL_READY), layout.read(spark, IMAGES)
+    )
+    layout.write(examples, EXAMPLES, partition_by=["split"])
+    stored = layout.read(spark, EXAMPLES)
+    trained = classifier.train_weighted(
+        gold.rows_of_split(stored, "train"), gold.rows_of_split(stored, "val"), **training
+    )
+    final = classifier.test_metrics(trained, gold.rows_of_split(stored, "test"))
+    layout.write(trained.run_metrics.unionByName(final), RUN_METRICS)
+    trained.model.write().overwrite().save(layout.path("models/classifier"))
+    return trained
+
+
+def score_images(
+    spark: SparkSession, layout: Layout, model: LogisticRegressionModel | None = None
+) -> dict[str, int]:
+    """Processed images -> prediction rows and alert rows."""
+    if model is None:
+        model = LogisticRegressionModel.load(layout.path("models/classifier"))
+    images = layout.read(spark, IMAGES).select(
+        F.concat("image_id", F.lit(".png")).alias("filename"), "pixels"
+    )
+    scored = classifier.score(model, images).select("filename", "probability")
+    predicted = schemas.conform(scoring.predictions(scored), schemas.PREDICTION)
+    rows = layout.write(predicted, PREDICTIONS)["rows"]
+    stamp = times.iso_utc(times.utc_now())
+    alerts = scoring.clinical_alerts(layout.read(spark, PREDICTIONS), stamp)
+    return {"rows": rows, "alerts": layout.write(alerts, ALERTS)["rows"]}
+
+
 def run_all(class_info: DataFrame, digests: DataFrame, layout: Layout) -> None:
     """Bronze -> checks -> gold -> summaries over ingested headers; stops at the first failure."""
     spark = class_info.sparkSession

@@ -389,6 +389,12 @@ def images_processed(spark, sf):
     return _grid(pixels.preprocess_pixel_table(view(spark, sf, "fx_pixels"), (3, 3)), 3)
 
 
+@query
+def pixels_bilinear(spark, sf):
+    resized = pixels.resize_pixels(view(spark, sf, "fx_pixels"), (3, 3), "bilinear")
+    return _grid(resized, 3).withColumn("v", F.round("v", 5))
+
+
 @query
 def pixels_standardize(spark, sf):
     images = view(spark, sf, "fx_pixels").withColumn(
@@ -423,7 +429,7 @@ def _examples(spark, sf):
         "pixels",
     )
     # Training passes over the examples many times: write them once.
-    return materialize(split.assign_patient_splits(images, "image_id"))
+    return materialize(split.assign_patient_splits(images, "image_id"), "examples")
 
 
 def _trained(examples):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from roentra import schemas
 from roentra.adapters import view
-from roentra.operators import gold
+from roentra.operators import gold, metrics
 from roentra.plans import audit, jobs
 from roentra.sources import files
 
@@ -91,6 +91,37 @@ def test_audit_trail(spark, layout):
     assert runs["silver_dicom_metadata_ingest"]["notes"].endswith("1 failed")
 
 
+def test_manifest_job(spark, layout, tmp_path):
+    topic = str(tmp_path / "topic")
+    rows = [(bytearray(b'{"patient_id":"p","file_path":"f","ingestion_timestamp":1}'), 0, 0), (bytearray(b"x"), 0, 1)]
+    schema = "value binary, partition int, offset long"
+    spark.createDataFrame(rows, schema).write.parquet(topic)
+    other = jobs.Layout(str(tmp_path / "lake"))
+    counts = jobs.ingest_manifest(spark.readStream.schema(schema).parquet(topic), other)
+    assert counts == {"seen": 2, "written": 1}
+    manifest = spark.read.schema(schemas.IMAGE_MANIFEST).json(other.path(jobs.MANIFEST)).collect()
+    assert manifest[0]["patient_id"] == "p" and manifest[0]["consumed_at"].endswith("+00:00")
+    assert audit.read_runs(spark, other.audit).first()["row_count"] == 1
+
+
+def test_training_and_scoring_jobs(spark, layout):
+    trained = jobs.train_classifier(spark, layout, reg_params=(0.1, 0.01), max_iter=5)
+    assert trained.pos_weight > 0
+    examples = layout.read(spark, jobs.EXAMPLES)
+    assert examples.count() == layout.read(spark, jobs.MODEL_READY).count()
+    log = layout.read(spark, jobs.RUN_METRICS)
+    assert {r["metric"] for r in log.collect()} == {
+        "reg_param", "train_loss", "val_loss", "val_auroc", "test_loss", "test_auroc",
+    }
+    best = metrics.best_epoch(metrics.metric_values(log, "val_auroc")).collect()
+    assert len(best) == 1 and best[0]["best_step"] in (0, 1)
+    counts = jobs.score_images(spark, layout)
+    predicted = layout.read(spark, jobs.PREDICTIONS)
+    assert counts["rows"] == predicted.count() == layout.read(spark, jobs.IMAGES).count()
+    assert [f.name for f in predicted.schema] == schemas.PREDICTION.fieldNames()
+    assert counts["alerts"] == predicted.where("high_confidence_positive").count()
+
+
 def test_a_failing_step_stops_the_run(spark, tmp_path):
     layout = jobs.Layout(str(tmp_path / "empty"))
     info = spark.createDataFrame([("a", "Normal")], schemas.CLASS_INFO)

@@ -35,7 +35,16 @@ def test_area_weights_cover_everything_once(source, target):
 
 def test_area_resize_equals_brute_force():
     image = np.random.default_rng(1).random((9, 7))
-    assert np.allclose(pixels.area_resize(image, (4, 3)), brute_force_area(image, (4, 3)))
+    assert np.allclose(pixels.resample(image, (4, 3)), brute_force_area(image, (4, 3)))
+
+
+def test_bilinear_weights():
+    for source, target in [(8, 3), (3, 8), (5, 5)]:
+        weights = pixels.bilinear_weights(source, target)
+        assert np.allclose(weights.sum(axis=1), 1)
+    assert np.allclose(pixels.bilinear_weights(5, 5), np.eye(5))
+    # Doubling a two-pixel edge blends only between the two centres.
+    assert np.allclose(pixels.bilinear_weights(2, 4) @ [0.0, 1.0], [0, 0.25, 0.75, 1])
 
 
 def test_area_resize_only_shrinks():
@@ -54,7 +63,7 @@ def test_resize_of_mixed_shapes(spark):
     out = pixels.resize_pixels(image_frame(spark, images), (3, 2)).collect()
     assert len(out) == 3
     for row in out:
-        expected = pixels.area_resize(images[row["image_id"]], (3, 2))
+        expected = pixels.resample(images[row["image_id"]], (3, 2))
         assert (row["height"], row["width"]) == (3, 2)
         assert np.allclose(row["pixels"], expected.ravel())
 
