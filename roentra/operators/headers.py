@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 from roentra.functions import identity
 
 
-def deidentified_headers(raw: DataFrame) -> DataFrame:
-    """Raw headers plus ``file_path`` -> the 12 silver columns. An absent tag stays NULL."""
+def deidentified_headers(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw headers plus ``file_path`` -> the 12 silver columns, and any columns in ``keep``.
+
+    An absent tag stays NULL. The raw id and the exact age end here.
+    """
     col = F.col
     return raw.select(
         identity.pseudonym(col("patient_id_raw")).alias("patient_id_hash"),
@@ -27,6 +30,7 @@ def deidentified_headers(raw: DataFrame) -> DataFrame:
         "study_instance_uid",
         "series_instance_uid",
         "file_path",
+        *keep,
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from roentra import schemas
 
 FIELDS = schemas.RAW_HEADER.fieldNames()
+NUMBERS = {"n_rows", "n_columns"}
 PARSED_SCHEMA = "file_path string, " + ", ".join(
     f"{f.name} {f.dataType.simpleString()}" for f in schemas.RAW_HEADER
 ) + ", error string"
@@ -22,22 +23,10 @@ def dicom_header(content: bytes) -> Mapping[str, object]:
     import pydicom
 
     tags = pydicom.dcmread(io.BytesIO(content), stop_before_pixels=True)
-
-    def text(name: str):
-        value = tags.get(name)
-        return None if value is None else str(value)
-
+    found = {column: tags.get(tag) for column, tag in schemas.HEADER_TAGS.items()}
     return {
-        "patient_id_raw": text("PatientID"),
-        "modality": text("Modality"),
-        "view_position": text("ViewPosition"),
-        "body_part_examined": text("BodyPartExamined"),
-        "patient_sex": text("PatientSex"),
-        "patient_age": text("PatientAge"),
-        "n_rows": tags.get("Rows"),
-        "n_columns": tags.get("Columns"),
-        "study_instance_uid": text("StudyInstanceUID"),
-        "series_instance_uid": text("SeriesInstanceUID"),
+        column: value if value is None or column in NUMBERS else str(value)
+        for column, value in found.items()
     }
 
 
@@ -69,3 +58,8 @@ def parsed_rows(parsed: DataFrame) -> DataFrame:
 def parse_errors(parsed: DataFrame) -> DataFrame:
     """Files that failed and why."""
     return parsed.where(F.col("error").isNotNull()).select("file_path", "error")
+
+
+def sample_errors(errors: DataFrame, limit: int = 5) -> DataFrame:
+    """A few failed files for a job's log."""
+    return errors.orderBy("file_path").limit(limit)

@@ -40,10 +40,9 @@ class Layout:
 
 CLASS_INFO = "bronze/metadata_raw"
 HEADERS = "silver/dicom_metadata"
+HEADER_STAGE = "silver/dicom_parsed"
 HEADER_ERRORS = "silver/dicom_errors"
 IMAGES = "silver/images_processed"
-IMAGE_ERRORS = "silver/image_errors"
-DIGESTS = "silver/image_digests"
 DQ_RESULTS = "silver/dq_results"
 PATIENTS = "gold/patient_splits"
 MODEL_READY = "gold/model_ready"
@@ -64,10 +63,10 @@ def ingest_class_info(class_info: DataFrame, layout: Layout) -> int:
     log_run(
         spark,
         layout.audit,
-        "postgres_metadata_ingest",
+        schemas.JOB_LABELS_INGEST,
         rows,
         class_info.schema.simpleString(),
-        "JDBC read from raw_class_info",
+        "label table copied unchanged",
     )
     return rows
 
@@ -79,28 +78,23 @@ def ingest_headers(
 ) -> dict[str, int]:
     """Binary header files -> silver headers and a table of the files that failed.
 
-    The parser's output is staged as a table, so every file is opened and parsed once.
+    Every file is opened and parsed once: the parsed rows are staged, already
+    de-identified, and both tables are cut from that stage.
     """
     spark = files.sparkSession
-    staged_counts = layout.write(
-        parsing.parse_headers(files, parse),
-        "silver/dicom_staged",
-        failed=F.count("error"),
-    )
-    staged = layout.read(spark, "silver/dicom_staged")
+    parsed = headers.deidentified_headers(parsing.parse_headers(files, parse), keep=["error"])
+    failed = layout.write(parsed, HEADER_STAGE, failed=F.count("error"))["failed"]
+    staged = layout.read(spark, HEADER_STAGE)
     layout.write(parsing.parse_errors(staged), HEADER_ERRORS)
-    silver = schemas.conform(
-        headers.deidentified_headers(parsing.parsed_rows(staged)), schemas.HEADERS
-    )
+    silver = schemas.conform(parsing.parsed_rows(staged), schemas.HEADERS)
     rows = layout.write(silver, HEADERS)["rows"]
-    failed = staged_counts["failed"]
     log_run(
         spark,
         layout.audit,
-        "silver_dicom_metadata_ingest",
+        schemas.JOB_HEADERS_INGEST,
         rows,
         silver.schema.simpleString(),
-        f"Parsed {rows} DICOM files, {failed} failed",
+        f"{rows} files parsed, {failed} quarantined",
     )
     return {"rows": rows, "failed": failed}
 
@@ -111,21 +105,35 @@ def ingest_images(
     layout: Layout,
     target: tuple[int, int] = schemas.TARGET_SIZE,
 ) -> dict[str, int]:
-    """Binary image files -> processed pixels, their digests, and the files that failed."""
-    spark = files.sparkSession
+    """Binary image files -> processed pixels with their digest, and the files that failed.
+
+    One write, partitioned by ``outcome``: pixels are never copied a second time,
+    and readers of either part prune the other.
+    """
+    processed = pixels.preprocess_images(files, decode, target)
     counts = layout.write(
-        pixels.preprocess_images(files, decode, target),
-        "silver/images_staged",
-        failed=F.count("error"),
+        processed.withColumn("outcome", F.when(F.col("error").isNull(), "ok").otherwise("failed")),
+        IMAGES,
+        partition_by=["outcome"],
+        bad=F.count("error"),
+    )
+    return {"rows": counts["rows"] - counts["bad"], "failed": counts["bad"]}
+
+
+def read_images(spark: SparkSession, layout: Layout) -> DataFrame:
+    """image_id, file_path, height, width, pixels, content_hash of every processed image."""
+    return layout.read(spark, IMAGES).where("outcome = 'ok'").drop("outcome", "error")
+
+
+def image_errors(spark: SparkSession, layout: Layout) -> DataFrame:
+    return layout.read(spark, IMAGES).where("outcome = 'failed'").select("file_path", "error")
+
+
+def image_digests(spark: SparkSession, layout: Layout) -> DataFrame:
+    """(file_name, content_hash) for the duplicate check; pixels are not read."""
+    return read_images(spark, layout).select(
+        F.concat("image_id", F.lit(".png")).alias("file_name"), "content_hash"
     )
-    staged = layout.read(spark, "silver/images_staged")
-    failed = F.col("error").isNotNull()
-    layout.write(staged.where(failed).select("file_path", "error"), IMAGE_ERRORS)
-    processed = staged.where(~failed).drop("error")
-    layout.write(processed, IMAGES)
-    file_name = F.concat("image_id", F.lit(".png")).alias("file_name")
-    layout.write(processed.select(file_name, "content_hash"), DIGESTS)
-    return {"rows": counts["rows"] - counts["failed"], "failed": counts["failed"]}
 
 
 def run_quality_checks(
@@ -136,9 +144,7 @@ def run_quality_checks(
         layout.read(spark, HEADERS), layout.read(spark, CLASS_INFO), digests, sample=sample
     )
     rows = layout.write(results.coalesce(1), DQ_RESULTS)["rows"]
-    log_run(
-        spark, layout.audit, "silver_dq_checks", rows, notes=f"Ran {rows} DQ checks"
-    )
+    log_run(spark, layout.audit, schemas.JOB_QUALITY, rows, notes=f"{rows} checks")
     return layout.read(spark, DQ_RESULTS)
 
 
@@ -162,11 +168,10 @@ def build_model_ready(spark: SparkSession, layout: Layout) -> dict[str, int]:
     log_run(
         spark,
         layout.audit,
-        "gold_model_ready",
+        schemas.JOB_MODEL_READY,
         written,
         final.schema.simpleString(),
-        "Patient-aware split: "
-        f"train={counts['train']}, val={counts['val']}, test={counts['test']} patients",
+        f"patients per split: train={counts['train']}, val={counts['val']}, test={counts['test']}",
     )
     return {"rows": written, "patients": counts["rows"]}
 
@@ -186,9 +191,9 @@ def build_summaries(spark: SparkSession, layout: Layout) -> dict[str, int]:
     log_run(
         spark,
         layout.audit,
-        "gold_analytics_summary",
+        schemas.JOB_SUMMARIES,
         sum(rows.values()),
-        notes="Built case_counts, demographics, dq_summary tables",
+        notes=", ".join(f"{table}={n}" for table, n in rows.items()),
     )
     return rows
 
@@ -205,9 +210,9 @@ def ingest_manifest(topic: DataFrame, layout: Layout) -> dict[str, int]:
     log_run(
         topic.sparkSession,
         layout.audit,
-        "kafka_consumer_image_manifest",
+        schemas.JOB_MANIFEST,
         counts["written"],
-        notes=f"Consumed from arrival topic, {counts['seen']} messages seen",
+        notes=f"{counts['seen']} messages seen",
     )
     return counts
 
@@ -221,7 +226,7 @@ def train_classifier(
     training read only their partition and never repeat the join.
     """
     examples = gold.training_examples(
-        layout.read(spark, MODEL_READY), layout.read(spark, IMAGES)
+        layout.read(spark, MODEL_READY), read_images(spark, layout)
     )
     layout.write(examples, EXAMPLES, partition_by=["split"])
     stored = layout.read(spark, EXAMPLES)
@@ -240,7 +245,7 @@ def score_images(
     """Processed images -> prediction rows and alert rows."""
     if model is None:
         model = LogisticRegressionModel.load(layout.path("models/classifier"))
-    images = layout.read(spark, IMAGES).select(
+    images = read_images(spark, layout).select(
         F.concat("image_id", F.lit(".png")).alias("filename"), "pixels"
     )
     scored = classifier.score(model, images).select("filename", "probability")

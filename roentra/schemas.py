@@ -37,6 +37,26 @@ REQUIRED_HEADER_FIELDS = (
 )
 ARRIVALS_TOPIC = "dicom-ingestion"
 ALERTS_TOPIC = "clinical-alerts"
+# Header column -> tag keyword in the image file.
+HEADER_TAGS = {
+    "patient_id_raw": "PatientID",
+    "modality": "Modality",
+    "view_position": "ViewPosition",
+    "body_part_examined": "BodyPartExamined",
+    "patient_sex": "PatientSex",
+    "patient_age": "PatientAge",
+    "n_rows": "Rows",
+    "n_columns": "Columns",
+    "study_instance_uid": "StudyInstanceUID",
+    "series_instance_uid": "SeriesInstanceUID",
+}
+# Job names of the audit trail.
+JOB_LABELS_INGEST = "postgres_metadata_ingest"
+JOB_MANIFEST = "kafka_consumer_image_manifest"
+JOB_HEADERS_INGEST = "silver_dicom_metadata_ingest"
+JOB_QUALITY = "silver_dq_checks"
+JOB_MODEL_READY = "gold_model_ready"
+JOB_SUMMARIES = "gold_analytics_summary"
 # -----------------------------------------------------------------------------
 
 

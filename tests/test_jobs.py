@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from roentra import schemas
 from roentra.adapters import view
-from roentra.operators import gold, metrics
+from roentra.operators import gold, metrics, parsing
 from roentra.plans import audit, jobs
 from roentra.sources import files
 
@@ -29,7 +29,7 @@ def layout(spark, tmp_path_factory):
     header_counts = jobs.ingest_headers(source, out, json.loads)
     image_counts = jobs.ingest_images(source, lambda b: np.array(json.loads(b)["image"]), out, (2, 2))
     assert header_counts == image_counts == {"rows": len(headers), "failed": 1}
-    jobs.run_all(view(spark, SF_DIR, "fx_class_info"), out.read(spark, jobs.DIGESTS), out)
+    jobs.run_all(view(spark, SF_DIR, "fx_class_info"), jobs.image_digests(spark, out), out)
     return out
 
 
@@ -68,17 +68,24 @@ def test_quality_rows(spark, layout):
     rows = layout.read(spark, jobs.DQ_RESULTS).collect()
     assert len(rows) == 10
     duplicates = next(r for r in rows if r["check_name"] == "duplicate_detection")
-    images = layout.read(spark, jobs.IMAGES)
+    images = jobs.read_images(spark, layout)
     assert duplicates["total_rows"] == images.count()
     assert duplicates["failing_rows"] == images.count() - images.select("content_hash").distinct().count()
 
 
 def test_quarantine_tables(spark, layout):
-    for table in (jobs.HEADER_ERRORS, jobs.IMAGE_ERRORS):
-        rows = layout.read(spark, table).collect()
+    for errors in (layout.read(spark, jobs.HEADER_ERRORS), jobs.image_errors(spark, layout)):
+        rows = parsing.sample_errors(errors).collect()
         assert len(rows) == 1 and rows[0]["file_path"].endswith("broken.dcm") and rows[0]["error"]
 
 
+def test_no_table_holds_a_raw_patient_id(spark, layout):
+    raw_ids = {r[0] for r in view(spark, SF_DIR, "fx_headers").select("patient_id_raw").collect() if r[0]}
+    for table in (jobs.HEADER_STAGE, jobs.HEADERS, jobs.MODEL_READY):
+        for row in layout.read(spark, table).collect():
+            assert not raw_ids.intersection(str(v) for v in row)
+
+
 def test_audit_trail(spark, layout):
     runs = {r["job_name"]: r for r in audit.read_runs(spark, layout.audit).collect()}
     assert set(runs) == {
@@ -87,8 +94,8 @@ def test_audit_trail(spark, layout):
     }
     assert runs["silver_dq_checks"]["row_count"] == 10
     assert runs["gold_model_ready"]["row_count"] == layout.read(spark, jobs.MODEL_READY).count()
-    assert runs["gold_model_ready"]["notes"].startswith("Patient-aware split: train=")
-    assert runs["silver_dicom_metadata_ingest"]["notes"].endswith("1 failed")
+    assert runs["gold_model_ready"]["notes"].startswith("patients per split: train=")
+    assert runs["silver_dicom_metadata_ingest"]["notes"].endswith("1 quarantined")
 
 
 def test_manifest_job(spark, layout, tmp_path):
@@ -117,7 +124,7 @@ def test_training_and_scoring_jobs(spark, layout):
     assert len(best) == 1 and best[0]["best_step"] in (0, 1)
     counts = jobs.score_images(spark, layout)
     predicted = layout.read(spark, jobs.PREDICTIONS)
-    assert counts["rows"] == predicted.count() == layout.read(spark, jobs.IMAGES).count()
+    assert counts["rows"] == predicted.count() == jobs.read_images(spark, layout).count()
     assert [f.name for f in predicted.schema] == schemas.PREDICTION.fieldNames()
     assert counts["alerts"] == predicted.where("high_confidence_positive").count()
 
