@@ -125,8 +125,9 @@ def preprocess_array(pixels: np.ndarray, target: tuple[int, int]) -> np.ndarray:
     image = np.asarray(pixels, dtype=np.float32)
     low, high = image.min(), image.max()
     if high > low:
-        image = (image - low) / (high - low) * np.float32(255.0)
-    truncated = image.astype(np.int64) & 255
+        truncated = ((image - low) / (high - low) * np.float32(255.0)).astype(np.uint8)
+    else:
+        truncated = image.astype(np.int64) & 255
     return np.rint(resample(truncated.astype(np.float64), target)).astype(np.int32)
 
 
