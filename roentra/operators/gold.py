@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from roentra import schemas
 from roentra.operators.labels import patient_labels
-from roentra.operators.skew import salted_join
+from roentra.operators.skew import ROWS_PER_SALT, hot_split_join, salted_join
 from roentra.operators.split import assign_patient_splits
 
 
@@ -18,7 +18,9 @@ def labelled_patients(class_info: DataFrame) -> DataFrame:
     return assign_patient_splits(patients)
 
 
-def model_ready_rows(headers: DataFrame, patients: DataFrame, min_hot_rows: int = 1_000_000) -> DataFrame:
+def model_ready_rows(
+    headers: DataFrame, patients: DataFrame, rows_per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
     """Headers that have a labelled patient, one row per header, with label and split."""
     narrow = headers.select(
         "original_filename",
@@ -30,9 +32,7 @@ def model_ready_rows(headers: DataFrame, patients: DataFrame, min_hot_rows: int
         "columns",
         "file_path",
     )
-    joined = salted_join(
-        narrow, patients, "original_filename", "patient_id", min_rows=min_hot_rows
-    )
+    joined = hot_split_join(narrow, patients, "original_filename", "patient_id", rows_per_salt)
     return joined.select(*schemas.MODEL_READY.fieldNames())
 
 

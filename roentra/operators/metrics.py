@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from roentra import schemas
 from roentra.functions import scores
 
-RANGE_BUCKETS = 1_024
+MIN_RANGES, MAX_RANGES = 1_024, 16_384
 
 
 def _counts(scored: DataFrame, threshold: float, label_col: str, score_col: str) -> DataFrame:
@@ -106,14 +106,18 @@ def auroc(
     scored: DataFrame,
     label_col: str = "label",
     score_col: str = "probability",
-    buckets: int = RANGE_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Area under the ROC curve, ties counted one half (exact Mann-Whitney count).
 
     Rows collapse to one per distinct score, scores fall into ordered buckets,
     negatives are accumulated inside each bucket in parallel, and only the at
-    most ``buckets`` subtotals pass through one ordered window.
+    most ``buckets`` subtotals pass through one ordered window. By default there
+    are four buckets per shuffle partition, within fixed bounds.
     """
+    if buckets is None:
+        partitions = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(MAX_RANGES, max(MIN_RANGES, 4 * partitions))
     rows = scored.select(F.col(label_col).alias("y"), F.col(score_col).alias("s"))
     by_score = rows.groupBy("s").agg(
         F.count_if(F.col("y") == 1).cast("double").alias("pos"),

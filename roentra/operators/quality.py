@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from roentra import schemas
 from roentra.functions import identity
 from roentra.operators.durable import materialize
-from roentra.operators.skew import salted_join
+from roentra.operators.skew import ROWS_PER_SALT, hot_split_join
 
 
 def _result(check: str, field: Column | str, total: Column, failing: Column) -> Column:
@@ -108,12 +108,12 @@ def duplicate_detection(digests: DataFrame, sample: int | None = None) -> DataFr
     return _rows(counted, [result])
 
 
-def duplicate_pairs(files: DataFrame, min_hot_rows: int = 1_000_000) -> DataFrame:
+def duplicate_pairs(files: DataFrame, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Each later file with the first file (by name) of the same content.
 
     The digests are written once, so the file bytes are read once. The first
-    name per hash is a map-side combined minimum, and the way back to the files
-    is a salted join, so a hash shared by very many files is not one task.
+    name per hash is a map-side combined minimum, and the join back to the files
+    handles hot hashes apart, so a hash shared by very many files is not one task.
     """
     digests = materialize(file_digests(files), "digests")
     firsts = (
@@ -122,7 +122,7 @@ def duplicate_pairs(files: DataFrame, min_hot_rows: int = 1_000_000) -> DataFram
         .where("copies > 1")
         .select(F.col("content_hash").alias("first_hash"), "first_file_name")
     )
-    pairs = salted_join(digests, firsts, "content_hash", "first_hash", min_rows=min_hot_rows)
+    pairs = hot_split_join(digests, firsts, "content_hash", "first_hash", rows_per_salt)
     return pairs.where(F.col("file_name") > F.col("first_file_name")).select(
         "file_name", "first_file_name"
     )

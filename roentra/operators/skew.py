@@ -4,26 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# The sketch reports at most this many keys, so the broadcast below has a fixed bound.
-MAX_HOT_KEYS = 1_024
-TRACKED_ITEMS = 16_384
+# The sketch reports at most this many keys, so broadcasting them has a fixed bound.
+MAX_HOT_KEYS = 16_384
+# Every key above 3.5 / TRACKED_ITEMS of the rows is certain to be reported.
+TRACKED_ITEMS = 65_536
+ROWS_PER_SALT = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000, share: int = 1_000) -> DataFrame:
-    """Keys that hold at least ``min_rows`` rows and more than 1/``share`` of all rows.
+def hot_keys(df: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """(_hot_key, _salts): keys with more than ``rows_per_salt`` rows, and into how many
+    parts of that size to cut them.
 
-    One mergeable frequent-items sketch, no shuffle of the keys. The estimate
-    only decides which rows get salted, never which rows are in the result. With
-    16,384 tracked items every key above 1/1000 of the rows is reported.
+    One mergeable frequent-items sketch, no shuffle of the keys. Its estimates
+    decide only how rows are spread, never which rows are in a result.
     """
-    sketch = df.where(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
+    top = F.explode(F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_ITEMS})"))
+    counted = df.where(F.col(key).isNotNull()).select(key).agg(top.alias("t"))
+    salts = F.ceil(F.col("t.count") / rows_per_salt).cast("int")
+    return counted.where(F.col("t.count") > rows_per_salt).select(
+        F.col("t.item").alias("_hot_key"), salts.alias("_salts")
     )
-    top = sketch.select(F.explode("top").alias("t"), "n")
-    return top.where(
-        (F.col("t.count") >= min_rows) & (F.col("t.count") * share >= F.col("n"))
-    ).select(F.col("t.item").alias("_hot_key"))
+
+
+def hot_split_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    rows_per_salt: int = ROWS_PER_SALT,
+) -> DataFrame:
+    """Inner equi-join for a left side with repeated, possibly hot keys and a narrow right side
+    of unique keys. Both key columns are kept.
+
+    The right rows of hot keys are few (one per key, so at most
+    ``MAX_HOT_KEYS``) and are broadcast: left rows of hot keys join where they
+    are, without shuffle or sort. The remaining left rows, none of whose keys is
+    hot, join as usual on whatever partitioning the right side has.
+    """
+    hot = F.broadcast(hot_keys(left, left_key, rows_per_salt).select("_hot_key"))
+    hot_right = right.join(hot, F.col(right_key) == F.col("_hot_key"), "left_semi")
+    on_keys = F.col(left_key) == F.col(right_key)
+    in_place = left.join(F.broadcast(hot_right), on_keys, "inner")
+    others = left.join(hot, F.col(left_key) == F.col("_hot_key"), "left_anti")
+    return in_place.unionByName(others.join(right, on_keys, "inner"))
 
 
 def salted_join(
@@ -31,33 +54,30 @@ def salted_join(
     right: DataFrame,
     left_key: str,
     right_key: str,
-    salts: int = 64,
-    min_rows: int = 1_000_000,
+    rows_per_salt: int = ROWS_PER_SALT,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Inner equi-join for a left side with repeated, possibly hot keys and a right side of unique keys.
+    """Like ``hot_split_join``, for a right side too wide to broadcast even a few rows of.
 
-    Left rows of hot keys are spread over ``salts`` tasks by a hash of the row
-    (stable under task retries, unlike a random salt); only the at most
-    ``MAX_HOT_KEYS`` matching right rows are copied to every salt. All other
-    rows join as usual. Both key columns are kept. Pass ``hot`` (from ``hot_keys``)
-    when the hot keys can be read off a source that is cheaper to scan than ``left``.
+    Left rows of a hot key are spread over its salts by a hash of the row
+    (stable under task retries, unlike a random salt); only the matching right
+    row is copied to each salt. All other rows join as usual. Pass ``hot`` (from ``hot_keys``) when the hot keys can be read off
+    a source that is cheaper to scan than ``left``.
     """
-    hot = F.broadcast(hot_keys(left, left_key, min_rows) if hot is None else hot)
-    is_hot = F.col("_hot_key").isNotNull()
+    hot = F.broadcast(hot_keys(left, left_key, rows_per_salt) if hot is None else hot)
 
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     salted_left = (
         left.where(F.col(left_key).isNotNull())
         .join(hot, F.col(left_key) == F.col("_hot_key"), "left")
-        .withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-        .drop("_hot_key")
+        .withColumn("_salt", F.coalesce(F.pmod(row_hash, F.col("_salts")).cast("int"), F.lit(0)))
+        .drop("_hot_key", "_salts")
     )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     salted_right = (
         right.join(hot, F.col(right_key) == F.col("_hot_key"), "left")
         .withColumn("_right_salt", F.explode(copies))
-        .drop("_hot_key")
+        .drop("_hot_key", "_salts")
     )
     on = (salted_left[left_key] == salted_right[right_key]) & (
         F.col("_salt") == F.col("_right_salt")

@@ -50,11 +50,14 @@ def read_files(
     )
 
 
-def stream_files(spark: SparkSession, directory: str, suffix: str) -> DataFrame:
-    """New files of a directory as a stream (path only)."""
+def stream_files(
+    spark: SparkSession, directory: str, suffix: str, files_per_batch: int = 100_000
+) -> DataFrame:
+    """New files of a directory as a stream (path only), a bounded number per micro-batch."""
     return (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
+        .option("maxFilesPerTrigger", files_per_batch)
         .option("pathGlobFilter", f"*{suffix}")
         .load(directory)
         .select("path")

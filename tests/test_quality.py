@@ -44,7 +44,7 @@ def test_duplicate_pairs_with_a_hot_hash(spark):
             expected.append((name, first[c]))
         else:
             first[c] = name
-    got = quality.duplicate_pairs(df.repartition(6), min_hot_rows=50).collect()
+    got = quality.duplicate_pairs(df.repartition(6), rows_per_salt=50).collect()
     assert Counter(map(tuple, got)) == Counter(expected)
 
 

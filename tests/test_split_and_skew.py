@@ -65,17 +65,39 @@ def patients(spark):
     return spark.createDataFrame(ids, "patient_id string, label int")
 
 
-def test_salted_join_equals_plain_join(spark):
+@pytest.mark.parametrize("join", [skew.salted_join, skew.hot_split_join])
+@pytest.mark.parametrize("rows_per_salt", [1, 100, 1_000_000])
+def test_skew_joins_equal_plain_join(spark, join, rows_per_salt):
     left, right = skewed_headers(spark), patients(spark)
     plain = left.join(right, left.original_filename == right.patient_id)
-    salted = skew.salted_join(left, right, "original_filename", "patient_id", min_rows=100)
-    assert salted.columns == plain.columns
-    assert Counter(map(tuple, salted.collect())) == Counter(map(tuple, plain.collect()))
+    spread = join(left, right, "original_filename", "patient_id", rows_per_salt)
+    assert spread.columns == plain.columns
+    assert Counter(map(tuple, spread.collect())) == Counter(map(tuple, plain.collect()))
+
+
+@pytest.mark.parametrize("join", [skew.salted_join, skew.hot_split_join])
+def test_hot_key_without_partner_is_dropped(spark, join):
+    left = skewed_headers(spark)
+    right = patients(spark).where("patient_id <> 'hot'")
+    spread = join(left, right, "original_filename", "patient_id", 100)
+    plain = left.join(right, left.original_filename == right.patient_id)
+    assert spread.count() == plain.count()
+
+
+def test_hot_rows_are_not_shuffled(spark):
+    """The join task of the shuffled branch sees no hot row."""
+    left, right = skewed_headers(spark), patients(spark)
+    joined = skew.hot_split_join(left, right, "original_filename", "patient_id", 100)
+    tasks = (
+        joined.where("patient_id = 'hot'").groupBy(F.spark_partition_id().alias("p")).count()
+    ).collect()
+    assert len(tasks) == left.rdd.getNumPartitions()
+    assert max(r["count"] for r in tasks) <= 2000 / len(tasks) + 1
 
 
 def test_only_the_hot_key_is_reported(spark):
-    hot = [r[0] for r in skew.hot_keys(skewed_headers(spark), "original_filename", 100).collect()]
-    assert hot == ["hot"]
+    hot = skew.hot_keys(skewed_headers(spark), "original_filename", 100).collect()
+    assert [tuple(r) for r in hot] == [("hot", 20)]
     assert skew.hot_keys(skewed_headers(spark), "original_filename").count() == 0
 
 
@@ -84,7 +106,7 @@ def test_hot_key_is_spread_over_salts(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew.salted_join(left, right, "original_filename", "patient_id", min_rows=100)
+        joined = skew.salted_join(left, right, "original_filename", "patient_id", rows_per_salt=100)
         tasks = (
             joined.where("patient_id = 'hot'").groupBy(F.spark_partition_id().alias("p")).count()
         ).collect()
