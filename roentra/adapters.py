@@ -96,8 +96,9 @@ def stream_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same view as a streaming frame over its one base table."""
     table = re.search(r"@(\w+)", VIEWS[name]).group(1)
     schema = base_table(spark, sf_dir, table).schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-    files.parquet(sf_dir).createOrReplaceTempView(f"{name}_stream")
+    # A glob, as a stream does not take a single file; it also finds a table folder.
+    files = spark.readStream.schema(schema).parquet(f"{sf_dir}/{table}.parque[t]")
+    files.createOrReplaceTempView(f"{name}_stream")
     return spark.sql(VIEWS[name].replace(f"@{table}", f"{name}_stream"))
 
 

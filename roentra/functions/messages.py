@@ -14,15 +14,21 @@ def json_object(text: Column) -> Column:
     """Top-level fields as map<string,string>, or NULL unless the whole text is one JSON object.
 
     The text is wrapped in an array, because on its own the parser would stop
-    after the first object and let trailing garbage pass.
+    after the first object and let trailing garbage pass. A text that itself
+    holds a ``]`` could close that array early, so it has to parse as the value
+    of an object as well.
     """
-    parsed = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")),
-        "array<map<string,string>>",
-        {"allowSingleQuotes": "false"},
+    strict = {"allowSingleQuotes": "false"}
+    in_array = F.concat(F.lit("["), text, F.lit("]"))
+    in_object = F.concat(F.lit('{"v":'), text, F.lit("}"))
+    is_one_value = ~F.contains(text, F.lit("]")) | (
+        F.size(F.from_json(in_object, "map<string,string>", strict)) == 1
     )
+    parsed = F.from_json(in_array, "array<map<string,string>>", strict)
     # Bound to a lambda variable, so that the text is parsed once.
-    single = F.transform(F.array(parsed), lambda p: F.when(F.size(p) == 1, F.get(p, F.lit(0))))
+    single = F.transform(
+        F.array(parsed), lambda p: F.when((F.size(p) == 1) & is_one_value, F.get(p, F.lit(0)))
+    )
     return single[0]
 
 

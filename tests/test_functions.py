@@ -69,6 +69,9 @@ def test_bucket_lower_bound(spark):
         ("{}", {}),
         ('{"patient_id":1} xyz', None),
         ('{"patient_id":1}{"x":1}', None),
+        ('{"patient_id":1}] [{"a":1}', None),
+        ('{"patient_id":1}} {"a":{}', None),
+        ('{"patient_id":1,"tags":["]"]}', {"patient_id": "1", "tags": '["]"]'}),
         ('{"a":1},{"b":2}', None),
         ('{"patient_id":1', None),
         ("{'patient_id':1}", None),

@@ -1,0 +1,132 @@
+"""Random inputs against plain Python definitions, and independence of partitioning."""
+
+import json
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from roentra.adapters import view
+from roentra.functions import identity, messages
+from roentra.operators import arrivals, gold, headers, metrics, pixels, quality, skew
+
+SF_DIR = "/root/testdata/sf0.001"
+few = settings(
+    max_examples=12, deadline=None, derandomize=True,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+
+
+def test_age_bucket_follows_integer_parsing(spark):
+    rng = random.Random(1)
+    texts = ["".join(rng.choices("0123456789+-_ .aY\t", k=rng.randint(0, 6))) for _ in range(4000)]
+
+    def expected(text):
+        try:
+            low = int(text) // 10 * 10
+        except ValueError:
+            return "UNKNOWN"
+        return f"{low}-{low + 9}"
+
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    for row in df.select("x", identity.age_bucket(F.col("x")).alias("b")).collect():
+        assert row["b"] == expected(row["x"]), repr(row["x"])
+
+
+def test_json_object_follows_json_parsing(spark):
+    rng = random.Random(2)
+    parts = ["{", "}", "[", "]", '"patient_id"', ":", ",", "1", "null", '"a"', " ", "-1.5e3", "tru", "true", "'"]
+    texts = {"".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(6000)}
+    whole = ['{"a":%s}' % t for t in texts]
+    texts = sorted(texts.union(whole, ["{%s}" % t for t in texts]))
+
+    def expected(text):
+        try:
+            event = json.loads(text)
+        except json.JSONDecodeError:
+            return None
+        return set(event) if isinstance(event, dict) else None
+
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    keys = F.map_keys(messages.json_object(F.col("x"))).alias("k")
+    found = 0
+    for row in df.select("x", keys).collect():
+        got = None if row["k"] is None else set(row["k"])
+        assert got == expected(row["x"]), repr(row["x"])
+        found += got is not None
+    assert found > 20
+
+
+@few
+@given(
+    keys=st.lists(st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"])), max_size=40),
+    rows_per_salt=st.integers(1, 10),
+)
+def test_skew_joins(spark, keys, rows_per_salt):
+    left = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, i int")
+    right = spark.createDataFrame([("a", 1), ("b", 2), ("z", 3)], "r string, v int")
+    expected = Counter((k, i, k, {"a": 1, "b": 2}[k]) for i, k in enumerate(keys) if k in ("a", "b"))
+    for join in (skew.salted_join, skew.hot_split_join):
+        got = join(left, right, "k", "r", rows_per_salt).collect()
+        assert Counter(map(tuple, got)) == expected
+
+
+@few
+@given(
+    rows=st.lists(st.tuples(st.integers(0, 1), st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.9, 1.0])), max_size=40),
+    buckets=st.integers(2, 6),
+)
+def test_auroc(spark, rows, buckets):
+    pos = [p for y, p in rows if y]
+    neg = [p for y, p in rows if not y]
+    expected = None
+    if pos and neg:
+        expected = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    df = spark.createDataFrame(rows, "label int, probability double")
+    got = metrics.auroc(df, buckets=buckets).first()["auroc"]
+    assert got == (None if expected is None else pytest.approx(expected))
+
+
+@given(
+    source=st.integers(1, 40), data=st.data(),
+    seed=st.integers(0, 1000),
+)
+def test_area_resize_keeps_the_mean(source, data, seed):
+    target = data.draw(st.integers(1, source))
+    image = np.random.default_rng(seed).random((source, source))
+    out = pixels.resample(image, (target, target))
+    assert out.mean() == pytest.approx(image.mean())
+    assert out.min() >= image.min() - 1e-12 and out.max() <= image.max() + 1e-12
+
+
+def as_rows(df):
+    return Counter(str(sorted(r.asDict().items())) for r in df.collect())
+
+
+@pytest.mark.parametrize("partitions", [1, 13])
+def test_results_do_not_depend_on_partitioning(spark, partitions):
+    info, raw, files, topic, scores = (
+        view(spark, SF_DIR, name)
+        for name in ("fx_class_info", "fx_headers", "fx_files", "fx_arrivals", "fx_scores")
+    )
+
+    def outputs(change):
+        silver = headers.deidentified_headers(change(raw))
+        digests = quality.file_digests(change(files))
+        messages_in = change(topic).withColumnRenamed("kafka_offset", "offset")
+        return {
+            "gold": gold.model_ready(silver, change(info)),
+            "checks": quality.suite(silver, change(info), digests),
+            "pairs": quality.duplicate_pairs(change(files)),
+            "manifest": arrivals.arrival_manifest(messages_in),
+            "rejects": arrivals.reject_counts(messages_in),
+            "auroc": metrics.auroc(change(scores)).select(F.round("auroc", 9)),
+            "report": metrics.classification_report(change(scores)),
+        }
+
+    plain, moved = outputs(lambda df: df), outputs(lambda df: df.repartition(partitions))
+    for name in plain:
+        assert as_rows(plain[name]) == as_rows(moved[name]), name
