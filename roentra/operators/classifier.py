@@ -64,13 +64,18 @@ def train_weighted(
     candidate replaces the best only when its validation AUROC is strictly higher.
     """
     spark = train.sparkSession
-    pos_weight = class_weight(train).first()["pos_weight"]
+    balance = class_weight(train).first()
+    pos_weight = balance["pos_weight"]
     if not pos_weight:
         raise ValueError("training rows must hold both classes")
     weight = F.when(F.col("label") == 1, F.lit(pos_weight)).otherwise(F.lit(1.0))
     weighted = _vectors(train).select("label", "features", weight.alias("weight"))
 
-    best, best_auroc, log = None, 0.0, []
+    best, best_auroc = None, 0.0
+    log = [
+        (run_name, 0, "training_set_size", float(balance["neg"] + balance["pos"])),
+        (run_name, 0, "pos_weight", pos_weight),
+    ]
     for step, reg in enumerate(reg_params):
         learner = LogisticRegression(
             labelCol="label", weightCol="weight", regParam=reg, maxIter=max_iter

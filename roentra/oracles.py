@@ -138,6 +138,12 @@ FINAL = {
         FROM fx_headers GROUP BY ALL
         UNION ALL SELECT 'modality', coalesce(modality, 'MISSING'), count(*) FROM fx_headers GROUP BY ALL
         UNION ALL SELECT 'patient_sex', coalesce(patient_sex, 'MISSING'), count(*) FROM fx_headers GROUP BY ALL""",
+    "header_sample_counts": """
+        SELECT field, coalesce(value, 'MISSING') AS value, count(*) AS n
+        FROM (SELECT unnest(['view_position', 'modality', 'patient_sex']) AS field,
+                     unnest([view_position, modality, patient_sex]) AS value
+              FROM (SELECT * FROM fx_headers ORDER BY file_name LIMIT 200))
+        GROUP BY ALL""",
     "page_headers": """
         SELECT page_id,
                nullif(regexp_extract(html, '(?i)<html[^>]*\\slang="?([A-Za-z-]+)', 1), '') AS lang,

@@ -108,6 +108,12 @@ def header_value_counts(spark, sf):
     return headers.value_counts(view(spark, sf, "fx_headers"))
 
 
+@query
+def header_sample_counts(spark, sf):
+    """The quick look at a new delivery: its first 200 files by name, out of all files."""
+    return headers.value_counts(view(spark, sf, "fx_headers"), sample=200)
+
+
 @query
 def page_headers(spark, sf):
     return headers.page_headers(spark.read.parquet(f"{sf}/pages.parquet"))

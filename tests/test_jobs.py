@@ -118,7 +118,8 @@ def test_training_and_scoring_jobs(spark, layout):
     assert examples.count() == layout.read(spark, jobs.MODEL_READY).count()
     log = layout.read(spark, jobs.RUN_METRICS)
     assert {r["metric"] for r in log.collect()} == {
-        "reg_param", "train_loss", "val_loss", "val_auroc", "test_loss", "test_auroc",
+        "training_set_size", "pos_weight", "reg_param", "train_loss", "val_loss", "val_auroc",
+        "test_loss", "test_auroc",
     }
     best = metrics.best_epoch(metrics.metric_values(log, "val_auroc")).collect()
     assert len(best) == 1 and best[0]["best_step"] in (0, 1)

@@ -84,7 +84,9 @@ def test_training_selects_and_evaluates(spark):
     row = labels.class_weight(train).first()
     assert trained.pos_weight == pytest.approx(row["neg"] / row["pos"])
     log = {(r["step"], r["metric"]): r["value"] for r in trained.run_metrics.collect()}
-    assert {m for _, m in log} == {"reg_param", "train_loss", "val_loss", "val_auroc"}
+    assert {m for _, m in log} == {
+        "training_set_size", "pos_weight", "reg_param", "train_loss", "val_loss", "val_auroc",
+    }
     scored_test = classifier.score(trained.model, test)
     assert scored_test.where("probability NOT BETWEEN 0 AND 1").count() == 0
     result = {r["metric"]: r["value"] for r in classifier.test_metrics(trained, test).collect()}
