@@ -131,9 +131,27 @@ def preprocess_array(pixels: np.ndarray, target: tuple[int, int]) -> np.ndarray:
     return np.rint(resample(truncated.astype(np.float64), target)).astype(np.int32)
 
 
+def dicom_pixels(content: bytes) -> np.ndarray:
+    """Pixel matrix of one DICOM file; needs the pydicom package on the executors."""
+    import io
+
+    import pydicom
+
+    return pydicom.dcmread(io.BytesIO(content)).pixel_array
+
+
+def rgb_pixels(content: bytes) -> np.ndarray:
+    """(height, width, 3) bytes of a PNG, JPEG, ... image; needs Pillow on the executors."""
+    import io
+
+    from PIL import Image
+
+    return np.asarray(Image.open(io.BytesIO(content)).convert("RGB"))
+
+
 def preprocess_images(
     files: DataFrame,
-    decode: Callable[[bytes], np.ndarray],
+    decode: Callable[[bytes], np.ndarray] = dicom_pixels,
     target: tuple[int, int] = schemas.TARGET_SIZE,
     suffix: str = ".dcm",
 ) -> DataFrame:
@@ -162,6 +180,44 @@ def preprocess_images(
     return files.select("path", "content").mapInPandas(process, PROCESSED_SCHEMA)
 
 
+def bilinear_bytes(planes: np.ndarray, target: tuple[int, int]) -> np.ndarray:
+    """Bilinear resize of byte planes, rounded half up after the width and after the height pass."""
+    by_row = bilinear_weights(planes.shape[-2], target[0])
+    by_col = bilinear_weights(planes.shape[-1], target[1])
+    wide = np.floor(planes @ by_col.T + 0.5)
+    return np.floor(by_row @ wide + 0.5)
+
+
+def upload_features(
+    uploads: DataFrame,
+    decode: Callable[[bytes], np.ndarray] = rgb_pixels,
+    target: tuple[int, int] = schemas.TARGET_SIZE,
+) -> DataFrame:
+    """Uploaded images (filename, content) -> model input, or the error text.
+
+    Each colour plane is resized and standardised; ``features`` is their
+    concatenation, channel by channel. A file that fails keeps its row, with ``error`` set.
+    """
+    mean = np.array(schemas.CHANNEL_MEAN)[:, None, None]
+    std = np.array(schemas.CHANNEL_STD)[:, None, None]
+
+    def prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for name, content in zip(batch["filename"], batch["content"]):
+                try:
+                    planes = np.moveaxis(decode(content).astype(np.float64), -1, 0)
+                    features = (bilinear_bytes(planes, target) / 255.0 - mean) / std
+                    rows.append((name, features.ravel(), None))
+                except Exception as problem:  # rejected, see ``error``
+                    rows.append((name, None, str(problem) or type(problem).__name__))
+            yield pd.DataFrame(rows, columns=["filename", "features", "error"], dtype=object)
+
+    return uploads.select("filename", "content").mapInPandas(
+        prepare, "filename string, features array<double>, error string"
+    )
+
+
 def preprocess_pixel_table(images: DataFrame, target: tuple[int, int]) -> DataFrame:
     """Decoded images (image_id, height, width, pixels) -> rounded bytes at the target size."""
     scaled = images.withColumn("pixels", scale_to_byte(F.col("pixels")))

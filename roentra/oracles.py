@@ -122,6 +122,16 @@ PARTS = {
         SELECT i, o, w / sum(w) OVER (PARTITION BY o) AS w
         FROM (SELECT i, o, greatest(0, 1 - abs(i + 0.5::DOUBLE - (o + 0.5::DOUBLE) * 8 / 3) * 3 / 8) AS w
               FROM range(8) t(i), range(3) u(o))""",
+    "tent_half": """
+        SELECT i, o, w / sum(w) OVER (PARTITION BY o) AS w
+        FROM (SELECT i, o, greatest(0, 1 - abs(i + 0.5::DOUBLE - (o + 0.5::DOUBLE) * 2) / 2) AS w
+              FROM range(8) t(i), range(4) u(o))""",
+    "narrowed": """
+        SELECT image_id, pos // 8 AS r, o AS c, floor(sum(v * w) + 0.5::DOUBLE) AS v
+        FROM bytes JOIN tent_half ON i = pos % 8 GROUP BY image_id, pos // 8, o""",
+    "halved": """
+        SELECT image_id, o * 4 + c AS pos, floor(sum(v * w) + 0.5::DOUBLE) AS v
+        FROM narrowed JOIN tent_half ON i = r GROUP BY image_id, o, c""",
     "examples": "SELECT CAST(image_id AS VARCHAR) AS image_id, len(pixels) AS n_pixels FROM fx_pixels",
 }
 
@@ -267,6 +277,11 @@ FINAL = {
         SELECT image_id, channel, pos, round((v / 255.0::DOUBLE - m) / s, 5) AS v
         FROM bytes, (VALUES (0, 0.485::DOUBLE, 0.229::DOUBLE), (1, 0.456::DOUBLE, 0.224::DOUBLE),
                             (2, 0.406::DOUBLE, 0.225::DOUBLE)) AS k(channel, m, s)""",
+    "upload_features": """
+        SELECT CAST(image_id AS VARCHAR) AS filename, channel, CAST(pos AS INTEGER) AS pos,
+               round((v / 255.0::DOUBLE - m) / s, 5) AS v
+        FROM halved, (VALUES (0, 0.485::DOUBLE, 0.229::DOUBLE), (1, 0.456::DOUBLE, 0.224::DOUBLE),
+                             (2, 0.406::DOUBLE, 0.225::DOUBLE)) AS k(channel, m, s)""",
     "batch_scores": """
         SELECT image_id, round(1 / (1 + exp(-sum(x::DOUBLE * ((37 * pos) % 11 - 5) / 8.0::DOUBLE))), 6) AS probability
         FROM flat_pixels GROUP BY image_id""",

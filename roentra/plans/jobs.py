@@ -101,8 +101,8 @@ def ingest_headers(
 
 def ingest_images(
     files: DataFrame,
-    decode: Callable[[bytes], np.ndarray],
     layout: Layout,
+    decode: Callable[[bytes], np.ndarray] = pixels.dicom_pixels,
     target: tuple[int, int] = schemas.TARGET_SIZE,
 ) -> dict[str, int]:
     """Binary image files -> processed pixels with their digest, and the files that failed.

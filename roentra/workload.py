@@ -412,6 +412,30 @@ def pixels_standardize(spark, sf):
     ).withColumn("v", F.round("v", 5))
 
 
+def _parse_grey_rows(content: bytes) -> np.ndarray:
+    grey = np.array(json.loads(content)).reshape(8, 8)
+    return np.stack([grey, grey, grey], axis=-1)
+
+
+@query
+def upload_features(spark, sf):
+    """All images as uploads of grey rows, resized to 4 x 4 and standardised."""
+    grey = pixels.scale_to_byte(F.col("pixels"))
+    uploads = view(spark, sf, "fx_pixels").select(
+        F.col("image_id").cast("string").alias("filename"),
+        F.to_json(grey).cast("binary").alias("content"),
+    )
+    features = pixels.upload_features(uploads, _parse_grey_rows, (4, 4))
+    long = features.select("filename", F.posexplode("features").alias("at", "v"))
+    position = F.col("at") % 16
+    return long.select(
+        "filename",
+        ((F.col("at") - position) / 16).cast("int").alias("channel"),
+        position.alias("pos"),
+        F.round("v", 5).alias("v"),
+    )
+
+
 # --- models ------------------------------------------------------------------
 
 

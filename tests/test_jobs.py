@@ -27,7 +27,7 @@ def layout(spark, tmp_path_factory):
     (raw / "broken.dcm").write_text("broken")
     source = files.read_files(spark, str(raw), ".dcm")
     header_counts = jobs.ingest_headers(source, out, json.loads)
-    image_counts = jobs.ingest_images(source, lambda b: np.array(json.loads(b)["image"]), out, (2, 2))
+    image_counts = jobs.ingest_images(source, out, lambda b: np.array(json.loads(b)["image"]), (2, 2))
     assert header_counts == image_counts == {"rows": len(headers), "failed": 1}
     jobs.run_all(view(spark, SF_DIR, "fx_class_info"), jobs.image_digests(spark, out), out)
     return out

@@ -118,3 +118,26 @@ def test_whole_image_job_equals_table_form_and_quarantines(spark):
         assert same["pixels"] == row["pixels"] and same["error"] is None
         assert (same["height"], same["width"]) == (4, 3)
         assert len(same["content_hash"]) == 32
+
+
+def test_upload_features(spark):
+    rng = np.random.default_rng(5)
+    image = rng.integers(0, 256, (6, 5, 3))
+    rows = [("a.png", bytearray(json.dumps(image.tolist()).encode())), ("b.png", bytearray(b"not an image"))]
+    df = spark.createDataFrame(rows, "filename string, content binary")
+    out = {
+        r["filename"]: r
+        for r in pixels.upload_features(df, lambda b: np.array(json.loads(b)), (6, 5)).collect()
+    }
+    assert out["b.png"]["features"] is None and out["b.png"]["error"]
+    # At the same size the resize is the identity.
+    expected = (np.moveaxis(image, -1, 0) / 255.0 - np.array([0.485, 0.456, 0.406])[:, None, None]) / np.array(
+        [0.229, 0.224, 0.225]
+    )[:, None, None]
+    assert np.allclose(out["a.png"]["features"], expected.ravel())
+
+
+def test_default_decoders_need_their_packages(spark):
+    df = spark.createDataFrame([("raw/a.dcm", bytearray(b"x"))], "path string, content binary")
+    row = pixels.preprocess_images(df).first()
+    assert row["error"] and row["pixels"] is None

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roentra import schemas
-from roentra.operators import parsing
+from roentra.operators import durable, parsing
 from roentra.plans import audit, dashboard
 from roentra.sources import files, jdbc, jsonlines, kafka, tables
 
@@ -153,3 +153,31 @@ def test_topic_options():
     options = kafka.topic_options("host:1", schemas.ARRIVALS_TOPIC)
     assert options["startingOffsets"] == "earliest" and options["subscribe"] == "dicom-ingestion"
     assert kafka.sink_options("host:1", schemas.ALERTS_TOPIC)["topic"] == "clinical-alerts"
+
+
+def test_dicom_header_reads_the_tags(monkeypatch):
+    """With a stand-in for the optional package; unset tags are None, numbers stay numbers."""
+    import sys
+    import types
+
+    tags = {"PatientID": "p", "Rows": 1024, "PatientAge": "051Y"}
+    reader = types.SimpleNamespace(dcmread=lambda stream, stop_before_pixels: tags)
+    monkeypatch.setitem(sys.modules, "pydicom", reader)
+    header = parsing.dicom_header(b"")
+    assert set(header) == set(schemas.RAW_HEADER.fieldNames())
+    assert (header["patient_id_raw"], header["n_rows"], header["modality"]) == ("p", 1024, None)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import types
+
+    def session(master, folder):
+        return types.SimpleNamespace(
+            conf=types.SimpleNamespace(get=lambda key, default: folder),
+            sparkContext=types.SimpleNamespace(master=master),
+        )
+
+    assert durable.shared_dir(session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    assert durable.shared_dir(session("local[8]", None))
+    with pytest.raises(ValueError):
+        durable.shared_dir(session("yarn", None))
