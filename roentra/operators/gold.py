@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 from roentra import schemas
 from roentra.operators.labels import patient_labels
@@ -58,7 +58,7 @@ def rows_of_split(gold: DataFrame, split: str) -> DataFrame:
 
 
 def training_examples(
-    gold: DataFrame, images: DataFrame, hot: DataFrame | None = None
+    gold: DataFrame, images: DataFrame, hot: list[Row] | None = None
 ) -> DataFrame:
     """Gold rows with the pixels of their image (images: image_id, pixels).
 

@@ -2,28 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-# The sketch reports at most this many keys, so broadcasting them has a fixed bound.
+# At most this many keys are reported: the bound of what reaches the driver and is broadcast.
 MAX_HOT_KEYS = 16_384
-# Every key above 3.5 / TRACKED_ITEMS of the rows is certain to be reported.
-TRACKED_ITEMS = 65_536
 ROWS_PER_SALT = 1_000_000
+# Sampled rows that stand for ROWS_PER_SALT rows; enough that no key of twice that size is missed.
+SAMPLED_PER_SALT = 1_000
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """(_hot_key, _salts): keys with more than ``rows_per_salt`` rows, and into how many
-    parts of that size to cut them.
+def hot_keys(df: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> list[Row]:
+    """(hot_key, salts): keys with more than about ``rows_per_salt`` rows, and into how many
+    parts of that size to cut them. At most ``MAX_HOT_KEYS``, largest first.
 
-    One mergeable frequent-items sketch, no shuffle of the keys. Its estimates
-    decide only how rows are spread, never which rows are in a result.
+    Counts a sample of the key column (all of it when ``rows_per_salt`` is
+    small). The estimate decides only how rows are spread over tasks; joins
+    that use it read every row and are exact whatever it says. They need one
+    fixed answer, so this runs a job instead of returning a plan that each use
+    would evaluate anew.
     """
-    top = F.explode(F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_ITEMS})"))
-    counted = df.where(F.col(key).isNotNull()).select(key).agg(top.alias("t"))
-    salts = F.ceil(F.col("t.count") / rows_per_salt).cast("int")
-    return counted.where(F.col("t.count") > rows_per_salt).select(
-        F.col("t.item").alias("_hot_key"), salts.alias("_salts")
+    fraction = min(1.0, SAMPLED_PER_SALT / rows_per_salt)
+    keys = df.where(F.col(key).isNotNull()).select(F.col(key).alias("hot_key"))
+    looked_at = keys if fraction == 1.0 else keys.sample(fraction, seed=0)
+    estimate = F.col("seen") / fraction
+    found = (
+        looked_at.groupBy("hot_key")
+        .agg(F.count(F.lit(1)).alias("seen"))
+        .where(estimate > rows_per_salt)
+        .orderBy(F.desc("seen"), "hot_key")
+        .limit(MAX_HOT_KEYS)
+        .select("hot_key", F.ceil(estimate / rows_per_salt).cast("int").alias("salts"))
     )
+    return found.collect()
+
+
+def _hot_frame(df: DataFrame, key: str, hot: list[Row]) -> DataFrame:
+    """The hot keys as a frame (_hot_key, _salts), marked for broadcast."""
+    schema = StructType(
+        [StructField("_hot_key", df.schema[key].dataType), StructField("_salts", IntegerType())]
+    )
+    return F.broadcast(df.sparkSession.createDataFrame(hot, schema))
 
 
 def hot_split_join(
@@ -36,16 +55,19 @@ def hot_split_join(
     """Inner equi-join for a left side with repeated, possibly hot keys and a narrow right side
     of unique keys. Both key columns are kept.
 
-    The right rows of hot keys are few (one per key, so at most
-    ``MAX_HOT_KEYS``) and are broadcast: left rows of hot keys join where they
-    are, without shuffle or sort. The remaining left rows, none of whose keys is
-    hot, join as usual on whatever partitioning the right side has.
+    Without hot keys this is a plain join. Otherwise the right rows of hot keys
+    (one per key, so at most ``MAX_HOT_KEYS``) are broadcast: left rows of hot
+    keys join where they are, without shuffle or sort. The remaining left rows,
+    none of whose keys is hot, join as usual.
     """
-    hot = F.broadcast(hot_keys(left, left_key, rows_per_salt).select("_hot_key"))
-    hot_right = right.join(hot, F.col(right_key) == F.col("_hot_key"), "left_semi")
     on_keys = F.col(left_key) == F.col(right_key)
+    hot = hot_keys(left, left_key, rows_per_salt)
+    if not hot:
+        return left.join(right, on_keys, "inner")
+    frame = _hot_frame(left, left_key, hot)
+    hot_right = right.join(frame, F.col(right_key) == F.col("_hot_key"), "left_semi")
     in_place = left.join(F.broadcast(hot_right), on_keys, "inner")
-    others = left.join(hot, F.col(left_key) == F.col("_hot_key"), "left_anti")
+    others = left.join(frame, F.col(left_key) == F.col("_hot_key"), "left_anti")
     return in_place.unionByName(others.join(right, on_keys, "inner"))
 
 
@@ -55,31 +77,34 @@ def salted_join(
     left_key: str,
     right_key: str,
     rows_per_salt: int = ROWS_PER_SALT,
-    hot: DataFrame | None = None,
+    hot: list[Row] | None = None,
 ) -> DataFrame:
     """Like ``hot_split_join``, for a right side too wide to broadcast even a few rows of.
 
     Left rows of a hot key are spread over its salts by a hash of the row
     (stable under task retries, unlike a random salt); only the matching right
-    row is copied to each salt. All other rows join as usual. Pass ``hot`` (from ``hot_keys``) when the hot keys can be read off
-    a source that is cheaper to scan than ``left``.
+    row is copied to each salt. All other rows join as usual. Pass ``hot`` (from
+    ``hot_keys``) when the hot keys can be read off a source that is cheaper to
+    scan than ``left``.
     """
-    hot = F.broadcast(hot_keys(left, left_key, rows_per_salt) if hot is None else hot)
+    if hot is None:
+        hot = hot_keys(left, left_key, rows_per_salt)
+    if not hot:
+        return left.join(right, F.col(left_key) == F.col(right_key), "inner")
+    frame = _hot_frame(left, left_key, hot)
 
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     salted_left = (
         left.where(F.col(left_key).isNotNull())
-        .join(hot, F.col(left_key) == F.col("_hot_key"), "left")
+        .join(frame, F.col(left_key) == F.col("_hot_key"), "left")
         .withColumn("_salt", F.coalesce(F.pmod(row_hash, F.col("_salts")).cast("int"), F.lit(0)))
         .drop("_hot_key", "_salts")
     )
     copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     salted_right = (
-        right.join(hot, F.col(right_key) == F.col("_hot_key"), "left")
+        right.join(frame, F.col(right_key) == F.col("_hot_key"), "left")
         .withColumn("_right_salt", F.explode(copies))
         .drop("_hot_key", "_salts")
     )
-    on = (salted_left[left_key] == salted_right[right_key]) & (
-        F.col("_salt") == F.col("_right_salt")
-    )
+    on = (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_right_salt"))
     return salted_left.join(salted_right, on, "inner").drop("_salt", "_right_salt")

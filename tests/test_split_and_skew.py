@@ -96,9 +96,19 @@ def test_hot_rows_are_not_shuffled(spark):
 
 
 def test_only_the_hot_key_is_reported(spark):
-    hot = skew.hot_keys(skewed_headers(spark), "original_filename", 100).collect()
+    hot = skew.hot_keys(skewed_headers(spark), "original_filename", 100)
     assert [tuple(r) for r in hot] == [("hot", 20)]
-    assert skew.hot_keys(skewed_headers(spark), "original_filename").count() == 0
+    assert skew.hot_keys(skewed_headers(spark), "original_filename") == []
+
+
+def test_sampled_counts_find_a_hot_key(spark):
+    """Large enough that only a sample of the keys is counted."""
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k")
+    )
+    hot = skew.hot_keys(df, "k", 10_000)
+    assert [r["hot_key"] for r in hot] == ["hot"]
+    assert 5 <= hot[0]["salts"] <= 9
 
 
 def test_hot_key_is_spread_over_salts(spark):
