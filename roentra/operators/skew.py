@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 # At most this many keys are reported: the bound of what reaches the driver and is broadcast.
 MAX_HOT_KEYS = 16_384
@@ -38,11 +38,12 @@ def hot_keys(df: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> lis
 
 
 def _hot_frame(df: DataFrame, key: str, hot: list[Row]) -> DataFrame:
-    """The hot keys as a frame (_hot_key, _salts), marked for broadcast."""
-    schema = StructType(
-        [StructField("_hot_key", df.schema[key].dataType), StructField("_salts", IntegerType())]
+    """The hot keys as a local relation (_hot_key, _salts), marked for broadcast."""
+    columns = {"_hot_key": [r["hot_key"] for r in hot], "_salts": [r["salts"] for r in hot]}
+    frame = df.sparkSession.createDataFrame(pa.table(columns))
+    return F.broadcast(
+        frame.select(F.col("_hot_key").cast(df.schema[key].dataType), F.col("_salts").cast("int"))
     )
-    return F.broadcast(df.sparkSession.createDataFrame(hot, schema))
 
 
 def hot_split_join(
