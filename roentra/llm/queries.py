@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roentra.llm import bpe, simhash
+from roentra.llm import bpe, exact_dedup, simhash, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,3 +48,28 @@ def op2_simhash(spark, sf):
     found = simhash.near_duplicates(_documents(spark, sf), shingle=3, radius=2)
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op5_exact_dedup(spark, sf):
+    return exact_dedup.exact_duplicates(_documents(spark, sf))
+
+
+ORACLES["op5_exact_dedup"] = r"""
+WITH plain AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
+    FROM documents
+)
+SELECT doc_id,
+       min(doc_id) OVER (PARTITION BY t) AS keep_id,
+       count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY t) AS kept,
+       sha256(t) AS text_sha256
+FROM plain
+"""
+
+
+@query
+def op7_substring_dedup(spark, sf):
+    found = substring_dedup.remove_repeats(_documents(spark, sf), window=35)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
