@@ -5,9 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from roentra.llm import bpe, exact_dedup, simhash, substring_dedup
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from roentra.llm import (
+    bpe,
+    exact_dedup,
+    language_id,
+    order_minhash,
+    ordering,
+    simhash,
+    substring_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,3 +81,57 @@ FROM plain
 def op7_substring_dedup(spark, sf):
     found = substring_dedup.remove_repeats(_documents(spark, sf), window=35)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def order_minhash_edits(docs: DataFrame) -> DataFrame:
+    """Every document with a third of it replaced from the next one, and the likeness of both."""
+    ordered = ordering.with_next(
+        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id", "text"
+    )
+    size = F.char_length("value")
+    moved = F.floor(size / 3).cast("int")
+    edited = F.concat(
+        F.substring("value", F.lit(1), size - moved), F.substring("next_value", F.lit(1), moved)
+    )
+    known = ordered.select(
+        "bucket", "row", "key", "extra", size.cast("long").alias("n_chars"), "value",
+        F.when(~F.col("extra"), edited).alias("edited"),
+    )
+    texts = F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("value").alias("text")),
+        F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")),
+    )
+    both = known.select("bucket", "row", F.explode(texts).alias("t")).select(
+        "bucket", "row", "t.kind", "t.text"
+    )
+    found = order_minhash.signatures(both, "bucket", ["row", "kind"], "text")
+    own, other = F.when(F.col("kind") == 0, F.col("signature")), F.when(
+        F.col("kind") == 1, F.col("signature")
+    )
+    pairs = found.groupBy("bucket", "row").agg(F.max(own).alias("own"), F.max(other).alias("edit"))
+    following = F.lead("own").over(Window.partitionBy("bucket").orderBy("row")).alias("following")
+    pairs = pairs.select("bucket", "row", "own", "edit", following)
+    facts = known.select(
+        "bucket", "row", "key", "extra", "n_chars", F.sha2("edited", 256).alias("edited_sha256")
+    )
+    return facts.join(pairs, ["bucket", "row"]).where("NOT extra").select(
+        F.col("key").alias("doc_id"),
+        "n_chars",
+        "edited_sha256",
+        order_minhash.as_text(F.col("own")).alias("fingerprint"),
+        order_minhash.as_text(F.col("edit")).alias("edited_fingerprint"),
+        order_minhash.likeness(F.col("own"), F.col("edit")).alias("near_edited"),
+        order_minhash.likeness(F.col("own"), F.col("following")).alias("near_next"),
+    )
+
+
+@query
+def op4_order_minhash(spark, sf):
+    return order_minhash_edits(_documents(spark, sf))
+
+
+@query
+def op6_language_id(spark, sf):
+    return language_id.identify(_documents(spark, sf)).select(
+        "doc_id", "held_out", "lang_pred", "score", "accepted"
+    )
