@@ -13,6 +13,7 @@ from roentra.llm import (
     language_id,
     order_minhash,
     ordering,
+    sharding,
     simhash,
     substring_dedup,
 )
@@ -135,3 +136,23 @@ def op6_language_id(spark, sf):
     return language_id.identify(_documents(spark, sf)).select(
         "doc_id", "held_out", "lang_pred", "score", "accepted"
     )
+
+
+# 40 shards, and a 41st on the last rack.
+SHARDS = sharding.even_tree(4, 5, 2)
+GROWN = SHARDS.grown(sharding.Shard(3, 4, 40))
+
+
+@query
+def op8_sharding(spark, sf):
+    placed = sharding.assign(_documents(spark, sf), SHARDS)
+    grown = sharding.place(GROWN, F.col("doc_id"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("key").alias("law"),
+        "shard",
+        "slot",
+        grown.alias("grown_shard"),
+    )
