@@ -11,11 +11,13 @@ from roentra.llm import (
     bpe,
     exact_dedup,
     language_id,
+    mixing,
     order_minhash,
     ordering,
     sharding,
     simhash,
     substring_dedup,
+    url_filter,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,3 +158,23 @@ def op8_sharding(spark, sf):
         "slot",
         grown.alias("grown_shard"),
     )
+
+
+# Fixed values of the contract: host and beginning of path, verdict.
+URL_RULES = [
+    url_filter.Rule("org/", "allow"),
+    url_filter.Rule("example.org/es/", "block"),
+    url_filter.Rule("example.org/en/1", "block"),
+    url_filter.Rule("com/fr/", "allow"),
+    url_filter.Rule("com/de/", "block"),
+]
+
+
+@query
+def op3_url_filter(spark, sf):
+    return url_filter.judge(spark.read.parquet(f"{sf}/pages.parquet"), URL_RULES)
+
+
+@query
+def op9_mixing(spark, sf):
+    return mixing.mixture(_documents(spark, sf), max_repeats=2.0)
