@@ -11,6 +11,7 @@ from roentra.llm import (
     bpe,
     exact_dedup,
     language_id,
+    license_scan,
     mixing,
     order_minhash,
     ordering,
@@ -178,3 +179,8 @@ def op3_url_filter(spark, sf):
 @query
 def op9_mixing(spark, sf):
     return mixing.mixture(_documents(spark, sf), max_repeats=2.0)
+
+
+@query
+def op10_license_scan(spark, sf):
+    return license_scan.scan(_documents(spark, sf))
