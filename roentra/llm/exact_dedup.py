@@ -53,14 +53,17 @@ def _shared(a: bytes, b: bytes) -> int:
 
 
 class Patricia:
-    """Compressed radix trie from byte strings to owners; ``size`` counts the label bytes."""
+    """Compressed radix trie from byte strings to owners.
+
+    ``size`` counts the label bytes, ``held`` the owners (set by the caller).
+    """
 
     def __init__(self):
-        self.root, self.size, self.cut = Node(b""), 0, set()
+        self.root, self.size, self.held, self.cut = Node(b""), 0, 0, set()
 
     def find(self, text: bytes) -> Node | None:
         """The terminal node of ``text``, made where missing; None if its subtree was cut off."""
-        if (text[:1]) in self.cut:
+        if text[:1] in self.cut:
             return None
         node, at = self.root, 0
         while at < len(text):
@@ -106,7 +109,9 @@ class Patricia:
         top = self.root.children.pop(largest)
         self.cut.add(bytes([largest]))
         self.size -= weights[largest]
-        return list(self.strings(top))
+        strings = list(self.strings(top))
+        self.held -= len(strings)
+        return strings
 
 
 def _smaller(a, b) -> bool:
@@ -214,11 +219,13 @@ def _owned(groups: DataFrame, id_type: T.DataType) -> DataFrame:
                     continue
                 if node.owner is None:  # smallest id, its group, copies, groups
                     node.owner = [doc, gid, 0, []]
+                    trie.held += 1
                 elif _smaller(doc, node.owner[0]):
                     node.owner[:2] = doc, gid
                 node.owner[2] += copies
                 node.owner[3].append((gid, doc, copies))
-                while trie.size > TRIE_BYTES and trie.root.children:
+                # A single string always stays, however long, so every round settles some.
+                while trie.size > TRIE_BYTES and trie.held > 1:
                     spilled += [
                         (gid, None, None, copies, doc, len(text), text)
                         for text, owner in trie.spill()
@@ -256,10 +263,8 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size, count = open_.agg(F.sum("n_bytes"), F.count(F.lit(1))).first()
     turn = 0
     while count:
-        tasks = max(
-            int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-            size * (turn + 1) // TASK_BYTES + 1,
-        )
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(least, size // TASK_BYTES + 1) * 2**turn
         owned = _owned(_dealt(open_, tasks, turn), columns.schema["id"].dataType)
         part = materialize(owned, "dedup-owners")
         found.append(part.where("text IS NULL").select("gid", "keep_gid", "keep_id", "group_size"))
