@@ -140,7 +140,9 @@ class Block:
             b"".join(shas),
             known.astype(np.int32).tobytes(),
         ]
-        rows.append((self.number % self.buckets, self.number, *(None,) * 3, *listed))
+        # The number's halves are the task and the block's place in it: spread the lists by both.
+        at = ((self.number >> 32) * 31 + (self.number & 0xFFFFFFFF)) % self.buckets
+        rows.append((at, self.number, *(None,) * 3, *listed))
         columns = [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32(), pa.int64()])]
         columns += [pa.array(c, pa.binary()) for c in list(zip(*rows))[2:]]
         return pa.RecordBatch.from_arrays(columns, names=COLUMNS)
