@@ -5,24 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Rows of one ordered bucket, and the most buckets there are (what is broadcast has a row for each).
-BUCKET_ROWS = 512
+BUCKET_ROWS = 128
 MOST_BUCKETS = 1 << 20
 CUTS = 256
+# Bytes of text in one partition: callers turn texts into rows many times their size.
+PARTITION_BYTES = 3_000_000
 
 
-def range_bucket(df: DataFrame, key: str) -> tuple[Column, int]:
-    """(bucket, rows): a number from 0 that does not fall as ``key`` (whole numbers) grows; null
-    for null keys.
+def range_bucket(df: DataFrame, key: str, value: str) -> tuple[Column, int]:
+    """(bucket, bytes): a number from 0 that does not fall as ``key`` (whole numbers) grows, null
+    for null keys; and the size of all values.
 
     Quantiles of the key (at most ``CUTS``, the only thing collected) give coarse
     ranges, and each is cut evenly, so that dense and sparse ranges get alike buckets.
     """
     quantiles = F.percentile_approx(key, [i / CUTS for i in range(1, CUTS)], 10 * CUTS)
-    rows, low, high, cuts = df.agg(
-        F.count(key), F.min(key), F.max(key), quantiles
+    rows, low, high, cuts, size = df.agg(
+        F.count(key), F.min(key), F.max(key), quantiles, F.sum(F.octet_length(value))
     ).first()
     if not rows:
-        return F.lit(None).cast("long"), 0
+        return F.lit(None).cast("long"), size or 0
     edges = sorted({low, high + 1, *cuts})
     fine = min(MOST_BUCKETS, -(-rows // BUCKET_ROWS)) // (len(edges) - 1) + 1
     bounds = F.array(*[F.lit(int(e)).cast("long") for e in edges])
@@ -31,7 +33,7 @@ def range_bucket(df: DataFrame, key: str) -> tuple[Column, int]:
     begin, end = F.element_at(bounds, coarse), F.element_at(bounds, coarse + 1)
     share = (column - begin).cast("double") / (end - begin).cast("double")
     within = F.least(F.floor(share * fine), F.lit(fine - 1))
-    return F.when(column.isNotNull(), (coarse - 1) * fine + within).cast("long"), rows
+    return F.when(column.isNotNull(), (coarse - 1) * fine + within).cast("long"), size or 0
 
 
 def with_next(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -43,7 +45,8 @@ def with_next(df: DataFrame, key: str, value: str) -> DataFrame:
     (of at most ``MOST_BUCKETS``) is also sent to the bucket before it, where it
     follows all others and is marked ``extra``.
     """
-    bucket, _ = range_bucket(df, key)
+    bucket, size = range_bucket(df, key, value)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Null keys are below all others and form the last bucket.
     placed = df.select(
         F.coalesce(bucket, F.lit(-1)).alias("bucket"), F.col(key).alias("key"), F.col(value).alias("value")
@@ -70,6 +73,7 @@ def with_next(df: DataFrame, key: str, value: str) -> DataFrame:
     sent = tagged.select("key", "value", F.explode(places).alias("place")).select(
         F.col("place.at").alias("bucket"), "place.extra", "key", "value"
     )
+    sent = sent.repartition(max(least, size // PARTITION_BYTES), "bucket")
     order = Window.partitionBy("bucket").orderBy(
         "extra", F.desc_nulls_last("key"), F.xxhash64("value"), "value"
     )
