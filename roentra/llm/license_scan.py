@@ -61,8 +61,8 @@ TEMPLATES = {
 # Every template has one of these, and starts or ends within reach of it.
 CUE = r"licen[sc]ed?|permission|redistribut(?:e|ion)"
 WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
-# Templates confirmed for a block, best first; the share of a template's words that may differ.
-CONFIRMED = 3
+# Templates confirmed for a cue, best first; the share of a template's words that may differ.
+CONFIRMED = 5
 MOST_DIFFERENT = 0.1
 LEVEL = 19
 
@@ -147,25 +147,30 @@ class Scanner:
             )
             for t in templates
         ]
+        self.sizes = [len(self.plain.compress(t.text)) for t in templates]
         self.reach = max(len(t.words) for t in templates)
         self.cue = re.compile(CUE)
-        self.memory: dict[str, tuple] = {}
 
-    def _judge(self, words: list[str]) -> tuple | None:
-        """(template, reduction, differences, begin, end) of the block's confirmed winner."""
+    def _judge(self, words: list[str], cue: int) -> tuple | None:
+        """(template, reduction, begin, end) of the confirmed winner among the notices of the block
+        that hold its word number ``cue``."""
         raw = " ".join(words).encode()
         alone = len(self.plain.compress(raw))
         saved = [alone - len(c.compress(raw)) for c in self.given]
-        ranked = sorted(range(len(saved)), key=lambda i: (-saved[i], i))
+        # A template that is all there saves about its own compressed size.
+        ranked = sorted(range(len(saved)), key=lambda i: (-saved[i] / self.sizes[i], i))
         best = None
         for i in ranked[:CONFIRMED]:
             template = self.templates[i]
-            wrong, begin, end = align(template.words, words)
             allowed = int(MOST_DIFFERENT * len(template.words))
-            if saved[i] > 0 and wrong <= allowed:
+            low = max(0, cue - len(template.words) - allowed)
+            near = words[low : cue + len(template.words) + allowed]
+            wrong, begin, end = align(template.words, near)
+            holds_cue = low + begin <= cue < low + end
+            if saved[i] > 0 and wrong <= allowed and holds_cue:
                 rank = (wrong, -len(template.words), -saved[i])
                 if best is None or rank < best[0]:
-                    best = (rank, i, saved[i] / alone, begin, end)
+                    best = (rank, i, saved[i] / alone, low + begin, low + end)
         return best and best[1:]
 
     def scan(self, text: str) -> list[tuple[int, int, str, float, str]]:
@@ -181,16 +186,10 @@ class Scanner:
                 continue  # inside the notice found last
             low, high = max(done, at - self.reach), min(len(words), at + self.reach)
             block = words[low:high]
-            key = " ".join(block)
-            if key not in self.memory:
-                if len(self.memory) > 10_000:
-                    self.memory.clear()
-                self.memory[key] = self._judge(block)
-            if self.memory[key] is None:
+            winner = self._judge(block, at - low)
+            if winner is None:
                 continue
-            which, reduction, begin, end = self.memory[key]
-            if not begin <= at - low < end:
-                continue  # that notice belongs to a later cue
+            which, reduction, begin, end = winner
             template = self.templates[which]
             edits = differences(template.words, block[begin:end])
             done = low + end

@@ -215,7 +215,7 @@ def _merge_block(rows: pa.Table, window: int) -> pa.Table:
     fresh = np.ones(len(starts), dtype=bool)
     fresh[1:] = (owner[1:] != owner[:-1]) | (word[1:] > word[:-1] + window)
     begins = np.flatnonzero(fresh)
-    last = np.append(begins[1:], len(starts)) - 1
+    last = np.append(begins[1:], len(starts))[: len(begins)] - 1
     spans = np.stack([word[begins], word[last] + window], axis=1).astype(np.int32)
     cuts = np.searchsorted(owner[begins], np.arange(n + 1)).tolist()
     removed = np.zeros(n, np.int64)

@@ -171,9 +171,11 @@ def calibrate(scored: DataFrame) -> float:
         F.count_if(F.col("verdict") == BLOCK).alias("b"),
     )
     whole, down = Window.partitionBy(), Window.orderBy(F.desc("score"))
-    gain = F.sum("a").over(down) / F.sum("a").over(whole) - F.sum("b").over(down) / F.sum(
-        "b"
-    ).over(whole)
+
+    def share(name: str) -> Column:
+        return F.try_divide(F.sum(name).over(down), F.sum(name).over(whole))
+
+    gain = share("a") - share("b")
     next_score = F.coalesce(F.lead("score").over(down), F.col("score"))
     best = (
         counts.select("score", gain.alias("gain"), next_score.alias("next"))

@@ -1,0 +1,332 @@
+"""The operators built from DataFrame functions only."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from conftest import SCHEMA
+from roentra.llm import mixing, order_minhash, ordering, queries, sharding, url_filter
+
+
+def native(df):
+    plan = df._jdf.queryExecution().toString()
+    return not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+# --- Order MinHash -------------------------------------------------------------
+
+
+def edits(rows):
+    """doc_id -> (n_chars, edited) by the rule: the last third from the next id below."""
+    ordered = sorted(rows, reverse=True)
+    out = {}
+    for i, (doc, text) in enumerate(ordered):
+        text, after = text or "", ordered[(i + 1) % len(ordered)][1] or ""
+        n = len(text) // 3
+        out[doc] = (len(text), text[: len(text) - n] + after[:n])
+    return out
+
+
+def test_edited_texts_and_likeness(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "BUCKET_ROWS", 3)
+    rng = random.Random(1)
+    ids = rng.sample(range(10**9), 60)
+    rows = [(i, " ".join(rng.choices("abcdefghijklmnop é 漢 qq", k=rng.randrange(300)))) for i in ids]
+    rows += [(7, None), (8, ""), (9, "one"), (10, rows[0][1])]
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows], SCHEMA).repartition(4)
+    frame = queries.order_minhash_edits(docs)
+    assert native(frame)
+    found = {r["doc_id"]: r for r in frame.collect()}
+    expected = edits(rows)
+    assert set(found) == set(expected)
+    for doc, (n, text) in expected.items():
+        row = found[doc]
+        assert (row["n_chars"], row["edited_sha256"]) == (n, brute.sha(text))
+        assert 0 <= row["near_next"] <= 1 and 0 <= row["near_edited"] <= 1
+        if text == dict(rows)[doc]:
+            assert row["fingerprint"] == row["edited_fingerprint"] and row["near_edited"] == 1
+    assert found[10]["fingerprint"] == found[rows[0][0]]["fingerprint"]
+    assert found[7]["fingerprint"] == found[8]["fingerprint"]
+
+
+def signature(spark, *texts):
+    df = spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)], "g long, r long, t string")
+    rows = order_minhash.signatures(df, "g", ["r"], "t").collect()
+    return [r["signature"] for r in sorted(rows, key=lambda r: r["r"])]
+
+
+def share(a, b):
+    both = [(x, y) for x, y in zip(a, b) if x is not None or y is not None]
+    return sum(x == y for x, y in both) / len(both)
+
+
+def test_likeness_follows_edits_and_order(spark):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(600)]
+    edited = words.copy()
+    for i in rng.sample(range(600), 20):
+        edited[i] = "x"
+    moved = words[300:] + words[:300]
+    other = [f"v{i}" for i in range(600)]
+    whole, near, swapped, far = signature(spark, *map(" ".join, (words, edited, moved, other)))
+    assert share(whole, near) > 0.6 and share(whole, far) < 0.05
+    # Moving half of the text keeps nearly all k-mers but breaks the order of about half the pairs.
+    assert 0.3 < share(whole, swapped) < 0.75
+    df = spark.createDataFrame([(whole, near)], "a array<long>, b array<long>")
+    assert df.select(order_minhash.likeness(df.a, df.b)).first()[0] == share(whole, near)
+
+
+def test_repeats_are_elements_of_their_own(spark):
+    few, many = signature(spark, "a b " * 5, "a b " * 500)
+    assert few != many and len(many) == order_minhash.ENTRIES
+
+
+def test_minhash_odd_rows(spark, odd, none):
+    found = queries.order_minhash_edits(odd).collect()
+    assert len(found) == odd.count()
+    assert queries.order_minhash_edits(none).collect() == []
+    one = spark.createDataFrame([(5, "a b c d e f", None, None, None)], SCHEMA)
+    row = queries.order_minhash_edits(one).first()
+    assert row["edited_sha256"] == brute.sha("a b c d a b")  # followed by itself
+
+
+# --- URL filter ----------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "url,host,path",
+    [
+        ("http://A.Example.ORG/En/1?q#f", "a.example.org", "/En/1"),
+        ("x://h", "h", ""),
+        ("x://h?a/b", "h", ""),
+        ("a://b://c/d", "b:", "//c/d"),
+        ("no scheme/x", "", ""),
+        ("", "", ""),
+        (None, "", ""),
+        ("s:///p#x", "", "/p"),
+        ("\n://h\n/p\nq?x", "h\n", "/p\nq"),
+    ],
+)
+def test_host_and_path(spark, url, host, path):
+    df = spark.createDataFrame([(url,)], "url string")
+    assert tuple(df.select(url_filter.host_of(df.url), url_filter.path_of(df.url)).first()) == (host, path)
+
+
+@pytest.mark.parametrize(
+    "url,rule",
+    [
+        ("http://x.org/", "org/"),
+        ("http://org/a", "org/"),
+        ("http://x.org", None),
+        ("http://xorg/a", None),
+        ("http://www.example.org/es/4", "example.org/es/"),
+        ("http://example.org/en/12", "example.org/en/1"),
+        ("http://example.org/en/2", "org/"),
+        ("http://notexample.org/es/4", "org/"),
+        ("http://a.com/de/1", "com/de/"),
+        ("http://a.com/fr", None),
+        ("http://a.net/fr/", None),
+    ],
+)
+def test_longest_rule_wins(spark, url, rule):
+    df = spark.createDataFrame([(url,)], "url string")
+    host, path = url_filter.host_of(df.url), url_filter.path_of(df.url)
+    pattern, verdict = url_filter.rule_for(queries.URL_RULES, host, path)
+    found = df.select(pattern, verdict).first()
+    expected = {r.pattern: r.verdict for r in queries.URL_RULES}.get(rule)
+    assert tuple(found) == (rule, expected)
+
+
+def brute_ratio(samples, url, order):
+    """Mean log-ratio by plain recursion over the two samples."""
+    pad, end = url_filter.START * order, url_filter.END
+    counts = {v: Counter() for v in samples}
+    for verdict, urls in samples.items():
+        for u in urls:
+            text = pad + u + end
+            for i in range(order, len(text)):
+                for k in range(order + 1):
+                    counts[verdict][text[i - k : i + 1]] += 1
+    kinds = {v: defaultdict(int) for v in samples}
+    sums = {v: Counter() for v in samples}
+    for v, table in counts.items():
+        for gram, n in table.items():
+            kinds[v][len(gram), gram[:-1]] += 1
+            sums[v][len(gram), gram[:-1]] += n
+
+    def chance(v, gram):
+        lower = chance(v, gram[1:]) if len(gram) > 1 else 1 / url_filter.ALPHABET
+        key = (len(gram), gram[:-1])
+        if not sums[v][key]:
+            return lower
+        return (counts[v][gram] + kinds[v][key] * lower) / (sums[v][key] + kinds[v][key])
+
+    text = pad + url + end
+    ratios = []
+    for i in range(order, len(text)):
+        grams = [text[i - k : i + 1] for k in range(order, -1, -1)]
+        seen = next((g for g in grams if any(counts[v][g] for v in samples)), None)
+        ratios.append(0.0 if seen is None else math.log(chance("allow", seen) / chance("block", seen)))
+    return sum(ratios) / len(ratios)
+
+
+def test_scores_equal_the_recursion(spark):
+    samples = {"allow": ["http://good/a", "http://good/b", "ok"], "block": ["http://bad/a", "pills"]}
+    rows = [(u, v, False) for v, urls in samples.items() for u in urls]
+    model = url_filter.fit(spark.createDataFrame(rows, "url string, verdict string, aside boolean"))
+    urls = ["http://good/c", "pills pills", "", "漢", "http://bad/"]
+    asked = spark.createDataFrame([(u,) for u in urls], "url string")
+    for row in url_filter.scores(asked, model, ["url"]).collect():
+        expected = brute_ratio(samples, row["url"], url_filter.ORDER)
+        assert row["score"] == pytest.approx(expected, abs=1e-9)
+
+
+def test_url_odd_rows(spark):
+    schema = "page_id long, url string, html string, host string, score long, text string, rule int"
+    urls = [None, "", "no", "http://a.org/x", "http://a.org/x", "http://b.com/de/y", "http://c.net/" + "z" * 5000]
+    rows = [(i, u, "", "h", 1, "t", 2) for i, u in enumerate(urls)] + [(3, urls[3], "", "h", 1, "t", 2), (None,) * 7]
+    df = spark.createDataFrame(rows, schema)
+    frame = url_filter.judge(df, queries.URL_RULES)
+    assert native(frame)
+    found = frame.collect()
+    assert len(found) == len(rows)
+    assert all(r["verdict"] in ("allow", "block") for r in found)
+    assert all((r["score"] is None) == (r["rule"] is not None) for r in found)
+    assert url_filter.judge(df.where("false"), queries.URL_RULES).collect() == []
+    bare = url_filter.judge(df, []).collect()  # nothing to learn from
+    assert {r["score"] for r in bare} == {0.0} and {r["verdict"] for r in bare} == {"allow"}
+
+
+def test_threshold_parts_the_verdicts(spark):
+    rows = [(0.9, "allow"), (0.5, "allow"), (0.1, "block"), (-0.2, "block"), (0.5, "allow")]
+    scored = spark.createDataFrame(rows, "score double, verdict string")
+    assert url_filter.calibrate(scored) == pytest.approx(0.3)
+    assert url_filter.calibrate(scored.where("verdict = 'allow'")) == 0.0
+
+
+# --- sharding ------------------------------------------------------------------
+
+
+def test_shards_follow_weights_and_move_only_into_the_new_one(spark):
+    shards = (
+        sharding.Shard(0, 0, 0, 3.0), sharding.Shard(0, 0, 1), sharding.Shard(0, 1, 2, 2.0), sharding.Shard(1, 0, 3, 4.0),
+    )
+    tree = sharding.Tree(shards)
+    grown = tree.grown(sharding.Shard(0, 1, 4, 5.0)).grown(sharding.Shard(2, 0, 5, 5.0))
+    ids = spark.range(40_000)
+    places = [sharding.place(t, ids["id"]) for t in (tree, sharding.Tree(tree.shards, grown.grafts[:1]), grown)]
+    rows = ids.select(*places).collect()
+    for before, middle, after in rows:
+        assert middle in (before, 4) and after in (middle, 5)
+    for at, weights in ((0, {0: 3, 1: 1, 2: 2, 3: 4}), (2, {0: 3, 1: 1, 2: 2, 3: 4, 4: 5, 5: 5})):
+        counts = Counter(r[at] for r in rows)
+        for shard, weight in weights.items():
+            assert counts[shard] / len(rows) == pytest.approx(weight / sum(weights.values()), abs=0.01)
+
+
+def test_shard_query(spark, odd, none):
+    import zlib
+
+    frame = sharding.assign(odd, queries.SHARDS)
+    assert native(frame)
+    found = frame.collect()
+    assert len(found) == odd.count()
+    by_text = Counter((len((r["text"] or "").encode()) + 16, zlib.crc32((r["text"] or "").encode())) for r in odd.collect())
+    assert Counter((r["size"], r["text_crc32"]) for r in found) == by_text
+    slots = defaultdict(list)
+    for r in found:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sharding.assign(none, queries.SHARDS).collect() == []
+
+
+def test_trees_are_checked():
+    with pytest.raises(ValueError):
+        sharding.Tree(())
+    with pytest.raises(ValueError):
+        sharding.Tree((sharding.Shard(0, 0, 1), sharding.Shard(0, 1, 1)))
+    with pytest.raises(ValueError):
+        sharding.Tree((sharding.Shard(0, 0, 1, 0.0),))
+
+
+# --- mixing --------------------------------------------------------------------
+
+
+def sizes(spark, tokens):
+    return spark.createDataFrame(list(tokens.items()), "source string, tokens long")
+
+
+def test_entropy_target(spark):
+    tokens = {"a": 1000, "b": 100, "c": 10, "d": 0}
+    rows = mixing.source_weights(sizes(spark, tokens), target_entropy=0.9).collect()
+    weights = [r["weight"] for r in rows]
+    assert len(rows) == 3 and sum(weights) == pytest.approx(1)
+    assert -sum(w * math.log(w) for w in weights) == pytest.approx(0.9 * math.log(3), abs=1e-6)
+    exponent = rows[0]["exponent"]
+    raised = {s: n**exponent for s, n in tokens.items() if n}
+    for r in rows:
+        assert r["weight"] == pytest.approx(raised[r["source"]] / sum(raised.values()))
+    even = mixing.source_weights(sizes(spark, {"a": 5, "b": 5}), target_entropy=1.0).collect()
+    assert [r["exponent"] for r in even] == [1.0, 1.0]
+
+
+def test_repeat_limit(spark):
+    tokens = {"a": 1000, "b": 100, "c": 10}
+    rows = mixing.source_weights(sizes(spark, tokens), max_repeats=2.0).collect()
+    passes = sorted(r["passes"] for r in rows)
+    assert passes[0] == pytest.approx(1) and passes[-1] == pytest.approx(2, abs=1e-6)
+    with pytest.raises(ValueError):
+        mixing.source_weights(sizes(spark, tokens))
+
+
+def test_mixture_meets_its_quotas(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(3000):
+        source = "big" if i % 3 else ("small" if i % 2 else "mid")
+        rows.append((i, "w " * rng.randrange(1, 60), None, source, None))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    frame = mixing.mixture(docs, max_repeats=1.7, budget=None)
+    assert native(frame)
+    found = frame.collect()
+    length = {r[0]: len(r[1].split()) for r in rows}
+    source = {r[0]: r[3] for r in rows}
+    assert {r["doc_id"] for r in found} == set(length)  # without a budget everything is read
+    read = Counter()
+    for r in found:
+        assert r["n_tokens"] == length[r["doc_id"]] and r["source"] == source[r["doc_id"]]
+        read[r["source"]] += r["n_tokens"]
+    weight = {r["source"]: r["weight"] for r in found}
+    total = sum(read.values())
+    for s, w in weight.items():
+        assert read[s] / total == pytest.approx(w, abs=0.005)
+    reads = Counter(r["doc_id"] for r in found)
+    assert max(reads.values()) == 2
+    assert len({(r["doc_id"], r["pass"]) for r in found}) == len(found)
+    half = Counter()
+    for r in found:
+        if r["position"] < 0.5:
+            half[r["source"]] += r["n_tokens"]
+    for s, w in weight.items():  # every stretch holds all sources
+        assert half[s] / sum(half.values()) == pytest.approx(w, abs=0.01)
+
+
+def test_small_budget_reads_a_part(spark):
+    rows = [(i, "a b c d", None, "s" if i % 2 else "t", None) for i in range(1000)]
+    found = mixing.mixture(spark.createDataFrame(rows, SCHEMA), target_entropy=1.0, budget=400).collect()
+    assert len(found) == 100 and len({r["doc_id"] for r in found}) == 100
+
+
+def test_mixing_odd_rows(spark, odd, none):
+    found = mixing.mixture(odd, max_repeats=2.0).collect()
+    texts = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    read = Counter(r["doc_id"] for r in found)
+    assert set(read) == {d for d, _ in texts}
+    blank = [r for r in found if r["n_tokens"] == 0]
+    assert len(blank) == sum(not (t or "").encode().split() for _, t in texts)
+    assert {r["source"] for r in found} == {None, "s"}
+    assert mixing.mixture(none, max_repeats=2.0).collect() == []
