@@ -31,9 +31,9 @@ WORDS = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 NEVER = np.iinfo(np.int64).max
-# Texts are encoded in blocks of about this many characters; the memory holds about so many chunks.
-BLOCK_CHARS = 2_000_000
-MEMORY_CHUNKS = 200_000
+# Texts are encoded in blocks of about so many bytes; the memory holds about so many chunks.
+BLOCK_CHARS = 500_000
+MEMORY_CHUNKS = 150_000
 # Longer words are merged one at a time, by a queue instead of in step.
 LONG_WORD = 200
 
@@ -367,15 +367,32 @@ class Encoder:
         return rows
 
 
-def _blocks(texts: list[str]) -> Iterator[slice]:
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= BLOCK_CHARS:
-            yield slice(start, i + 1)
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
+    """(keys, texts) of a batch, about ``BLOCK_CHARS`` bytes of text at a time."""
+    sizes = pa.compute.binary_length(batch.column(1)).to_numpy()
+    which = np.cumsum(sizes) // BLOCK_CHARS
+    cuts = [0, *(np.flatnonzero(np.diff(which)) + 1).tolist(), len(sizes)]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a).to_pylist()
+
+
+def _as_lists(rows: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(r) // 4 for r in rows)], dtype=np.int32)
+    flat = np.frombuffer(b"".join(rows), dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
+def decode_ids(token: list[bytes], ids: np.ndarray) -> str:
+    """Text of one array of token ids; bytes that are not UTF-8 become the replacement character."""
+    if len(ids) and (ids.min() < 0 or ids.max() >= len(token)):
+        raise ValueError("a token id is outside the vocabulary")
+    return b"".join([token[i] for i in ids.tolist()]).decode("utf-8", "replace")
+
+
+def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return df.select(F.col(id_col).alias("id"), text.alias("text"))
 
 
 def encode(
@@ -386,59 +403,59 @@ def encode(
     A null text counts as empty and has no ids; rows that repeat are encoded each;
     null ids are kept. Other columns are not read, so their names cannot clash.
     """
+    return encode_and_decode(df, vocabulary, id_col, text_col).select(id_col, "ids")
+
+
+def encode_and_decode(
+    df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id, ids, decoded): as ``encode``, with the text that the ids stand for, in one pass over
+    the texts."""
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
+        token = encoder.vocabulary.token
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for part in _blocks(texts):
-                rows = encoder.encode(texts[part])
-                ends = np.cumsum([0, *(len(r) // 4 for r in rows)], dtype=np.int32)
-                flat = np.frombuffer(b"".join(rows), dtype=np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                own = keys.slice(part.start, part.stop - part.start)
-                yield pa.RecordBatch.from_arrays([own, ids], names=["id", "ids"])
-
-    columns = df.select(
-        F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+            for keys, texts in _blocks(batch):
+                rows = encoder.encode(texts)
+                decoded = [decode_ids(token, np.frombuffer(r, dtype=np.int32)) for r in rows]
+                yield pa.RecordBatch.from_arrays(
+                    [keys, _as_lists(rows), pa.array(decoded, pa.string())],
+                    names=["id", "ids", "decoded"],
+                )
+
+    columns = _texts(df, id_col, text_col)
+    kind = T.StructType(
+        [
+            columns.schema["id"],
+            T.StructField("ids", T.ArrayType(T.IntegerType())),
+            T.StructField("decoded", T.StringType()),
+        ]
     )
-    kind = T.StructType([columns.schema["id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return columns.mapInArrow(task, kind).withColumnRenamed("id", id_col)
 
 
 def decode(
-    df: DataFrame,
-    vocabulary: Vocabulary,
-    id_col: str = "doc_id",
-    ids_col: str = "ids",
-    carry: tuple[str, ...] = (),
+    df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", ids_col: str = "ids"
 ) -> DataFrame:
-    """(id, carried columns, text): the text of each array of token ids, special tokens included.
+    """(id, text): the text of each array of token ids, special tokens included.
 
-    Null and empty arrays give the empty text; bytes that are not UTF-8 become
-    the replacement character; an id outside the vocabulary ends the job.
+    Null and empty arrays give the empty text; an id outside the vocabulary ends the job.
     """
     shared = df.sparkSession.sparkContext.broadcast(vocabulary.token)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = shared.value
         for batch in batches:
-            ids = batch.column(0)
-            flat = ids.flatten().to_numpy(zero_copy_only=False)
-            if len(flat) and (flat.min() < 0 or flat.max() >= len(token)):
-                raise ValueError("a token id is outside the vocabulary")
-            ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(ids), 0))
-            texts, start = [], 0
-            for end in ends.tolist():
-                one = b"".join([token[i] for i in flat[start:end].tolist()])
-                texts.append(one.decode("utf-8", "replace"))
-                start = end
+            texts = [
+                decode_ids(token, np.array(ids.as_py() or [], dtype=np.int64))
+                for ids in batch.column(1)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(texts, pa.string())],
-                names=[*batch.schema.names[1:], "text"],
+                [batch.column(0), pa.array(texts, pa.string())], names=["id", "text"]
             )
 
-    columns = df.select(ids_col, id_col, *carry)
-    kind = T.StructType([*columns.schema.fields[1:], T.StructField("text", T.StringType())])
-    return columns.mapInArrow(task, kind)
+    columns = df.select(F.col(id_col).alias("id"), ids_col)
+    kind = T.StructType([columns.schema["id"], T.StructField("text", T.StringType())])
+    return columns.mapInArrow(task, kind).withColumnRenamed("id", id_col)

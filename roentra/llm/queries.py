@@ -38,15 +38,11 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document, encoded and decoded."""
     vocabulary = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
-    encoded = bpe.encode(docs, vocabulary).select(
+    return bpe.encode_and_decode(docs, vocabulary).select(
         "doc_id",
-        "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-    )
-    decoded = bpe.decode(encoded, vocabulary, carry=("n_tokens", "ids_sha256"))
-    return decoded.select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256")
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

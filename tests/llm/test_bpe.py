@@ -81,6 +81,12 @@ def test_memory_is_bounded(vocabulary, library, monkeypatch):
         assert len(encoder.after_space) <= 6 and len(encoder.as_is) <= 5
 
 
+def test_encode_then_decode(spark, odd, vocabulary):
+    ids = bpe.encode(odd, vocabulary)
+    texts = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in bpe.decode(ids, vocabulary).collect())
+    assert texts == sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in odd.collect())
+
+
 def test_odd_rows(spark, odd, none, library):
     found = bpe_digests(odd).collect()
     assert len(found) == odd.count()
