@@ -30,7 +30,7 @@ SNIPPETS, SNIPPET_BYTES = 3, 60
 EPOCHS, RATE = 4, 0.5
 # Share of the calibration texts that a rejection threshold may lose at most.
 LOST = 0.001
-BLOCK_BYTES, PIECE_BYTES = 1_000_000, 4_000_000
+BLOCK_BYTES, PIECE_BYTES = 500_000, 4_000_000
 UNKNOWN = "und"
 
 # Letters in lower case, all other ASCII as a space; bytes of longer characters stay.
@@ -151,16 +151,21 @@ def fit(texts: list[bytes], labels: list[str], seed: int = 7) -> Model:
 def train(
     labelled: DataFrame, text_col: str, label_col: str, max_train_docs: int = MAX_TRAIN_DOCS
 ) -> Model | None:
-    """Fits on at most ``max_train_docs`` rows, those with the smallest content hashes; null if
-    there are none with a text and a label."""
-    rows = (
-        labelled.select(
-            F.col(text_col).cast("binary").alias("text"), F.col(label_col).alias("label")
-        )
-        .where("text IS NOT NULL AND label IS NOT NULL")
-        .withColumn("place", F.xxhash64("text", "label"))
+    """Fits on at most ``max_train_docs`` distinct texts, those with the smallest content hashes;
+    None if there are none with a text and a label."""
+    rows = labelled.select(
+        F.col(text_col).cast("binary").alias("text"), F.col(label_col).alias("label")
+    ).where("text IS NOT NULL AND label IS NOT NULL")
+    # Only about so many texts as are needed leave their tasks: those below a hash. The count
+    # is of distinct hashes, as copies of one text may be a third of all rows.
+    place = F.xxhash64("text", "label")
+    distinct = rows.agg(F.approx_count_distinct(place)).first()[0]
+    share = min(1.0, 1.5 * max_train_docs / max(1, distinct))
+    few = rows.withColumn("place", place).where(
+        F.shiftrightunsigned("place", 1) < int(share * (1 << 62)) * 2 - 1
     )
-    chosen = rows.orderBy("place").limit(max_train_docs).select("text", "label")
+    once = few.groupBy("place").agg(F.first("text").alias("text"), F.first("label").alias("label"))
+    chosen = once.orderBy("place").limit(max_train_docs).select("text", "label")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, labels = [], []
