@@ -23,7 +23,7 @@ from roentra.operators.durable import materialize
 
 # Bytes of text in one trie before it spills; a combiner is emptied at the second figure.
 TRIE_BYTES = 64_000_000
-COMBINER_BYTES = 16_000_000
+COMBINER_BYTES = 8_000_000
 COMBINER_ROWS = 100_000
 # Bytes of text dealt to one task in the first round.
 TASK_BYTES = 16_000_000
