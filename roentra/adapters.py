@@ -71,13 +71,23 @@ VIEWS = {
         SELECT event_type AS job_name, ts AS run_timestamp, user_id AS row_count, props AS notes
         FROM @events""",
     "fx_run_metrics": """
-        SELECT event_type AS run_name, event_id AS step, round(value, 0) AS val_auroc
+        SELECT event_type AS run_name, event_id AS step,
+               CASE WHEN event_id % 5 = 0 THEN NULL ELSE round(value, 0) END AS val_auroc
         FROM @events""",
+    "fx_gaps": """
+        SELECT row_id, CASE WHEN row_id % 11 = 0 THEN NULL ELSE label END AS label,
+               CASE WHEN row_id % 7 = 0 THEN NULL ELSE probability END AS probability
+        FROM (SELECT event_id AS row_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label,
+                     CASE WHEN value > 300 THEN 1.0E0 ELSE value / 300.0E0 END AS probability
+              FROM @events) e""",
+    "fx_keys": """
+        SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderkey - 20000 END AS k FROM @orders""",
     "fx_uploads": """
         SELECT page_id,
                CASE page_id % 4 WHEN 0 THEN 'text/plain' WHEN 1 THEN 'image/jpeg' ELSE 'image/png' END
                     AS content_type,
-               CASE WHEN page_id % 3 = 0 THEN html ELSE 'GIF89a' || html END AS payload
+               CASE page_id % 3 WHEN 0 THEN html WHEN 1 THEN 'GIF89a' || html
+                    ELSE 'GIF89a' || md5(html) END AS payload
         FROM @pages""",
 }
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roentra import schemas
 from roentra.operators import metrics
 from roentra.operators.durable import new_table_path
 from roentra.operators.labels import class_weight
+from roentra.operators.pixels import standardize_channels
 
 
 @dataclass
@@ -23,8 +25,13 @@ class TrainedClassifier:
     """(run_name, step, metric, value) of every candidate."""
 
 
+def image_features(pixels: Column) -> Column:
+    """Grey bytes -> the model input that uploads have, too: standardised channels, one after the other."""
+    return F.flatten(standardize_channels(pixels.cast("array<double>")))
+
+
 def _vectors(examples: DataFrame) -> DataFrame:
-    return examples.withColumn("features", array_to_vector(F.col("pixels").cast("array<double>")))
+    return examples.withColumn("features", array_to_vector(image_features(F.col("pixels"))))
 
 
 def score(model: LogisticRegressionModel, examples: DataFrame) -> DataFrame:
@@ -37,6 +44,16 @@ def score(model: LogisticRegressionModel, examples: DataFrame) -> DataFrame:
     )
 
 
+def logits(model: LogisticRegressionModel) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
+    """The model as a loader for ``scoring.score_batches``."""
+    weights, bias = model.coefficients.toArray(), float(model.intercept)
+
+    def load() -> Callable[[np.ndarray], np.ndarray]:
+        return lambda features: features @ weights + bias
+
+    return load
+
+
 def _stored(model: LogisticRegressionModel) -> LogisticRegressionModel:
     """The model without its training summary, which cannot be sent to executors in a
     session that has observed a query."""
@@ -83,14 +100,17 @@ def train_weighted(
         candidate = _stored(learner.fit(weighted))
         train_loss = metrics.weighted_log_loss(score(candidate, train), pos_weight).first()["loss"]
         val_loss, val_auroc = evaluate(score(candidate, val), pos_weight)
+        if val_auroc is None:
+            raise ValueError("validation rows must hold both classes")
         log += [
             (run_name, step, "reg_param", float(reg)),
             (run_name, step, "train_loss", train_loss),
             (run_name, step, "val_loss", val_loss),
             (run_name, step, "val_auroc", val_auroc),
         ]
-        if best is None or (val_auroc or 0.0) > best_auroc:
-            best, best_auroc = candidate, val_auroc or 0.0
+        if best is None or val_auroc > best_auroc:
+            best, best_auroc = candidate, val_auroc
+    log.append((run_name, len(reg_params) - 1, "best_val_auroc", best_auroc))
     return TrainedClassifier(best, pos_weight, spark.createDataFrame(log, schemas.RUN_METRICS))
 
 

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a scratch one only on local masters."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; one in the warehouse on local masters."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="roentra-")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:

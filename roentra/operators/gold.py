@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Row, functions as F
 
 from roentra import schemas
 from roentra.operators.labels import patient_labels
-from roentra.operators.skew import ROWS_PER_SALT, hot_split_join, salted_join
+from roentra.operators.skew import hot_split_join, salted_join
 from roentra.operators.split import assign_patient_splits
 
+# Columns of the training table that come from the patient, not from the header.
+OF_PATIENT = ("patient_id", "label", "split")
+
 
 def labelled_patients(class_info: DataFrame) -> DataFrame:
     """One row per patient with label and split, over all labelled patients (with image or not)."""
@@ -19,25 +24,25 @@ def labelled_patients(class_info: DataFrame) -> DataFrame:
 
 
 def model_ready_rows(
-    headers: DataFrame, patients: DataFrame, rows_per_salt: int = ROWS_PER_SALT
+    headers: DataFrame, patients: DataFrame, hot: Sequence[Row] = ()
 ) -> DataFrame:
-    """Headers that have a labelled patient, one row per header, with label and split."""
-    narrow = headers.select(
-        "original_filename",
-        "modality",
-        "view_position",
-        "patient_sex",
-        "patient_age_bucket",
-        "rows",
-        "columns",
-        "file_path",
+    """Headers that have a labelled patient, one row per header, with label and split.
+
+    ``hot`` are the hot file names, found once (``skew.hot_keys``) on the written
+    headers; building the plan runs no job.
+    """
+    own = [c for c in schemas.MODEL_READY.fieldNames() if c not in OF_PATIENT]
+    narrow = headers.select(*own)
+    joined = hot_split_join(
+        narrow, patients, "original_filename", "patient_id", hot=list(hot)
     )
-    joined = hot_split_join(narrow, patients, "original_filename", "patient_id", rows_per_salt)
     return joined.select(*schemas.MODEL_READY.fieldNames())
 
 
-def model_ready(headers: DataFrame, class_info: DataFrame) -> DataFrame:
-    return model_ready_rows(headers, labelled_patients(class_info))
+def model_ready(
+    headers: DataFrame, class_info: DataFrame, hot: Sequence[Row] = ()
+) -> DataFrame:
+    return model_ready_rows(headers, labelled_patients(class_info), hot)
 
 
 def case_counts(gold: DataFrame) -> DataFrame:

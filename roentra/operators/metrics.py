@@ -1,4 +1,8 @@
-"""Evaluation of scored rows (label, probability) as aggregations."""
+"""Evaluation of scored rows (label, probability) as aggregations.
+
+One policy for all metrics: they are over the rows that have a label 0 or 1 and a
+score that is a number. ``score_quality`` counts the rows that are left out.
+"""
 
 from __future__ import annotations
 
@@ -11,10 +15,31 @@ from roentra.functions import scores
 MIN_RANGES, MAX_RANGES = 1_024, 16_384
 
 
+def _is_number(column: Column) -> Column:
+    return column.isNotNull() & ~F.isnan(column.cast("double"))
+
+
+def _usable(label_col: str, score_col: str) -> Column:
+    return F.coalesce(F.col(label_col).isin(0, 1), F.lit(False)) & _is_number(F.col(score_col))
+
+
+def score_quality(
+    scored: DataFrame, label_col: str = "label", score_col: str = "probability"
+) -> DataFrame:
+    """Rows by why they count or not: total, usable, without a score, without a label."""
+    has_score = _is_number(F.col(score_col))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(_usable(label_col, score_col)).alias("n_usable"),
+        F.count_if(~has_score).alias("n_without_score"),
+        F.count_if(~F.coalesce(F.col(label_col).isin(0, 1), F.lit(False))).alias("n_without_label"),
+    )
+
+
 def _counts(scored: DataFrame, threshold: float, label_col: str, score_col: str) -> DataFrame:
     actual = F.col(label_col) == 1
     predicted = scores.is_positive(F.col(score_col), threshold)
-    return scored.agg(
+    return scored.where(_usable(label_col, score_col)).agg(
         F.count_if(~actual & ~predicted).alias("tn"),
         F.count_if(~actual & predicted).alias("fp"),
         F.count_if(actual & ~predicted).alias("fn"),
@@ -118,7 +143,8 @@ def auroc(
     if buckets is None:
         partitions = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         buckets = min(MAX_RANGES, max(MIN_RANGES, 4 * partitions))
-    rows = scored.select(F.col(label_col).alias("y"), F.col(score_col).alias("s"))
+    usable = scored.where(_usable(label_col, score_col))
+    rows = usable.select(F.col(label_col).alias("y"), F.col(score_col).alias("s"))
     by_score = rows.groupBy("s").agg(
         F.count_if(F.col("y") == 1).cast("double").alias("pos"),
         F.count_if(F.col("y") == 0).cast("double").alias("neg"),
@@ -148,7 +174,7 @@ def weighted_log_loss(
 ) -> DataFrame:
     """Mean weighted binary cross-entropy over rows (not over batch means)."""
     loss = scores.weighted_bce(F.col(label_col), F.col(logit_col), pos_weight)
-    return logits.agg(F.avg(loss).alias("loss"))
+    return logits.where(_usable(label_col, logit_col)).agg(F.avg(loss).alias("loss"))
 
 
 def metric_values(run_metrics: DataFrame, metric: str) -> DataFrame:
@@ -158,7 +184,8 @@ def metric_values(run_metrics: DataFrame, metric: str) -> DataFrame:
 
 
 def best_epoch(run_metrics: DataFrame, metric_col: str = "val_auroc") -> DataFrame:
-    """Best value per run and the first step that reached it."""
+    """Best value per run and the first step that reached it; NULL and NaN are no values."""
+    run_metrics = run_metrics.where(_is_number(F.col(metric_col)))
     earliest_best = F.min_by("step", F.struct(-F.col(metric_col), F.col("step")))
     return run_metrics.groupBy("run_name").agg(
         F.max(metric_col).alias("best"), earliest_best.alias("best_step")

@@ -30,10 +30,28 @@ def dicom_header(content: bytes) -> Mapping[str, object]:
     }
 
 
+def _converted(name: str, value: object) -> object:
+    """The value in the type of its column; a value that has no such form is an error."""
+    if value is None:
+        return None
+    if name not in NUMBERS:
+        return str(value)
+    try:
+        number = int(value)
+    except (TypeError, ValueError):
+        raise ValueError(f"{name} is not a whole number") from None
+    if not -(1 << 31) <= number < 1 << 31:
+        raise ValueError(f"{name} is out of range")
+    return number
+
+
 def parse_headers(
     files: DataFrame, parse: Callable[[bytes], Mapping[str, object]] = dicom_header
 ) -> DataFrame:
-    """Binary files (path, content) -> one row per file: raw header fields, or ``error``."""
+    """Binary files (path, content) -> one row per file: raw header fields, or ``error``.
+
+    A file that does not parse, or has a field of the wrong type, is quarantined.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -41,7 +59,8 @@ def parse_headers(
             for path, content in zip(batch["path"], batch["content"]):
                 try:
                     header = parse(content)
-                    rows.append([path, *(header.get(f) for f in FIELDS), None])
+                    values = [_converted(f, header.get(f)) for f in FIELDS]
+                    rows.append([path, *values, None])
                 except Exception as problem:  # quarantined, see ``error``
                     text = str(problem) or type(problem).__name__
                     rows.append([path, *(None for _ in FIELDS), text])

@@ -54,16 +54,24 @@ def standardize_channels(
 ) -> Column:
     """Grey bytes -> one standardised array per channel: (v / 255 - mean) / std."""
 
-    def channel(m: float, s: float) -> Column:
-        return F.transform(pixels, lambda v: (v / F.lit(255.0) - F.lit(m)) / F.lit(s))
+    def channel(px: Column, m: float, s: float) -> Column:
+        return F.transform(px, lambda v: (v / F.lit(255.0) - F.lit(m)) / F.lit(s))
 
-    return F.array(*[channel(m, s) for m, s in zip(mean, std)])
+    # Bound to a lambda variable, so that a computed ``pixels`` is computed once, not per channel.
+
+    channels = F.transform(
+        F.array(pixels),
+        lambda px: F.array(*[channel(px, m, s) for m, s in zip(mean, std)]),
+    )
+    return F.when(pixels.isNotNull(), channels[0])
 
 
 def area_weights(source: int, target: int) -> np.ndarray:
-    """target x source matrix: the share of each target cell covered by each source cell."""
-    if target > source:
-        raise ValueError(f"area resize only shrinks: {source} -> {target}")
+    """target x source matrix: the share of each target cell covered by each source cell.
+
+    Works in both directions: a target cell smaller than the source cells takes the value
+    of the one it lies in, or the mean of those it touches by overlap.
+    """
     cell = np.arange(source)[None, :]
     out = np.arange(target)[:, None]
     # Overlap in units of 1/target, so whole-number arithmetic until the division.
@@ -85,25 +93,63 @@ def bilinear_weights(source: int, target: int) -> np.ndarray:
 WEIGHTS = {"area": area_weights, "bilinear": bilinear_weights}
 
 
+# Source sizes whose weights a task keeps at a time.
+KEPT_WEIGHTS = 64
+
+
+def axis_weights(method: str) -> Callable[[int, int], np.ndarray]:
+    """The weight matrices of a method, each built once while a task keeps seeing its size."""
+    known: dict[tuple[int, int], np.ndarray] = {}
+
+    def weights(source: int, target: int) -> np.ndarray:
+        if (source, target) not in known:
+            if len(known) >= KEPT_WEIGHTS:
+                known.clear()
+            known[source, target] = WEIGHTS[method](source, target)
+        return known[source, target]
+
+    return weights
+
+
+def resampler(target: tuple[int, int], method: str = "area") -> Callable[[np.ndarray], np.ndarray]:
+    """Resizes one or a stack of images (..., height, width) by two weight products."""
+    weights = axis_weights(method)
+
+    def resize(image: np.ndarray) -> np.ndarray:
+        by_row = weights(image.shape[-2], target[0])
+        return by_row @ image @ weights(image.shape[-1], target[1]).T
+
+    return resize
+
+
 def resample(image: np.ndarray, target: tuple[int, int], method: str = "area") -> np.ndarray:
-    """Resize one or a stack of images (..., height, width) by two weight products."""
-    weights = WEIGHTS[method]
-    by_row = weights(image.shape[-2], target[0])
-    by_col = weights(image.shape[-1], target[1])
-    return by_row @ image @ by_col.T
+    return resampler(target, method)(image)
 
 
 def resize_pixels(
     images: DataFrame, target: tuple[int, int], method: str = "area"
 ) -> DataFrame:
-    """(image_id, height, width, pixels) -> same columns at the target size, row-major doubles."""
+    """(image_id, height, width, pixels) -> same columns at the target size, row-major doubles.
+
+    An image without a size, without pixels or with another number of them keeps
+    its row, with all three NULL.
+    """
+
+    def whole(height, width, values) -> bool:
+        known = values is not None and not pd.isna(height) and not pd.isna(width)
+        return known and len(values) == height * width > 0
 
     def resize_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        resize = resampler(target, method)
         for batch in batches:
+            sizes = zip(batch["height"], batch["width"], batch["pixels"])
+            good = np.array([whole(*size) for size in sizes], dtype=bool)
+            if not good.all():
+                yield batch.loc[~good, ["image_id"]].assign(height=None, width=None, pixels=None)
             # Images of one shape go through the product as one stack.
-            for (height, width), group in batch.groupby(["height", "width"], sort=False):
+            for (height, width), group in batch[good].groupby(["height", "width"], sort=False):
                 stack = np.stack(group["pixels"].to_numpy()).astype(np.float64)
-                out = resample(stack.reshape(-1, height, width), target, method)
+                out = resize(stack.reshape(-1, int(height), int(width)))
                 yield pd.DataFrame(
                     {
                         "image_id": group["image_id"].to_numpy(),
@@ -120,15 +166,26 @@ def resize_pixels(
     )
 
 
-def preprocess_array(pixels: np.ndarray, target: tuple[int, int]) -> np.ndarray:
-    """One decoded image -> bytes at the target size: scale, truncate, area-average, round."""
+def preprocess_array(
+    pixels: np.ndarray,
+    target: tuple[int, int],
+    resize: Callable[[np.ndarray], np.ndarray] | None = None,
+) -> np.ndarray:
+    """One decoded image -> bytes at the target size: scale, truncate, area-average, round.
+
+    The image is (height, width) or (height, width, channels), and so is the result.
+    """
     image = np.asarray(pixels, dtype=np.float32)
     low, high = image.min(), image.max()
     if high > low:
         truncated = ((image - low) / (high - low) * np.float32(255.0)).astype(np.uint8)
     else:
         truncated = image.astype(np.int64) & 255
-    return np.rint(resample(truncated.astype(np.float64), target)).astype(np.int32)
+    if truncated.ndim not in (2, 3):
+        raise ValueError(f"not an image: {truncated.ndim} dimensions")
+    planes = np.moveaxis(truncated.astype(np.float64), -1, 0) if truncated.ndim == 3 else truncated
+    out = np.rint((resize or resampler(target))(planes)).astype(np.int32)
+    return np.moveaxis(out, 0, -1) if truncated.ndim == 3 else out
 
 
 def dicom_pixels(content: bytes) -> np.ndarray:
@@ -157,19 +214,20 @@ def preprocess_images(
 ) -> DataFrame:
     """Binary files (path, content) -> one row per file: processed pixels, or the error text.
 
-    ``decode`` turns the bytes of one file into a 2-D array. A file that fails
+    ``decode`` turns the bytes of one file into an array, with or without channels. A file that fails
     becomes a row with ``error`` set; the job goes on. ``content_hash`` is the
     MD5 of the processed bytes, for duplicate detection; ``image_id`` is the same
     key the headers carry as original_filename.
     """
 
     def process(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        resize = resampler(target)
         for batch in batches:
             rows = []
             for path, content in zip(batch["path"], batch["content"]):
                 image_id = path.rsplit("/", 1)[-1].replace(suffix, "")
                 try:
-                    out = preprocess_array(decode(content), target)
+                    out = preprocess_array(decode(content), target, resize)
                     digest = hashlib.md5(out.astype(np.uint8).tobytes()).hexdigest()
                     rows.append((image_id, path, *target, out.ravel(), digest, None))
                 except Exception as problem:  # quarantined, see ``error``
@@ -180,10 +238,12 @@ def preprocess_images(
     return files.select("path", "content").mapInPandas(process, PROCESSED_SCHEMA)
 
 
-def bilinear_bytes(planes: np.ndarray, target: tuple[int, int]) -> np.ndarray:
+def bilinear_bytes(
+    planes: np.ndarray, target: tuple[int, int], weights: Callable = bilinear_weights
+) -> np.ndarray:
     """Bilinear resize of byte planes, rounded half up after the width and after the height pass."""
-    by_row = bilinear_weights(planes.shape[-2], target[0])
-    by_col = bilinear_weights(planes.shape[-1], target[1])
+    by_row = weights(planes.shape[-2], target[0])
+    by_col = weights(planes.shape[-1], target[1])
     wide = np.floor(planes @ by_col.T + 0.5)
     return np.floor(by_row @ wide + 0.5)
 
@@ -202,12 +262,13 @@ def upload_features(
     std = np.array(schemas.CHANNEL_STD)[:, None, None]
 
     def prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weights = axis_weights("bilinear")
         for batch in batches:
             rows = []
             for name, content in zip(batch["filename"], batch["content"]):
                 try:
                     planes = np.moveaxis(decode(content).astype(np.float64), -1, 0)
-                    features = (bilinear_bytes(planes, target) / 255.0 - mean) / std
+                    features = (bilinear_bytes(planes, target, weights) / 255.0 - mean) / std
                     rows.append((name, features.ravel(), None))
                 except Exception as problem:  # rejected, see ``error``
                     rows.append((name, None, str(problem) or type(problem).__name__))

@@ -10,32 +10,66 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roentra import schemas
 from roentra.functions import scores
+from roentra.operators.pixels import rgb_pixels, upload_features
 
-# Leading bytes of the accepted image formats, as hex.
-IMAGE_SIGNATURES = ("89504E470D0A1A0A", "FFD8FF", "474946383761", "474946383961", "424D")
+def is_image(content_type: Column) -> Column:
+    return F.coalesce(F.startswith(content_type, F.lit("image/")), F.lit(False))
 
 
-def has_image_signature(payload: Column) -> Column:
-    """True when the bytes start like PNG, JPEG, GIF or BMP."""
-    starts = [F.startswith(payload, F.to_binary(F.lit(s), F.lit("hex"))) for s in IMAGE_SIGNATURES]
-    result = starts[0]
-    for other in starts[1:]:
-        result = result | other
-    return F.coalesce(result, F.lit(False))
+def readable(payload: Column, decode: Callable[[bytes], np.ndarray] = rgb_pixels) -> Column:
+    """True when the decoder reads the whole payload."""
+
+    @F.pandas_udf("boolean")
+    def decodes(batch: pd.Series) -> pd.Series:
+        def good(content) -> bool:
+            try:
+                return content is not None and decode(content) is not None
+            except Exception:
+                return False
+
+        return batch.map(good, na_action=None).astype(bool)
+
+    return decodes(payload)
 
 
 def screen_uploads(
     uploads: DataFrame,
+    decode: Callable[[bytes], np.ndarray] = rgb_pixels,
     content_type: str = "content_type",
     payload: str = "payload",
-    readable: Callable[[Column], Column] = has_image_signature,
 ) -> DataFrame:
-    """Add ``rejected_because``: not_an_image, unreadable, or NULL for accepted rows."""
-    is_image = F.coalesce(F.startswith(F.col(content_type), F.lit("image/")), F.lit(False))
-    reason = F.when(~is_image, "not_an_image").when(~readable(F.col(payload)), "unreadable")
+    """Add ``rejected_because``: not_an_image, unreadable (the decoder fails), or NULL for
+    accepted rows."""
+    image = is_image(F.col(content_type))
+    reads = readable(F.when(image, F.col(payload)), decode)
+    reason = F.when(~image, "not_an_image").when(~reads, "unreadable")
     return uploads.withColumn("rejected_because", reason)
 
 
+def score_uploads(
+    uploads: DataFrame,
+    load_model: Callable[[], Callable[[np.ndarray], np.ndarray]],
+    decode: Callable[[bytes], np.ndarray] = rgb_pixels,
+    target: tuple[int, int] = schemas.TARGET_SIZE,
+) -> DataFrame:
+    """Uploads (filename, content_type, content) -> (filename, probability, rejected_because).
+
+    Every payload is decoded once: its features are scored, or the decoder's failure rejects it.
+    """
+    image = is_image(F.col("content_type"))
+    features = upload_features(uploads.where(image), decode, target)
+    unreadable = F.when(F.col("error").isNotNull(), "unreadable")
+    scored = score_batches(features, "features", load_model).select(
+        "filename", "probability", unreadable.alias("rejected_because")
+    )
+    others = uploads.where(~image).select(
+        "filename",
+        F.lit(None).cast("double").alias("probability"),
+        F.lit("not_an_image").alias("rejected_because"),
+    )
+    return scored.unionByName(others)
+
+
 def predictions(
     scored: DataFrame, alert_threshold: float = schemas.ALERT_THRESHOLD
 ) -> DataFrame:
@@ -63,7 +97,7 @@ def score_batches(
     load_model: Callable[[], Callable[[np.ndarray], np.ndarray]],
     output_col: str = "probability",
 ) -> DataFrame:
-    """Add the probability of a model that is loaded once per Python worker.
+    """Add the probability of a model that is loaded once per task; NULL features give NULL.
 
     ``load_model`` runs on the executor and returns a function from a
     (rows x features) matrix to one logit per row.
@@ -73,11 +107,12 @@ def score_batches(
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load_model()
         for batch in batches:
-            if len(batch) == 0:
-                yield pd.Series([], dtype="float64")
-                continue
-            logits = model(np.stack(batch.to_numpy()).astype(np.float64))
-            yield pd.Series(1.0 / (1.0 + np.exp(-logits)))
+            known = batch.notna().to_numpy()
+            out = np.full(len(batch), np.nan)
+            if known.any():
+                logits = model(np.stack(batch[known].to_numpy()).astype(np.float64))
+                out[known] = 1.0 / (1.0 + np.exp(-logits))
+            yield pd.Series(out).astype("Float64").where(known, None)
 
     return df.withColumn(output_col, score(F.col(feature_col)))
 
@@ -91,6 +126,7 @@ def recent_alerts(alerts: DataFrame, limit: int = 20) -> DataFrame:
 
 def alert_banners(alerts: DataFrame, limit: int = 5) -> DataFrame:
     """Banner text of the newest alerts."""
+    # Fixed value: the banner's format.
     text = F.format_string(
         "⚠️ **%s** — %.1f%% pneumonia probability at %s",
         F.col("filename"),

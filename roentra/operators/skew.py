@@ -52,6 +52,7 @@ def hot_split_join(
     left_key: str,
     right_key: str,
     rows_per_salt: int = ROWS_PER_SALT,
+    hot: list[Row] | None = None,
 ) -> DataFrame:
     """Inner equi-join for a left side with repeated, possibly hot keys and a narrow right side
     of unique keys. Both key columns are kept.
@@ -59,10 +60,12 @@ def hot_split_join(
     Without hot keys this is a plain join. Otherwise the right rows of hot keys
     (one per key, so at most ``MAX_HOT_KEYS``) are broadcast: left rows of hot
     keys join where they are, without shuffle or sort. The remaining left rows,
-    none of whose keys is hot, join as usual.
+    none of whose keys is hot, join as usual. ``hot`` (from ``hot_keys``) is looked
+    up here unless it is given; an empty list leaves skew to adaptive execution.
     """
     on_keys = F.col(left_key) == F.col(right_key)
-    hot = hot_keys(left, left_key, rows_per_salt)
+    if hot is None:
+        hot = hot_keys(left, left_key, rows_per_salt)
     if not hot:
         return left.join(right, on_keys, "inner")
     frame = _hot_frame(left, left_key, hot)
@@ -84,7 +87,8 @@ def salted_join(
 
     Left rows of a hot key are spread over its salts by a hash of the row
     (stable under task retries, unlike a random salt); only the matching right
-    row is copied to each salt. All other rows join as usual. Pass ``hot`` (from
+    row is copied to each salt. Rows equal in all columns, which no hash parts,
+    go through the join as one row with a count. All other rows join as usual. Pass ``hot`` (from
     ``hot_keys``) when the hot keys can be read off a source that is cheaper to
     scan than ``left``.
     """
@@ -94,18 +98,22 @@ def salted_join(
         return left.join(right, F.col(left_key) == F.col(right_key), "inner")
     frame = _hot_frame(left, left_key, hot)
 
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    on_keys = F.col(left_key) == F.col(right_key)
+    others = left.join(frame, F.col(left_key) == F.col("_hot_key"), "left_anti")
+    columns = [F.col(f"`{c}`") for c in left.columns]
     salted_left = (
-        left.where(F.col(left_key).isNotNull())
-        .join(frame, F.col(left_key) == F.col("_hot_key"), "left")
-        .withColumn("_salt", F.coalesce(F.pmod(row_hash, F.col("_salts")).cast("int"), F.lit(0)))
-        .drop("_hot_key", "_salts")
+        left.join(frame, F.col(left_key) == F.col("_hot_key"))
+        .groupBy(*columns, "_salts")
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_salt", F.pmod(F.xxhash64(*columns), F.col("_salts")).cast("int"))
+        .drop("_salts")
     )
-    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     salted_right = (
-        right.join(frame, F.col(right_key) == F.col("_hot_key"), "left")
-        .withColumn("_right_salt", F.explode(copies))
+        right.join(frame, F.col(right_key) == F.col("_hot_key"))
+        .withColumn("_right_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
         .drop("_hot_key", "_salts")
     )
-    on = (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_right_salt"))
-    return salted_left.join(salted_right, on, "inner").drop("_salt", "_right_salt")
+    met = salted_left.join(salted_right, on_keys & (F.col("_salt") == F.col("_right_salt")))
+    copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
+    spread = met.withColumn("_copy", copy).drop("_copy", "_copies", "_salt", "_right_salt")
+    return others.join(right, on_keys).unionByName(spread)

@@ -88,11 +88,12 @@ def assign_patient_splits(
     )
     bounds = split_boundaries(keyed, train_share, val_share, prefix_digits)
     limits = bounds.select(F.struct("train_until", "val_until")).scalar()
-    split = (
-        F.when(F.col("_key") < limits["train_until"], "train")
-        .when(F.col("_key") < limits["val_until"], "val")
-        .otherwise("test")
-    )
+
+    def below(limit: str) -> Column:
+        # No key at the quota's end: the quota takes everybody that is left.
+        return F.coalesce(F.col("_key") < limits[limit], F.lit(True))
+
+    split = F.when(below("train_until"), "train").when(below("val_until"), "val").otherwise("test")
     return keyed.withColumn("split", split).drop("_key")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from roentra import schemas
 from roentra.functions import times
 from roentra.operators import classifier, gold, headers, parsing, pixels, quality, scoring
+from roentra.operators.skew import hot_keys
 from roentra.plans.audit import log_run
 from roentra.sources.tables import read_table, write_table
 from roentra.streaming.arrivals import run_manifest
@@ -38,6 +39,7 @@ class Layout:
         return write_table(df, self.path(table), self.fmt, **options)
 
 
+# Where the tables lie under the root.
 CLASS_INFO = "bronze/metadata_raw"
 HEADERS = "silver/dicom_metadata"
 HEADER_STAGE = "silver/dicom_parsed"
@@ -54,6 +56,7 @@ EXAMPLES = "gold/training_examples"
 RUN_METRICS = "models/run_metrics"
 PREDICTIONS = "gold/predictions"
 ALERTS = "gold/clinical_alerts"
+UPLOADS = "silver/uploads_screened"
 
 
 def ingest_class_info(class_info: DataFrame, layout: Layout) -> int:
@@ -162,7 +165,9 @@ def build_model_ready(spark: SparkSession, layout: Layout) -> dict[str, int]:
     counts = layout.write(
         patients, PATIENTS, train=in_split("train"), val=in_split("val"), test=in_split("test")
     )
-    rows = gold.model_ready_rows(layout.read(spark, HEADERS), layout.read(spark, PATIENTS))
+    found = layout.read(spark, HEADERS)
+    hot = hot_keys(found, "original_filename")
+    rows = gold.model_ready_rows(found, layout.read(spark, PATIENTS), hot)
     final = schemas.conform(rows, schemas.MODEL_READY)
     written = layout.write(final, MODEL_READY, partition_by=["split"])["rows"]
     log_run(
@@ -256,6 +261,32 @@ def score_images(
     return {"rows": rows, "alerts": layout.write(alerts, ALERTS)["rows"]}
 
 
+def score_uploads(
+    uploads: DataFrame,
+    layout: Layout,
+    model: LogisticRegressionModel | None = None,
+    decode: Callable[[bytes], np.ndarray] = pixels.rgb_pixels,
+    target: tuple[int, int] = schemas.TARGET_SIZE,
+) -> dict[str, int]:
+    """Uploads (filename, content_type, content) -> screened uploads, predictions and alerts.
+
+    Payloads are decoded and scored once, in the write of the screened table; the
+    other two are cut from it.
+    """
+    spark = uploads.sparkSession
+    if model is None:
+        model = LogisticRegressionModel.load(layout.path("models/classifier"))
+    screened = scoring.score_uploads(uploads, classifier.logits(model), decode, target)
+    counts = layout.write(screened, UPLOADS, rejected=F.count("rejected_because"))
+    accepted = layout.read(spark, UPLOADS).where("rejected_because IS NULL")
+    predicted = scoring.predictions(accepted.select("filename", "probability"))
+    rows = layout.write(schemas.conform(predicted, schemas.PREDICTION), PREDICTIONS)["rows"]
+    stamp = times.iso_utc(times.utc_now())
+    alerts = scoring.clinical_alerts(layout.read(spark, PREDICTIONS), stamp)
+    written = layout.write(alerts, ALERTS)["rows"]
+    return {"rows": rows, "rejected": counts["rejected"], "alerts": written}
+
+
 def run_all(class_info: DataFrame, digests: DataFrame, layout: Layout) -> None:
     """Bronze -> checks -> gold -> summaries over ingested headers; stops at the first failure."""
     spark = class_info.sparkSession

@@ -53,12 +53,17 @@ def read_files(
 def stream_files(
     spark: SparkSession, directory: str, suffix: str, files_per_batch: int = 100_000
 ) -> DataFrame:
-    """New files of a directory as a stream (path only), a bounded number per micro-batch."""
+    """New files of a directory as a stream (path only), a bounded number per micro-batch.
+
+    No file is too old. Names that begin with ``_`` or ``.`` are hidden from every
+    listing of this engine and have to be renamed before.
+    """
     return (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("pathGlobFilter", f"*{suffix}")
+        .option("maxFileAge", "36500d")
         .load(directory)
         .select("path")
     )

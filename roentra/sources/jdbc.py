@@ -10,16 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 def modulo_predicates(int_expression: str, parts: int) -> list[str]:
     """Disjoint WHERE clauses covering every row, by remainder of an integer SQL expression.
 
-    For a text key pass the database's own hash, e.g. ``ABS(HASHTEXT(patient_id))``.
+    Negative numbers count from the next multiple below, the smallest integer included,
+    so no key is left out. For a text key pass the database's own hash, e.g.
+    ``HASHTEXT(patient_id)``.
     """
-    predicates = [f"MOD({int_expression}, {parts}) = {i}" for i in range(parts)]
+    rest = f"MOD(MOD({int_expression}, {parts}) + {parts}, {parts})"
+    predicates = [f"{rest} = {i}" for i in range(parts)]
     predicates[0] += f" OR {int_expression} IS NULL"
     return predicates
 
 
 def range_predicates(column: str, bounds: Sequence[str]) -> list[str]:
-    """Disjoint WHERE clauses covering every row, by sorted text bounds of a key column."""
-    quoted = ["'" + b.replace("'", "''") + "'" for b in bounds]
+    """Disjoint WHERE clauses covering every row, by text bounds of a key column, in any order.
+
+    Bounds are sorted by code point; pass bounds that the database's collation orders alike.
+    """
+    quoted = ["'" + b.replace("'", "''") + "'" for b in sorted(set(bounds))]
     if not quoted:
         return ["1 = 1"]
     first = f"{column} < {quoted[0]} OR {column} IS NULL"

@@ -9,12 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 FORMAT = "kafka"
 
 
-def topic_options(servers: str, topic: str, **extra: str) -> dict[str, str]:
-    """Options of a reader that starts at the beginning of the topic."""
+# Messages of one micro-batch: bounds a backlog's first batch and what a failure repeats.
+OFFSETS_PER_BATCH = 10_000_000
+
+
+def topic_options(
+    servers: str, topic: str, per_batch: int = OFFSETS_PER_BATCH, **extra: str
+) -> dict[str, str]:
+    """Options of a reader that starts at the beginning of the topic.
+
+    A stream takes at most ``per_batch`` messages at a time; a batch read takes all. Pass
+    ``minPartitions`` to read a topic of few partitions with more tasks.
+    """
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": str(per_batch),
         **extra,
     }
 

@@ -9,8 +9,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roentra import schemas
-from roentra.adapters import stream_view, view
-from roentra.functions import scores
+from roentra.adapters import base_table, stream_view, view
+from roentra.functions import identity, scores, times
 from roentra.operators import (
     arrivals,
     classifier,
@@ -26,7 +26,8 @@ from roentra.operators import (
 )
 from roentra.operators.durable import materialize, new_table_path
 from roentra.operators.skew import hot_keys
-from roentra.plans import dashboard
+from roentra.plans import audit, dashboard, jobs
+from roentra.sources import jdbc, jsonlines, tables
 from roentra.streaming import alerts as alert_stream, arrivals as arrival_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,8 +46,13 @@ def _silver(spark, sf):
     return headers.deidentified_headers(view(spark, sf, "fx_headers"))
 
 
+def _patients(spark, sf):
+    """Written first, as the job does: one scan of the labels, whatever is filtered later."""
+    return materialize(gold.labelled_patients(view(spark, sf, "fx_class_info")), "patients")
+
+
 def _gold(spark, sf):
-    return gold.model_ready(_silver(spark, sf), view(spark, sf, "fx_class_info"))
+    return gold.model_ready_rows(_silver(spark, sf), _patients(spark, sf))
 
 
 def _digests(spark, sf):
@@ -75,6 +81,17 @@ def bronze_class_info(spark, sf):
     return schemas.conform(view(spark, sf, "fx_class_info"), schemas.CLASS_INFO)
 
 
+@query
+def jdbc_key_parts(spark, sf):
+    """Rows that each WHERE clause of a key split reads, over keys on both sides of zero."""
+    clauses = jdbc.modulo_predicates("k", 7)
+    counts = view(spark, sf, "fx_keys").agg(
+        *[F.count_if(F.expr(c)).alias(f"c{i}") for i, c in enumerate(clauses)]
+    )
+    rows = [F.struct(F.lit(i).alias("part"), F.col(f"c{i}").alias("n")) for i in range(7)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 @query
 def distinct_patients(spark, sf):
     return labels.distinct_count(view(spark, sf, "fx_class_info"), "patient_id")
@@ -126,11 +143,18 @@ def _parse_json_header(content: bytes) -> dict:
     return header
 
 
-def _parsed(spark, sf):
-    raw = view(spark, sf, "fx_headers")
+def _header_files(spark, sf):
+    # Some files have a word where a number of rows should be.
+    number = F.when(F.col("file_path").endswith("5.dcm"), "many").otherwise(
+        F.col("n_rows").cast("string")
+    )
+    raw = view(spark, sf, "fx_headers").withColumn("n_rows", number)
     content = F.to_json(F.struct(*schemas.RAW_HEADER.fieldNames())).cast("binary")
-    files = raw.select(F.col("file_path").alias("path"), content.alias("content"))
-    return parsing.parse_headers(files, _parse_json_header)
+    return raw.select(F.col("file_path").alias("path"), content.alias("content"))
+
+
+def _parsed(spark, sf):
+    return parsing.parse_headers(_header_files(spark, sf), _parse_json_header)
 
 
 @query
@@ -143,6 +167,76 @@ def parse_errors(spark, sf):
     return parsing.parse_errors(_parsed(spark, sf))
 
 
+@query
+def error_sample(spark, sf):
+    return parsing.sample_errors(parsing.parse_errors(_parsed(spark, sf)), 5)
+
+
+@query
+def processed_paths(spark, sf):
+    name = identity.swap_suffix(identity.base_name(F.col("file_path")), ".dcm", ".png")
+    rows = view(spark, sf, "fx_headers")
+    return rows.select("file_path", identity.join_path("processed/", name).alias("processed_path"))
+
+
+# --- tables and logs ---------------------------------------------------------
+
+
+@query
+def table_round_trip(spark, sf):
+    """Events written by type and read back: rows as the write counted them, and as read."""
+    path = new_table_path(spark, "events")
+    events = base_table(spark, sf, "events")
+    written = tables.write_table(events, path, partition_by=["event_type"])["rows"]
+    found = tables.read_table(spark, path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return found.select("event_type", "n", F.lit(written).cast("bigint").alias("written"))
+
+
+@query
+def csv_round_trip(spark, sf):
+    path = new_table_path(spark, "customers")
+    rows = base_table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    tables.write_csv(rows, path)
+    return tables.read_csv(spark, path, rows.schema)
+
+
+@query
+def json_lines_round_trip(spark, sf):
+    """Two appends, and what reading them as a log finds."""
+    path = new_table_path(spark, "audit")
+    runs = view(spark, sf, "fx_audit").select("job_name", "row_count", "notes")
+    jsonlines.append_json_lines(runs, path)
+    jsonlines.append_json_lines(runs.where("row_count % 2 = 0"), path)
+    return jsonlines.read_json_lines(spark, path, runs.schema)
+
+
+@query
+def clock_stamps(spark, sf):
+    rows = base_table(spark, sf, "events")
+    return rows.select("event_id", times.iso_utc(F.col("ts")).alias("stamp"))
+
+
+def _layout(spark, sf):
+    """All batch jobs over the given tables, into a new lake."""
+    layout = jobs.Layout(new_table_path(spark, "lake"))
+    jobs.ingest_headers(_header_files(spark, sf), layout, _parse_json_header)
+    jobs.run_all(view(spark, sf, "fx_class_info"), _digests(spark, sf), layout)
+    return layout
+
+
+@query
+def lake_case_counts(spark, sf):
+    """The last table of the whole run, from files to summaries."""
+    return _layout(spark, sf).read(spark, jobs.CASE_COUNTS)
+
+
+@query
+def lake_audit(spark, sf):
+    """The audit rows of the whole run, without their times."""
+    runs = audit.read_runs(spark, _layout(spark, sf).audit)
+    return runs.select("job_name", "row_count", F.col("schema").isNotNull().alias("has_schema"))
+
+
 # --- data quality ------------------------------------------------------------
 
 
@@ -195,9 +289,18 @@ def patient_split(spark, sf):
     return gold.labelled_patients(view(spark, sf, "fx_class_info")).select("patient_id", "split")
 
 
+@query
+def patient_split_two_way(spark, sf):
+    """Shares that leave no test split."""
+    patients = labels.patient_labels(view(spark, sf, "fx_class_info"))
+    return split.assign_patient_splits(patients, train_share=0.8, val_share=0.2).select(
+        "patient_id", "split"
+    )
+
+
 @query
 def split_counts(spark, sf):
-    patients = gold.labelled_patients(view(spark, sf, "fx_class_info"))
+    patients = _patients(spark, sf)
     return split.split_counts(patients, gold.model_ready_rows(_silver(spark, sf), patients))
 
 
@@ -320,10 +423,18 @@ def alert_banners(spark, sf):
     return scoring.alert_banners(_alerts(spark, sf))
 
 
+def _read_grey_square(content: bytes) -> np.ndarray:
+    """Stand-in for an image format: a signature, then 4 x 4 grey bytes in hexadecimal digits."""
+    if not content.startswith(b"GIF89a"):
+        raise ValueError("no image")
+    grey = np.frombuffer(bytes.fromhex(content[6:].decode()), dtype=np.uint8).reshape(4, 4)
+    return np.stack([grey, grey, grey], axis=-1)
+
+
 @query
 def reject_non_image(spark, sf):
     uploads = view(spark, sf, "fx_uploads").withColumn("payload", F.col("payload").cast("binary"))
-    screened = scoring.screen_uploads(uploads)
+    screened = scoring.screen_uploads(uploads, _read_grey_square)
     return screened.select(
         "page_id", F.col("rejected_because").isNull().alias("accepted"), "rejected_because"
     )
@@ -343,6 +454,22 @@ def classification_report(spark, sf):
     return rows.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
+@query
+def score_quality(spark, sf):
+    return metrics.score_quality(view(spark, sf, "fx_gaps"))
+
+
+@query
+def confusion_matrix_gaps(spark, sf):
+    """Rows without a label or a score count in no cell."""
+    return metrics.confusion_matrix(view(spark, sf, "fx_gaps"))
+
+
+@query
+def auroc_gaps(spark, sf):
+    return metrics.auroc(view(spark, sf, "fx_gaps")).select(F.round("auroc", 6).alias("auroc"))
+
+
 @query
 def auroc(spark, sf):
     return metrics.auroc(view(spark, sf, "fx_scores")).select(F.round("auroc", 6).alias("auroc"))
@@ -390,6 +517,19 @@ def pixels_resize(spark, sf):
     return _grid(resized, 3).withColumn("v", F.round("v", 5))
 
 
+@query
+def pixels_enlarge(spark, sf):
+    resized = pixels.resize_pixels(view(spark, sf, "fx_pixels"), (12, 12))
+    return _grid(resized, 12).withColumn("v", F.round("v", 5))
+
+
+@query
+def pixels_mixed(spark, sf):
+    """Fewer rows, more columns."""
+    resized = pixels.resize_pixels(view(spark, sf, "fx_pixels"), (3, 12))
+    return _grid(resized, 12).withColumn("v", F.round("v", 5))
+
+
 @query
 def images_processed(spark, sf):
     return _grid(pixels.preprocess_pixel_table(view(spark, sf, "fx_pixels"), (3, 3)), 3)
@@ -447,10 +587,34 @@ def _linear_head():
 
 @query
 def batch_scores(spark, sf):
-    scored = scoring.score_batches(view(spark, sf, "fx_pixels"), "pixels", _linear_head)
+    images = view(spark, sf, "fx_pixels").withColumn(
+        "pixels", F.when(F.col("image_id") % 9 != 0, F.col("pixels"))
+    )
+    scored = scoring.score_batches(images, "pixels", _linear_head)
     return scored.select("image_id", F.round("probability", 6).alias("probability"))
 
 
+def _upload_head():
+    """A fixed linear model of 48 features: weight i is ((37 i) mod 11 - 5) / 8."""
+    weights = ((np.arange(48) * 37) % 11 - 5) / 8.0
+    return lambda features: features @ weights
+
+
+@query
+def upload_alerts(spark, sf):
+    """From uploads to alerts: some are no images, some payloads are broken."""
+    grey = F.to_json(pixels.scale_to_byte(F.col("pixels")))
+    kind = F.col("image_id") % 10
+    uploads = view(spark, sf, "fx_pixels").select(
+        F.col("image_id").cast("string").alias("filename"),
+        F.when(kind == 0, "text/plain").otherwise("image/png").alias("content_type"),
+        F.when(kind == 1, "broken").otherwise(grey).cast("binary").alias("content"),
+    )
+    scored = scoring.score_uploads(uploads, _upload_head, _parse_grey_rows, (4, 4))
+    accepted = scored.where("rejected_because IS NULL")
+    return alert_stream.flagged_alerts(accepted, F.lit(PUBLISHED_AT))
+
+
 def _examples(spark, sf):
     """All images as training examples, split by image id."""
     images = view(spark, sf, "fx_pixels").select(

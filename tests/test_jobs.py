@@ -119,7 +119,7 @@ def test_training_and_scoring_jobs(spark, layout):
     log = layout.read(spark, jobs.RUN_METRICS)
     assert {r["metric"] for r in log.collect()} == {
         "training_set_size", "pos_weight", "reg_param", "train_loss", "val_loss", "val_auroc",
-        "test_loss", "test_auroc",
+        "best_val_auroc", "test_loss", "test_auroc",
     }
     best = metrics.best_epoch(metrics.metric_values(log, "val_auroc")).collect()
     assert len(best) == 1 and best[0]["best_step"] in (0, 1)

@@ -82,3 +82,18 @@ def test_best_epoch_is_the_earliest_best(spark):
     rows = [("a", 0, 0.5), ("a", 1, 0.7), ("a", 2, 0.7), ("b", 0, 0.1)]
     df = spark.createDataFrame(rows, "run_name string, step long, val_auroc double")
     assert {tuple(r) for r in metrics.best_epoch(df).collect()} == {("a", 0.7, 1), ("b", 0.1, 0)}
+
+
+def test_rows_without_score_or_label_count_nowhere(spark):
+    rows = [(1, 0.9), (0, 0.1), (1, None), (None, 0.4), (0, float("nan")), (1, 0.2)]
+    df = scored(spark, rows)
+    assert tuple(metrics.score_quality(df).first()) == (6, 3, 2, 1)
+    assert [tuple(r) for r in metrics.confusion_matrix(df).collect()] == [(0, 1, 0), (1, 1, 1)]
+    assert metrics.auroc(df).first()["auroc"] == 1.0
+
+
+def test_best_epoch_ignores_missing_values(spark):
+    nan = float("nan")
+    rows = [("a", 0, None), ("a", 1, nan), ("a", 2, 0.9), ("a", 3, 0.5), ("b", 0, None)]
+    df = spark.createDataFrame(rows, "run_name string, step long, val_auroc double")
+    assert [tuple(r) for r in metrics.best_epoch(df).collect()] == [("a", 0.9, 2)]

@@ -25,7 +25,7 @@ def brute_force_area(image, target):
     return out
 
 
-@pytest.mark.parametrize("source,target", [(8, 3), (8, 8), (1024, 224), (5, 1)])
+@pytest.mark.parametrize("source,target", [(8, 3), (8, 8), (1024, 224), (5, 1), (3, 8), (200, 224)])
 def test_area_weights_cover_everything_once(source, target):
     weights = pixels.area_weights(source, target)
     assert weights.shape == (target, source)
@@ -35,7 +35,8 @@ def test_area_weights_cover_everything_once(source, target):
 
 def test_area_resize_equals_brute_force():
     image = np.random.default_rng(1).random((9, 7))
-    assert np.allclose(pixels.resample(image, (4, 3)), brute_force_area(image, (4, 3)))
+    for target in [(4, 3), (12, 10), (4, 20), (9, 7)]:
+        assert np.allclose(pixels.resample(image, target), brute_force_area(image, target))
 
 
 def test_bilinear_weights():
@@ -47,9 +48,22 @@ def test_bilinear_weights():
     assert np.allclose(pixels.bilinear_weights(2, 4) @ [0.0, 1.0], [0, 0.25, 0.75, 1])
 
 
-def test_area_resize_only_shrinks():
-    with pytest.raises(ValueError):
-        pixels.area_weights(3, 4)
+def test_channels_are_resized_apart():
+    image = np.random.default_rng(7).integers(0, 256, (9, 7, 3))
+    image[0, 0], image[0, 1] = 0, 255  # the scaling is over all channels
+    out = pixels.preprocess_array(image, (12, 3))
+    assert out.shape == (12, 3, 3)
+    for c in range(3):
+        plane = pixels.resample(image[..., c].astype(float), (12, 3))
+        assert np.array_equal(out[..., c], np.rint(plane))
+
+
+def test_images_without_a_size_keep_their_row(spark):
+    rows = [(1, 2, 2, [1.0, 2.0, 3.0, 4.0]), (2, None, 2, [1.0]), (3, 2, 2, None), (4, 3, 3, [1.0]), (5, None, None, None)]
+    df = spark.createDataFrame(rows, "image_id int, height int, width int, pixels array<double>")
+    out = {r["image_id"]: r for r in pixels.resize_pixels(df, (4, 4)).collect()}
+    assert set(out) == {1, 2, 3, 4, 5} and len(out[1]["pixels"]) == 16
+    assert all(out[i]["pixels"] is None and out[i]["height"] is None for i in (2, 3, 4, 5))
 
 
 def image_frame(spark, images):

@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 import numpy as np
@@ -39,8 +40,10 @@ def test_recent_alerts_and_banners(spark):
 @pytest.mark.parametrize(
     "content_type,payload,reason",
     [
-        ("image/png", b"\x89PNG\r\n\x1a\n...", None),
-        ("image/jpeg", b"\xff\xd8\xff\xe0", None),
+        ("image/png", b"[[1, 2], [3, 4]]", None),
+        ("image/webp", b"[[1]]", None),
+        ("image/png", b"[[1, 2], ", "unreadable"),
+        ("image/png", b"\x89PNG\r\n\x1a\n...", "unreadable"),
         ("image/png", b"this is not a valid image file", "unreadable"),
         ("image/png", b"", "unreadable"),
         ("image/png", None, "unreadable"),
@@ -52,7 +55,35 @@ def test_recent_alerts_and_banners(spark):
 def test_screen_uploads(spark, content_type, payload, reason):
     data = None if payload is None else bytearray(payload)
     df = spark.createDataFrame([(content_type, data)], "content_type string, payload binary")
-    assert scoring.screen_uploads(df).first()["rejected_because"] == reason
+    screened = scoring.screen_uploads(df, lambda b: np.array(json.loads(b)))
+    assert screened.first()["rejected_because"] == reason
+
+
+def test_uploads_to_scores(spark):
+    rows = [
+        ("a.png", "image/png", bytearray(json.dumps([[[0, 0, 0]] * 2] * 2).encode())),
+        ("b.png", "image/png", bytearray(b"this is not a valid image file")),
+        ("c.txt", "text/plain", bytearray(b"hello world")),
+        ("d.png", None, None),
+        ("e.png", "image/png", None),
+    ]
+    df = spark.createDataFrame(rows, "filename string, content_type string, content binary")
+    found = scoring.score_uploads(
+        df, lambda: lambda x: np.zeros(len(x)), lambda b: np.array(json.loads(b)), (2, 2)
+    )
+    out = {r["filename"]: (r["probability"], r["rejected_because"]) for r in found.collect()}
+    assert out == {
+        "a.png": (0.5, None), "b.png": (None, "unreadable"), "c.txt": (None, "not_an_image"),
+        "d.png": (None, "not_an_image"), "e.png": (None, "unreadable"),
+    }
+
+
+def test_null_features_have_no_probability(spark):
+    df = spark.createDataFrame([(1, [1.0]), (2, None), (3, [0.0])], "id int, x array<double>").coalesce(1)
+    out = scoring.score_batches(df, "x", lambda: lambda x: x[:, 0]).collect()
+    assert [r["probability"] is None for r in out] == [False, True, False]
+    none = scoring.score_batches(df.where("id = 2"), "x", lambda: lambda x: x[:, 0]).collect()
+    assert [r["probability"] for r in none] == [None]
 
 
 def test_score_batches_loads_the_model_once_per_task(spark):
@@ -85,7 +116,7 @@ def test_training_selects_and_evaluates(spark):
     assert trained.pos_weight == pytest.approx(row["neg"] / row["pos"])
     log = {(r["step"], r["metric"]): r["value"] for r in trained.run_metrics.collect()}
     assert {m for _, m in log} == {
-        "training_set_size", "pos_weight", "reg_param", "train_loss", "val_loss", "val_auroc",
+        "training_set_size", "pos_weight", "reg_param", "train_loss", "val_loss", "val_auroc", "best_val_auroc",
     }
     scored_test = classifier.score(trained.model, test)
     assert scored_test.where("probability NOT BETWEEN 0 AND 1").count() == 0

@@ -102,13 +102,13 @@ def holds(predicate, value):
 
 @pytest.mark.parametrize("value", ["", "a", "m", "mm", "o'k", "z", None])
 def test_range_predicates_cover_every_key_once(value):
-    predicates = jdbc.range_predicates("k", ["b", "m", "o'k"])
+    predicates = jdbc.range_predicates("k", ["m", "b", "o'k", "m"])
     assert len(predicates) == 4
     assert sum(holds(p, value) for p in predicates) == 1
     assert jdbc.range_predicates("k", []) == ["1 = 1"]
 
 
-@pytest.mark.parametrize("value", [0, 1, 5, 6, None])
+@pytest.mark.parametrize("value", [0, 1, 5, 6, -1, -4, -7, 2**63 - 1, -(2**63), None])
 def test_modulo_predicates_cover_every_key_once(value):
     predicates = jdbc.modulo_predicates("k", 4)
     assert sum(holds(p, value) for p in predicates) == 1
@@ -173,7 +173,7 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     def session(master, folder):
         return types.SimpleNamespace(
-            conf=types.SimpleNamespace(get=lambda key, default: folder),
+            conf=types.SimpleNamespace(get=lambda key, default="/warehouse": folder or default),
             sparkContext=types.SimpleNamespace(master=master),
         )
 

@@ -165,3 +165,41 @@ def test_split_counts(spark):
     got = {r["split"]: (r["n_patients"], r["n_rows"]) for r in split.split_counts(patients, rows).collect()}
     assert {k: v[0] for k, v in got.items()} == {"train": 140, "val": 30, "test": 30}
     assert sum(v[1] for v in got.values()) == 50
+
+
+@pytest.mark.parametrize(
+    "train,val,expected",
+    [
+        (0.8, 0.2, {"train": 80, "val": 20}),
+        (1.0, 0.0, {"train": 100}),
+        (0.0, 1.0, {"val": 100}),
+        (0.0, 0.0, {"test": 100}),
+        (0.5, 0.0, {"train": 50, "test": 50}),
+    ],
+)
+def test_split_with_shares_that_end_at_the_last_rank(spark, train, val, expected):
+    ids = spark.range(100).select(F.col("id").cast("string").alias("patient_id"))
+    rows = split.assign_patient_splits(ids, train_share=train, val_share=val).collect()
+    assert Counter(r["split"] for r in rows) == expected
+
+
+def test_equal_rows_of_a_hot_key_are_kept_and_spread(spark):
+    left = spark.range(1000).select(F.lit("hot").alias("original_filename"), F.lit("f").alias("file_path"))
+    others = spark.createDataFrame([("k1", "g"), (None, "h")], "original_filename string, file_path string")
+    left = left.union(others)
+    right = patients(spark)
+    joined = skew.salted_join(left, right, "original_filename", "patient_id", rows_per_salt=100)
+    plain = left.join(right, left.original_filename == right.patient_id)
+    assert Counter(map(tuple, joined.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_a_gold_plan_runs_no_job(spark):
+    headers = skewed_headers(spark).selectExpr(
+        "*", "'m' modality", "'v' view_position", "'s' patient_sex", "'b' patient_age_bucket",
+        "1 rows", "1 columns",
+    )
+    spark.sparkContext.setJobGroup("gold-plan", "building")
+    rows = gold.model_ready_rows(headers, patients(spark).withColumn("split", F.lit("train")))
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("gold-plan") == []
+    spark.sparkContext.setJobGroup("", "")
+    assert rows.count() > 0
