@@ -116,8 +116,41 @@ def train_weighted(
 
 def test_metrics(trained: TrainedClassifier, test: DataFrame) -> DataFrame:
     """(run_name, step, metric, value) rows of the selected model on the test split."""
-    scored = score(trained.model, test)
-    loss = metrics.weighted_log_loss(scored, trained.pos_weight).select(
+    return evaluation_rows(score(trained.model, test), trained.pos_weight)
+
+
+def objective_gradient(
+    trained: TrainedClassifier, train: DataFrame, reg_param: float
+) -> DataFrame:
+    """(feature, gradient): slope of the weighted loss with its penalty at the fitted weights.
+
+    The penalty is on the weights of features scaled to unit deviation, as the learner has it.
+    """
+    fitted = F.array(*[F.lit(float(c)) for c in trained.model.coefficients])
+    w = F.when(F.col("label") == 1, F.lit(trained.pos_weight)).otherwise(F.lit(1.0))
+    scored = score(trained.model, train).select(
+        w.alias("w"),
+        (F.col("probability") - F.col("label")).alias("error"),
+        F.posexplode(image_features(F.col("pixels"))).alias("feature", "x"),
+    )
+    sums = scored.groupBy("feature").agg(
+        F.sum("w").alias("sum_w"),
+        F.sum(F.col("w") * F.col("w")).alias("sum_ww"),
+        F.sum(F.col("w") * F.col("x")).alias("sum_wx"),
+        F.sum(F.col("w") * F.col("x") * F.col("x")).alias("sum_wxx"),
+        F.sum(F.col("w") * F.col("error") * F.col("x")).alias("slope"),
+    )
+    total = F.col("sum_w")
+    spread = (F.col("sum_wxx") - F.col("sum_wx") * F.col("sum_wx") / total) / (
+        total - F.col("sum_ww") / total
+    )
+    penalty = F.lit(reg_param) * F.element_at(fitted, F.col("feature") + 1) * spread
+    return sums.select("feature", (F.col("slope") / total + penalty).alias("gradient"))
+
+
+def evaluation_rows(scored: DataFrame, pos_weight: float) -> DataFrame:
+    """(run_name, step, metric, value) rows of a scored test split (label, probability, logit)."""
+    loss = metrics.weighted_log_loss(scored, pos_weight).select(
         F.lit("test_loss").alias("metric"), F.col("loss").alias("value")
     )
     area = metrics.auroc(scored).select(

@@ -152,6 +152,18 @@ PARTS = {
                              (2, 0.406::DOUBLE, 0.225::DOUBLE)) AS k(channel, m, s)
         WHERE image_id % 10 > 1 GROUP BY image_id""",
     "gap_rows": "SELECT * FROM fx_gaps WHERE label IS NOT NULL AND probability IS NOT NULL",
+    "image_splits": """
+        SELECT image_id, label, x_logit,
+               CASE WHEN pos < floor(n * 0.70::DOUBLE) THEN 'train'
+                    WHEN pos < floor(n * 0.70::DOUBLE) + floor(n * 0.15::DOUBLE) THEN 'val' ELSE 'test' END AS split
+        FROM (SELECT image_id, CASE WHEN label >= 5 THEN 1 ELSE 0 END AS label, count(*) OVER () AS n,
+                     row_number() OVER (ORDER BY sha256('42:' || image_id)) - 1 AS pos
+              FROM fx_pixels)
+             JOIN (SELECT image_id, sum(x::DOUBLE * ((37 * pos) % 11 - 5) / 8.0::DOUBLE) AS x_logit
+                   FROM flat_pixels GROUP BY image_id) USING (image_id)""",
+    "image_weight": """
+        SELECT count(*) FILTER (WHERE label = 0)::DOUBLE / count(*) FILTER (WHERE label = 1) AS pw, count(*) AS size
+        FROM image_splits WHERE split = 'train'""",
     "examples": "SELECT CAST(image_id AS VARCHAR) AS image_id, len(pixels) AS n_pixels FROM fx_pixels",
 }
 
@@ -217,6 +229,22 @@ FINAL = {
     .replace("@quality", schemas.JOB_QUALITY)
     .replace("@gold", schemas.JOB_MODEL_READY)
     .replace("@summaries", schemas.JOB_SUMMARIES),
+    "training_facts": """
+        SELECT 'training_set_size' AS metric, size::DOUBLE AS value FROM image_weight
+        UNION ALL SELECT 'pos_weight', round(pw, 6) FROM image_weight""",
+    "head_evaluation": """
+        SELECT 'test_loss' AS metric,
+               round(avg(pw * label * (ln(1 + exp(-abs(x_logit))) + greatest(-x_logit, 0))
+                         + (1 - label) * (ln(1 + exp(-abs(x_logit))) + greatest(x_logit, 0))), 6) AS value
+        FROM image_splits, image_weight WHERE split = 'test'
+        UNION ALL
+        SELECT 'test_auroc', round(sum(pos * (below + 0.5::DOUBLE * neg)) / (sum(pos) * sum(neg)), 6)
+        FROM (SELECT pos, neg, sum(neg) OVER (ORDER BY x_logit ROWS UNBOUNDED PRECEDING) - neg AS below
+              FROM (SELECT x_logit, sum(label) AS pos, count(*) - sum(label) AS neg
+                    FROM image_splits WHERE split = 'test' GROUP BY x_logit))""",
+    "fit_gradient": """
+        SELECT DISTINCT CAST(c * 64 + pos AS INTEGER) AS feature, 0.0::DOUBLE AS gradient
+        FROM flat_pixels, range(3) t(c)""",
     "jdbc_key_parts": """
         SELECT CAST(part AS INTEGER) AS part, count(*) AS n
         FROM (SELECT coalesce(((k % 7) + 7) % 7, 0) AS part FROM fx_keys) GROUP BY part""",

@@ -648,3 +648,36 @@ def test_evaluation(spark, sf):
 @query
 def candidate_metrics(spark, sf):
     return _trained(_examples(spark, sf)).run_metrics
+
+
+@query
+def training_facts(spark, sf):
+    """What the training log says about its rows."""
+    log = _trained(_examples(spark, sf)).run_metrics
+    facts = log.where(F.col("metric").isin("training_set_size", "pos_weight"))
+    return facts.select("metric", F.round("value", 6).alias("value"))
+
+
+@query
+def head_evaluation(spark, sf):
+    """The evaluation of a test split, with a fixed model in the place of a trained one."""
+    examples = _examples(spark, sf)
+    pos_weight = labels.class_weight(gold.rows_of_split(examples, "train")).first()["pos_weight"]
+    scored = scoring.score_batches(gold.rows_of_split(examples, "test"), "pixels", _linear_head)
+    p = F.col("probability")
+    rows = classifier.evaluation_rows(
+        scored.withColumn("logit", F.log(p) - F.log(1 - p)), pos_weight
+    )
+    return rows.select("metric", F.round("value", 6).alias("value"))
+
+
+@query
+def fit_gradient(spark, sf):
+    """Gradient of the training objective at the fitted weights: zero where it is least."""
+    examples = _examples(spark, sf)
+    train = gold.rows_of_split(examples, "train")
+    trained = classifier.train_weighted(
+        train, gold.rows_of_split(examples, "val"), reg_params=(0.1,), max_iter=500
+    )
+    rows = classifier.objective_gradient(trained, train, 0.1)
+    return rows.select("feature", (F.round("gradient", 3) + F.lit(0.0)).alias("gradient"))
