@@ -115,10 +115,11 @@ def source_weights(
     flat = row.select(
         "exponent", "budget", F.explode(F.arrays_zip("sources", "weights")).alias("z")
     )
-    quota = F.col("weight") * F.col("budget")
+    # Whole tokens, so that rounding errors never begin another pass.
+    quota = F.round(F.col("weight") * F.col("budget")).cast("long")
     return flat.select(
         F.col("z.sources.source").alias("source"),
-        F.col("z.sources.tokens").alias("tokens"),
+        F.col("z.sources.tokens").cast("long").alias("tokens"),
         F.col("z.weights").alias("weight"),
         "exponent",
         "budget",
@@ -164,7 +165,7 @@ def mixture(
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     # One row a block and pass: where the block begins in the permutation of that pass.
     totals = placed.groupBy("source", "block").agg(F.sum("tokens").alias("total"))
-    known = weights.select(F.col("source").alias("own"), "tokens", "passes", "weight", "exponent", "quota")
+    known = weights.where("quota > 0").select(F.col("source").alias("own"), "tokens", "passes", "weight", "exponent", "quota")
     turns = totals.join(known, F.col("source") == F.col("own")).select(
         "source", "block", "total", "tokens", "weight", "exponent", "quota",
         F.explode(F.sequence(F.lit(0), F.ceil("passes").cast("int") - 1)).alias("pass"),

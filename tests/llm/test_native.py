@@ -321,6 +321,12 @@ def test_small_budget_reads_a_part(spark):
     assert len(found) == 100 and len({r["doc_id"] for r in found}) == 100
 
 
+def test_a_source_beneath_one_token_of_the_budget_is_not_read(spark):
+    rows = [(i, "a b c d", None, "s", None) for i in range(500)] + [(1000, "a", None, "t", None)]
+    found = mixing.mixture(spark.createDataFrame(rows, SCHEMA), target_entropy=0.001, budget=40).collect()
+    assert {r["source"] for r in found} == {"s"} and len(found) == 10
+
+
 def test_mixing_odd_rows(spark, odd, none):
     found = mixing.mixture(odd, max_repeats=2.0).collect()
     texts = [(r["doc_id"], r["text"]) for r in odd.collect()]
