@@ -111,6 +111,18 @@ def test_manifest_job(spark, layout, tmp_path):
     assert audit.read_runs(spark, other.audit).first()["row_count"] == 1
 
 
+def test_small_and_coloured_images_are_stored(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    images = [rng.integers(0, 255, shape).tolist() for shape in [(200, 200), (300, 100), (20, 30, 3)]]
+    rows = [(f"raw/{i}.dcm", bytearray(json.dumps(m).encode())) for i, m in enumerate(images)]
+    files = spark.createDataFrame(rows, "path string, content binary")
+    out = jobs.Layout(str(tmp_path))
+    counts = jobs.ingest_images(files, out, lambda b: np.array(json.loads(b)))
+    assert counts == {"rows": 3, "failed": 0}
+    stored = {r["image_id"]: r for r in jobs.read_images(spark, out).collect()}
+    assert [len(stored[str(i)]["pixels"]) for i in range(3)] == [224 * 224, 224 * 224, 224 * 224 * 3]
+
+
 def test_training_and_scoring_jobs(spark, layout):
     trained = jobs.train_classifier(spark, layout, reg_params=(0.1, 0.01), max_iter=5)
     assert trained.pos_weight > 0
@@ -137,3 +149,20 @@ def test_a_failing_step_stops_the_run(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         jobs.run_all(info, digests, layout)
     assert [r["job_name"] for r in audit.read_runs(spark, layout.audit).collect()] == ["postgres_metadata_ingest"]
+
+
+def test_uploads_become_predictions_and_alerts(spark, layout):
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    model = LogisticRegressionModel.load(layout.path("models/classifier"))
+    grey = [[[v] * 3 for v in row] for row in [[0, 255], [128, 64]]]
+    rows = [
+        ("a.png", "image/png", bytearray(json.dumps(grey).encode())),
+        ("b.png", "image/png", bytearray(b"this is not a valid image file")),
+        ("c.txt", "text/plain", bytearray(b"hello world")),
+    ]
+    uploads = spark.createDataFrame(rows, "filename string, content_type string, content binary")
+    counts = jobs.score_uploads(uploads, layout, model, lambda b: np.array(json.loads(b)), (2, 2))
+    assert counts["rows"] == 1 and counts["rejected"] == 2
+    row = layout.read(spark, jobs.PREDICTIONS).first()
+    assert row["filename"] == "a.png" and 0 <= row["pneumonia_probability"] <= 1
