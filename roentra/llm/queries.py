@@ -180,3 +180,26 @@ def op9_mixing(spark, sf):
 @query
 def op10_license_scan(spark, sf):
     return license_scan.scan(_documents(spark, sf))
+
+
+ORACLES["op7_substring_dedup"] = r"""
+WITH listed AS (
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, md5(array_to_string(words[i:i + 34], ' ')) AS h
+    FROM listed, unnest(range(1, len(words) - 33)) AS t(i)
+), repeated AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS n FROM windows) WHERE n > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM repeated
+), flat AS (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM listed
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n
+    FROM flat ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM listed LEFT JOIN kept USING (doc_id)
+"""
