@@ -45,6 +45,15 @@ def _converted(name: str, value: object) -> object:
     return number
 
 
+def header_row(content: bytes, parse: Callable[[bytes], Mapping[str, object]]) -> list:
+    """Values of ``FIELDS`` and the error text of one file; one of both is all NULL."""
+    try:
+        header = parse(content)
+        return [*(_converted(f, header.get(f)) for f in FIELDS), None]
+    except Exception as problem:  # quarantined, see ``error``
+        return [*(None for _ in FIELDS), str(problem) or type(problem).__name__]
+
+
 def parse_headers(
     files: DataFrame, parse: Callable[[bytes], Mapping[str, object]] = dicom_header
 ) -> DataFrame:
@@ -55,15 +64,10 @@ def parse_headers(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for path, content in zip(batch["path"], batch["content"]):
-                try:
-                    header = parse(content)
-                    values = [_converted(f, header.get(f)) for f in FIELDS]
-                    rows.append([path, *values, None])
-                except Exception as problem:  # quarantined, see ``error``
-                    text = str(problem) or type(problem).__name__
-                    rows.append([path, *(None for _ in FIELDS), text])
+            rows = [
+                [path, *header_row(content, parse)]
+                for path, content in zip(batch["path"], batch["content"])
+            ]
             frame = pd.DataFrame(rows, columns=["file_path", *FIELDS, "error"], dtype=object)
             yield frame
 

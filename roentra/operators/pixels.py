@@ -8,13 +8,14 @@ by cell, so it runs in numpy on Arrow batches; rows never leave their partition.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roentra import schemas
+from roentra.operators import parsing
 
 PROCESSED_SCHEMA = (
     "image_id string, file_path string, height int, width int, pixels array<int>, "
@@ -206,6 +207,25 @@ def rgb_pixels(content: bytes) -> np.ndarray:
     return np.asarray(Image.open(io.BytesIO(content)).convert("RGB"))
 
 
+def image_row(
+    path: str,
+    content: bytes,
+    decode: Callable[[bytes], np.ndarray],
+    target: tuple[int, int],
+    resize: Callable[[np.ndarray], np.ndarray],
+    suffix: str,
+) -> tuple:
+    """Values of ``PROCESSED_COLUMNS`` of one file: its pixels, or the error text."""
+    image_id = path.rsplit("/", 1)[-1].replace(suffix, "")
+    try:
+        out = preprocess_array(decode(content), target, resize)
+        digest = hashlib.md5(out.astype(np.uint8).tobytes()).hexdigest()
+        return (image_id, path, *target, out.ravel(), digest, None)
+    except Exception as problem:  # quarantined, see ``error``
+        text = str(problem) or type(problem).__name__
+        return (image_id, path, None, None, None, None, text)
+
+
 def preprocess_images(
     files: DataFrame,
     decode: Callable[[bytes], np.ndarray] = dicom_pixels,
@@ -223,21 +243,46 @@ def preprocess_images(
     def process(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         resize = resampler(target)
         for batch in batches:
-            rows = []
-            for path, content in zip(batch["path"], batch["content"]):
-                image_id = path.rsplit("/", 1)[-1].replace(suffix, "")
-                try:
-                    out = preprocess_array(decode(content), target, resize)
-                    digest = hashlib.md5(out.astype(np.uint8).tobytes()).hexdigest()
-                    rows.append((image_id, path, *target, out.ravel(), digest, None))
-                except Exception as problem:  # quarantined, see ``error``
-                    text = str(problem) or type(problem).__name__
-                    rows.append((image_id, path, None, None, None, None, text))
+            rows = [
+                image_row(path, content, decode, target, resize, suffix)
+                for path, content in zip(batch["path"], batch["content"])
+            ]
             yield pd.DataFrame(rows, columns=PROCESSED_COLUMNS, dtype=object)
 
     return files.select("path", "content").mapInPandas(process, PROCESSED_SCHEMA)
 
 
+def read_files_once(
+    files: DataFrame,
+    parse: Callable[[bytes], Mapping[str, object]] = parsing.dicom_header,
+    decode: Callable[[bytes], np.ndarray] = dicom_pixels,
+    target: tuple[int, int] = schemas.TARGET_SIZE,
+    suffix: str = ".dcm",
+) -> DataFrame:
+    """Binary files (path, content) -> the columns of ``preprocess_images``, the raw header fields
+    and ``header_error``: bytes are read and shipped once for both.
+
+    A file may fail as an image and have a header, or the other way round.
+    """
+    fields = [*PROCESSED_COLUMNS, *parsing.FIELDS, "header_error"]
+    header = parsing.PARSED_SCHEMA.partition(", ")[2].replace(", error string", "")
+
+    def process(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        resize = resampler(target)
+        for batch in batches:
+            rows = [
+                (
+                    *image_row(path, content, decode, target, resize, suffix),
+                    *parsing.header_row(content, parse),
+                )
+                for path, content in zip(batch["path"], batch["content"])
+            ]
+            yield pd.DataFrame(rows, columns=fields, dtype=object)
+
+    kind = f"{PROCESSED_SCHEMA}, {header}, header_error string"
+    return files.select("path", "content").mapInPandas(process, kind)
+
+
 def bilinear_bytes(
     planes: np.ndarray, target: tuple[int, int], weights: Callable = bilinear_weights
 ) -> np.ndarray:

@@ -123,9 +123,54 @@ def ingest_images(
     return {"rows": counts["rows"] - counts["bad"], "failed": counts["bad"]}
 
 
+def ingest_files(
+    files: DataFrame,
+    layout: Layout,
+    parse: Callable[[bytes], Mapping[str, object]] = parsing.dicom_header,
+    decode: Callable[[bytes], np.ndarray] = pixels.dicom_pixels,
+    target: tuple[int, int] = schemas.TARGET_SIZE,
+) -> dict[str, int]:
+    """``ingest_headers`` and ``ingest_images`` in one pass over the files.
+
+    The image table is written first and carries the de-identified header of each
+    file; the header tables are cut from its narrow columns, so no pixel is read
+    or written again.
+    """
+    spark = files.sparkSession
+    once = pixels.read_files_once(files, parse, decode, target)
+    own = [c for c in pixels.PROCESSED_COLUMNS if c != "file_path"]
+    staged = headers.deidentified_headers(once, keep=[*own, "header_error"])
+    counts = layout.write(
+        staged.withColumn("outcome", F.when(F.col("error").isNull(), "ok").otherwise("failed")),
+        IMAGES,
+        partition_by=["outcome"],
+        bad=F.count("error"),
+        unparsed=F.count("header_error"),
+    )
+    stored = layout.read(spark, IMAGES).drop("error").withColumnRenamed("header_error", "error")
+    layout.write(parsing.parse_errors(stored), HEADER_ERRORS)
+    silver = schemas.conform(parsing.parsed_rows(stored), schemas.HEADERS)
+    rows = layout.write(silver, HEADERS)["rows"]
+    log_run(
+        spark,
+        layout.audit,
+        schemas.JOB_HEADERS_INGEST,
+        rows,
+        silver.schema.simpleString(),
+        f"{rows} files parsed, {counts['unparsed']} quarantined",
+    )
+    return {
+        "headers": rows,
+        "headers_failed": counts["unparsed"],
+        "images": counts["rows"] - counts["bad"],
+        "images_failed": counts["bad"],
+    }
+
+
 def read_images(spark: SparkSession, layout: Layout) -> DataFrame:
     """image_id, file_path, height, width, pixels, content_hash of every processed image."""
-    return layout.read(spark, IMAGES).where("outcome = 'ok'").drop("outcome", "error")
+    stored = layout.read(spark, IMAGES).where("outcome = 'ok'")
+    return stored.select(*[c for c in pixels.PROCESSED_COLUMNS if c != "error"])
 
 
 def image_errors(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -111,6 +111,40 @@ def test_manifest_job(spark, layout, tmp_path):
     assert audit.read_runs(spark, other.audit).first()["row_count"] == 1
 
 
+def test_one_pass_equals_two_and_opens_each_file_once(spark, layout, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for row in view(spark, SF_DIR, "fx_headers").limit(40).collect():
+        body = {f: row[f] for f in schemas.RAW_HEADER.fieldNames()} | {"image": [[1, 2], [3, 300]]}
+        (raw / row["file_name"]).write_text(json.dumps(body))
+    (raw / "broken.dcm").write_text("broken")
+    (raw / "no_image.dcm").write_text(json.dumps({"modality": "CR"}))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    def pixels_of(content):
+        return np.array(json.loads(content)["image"])
+
+    source = files.read_files(spark, str(raw), ".dcm")
+    watched = source.mapInPandas(counted, source.schema)
+    one, two = (jobs.Layout(str(tmp_path / name)) for name in ("one", "two"))
+    counts = jobs.ingest_files(watched, one, json.loads, pixels_of, (2, 2))
+    assert counts == {"headers": 41, "headers_failed": 1, "images": 40, "images_failed": 2}
+    assert read.value == 42
+    jobs.ingest_headers(source, two, json.loads)
+    jobs.ingest_images(source, two, pixels_of, (2, 2))
+    for table in (jobs.HEADERS, jobs.HEADER_ERRORS):
+        got, expected = ([tuple(r) for r in out.read(spark, table).collect()] for out in (one, two))
+        assert sorted(map(str, got)) == sorted(map(str, expected))
+    for read_part in (jobs.read_images, jobs.image_errors):
+        got, expected = ([tuple(r) for r in read_part(spark, out).collect()] for out in (one, two))
+        assert sorted(map(str, got)) == sorted(map(str, expected))
+
+
 def test_small_and_coloured_images_are_stored(spark, tmp_path):
     rng = np.random.default_rng(1)
     images = [rng.integers(0, 255, shape).tolist() for shape in [(200, 200), (300, 100), (20, 30, 3)]]
