@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roentra.operators.durable import materialize
 
@@ -32,6 +32,8 @@ BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 BLOCK_WORDS = 1_000_000
 BUCKET_BYTES = 4_000_000
 LEAST_BUCKETS = 512
+# Hash slots by which most texts that lose nothing are kept out of the last shuffle.
+SLOTS = 1 << 20
 
 MESSAGE = (
     "bucket int, block long, hashes binary, places binary, many binary, "
@@ -272,6 +274,10 @@ def repeated_spans(
     )
 
 
+def _slot(doc_id: str, text_hash: str) -> Column:
+    return F.pmod(F.xxhash64(doc_id, text_hash), F.lit(SLOTS)).alias("slot")
+
+
 def remove_repeats(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35
 ) -> DataFrame:
@@ -297,6 +303,12 @@ def remove_repeats(
         F.xxhash64(text).alias("own_hash"),
         text.cast("binary").alias("raw"),
     )
+    # At most SLOTS rows, so they may be broadcast; with more documents to cut they fill up, and
+    # more texts are shuffled for nothing, but none is missed.
+    slots = cut.select(_slot("own_id", "text_hash")).distinct()
+    texts = texts.withColumn("slot", _slot("id", "own_hash")).join(
+        F.broadcast(slots), "slot", "left_semi"
+    )
     same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("own_hash") == F.col("text_hash"))
     met = texts.join(cut, same).select("id", "n_words", "n_removed", "raw", "spans")
 
