@@ -2,9 +2,9 @@
 
 Two variable-order Markov models over characters, one of accepted and one of
 rejected URLs, give each character of a URL the log-ratio of its probabilities
-after the longest context in which it was seen. Probabilities are smoothed by
-Witten-Bell interpolation down to a uniform alphabet. The mean log-ratio of a URL
-is compared with a threshold calibrated on labelled URLs that were not learnt from.
+after the characters before it. Probabilities are smoothed by Witten-Bell
+interpolation from the whole context, seen with this character or not, down to a
+uniform alphabet. The mean log-ratio of a URL is compared with a threshold calibrated on labelled URLs that were not learnt from.
 
 The models come from a bounded sample: at most ``MAX_TRAIN`` URLs a verdict, those
 with the smallest hashes, of at most ``MAX_CHARS`` characters, so that a table of
@@ -76,18 +76,12 @@ def rule_for(rules: list[Rule], host: Column, path: Column) -> tuple[Column, Col
 
 
 def _grams(df: DataFrame, keep: list[str]) -> DataFrame:
-    """Row per character of ``url``, the end included, with g0..g<ORDER>: it after 0, 1, ... others."""
+    """Row per character of ``url``, the end included, with ``gram``: it after ORDER others."""
     text = F.concat(F.lit(START * ORDER), _lower(F.coalesce("url", F.lit(""))), F.lit(END))
     places = df.select(*keep, text.alias("text")).select(
-        *keep, "text", F.explode(F.sequence(F.lit(ORDER + 1), F.length("text"))).alias("at")
-    )
-    return places.select(
-        *keep,
-        *[
-            F.substring("text", F.col("at") - i, F.lit(i + 1)).alias(f"g{i}")
-            for i in range(ORDER + 1)
-        ],
+        *keep, "text", F.explode(F.sequence(F.lit(1), F.length("text") - ORDER)).alias("at")
     )
+    return places.select(*keep, F.substring("text", F.col("at"), F.lit(ORDER + 1)).alias("gram"))
 
 
 def _sample(labelled: DataFrame, max_train: int) -> DataFrame:
@@ -102,11 +96,11 @@ def _sample(labelled: DataFrame, max_train: int) -> DataFrame:
     return parts[0].union(parts[1]).withColumn("aside", aside)
 
 
-def _level(grams: DataFrame, i: int) -> DataFrame:
-    """(gram, short, a, b, and of its context: sum and kinds in either model)."""
-    one = grams.groupBy(F.col(f"g{i}").alias("gram")).agg(
-        F.count_if(F.col("verdict") == ALLOW).alias("a"),
-        F.count_if(F.col("verdict") == BLOCK).alias("b"),
+def _level(counts: DataFrame, i: int) -> DataFrame:
+    """(gram, short, a, b, and of its context: sum and kinds in either model) of the grams of
+    ``i`` + 1 characters that end the counted ones."""
+    one = counts.groupBy(F.substring("gram", ORDER + 1 - i, i + 1).alias("gram")).agg(
+        F.sum("a").alias("a"), F.sum("b").alias("b")
     )
     context = F.substring("gram", F.lit(1), F.lit(i))
     totals = one.groupBy(context.alias("context")).agg(
@@ -124,40 +118,61 @@ def _smoothed(model: str, lower: Column) -> Column:
     return F.when(total == 0, lower).otherwise((n + kinds * lower) / (total + kinds))
 
 
-def fit(sample: DataFrame) -> list[DataFrame]:
-    """Per order a table (gram, ratio): the log-ratio of a character after that many others."""
-    grams = materialize(_grams(sample.where("NOT aside"), ["verdict"]), "url-grams")
+def fit(sample: DataFrame) -> DataFrame:
+    """(gram, a, b): how often either verdict's URLs have a character after ORDER others.
+
+    Shorter grams are the ends of these, as the URLs are padded.
+    """
+    counts = _grams(sample.where("NOT aside"), ["verdict"]).groupBy("gram").agg(
+        F.count_if(F.col("verdict") == ALLOW).alias("a"),
+        F.count_if(F.col("verdict") == BLOCK).alias("b"),
+    )
+    return materialize(counts, "url-model")
+
+
+def ratios(asked: DataFrame, model: DataFrame) -> DataFrame:
+    """(gram, ratio): the log-ratio of the two probabilities of each asked or counted gram's last
+    character after the others.
+
+    Asked grams join the counted ones with a count of nothing, so that the recursion
+    begins with the whole context for every gram: where a context was seen without
+    this character, the escape weights of both models count.
+    """
+    none = F.lit(0).cast("long")
+    counts = model.union(asked.select("gram", none.alias("a"), none.alias("b")))
+    counts = counts.groupBy("gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counts = materialize(counts, "url-asked")
     uniform = F.lit(1.0 / ALPHABET)
-    level = _level(grams, 0).select(
+    level = _level(counts, 0).select(
         "gram", _smoothed("a", uniform).alias("p_a"), _smoothed("b", uniform).alias("p_b")
     )
-    levels = [materialize(level, "url-model")]
     for i in range(1, ORDER + 1):
-        lower = levels[-1].select(
+        lower = materialize(level, "url-level").select(
             F.col("gram").alias("short"), F.col("p_a").alias("low_a"), F.col("p_b").alias("low_b")
         )
-        level = _level(grams, i).join(lower, "short")
+        level = _level(counts, i).join(lower, "short")
         level = level.select(
             "gram",
             _smoothed("a", F.col("low_a")).alias("p_a"),
             _smoothed("b", F.col("low_b")).alias("p_b"),
         )
-        levels.append(materialize(level, "url-model"))
-    return [m.select("gram", (F.log("p_a") - F.log("p_b")).alias("ratio")) for m in levels]
+    return materialize(level.select("gram", (F.log("p_a") - F.log("p_b")).alias("ratio")), "url-level")
 
 
-def scores(df: DataFrame, model: list[DataFrame], keep: list[str]) -> DataFrame:
+def scores(df: DataFrame, model: DataFrame, keep: list[str]) -> DataFrame:
     """(kept columns, score): the mean log-ratio of all characters of ``url``, its end included.
 
-    The kept columns name a row; rows equal in all of them give one. A character
-    that neither model has seen counts as no evidence.
+    The kept columns name a row; rows equal in all of them give one. Ratios are
+    summed as decimals, so that equal URLs have equal scores in any order of their
+    characters.
     """
     places = _grams(df, keep)
-    for i, table in enumerate(model):
-        named = table.select(F.col("gram").alias(f"m{i}"), F.col("ratio").alias(f"r{i}"))
-        places = places.join(F.broadcast(named), F.col(f"g{i}") == F.col(f"m{i}"), "left")
-    longest = F.coalesce(*[F.col(f"r{i}") for i in reversed(range(len(model)))], F.lit(0.0))
-    return places.groupBy(*keep).agg(F.avg(longest).alias("score"))
+    table = ratios(places.select("gram").distinct(), model)
+    exact = F.col("ratio").cast("decimal(20,12)")
+    total = places.join(table, "gram").groupBy(*keep).agg(
+        F.sum(exact).cast("double").alias("total"), F.count(F.lit(1)).alias("n")
+    )
+    return total.select(*keep, (F.col("total") / F.col("n")).alias("score"))
 
 
 def calibrate(scored: DataFrame) -> float:

@@ -185,6 +185,49 @@ def test_scores_equal_the_recursion(spark):
         assert row["score"] == pytest.approx(expected, abs=1e-9)
 
 
+def counted(samples, order):
+    """Occurrences of all grams and, by context, sums and kinds in each verdict's URLs."""
+    counts = {v: Counter() for v in samples}
+    sums, kinds = {v: Counter() for v in samples}, {v: Counter() for v in samples}
+    for v, urls in samples.items():
+        for u in urls:
+            text = url_filter.START * order + u + url_filter.END
+            for i in range(order, len(text)):
+                counts[v].update(text[i - k : i + 1] for k in range(order + 1))
+        for gram, n in counts[v].items():
+            sums[v][gram[:-1]] += n
+            kinds[v][gram[:-1]] += 1
+    return counts, sums, kinds
+
+
+def full_ratio(tables, url, order):
+    """Mean log-ratio by recursion from the whole context of each character."""
+    counts, sums, kinds = tables
+
+    def chance(v, gram):
+        lower = chance(v, gram[1:]) if len(gram) > 1 else 1 / url_filter.ALPHABET
+        context = gram[:-1]
+        if not sums[v][context]:
+            return lower
+        return (counts[v][gram] + kinds[v][context] * lower) / (sums[v][context] + kinds[v][context])
+
+    text = url_filter.START * order + url + url_filter.END
+    grams = [text[i - order : i + 1] for i in range(order, len(text))]
+    return sum(math.log(chance("allow", g) / chance("block", g)) for g in grams) / len(grams)
+
+
+def test_scores_have_the_escapes_of_contexts_that_were_seen(spark):
+    samples = {"allow": ["http://good/a", "http://good/b", "ok"], "block": ["http://bad/a", "pills"]}
+    rows = [(u, v, False) for v, urls in samples.items() for u in urls]
+    model = url_filter.fit(spark.createDataFrame(rows, "url string, verdict string, aside boolean"))
+    urls = ["http://good/c", "http://good/7", "pills pills", "", "漢", "http://bad/漢", "http://bad/"]
+    asked = spark.createDataFrame([(u,) for u in urls], "url string")
+    found = {r["url"]: r["score"] for r in url_filter.scores(asked, model, ["url"]).collect()}
+    tables = counted(samples, url_filter.ORDER)
+    for url in urls:
+        assert found[url] == pytest.approx(full_ratio(tables, url, url_filter.ORDER), abs=1e-9)
+
+
 def test_url_odd_rows(spark):
     schema = "page_id long, url string, html string, host string, score long, text string, rule int"
     urls = [None, "", "no", "http://a.org/x", "http://a.org/x", "http://b.com/de/y", "http://c.net/" + "z" * 5000]
