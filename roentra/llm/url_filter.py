@@ -6,10 +6,10 @@ after the characters before it. Probabilities are smoothed by Witten-Bell
 interpolation from the whole context, seen with this character or not, down to a
 uniform alphabet. The mean log-ratio of a URL is compared with a threshold calibrated on labelled URLs that were not learnt from.
 
-The models come from a bounded sample: at most ``MAX_TRAIN`` URLs a verdict, those
-with the smallest hashes, of at most ``MAX_CHARS`` characters, so that a table of
-them has at most 2 * MAX_TRAIN * (MAX_CHARS + 1) rows (tens of thousands in
-practice) and may be broadcast. Every URL is scored, whole.
+Grams of all labelled URLs are counted but for the part set aside, all of which
+calibrates. Tables of grams and the rows that ask for them meet in unforced joins,
+where adaptive execution can split a common gram. Every URL counts and is scored
+whole.
 """
 
 from __future__ import annotations
@@ -22,11 +22,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from roentra.operators.durable import materialize
 
 ORDER = 4
-MAX_TRAIN = 4000
-MAX_CHARS = 250
 ALPHABET = 256
-# One in so many of the sample calibrates.
+# One in so many of the labelled URLs calibrates.
 ASIDE = 5
+# Ranges of scores, whose totals are gathered to calibrate.
+BINS = 4096
 START, END = "\x02", "\x03"
 ALLOW, BLOCK = "allow", "block"
 
@@ -84,16 +84,11 @@ def _grams(df: DataFrame, keep: list[str]) -> DataFrame:
     return places.select(*keep, F.substring("text", F.col("at"), F.lit(ORDER + 1)).alias("gram"))
 
 
-def _sample(labelled: DataFrame, max_train: int) -> DataFrame:
-    """(url, verdict, aside): at most ``max_train`` distinct URLs of each verdict."""
-    short = labelled.where(F.length("url") <= MAX_CHARS).select("url", "verdict").distinct()
-    place = F.xxhash64("url")
-    parts = [
-        short.where(F.col("verdict") == v).orderBy(place, "url").limit(max_train)
-        for v in (ALLOW, BLOCK)
-    ]
+def examples(labelled: DataFrame) -> DataFrame:
+    """(row, url, verdict, aside) of each distinct URL of ``labelled`` (row, url, verdict)."""
     aside = F.pmod(F.xxhash64(F.lit(1), "url"), F.lit(ASIDE)) == 0
-    return parts[0].union(parts[1]).withColumn("aside", aside)
+    once = labelled.groupBy("url", "verdict").agg(F.min("row").alias("row"))
+    return once.select("row", "url", "verdict", aside.alias("aside"))
 
 
 def _level(counts: DataFrame, i: int) -> DataFrame:
@@ -179,34 +174,46 @@ def calibrate(scored: DataFrame) -> float:
     """The score that best parts the verdicts: most allowed share above less blocked share above,
     in the middle between two scores; 0 unless both verdicts are there.
 
-    ``scored`` is bounded by the sample.
+    Shares above a score are the totals of the ranges above its own, which are at most
+    ``BINS`` rows, and a running total inside its range.
     """
     counts = scored.groupBy("score").agg(
         F.count_if(F.col("verdict") == ALLOW).alias("a"),
         F.count_if(F.col("verdict") == BLOCK).alias("b"),
     )
-    whole, down = Window.partitionBy(), Window.orderBy(F.desc("score"))
-
-    def share(name: str) -> Column:
-        return F.try_divide(F.sum(name).over(down), F.sum(name).over(whole))
-
-    gain = share("a") - share("b")
-    next_score = F.coalesce(F.lead("score").over(down), F.col("score"))
+    counts = materialize(counts, "url-scores")
+    low, high, n_a, n_b = counts.agg(F.min("score"), F.max("score"), F.sum("a"), F.sum("b")).first()
+    if not n_a or not n_b:
+        return 0.0
+    width = (high - low) / BINS or 1.0
+    ranged = counts.withColumn("bin", F.floor((F.col("score") - low) / width))
+    down = Window.orderBy(F.desc("bin"))
+    above = down.rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("bin").agg(
+        F.sum("a").alias("a"), F.sum("b").alias("b"), F.max("score").alias("top")
+    )
+    bins = totals.select(
+        "bin",
+        F.coalesce(F.sum("a").over(above), F.lit(0)).alias("above_a"),
+        F.coalesce(F.sum("b").over(above), F.lit(0)).alias("above_b"),
+        F.lead("top").over(down).alias("below"),
+    )
+    inside = Window.partitionBy("bin").orderBy(F.desc("score"))
+    placed = ranged.join(bins, "bin")
+    gain = (F.col("above_a") + F.sum("a").over(inside)) / n_a - (
+        F.col("above_b") + F.sum("b").over(inside)
+    ) / n_b
+    next_score = F.coalesce(F.lead("score").over(inside), "below", "score")
     best = (
-        counts.select("score", gain.alias("gain"), next_score.alias("next"))
-        .where("gain IS NOT NULL")
+        placed.select("score", gain.alias("gain"), next_score.alias("next"))
         .orderBy(F.desc("gain"), F.desc("score"))
         .first()
     )
-    return (best["score"] + best["next"]) / 2 if best else 0.0
+    return (best["score"] + best["next"]) / 2
 
 
 def judge(
-    df: DataFrame,
-    rules: list[Rule],
-    id_col: str = "page_id",
-    url_col: str = "url",
-    max_train: int = MAX_TRAIN,
+    df: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url"
 ) -> DataFrame:
     """(id, host, path, rule, verdict, score): one row per row of ``df``.
 
@@ -224,18 +231,18 @@ def judge(
         .agg(F.count(F.lit(1)).alias("copies"))
         .select("*", host.alias("host"), path.alias("path"))
         .select("*", rule.alias("rule"), verdict.alias("ruled"))
+        .withColumn("row", F.monotonically_increasing_id())
     )
     known = materialize(known, "url-rows")
-    labelled = known.where("ruled IS NOT NULL").select("url", F.col("ruled").alias("verdict"))
-    sample = materialize(_sample(labelled, max_train), "url-sample")
-    model = fit(sample)
-    threshold = calibrate(scores(sample.where("aside"), model, ["url", "verdict"]))
-    open_ = scores(
-        known.where("ruled IS NULL"), model, ["id", "url", "copies", "host", "path", "rule"]
-    )
+    labelled = known.where("ruled IS NOT NULL").select("row", "url", F.col("ruled").alias("verdict"))
+    sample = materialize(examples(labelled), "url-examples")
+    open_ = known.where("ruled IS NULL")
+    asked = open_.select("row", "url").union(sample.where("aside").select("row", "url"))
+    scored = materialize(scores(asked, fit(sample), ["row"]), "url-scored")
+    threshold = calibrate(sample.where("aside").join(scored, "row").select("score", "verdict"))
     by_model = F.when(F.col("score") >= threshold, ALLOW).otherwise(BLOCK)
     columns = ["id", "host", "path", "rule", "verdict", "score", "copies"]
-    judged = open_.withColumn("verdict", by_model).select(*columns)
+    judged = open_.join(scored, "row").withColumn("verdict", by_model).select(*columns)
     ruled = known.where("ruled IS NOT NULL").select(
         "id", "host", "path", "rule", F.col("ruled").alias("verdict"),
         F.lit(None).cast("double").alias("score"), "copies",

@@ -228,6 +228,56 @@ def test_scores_have_the_escapes_of_contexts_that_were_seen(spark):
         assert found[url] == pytest.approx(full_ratio(tables, url, url_filter.ORDER), abs=1e-9)
 
 
+def test_all_labelled_urls_count(spark):
+    """More URLs than 4,000 a verdict, some longer than 250 characters: all count, none is cut."""
+    rng = random.Random(5)
+    host = lambda: "".join(rng.choices("abcdefgh", k=5))
+    urls = [f"http://{host()}.{end}/{i}" for i in range(5000) for end in ("org", "com")]
+    urls += [f"http://rare{i}.org/" + "q" * 300 for i in range(5)] + [f"http://rare.com/{'z' * 400}{i}" for i in range(5)]
+    urls += ["http://rare3.net/qqqq", "http://open.net/zzzz", "http://abc.net/17"]
+    rules = [url_filter.Rule("org/", "allow"), url_filter.Rule("com/", "block")]
+    rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").cache()
+    verdicts = {u: "allow" if ".org/" in u else "block" for u in urls if ".net/" not in u}
+    aside = F.pmod(F.xxhash64(F.lit(1), "url"), F.lit(url_filter.ASIDE)) == 0
+    held = {r["url"] for r in rows.where(aside).collect()}
+    samples = {v: [u for u in verdicts if verdicts[u] == v and u not in held] for v in ("allow", "block")}
+    assert max(len(u) for u in samples["allow"]) > 250 < max(len(u) for u in samples["block"])
+    tables = counted(samples, url_filter.ORDER)
+    found = {urls[r["page_id"]]: r for r in url_filter.judge(rows, rules).where("score IS NOT NULL").collect()}
+    assert len(found) == 3
+    expected = {u: full_ratio(tables, u, url_filter.ORDER) for u in held & set(verdicts) | set(found)}
+    cut = sorted(((expected[u], verdicts[u]) for u in held & set(verdicts)), reverse=True)
+    n = {v: sum(x == v for _, x in cut) for v in ("allow", "block")}
+    share, best = Counter(), (-9, 0)
+    for i, (score, verdict) in enumerate(cut):
+        share[verdict] += 1 / n[verdict]
+        if share["allow"] - share["block"] > best[0] + 1e-12:
+            best = (share["allow"] - share["block"], (score + cut[i + 1][0]) / 2)
+    for url, row in found.items():
+        assert row["score"] == pytest.approx(expected[url], abs=1e-9)
+        assert row["verdict"] == ("allow" if expected[url] >= best[1] else "block")
+
+
+def test_only_long_urls(spark):
+    urls = [f"http://good{i}.org/{'a' * 300}{i}" for i in range(20)] + [f"http://bad{i}.com/{'b' * 300}{i}" for i in range(20)]
+    urls += ["http://x.net/aaaa", "http://x.net/bbbb"]
+    rules = [url_filter.Rule("org/", "allow"), url_filter.Rule("com/", "block")]
+    rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r["page_id"]: r for r in url_filter.judge(rows, rules).where("score IS NOT NULL").collect()}
+    assert found[40]["score"] > 0 > found[41]["score"]
+
+
+def test_threshold_of_many_scores_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BINS", 7)
+    rng = random.Random(6)
+    rows = [(rng.gauss(0.3 if i % 2 else -0.3, 0.5), "allow" if i % 2 else "block") for i in range(500)]
+    rows += [(5.0, "allow"), (5.0, "block")]
+    cut = url_filter.calibrate(spark.createDataFrame(rows, "score double, verdict string"))
+    n = Counter(v for _, v in rows)
+    gain = lambda at: sum((1 if v == "allow" else -1) / n[v] for s, v in rows if s >= at)
+    assert gain(cut) == pytest.approx(max(gain(s) for s, _ in rows))
+
+
 def test_url_odd_rows(spark):
     schema = "page_id long, url string, html string, host string, score long, text string, rule int"
     urls = [None, "", "no", "http://a.org/x", "http://a.org/x", "http://b.com/de/y", "http://c.net/" + "z" * 5000]
