@@ -104,16 +104,29 @@ def _examples(texts: list[bytes], labels: np.ndarray, rng) -> tuple[list[tuple],
     return found, np.array(targets)
 
 
+def spared(target: np.ndarray) -> np.ndarray:
+    """Which texts calibrate: of each label the fifth, tenth, ... text, or its last of two to four."""
+    aside = np.zeros(len(target), dtype=bool)
+    for label in np.unique(target):
+        own = np.flatnonzero(target == label)
+        aside[own[4::5] if len(own) > 4 else own[1:][-1:]] = True
+    return aside
+
+
 def fit(texts: list[bytes], labels: list[str], seed: int = 7) -> Model:
-    """Trains and calibrates; ``texts`` in any order, every fifth (by content order) calibrates."""
+    """Trains and calibrates; ``texts`` in any order.
+
+    A fifth of each label's texts calibrates (by content order; of two to four, one),
+    and none of a label with a single text, which is needed to learn it. Only if no
+    label has two texts is there nothing to calibrate on: the temperature stays 1
+    and the threshold is a guess between all languages.
+    """
     rng = np.random.default_rng(seed)
     order = sorted(range(len(texts)), key=lambda i: (texts[i], labels[i]))
     texts, labels = [texts[i] for i in order], [labels[i] for i in order]
     languages = sorted(set(labels))
     target = np.array([languages.index(x) for x in labels])
-    aside = np.arange(len(texts)) % 5 == 4
-    if len(set(target[~aside].tolist())) < len(languages):
-        aside[:] = False  # too few texts to spare any
+    aside = spared(target)
     train = [t for t, a in zip(texts, aside) if not a]
     rows, goal = _examples(train, target[~aside], rng)
 
@@ -134,6 +147,7 @@ def fit(texts: list[bytes], labels: list[str], seed: int = 7) -> Model:
             embed[used] -= np.outer(rate * len(used) ** 0.5 * share, back)
             step += 1
     model = Model(languages, (embed @ matrix).astype(np.float64), bias.astype(np.float64), 1.0, 0.0)
+    model.threshold = min(0.5, 1 / len(languages))
 
     checks, truth = _examples([t for t, a in zip(texts, aside) if a], target[aside], rng)
     if checks:

@@ -65,3 +65,26 @@ def test_long_texts_are_counted_in_pieces(monkeypatch):
 def test_fits_few_texts(labels):
     model = language_id.fit([f"text {i}".encode() for i in range(len(labels))], labels)
     assert model.languages == sorted(set(labels))
+
+
+def prose(language, i):
+    words = {"a": "the house and water are here", "b": "das haus und wasser ist hier", "c": "la maison avec eau est ici"}
+    return f"{words[language]} {'xyzuvw'[i % 6] * (i % 5 + 1)} {i}".encode()
+
+
+def test_a_label_with_one_text_does_not_turn_calibration_off():
+    own = ["b"] * 34 + ["a"] * 30
+    texts = [prose(x, i) for i, x in enumerate(own)] + [b"l kvantti"]
+    assert sorted(texts).index(b"l kvantti") % 5 == 4  # among every fifth text
+    model = language_id.fit(texts, own + ["rare"])
+    assert model.languages == ["a", "b", "rare"]
+    assert model.temperature != 1.0 and model.threshold >= 1 / 3
+
+
+def test_a_fifth_of_each_label_is_set_aside():
+    import numpy as np
+
+    target = np.array([0] * 20 + [1] * 4 + [2] * 2 + [3] + [4] * 7 + [0] * 5)
+    aside = language_id.spared(target)
+    assert [int(aside[target == k].sum()) for k in range(5)] == [5, 1, 1, 0, 1]
+    assert not language_id.spared(np.arange(5)).any()
