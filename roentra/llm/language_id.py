@@ -6,8 +6,9 @@ spaces, so runs with a space mark the ends of words. A text is the mean of its
 subwords' embeddings, and a linear softmax over that mean gives the languages.
 
 Training is stochastic gradient descent in numpy, in one task, on a bounded
-sample of labelled documents (``max_train_docs``; the feature counts of a document
-are bounded by the number of buckets). A part of the sample is set aside to
+sample of labelled documents (``max_train_docs`` dealt evenly to the labels, some
+tens each at least; the feature counts of a document are bounded by the number of
+buckets). A part of the sample is set aside to
 calibrate: a temperature that makes the scores probabilities, and the score below
 which a text is rejected. The model has a fixed size and travels with the job.
 """
@@ -20,12 +21,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from roentra.operators.durable import materialize
 
 BUCKETS = 1 << 13
 WIDTH = 16
 LONGEST = 3
 MAX_TRAIN_DOCS = 2000
+# Texts of each label at least; texts beyond the expected number that make up for an estimate.
+LEAST_TRAIN_DOCS, SPARE = 32, 64
 SNIPPETS, SNIPPET_BYTES = 3, 60
 EPOCHS, RATE = 4, 0.5
 # Share of the calibration texts that a rejection threshold may lose at most.
@@ -165,21 +170,32 @@ def fit(texts: list[bytes], labels: list[str], seed: int = 7) -> Model:
 def train(
     labelled: DataFrame, text_col: str, label_col: str, max_train_docs: int = MAX_TRAIN_DOCS
 ) -> Model | None:
-    """Fits on at most ``max_train_docs`` distinct texts, those with the smallest content hashes;
-    None if there are none with a text and a label."""
+    """Fits on a bounded number of distinct texts; None if there are none with a text and a label.
+
+    Of each label the texts with the smallest content hashes: ``max_train_docs``
+    divided by the number of labels, but ``LEAST_TRAIN_DOCS`` at least, or all that
+    the label has. A label so has its examples however small its share of the table is.
+    """
     rows = labelled.select(
         F.col(text_col).cast("binary").alias("text"), F.col(label_col).alias("label")
     ).where("text IS NOT NULL AND label IS NOT NULL")
-    # Only about so many texts as are needed leave their tasks: those below a hash. The count
-    # is of distinct hashes, as copies of one text may be a third of all rows.
-    place = F.xxhash64("text", "label")
-    distinct = rows.agg(F.approx_count_distinct(place)).first()[0]
-    share = min(1.0, 1.5 * max_train_docs / max(1, distinct))
-    few = rows.withColumn("place", place).where(
-        F.shiftrightunsigned("place", 1) < int(share * (1 << 62)) * 2 - 1
+    place = F.shiftrightunsigned(F.xxhash64("text", "label"), 1)
+    # Only about so many texts as are needed leave their tasks: those below a hash that follows
+    # from the label's number of distinct texts, as copies of one may be a third of all rows.
+    # The labels fit in a broadcast, as the model has a vector for each bucket and label.
+    sizes = materialize(
+        rows.groupBy("label").agg(F.approx_count_distinct(place).alias("distinct")), "lang-labels"
+    )
+    bound = max(LEAST_TRAIN_DOCS, max_train_docs // max(1, sizes.count()))
+    share = F.least(F.lit(1.0), (1.5 * bound + SPARE) / F.greatest("distinct", F.lit(1)))
+    cuts = sizes.select(F.col("label").alias("own"), share.alias("share"))
+    few = rows.withColumn("place", place).join(F.broadcast(cuts), F.col("label") == F.col("own"))
+    few = few.where(F.col("place") <= F.col("share") * float(1 << 63))
+    once = few.groupBy("label", "place").agg(F.first("text").alias("text"))
+    ranked = once.withColumn(
+        "rank", F.row_number().over(Window.partitionBy("label").orderBy("place"))
     )
-    once = few.groupBy("place").agg(F.first("text").alias("text"), F.first("label").alias("label"))
-    chosen = once.orderBy("place").limit(max_train_docs).select("text", "label")
+    chosen = ranked.where(F.col("rank") <= bound).select("text", "label")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, labels = [], []

@@ -88,3 +88,24 @@ def test_a_fifth_of_each_label_is_set_aside():
     aside = language_id.spared(target)
     assert [int(aside[target == k].sum()) for k in range(5)] == [5, 1, 1, 0, 1]
     assert not language_id.spared(np.arange(5)).any()
+
+
+def test_rare_labels_are_learnt_from_large_tables(spark):
+    rows = [(prose("ab"[i % 2], i).decode(), "ab"[i % 2]) for i in range(6000)]
+    rows += [(prose("c", i).decode(), "c") for i in range(3)] + [rows[0]] * 50
+    labelled = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    model = language_id.train(labelled, "text", "lang", max_train_docs=60)
+    assert model.languages == ["a", "b", "c"]
+    few = language_id.train(labelled.where("lang != 'c'"), "text", "lang", max_train_docs=60)
+    assert few.languages == ["a", "b"]
+
+
+def test_each_label_gives_its_smallest_hashes(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "LEAST_TRAIN_DOCS", 20)
+    monkeypatch.setattr(language_id, "SPARE", 10**6)
+    rows = [(prose(x, i).decode(), x) for x, n in (("a", 900), ("b", 100), ("c", 7)) for i in range(n)]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    whole = language_id.train(labelled, "text", "lang", max_train_docs=90)
+    monkeypatch.setattr(language_id, "SPARE", 64)
+    cut = language_id.train(labelled.repartition(5), "text", "lang", max_train_docs=90)
+    assert (whole.weights == cut.weights).all() and whole.languages == ["a", "b", "c"]
