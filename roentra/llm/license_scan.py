@@ -3,9 +3,11 @@
 Blocks of a text that could hold a license notice are compressed with each
 template as a raw zstandard dictionary. The bytes saved against compression
 without one rank the templates: what a notice says costs next to nothing once its
-template is known. The best candidates are then confirmed by their exact wording:
-the template's words are aligned with the block's, and a match needs nearly all of
-them, in order, with the differences listed.
+template is known. Templates are then confirmed by their exact wording: the
+template's words are aligned with the block's, and a match needs nearly all of
+them, in order, with the differences listed. All templates are tried, as in a list
+of notices the neighbours may save more bytes than the cue's own notice; one is
+passed over only if the words it lacks near the cue rule out that it wins.
 
 A block is a window of words around a cue (a word that every template has), wide
 enough for the longest template. Texts without a cue are left in the JVM.
@@ -14,6 +16,7 @@ enough for the longest template. Texts without a cue are left in the JVM.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -61,8 +64,7 @@ TEMPLATES = {
 # Every template has one of these, and starts or ends within reach of it.
 CUE = r"licen[sc]ed?|permission|redistribut(?:e|ion)"
 WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
-# Templates confirmed for a cue, best first; the share of a template's words that may differ.
-CONFIRMED = 5
+# The share of a template's words that may differ.
 MOST_DIFFERENT = 0.1
 LEVEL = 19
 
@@ -148,6 +150,7 @@ class Scanner:
             for t in templates
         ]
         self.sizes = [len(self.plain.compress(t.text)) for t in templates]
+        self.counts = [Counter(t.words) for t in templates]
         self.reach = max(len(t.words) for t in templates)
         self.cue = re.compile(CUE)
 
@@ -160,14 +163,18 @@ class Scanner:
         # A template that is all there saves about its own compressed size.
         ranked = sorted(range(len(saved)), key=lambda i: (-saved[i] / self.sizes[i], i))
         best = None
-        for i in ranked[:CONFIRMED]:
+        for i in ranked:
             template = self.templates[i]
             allowed = int(MOST_DIFFERENT * len(template.words))
             low = max(0, cue - len(template.words) - allowed)
             near = words[low : cue + len(template.words) + allowed]
+            # Each word that is not near is a difference at least.
+            lacking = (self.counts[i] - Counter(near)).total()
+            if lacking > allowed or (best is not None and lacking > best[0][0]):
+                continue
             wrong, begin, end = align(template.words, near)
             holds_cue = low + begin <= cue < low + end
-            if saved[i] > 0 and wrong <= allowed and holds_cue:
+            if wrong <= allowed and holds_cue:
                 rank = (wrong, -len(template.words), -saved[i])
                 if best is None or rank < best[0]:
                     best = (rank, i, saved[i] / alone, low + begin, low + end)

@@ -84,3 +84,24 @@ def test_whole_table(spark):
         if line in lines
     }
     assert found >= expected
+
+
+DENSE = [("MIT", 1), ("BSD-3-Clause", 0), ("MIT", 0), ("CC-BY-4.0", 0), ("GPL-2.0", 0), ("Apache-2.0", 0), ("GPL-3.0", 1)]
+
+
+def test_a_dense_list_of_notices_is_found_whole():
+    text = " ".join(license_scan.TEMPLATES[name][i] for name, i in DENSE)
+    found = scan(text)
+    assert [n[2] for n in found] == [name for name, _ in DENSE]
+    assert all(n[4] == "" for n in found)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_random_lists_of_notices_are_found_whole(seed):
+    import random
+
+    rng = random.Random(seed)
+    every = [(n, t) for n, all_ in license_scan.TEMPLATES.items() for t in all_ if (n, t) != ("Apache-2.0", license_scan.TEMPLATES["Apache-2.0"][1])]
+    for _ in range(10):
+        chosen = rng.choices(every, k=7)
+        assert [n[2] for n in scan("\n".join(t for _, t in chosen))] == [n for n, _ in chosen]
