@@ -1,7 +1,8 @@
 """Order MinHash: signatures that follow the edit distance of texts.
 
 The k-mers of a text are its runs of k words (the last ones padded with the end of
-the text), and the i-th occurrence of a k-mer counts as an element of its own. A
+the text; text without spaces and very long words are cut into runs of characters
+before), and the i-th occurrence of a k-mer counts as an element of its own. A
 hash of (k-mer, occurrence) deals the elements into strata and orders them. Two
 strata make an entry: the minimal element of each is kept, the two are put back in
 text order, and the ordered pair is hashed. Texts share an entry when they share
@@ -22,18 +23,60 @@ ENTRIES = 32
 PLACE_BITS = 26
 HASH_BITS = 32
 EDGE = r"[\x20\x09-\x0D]+"
+# Longer words are cut into runs of characters, as are those of scripts without spaces.
+LONGEST, CHARACTERS = 64, 5
+# Thai to Myanmar, Khmer, Tai, Balinese, Han with radicals, kana, Bopomofo, Yi, Javanese, Han beyond.
+UNSPACED = (
+    r"[\u0E00-\x{10FFFF}&&[\u0E00-\u109F\u1780-\u17FF\u1950-\u19FF\u1A20-\u1AAF\u1B00-\u1B7F"
+    r"\u2E80-\u2FDF\u3005-\u3007\u3040-\u312F\u31A0-\u31BF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\uA4CF"
+    r"\uA980-\uA9DF\uA9E0-\uA9FF\uAA60-\uAADF\uF900-\uFAFF\uFF66-\uFF9F\x{20000}-\x{3FFFF}]]"
+)
+
+
+def _runs(hashes: Column, k: int) -> Column:
+    """Array of the hashes of all runs of ``k`` elements, the last ones padded with the end."""
+    joined = hashes
+    for i in range(1, k):
+        rest = F.slice(hashes, i + 1, F.size(hashes))
+        joined = F.zip_with(joined, rest, lambda a, b: F.xxhash64(a, b))
+    return joined
+
+
+def _once(value: Column, use) -> Column:
+    """``use`` of the value, which is computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _unspaced(text: Column) -> Column:
+    return (F.octet_length(text) > F.char_length(text)) & text.rlike(UNSPACED)
 
 
 def kmers(text: Column, k: int = K) -> Column:
     """Array of the hashes of the text's k-mers of words, in text order; never empty (a text without
-    words counts as one empty word, and null as empty)."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), rf"\A{EDGE}|{EDGE}\z", "")
-    words = F.transform(F.split(trimmed, EDGE), lambda w: F.xxhash64(w))
-    joined = words
-    for i in range(1, k):
-        rest = F.slice(words, i + 1, F.size(words))
-        joined = F.zip_with(joined, rest, lambda a, b: F.xxhash64(a, b))
-    return joined
+    words counts as one empty word, and null as empty).
+
+    A run of characters of a script without spaces is a word of its own, and such words
+    and those longer than ``LONGEST`` characters stand as one element for each
+    character: it and the next ``CHARACTERS`` - 1.
+    """
+    given = F.coalesce(text, F.lit(""))
+    spaced = F.when(_unspaced(given), F.regexp_replace(given, f"({UNSPACED}+)", " $1 "))
+    trimmed = F.regexp_replace(F.coalesce(spaced, given), rf"\A{EDGE}|{EDGE}\z", "")
+
+    def long(word: Column) -> Column:
+        return (F.char_length(word) > LONGEST) | _unspaced(word)
+
+    def cut(word: Column) -> Column:
+        characters = F.transform(F.split(word, ""), lambda c: F.xxhash64(c))
+        runs = _once(characters, lambda c: _runs(c, CHARACTERS))
+        return F.when(long(word), runs).otherwise(F.array(F.xxhash64(word)))
+
+    def elements(words: Column) -> Column:
+        return F.when(F.exists(words, long), F.flatten(F.transform(words, cut))).otherwise(
+            F.transform(words, lambda w: F.xxhash64(w))
+        )
+
+    return _once(_once(F.split(trimmed, EDGE), elements), lambda e: _runs(e, k))
 
 
 def signatures(

@@ -80,6 +80,37 @@ def test_likeness_follows_edits_and_order(spark):
     assert df.select(order_minhash.likeness(df.a, df.b)).first()[0] == share(whole, near)
 
 
+def test_likeness_follows_edits_of_texts_without_spaces(spark):
+    rng = random.Random(3)
+    kinds = {
+        "han": [chr(c) for c in range(0x4E00, 0x5200)],
+        "kana": [chr(c) for c in range(0x3042, 0x3090)],
+        "thai": [chr(c) for c in range(0x0E01, 0x0E2F)],
+        "ascii": list("abcdefghijklmnopqrstuvwxyz(){};=.,0123456789"),
+        "beyond": [chr(c) for c in range(0x20000, 0x20400)],
+    }
+    for characters in kinds.values():
+        text = "".join(rng.choices(characters, k=1200))
+        other = "".join(rng.choices(characters, k=1200))
+        edited = text[:800] + other[:400]
+        one = text[:600] + other[0] + text[601:]
+        shifted = other[:3] + text
+        whole, third, single, moved, far = signature(spark, text, edited, one, shifted, other)
+        assert 0.05 < share(whole, third) < 0.8
+        assert share(whole, single) > 0.8 and share(whole, moved) > 0.8
+        assert share(whole, far) < 0.05
+
+
+def test_words_as_before(spark):
+    """Texts of words with spaces have the elements of whole words."""
+    texts = ["the quick  brown\tfox", "", " one ", "é ü a-b", "w" * order_minhash.LONGEST + " x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.transform(F.split(F.trim(F.regexp_replace("t", r"\s+", " ")), " "), lambda w: F.xxhash64(w))
+    rest = F.slice(plain, 2, F.size(plain))
+    for row in df.select(order_minhash.kmers(df.t).alias("a"), F.zip_with(plain, rest, lambda a, b: F.xxhash64(a, b)).alias("b")).collect():
+        assert row["a"] == row["b"]
+
+
 def test_repeats_are_elements_of_their_own(spark):
     few, many = signature(spark, "a b " * 5, "a b " * 500)
     assert few != many and len(many) == order_minhash.ENTRIES
