@@ -172,50 +172,6 @@ def test_longest_rule_wins(spark, url, rule):
     assert tuple(found) == (rule, expected)
 
 
-def brute_ratio(samples, url, order):
-    """Mean log-ratio by plain recursion over the two samples."""
-    pad, end = url_filter.START * order, url_filter.END
-    counts = {v: Counter() for v in samples}
-    for verdict, urls in samples.items():
-        for u in urls:
-            text = pad + u + end
-            for i in range(order, len(text)):
-                for k in range(order + 1):
-                    counts[verdict][text[i - k : i + 1]] += 1
-    kinds = {v: defaultdict(int) for v in samples}
-    sums = {v: Counter() for v in samples}
-    for v, table in counts.items():
-        for gram, n in table.items():
-            kinds[v][len(gram), gram[:-1]] += 1
-            sums[v][len(gram), gram[:-1]] += n
-
-    def chance(v, gram):
-        lower = chance(v, gram[1:]) if len(gram) > 1 else 1 / url_filter.ALPHABET
-        key = (len(gram), gram[:-1])
-        if not sums[v][key]:
-            return lower
-        return (counts[v][gram] + kinds[v][key] * lower) / (sums[v][key] + kinds[v][key])
-
-    text = pad + url + end
-    ratios = []
-    for i in range(order, len(text)):
-        grams = [text[i - k : i + 1] for k in range(order, -1, -1)]
-        seen = next((g for g in grams if any(counts[v][g] for v in samples)), None)
-        ratios.append(0.0 if seen is None else math.log(chance("allow", seen) / chance("block", seen)))
-    return sum(ratios) / len(ratios)
-
-
-def test_scores_equal_the_recursion(spark):
-    samples = {"allow": ["http://good/a", "http://good/b", "ok"], "block": ["http://bad/a", "pills"]}
-    rows = [(u, v, False) for v, urls in samples.items() for u in urls]
-    model = url_filter.fit(spark.createDataFrame(rows, "url string, verdict string, aside boolean"))
-    urls = ["http://good/c", "pills pills", "", "漢", "http://bad/"]
-    asked = spark.createDataFrame([(u,) for u in urls], "url string")
-    for row in url_filter.scores(asked, model, ["url"]).collect():
-        expected = brute_ratio(samples, row["url"], url_filter.ORDER)
-        assert row["score"] == pytest.approx(expected, abs=1e-9)
-
-
 def counted(samples, order):
     """Occurrences of all grams and, by context, sums and kinds in each verdict's URLs."""
     counts = {v: Counter() for v in samples}
