@@ -12,6 +12,8 @@ from roentra.llm import (
     exact_dedup,
     language_id,
     license_scan,
+    merkle,
+    merkle_sql,
     mixing,
     order_minhash,
     ordering,
@@ -182,6 +184,18 @@ def op10_license_scan(spark, sf):
     return license_scan.scan(_documents(spark, sf))
 
 
+@query
+def op11_merkle_manifest(spark, sf):
+    found = merkle.manifest(_documents(spark, sf), merkle.tampered())
+    digests = {"leaf": "leaf", "subroot": "subroot", "root": "root", "proof": "proof_sha256", "folded": "folded_root"}
+    return found.select(
+        "doc_id",
+        *[F.lower(F.hex(c)).alias(name) for c, name in digests.items()],
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+ORACLES["op11_merkle_manifest"] = merkle_sql.ORACLE
 ORACLES["op7_substring_dedup"] = r"""
 WITH listed AS (
     SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
