@@ -21,6 +21,7 @@ from roentra.llm import (
     simhash,
     substring_dedup,
     url_filter,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,6 +196,11 @@ def op11_merkle_manifest(spark, sf):
     )
 
 
+@query
+def op13_whitening(spark, sf):
+    return whitening.whiten(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 ORACLES["op11_merkle_manifest"] = merkle_sql.ORACLE
 ORACLES["op7_substring_dedup"] = r"""
 WITH listed AS (
