@@ -20,6 +20,7 @@ from roentra.llm import (
     sharding,
     simhash,
     substring_dedup,
+    toxicity,
     url_filter,
     whitening,
 )
@@ -196,6 +197,11 @@ def op11_merkle_manifest(spark, sf):
     )
 
 
+@query
+def op12_toxicity(spark, sf):
+    return toxicity.judge(_documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
 @query
 def op13_whitening(spark, sf):
     return whitening.whiten(spark.read.parquet(f"{sf}/embeddings.parquet"))
