@@ -164,6 +164,19 @@ PARTS = {
     "image_weight": """
         SELECT count(*) FILTER (WHERE label = 0)::DOUBLE / count(*) FILTER (WHERE label = 1) AS pw, count(*) AS size
         FROM image_splits WHERE split = 'train'""",
+    "unit_inputs": """
+        SELECT image_id, j, tanh(sum(x::DOUBLE * (((pos * 3 + j) * 37) % 13 - 6) / 16.0::DOUBLE) + (j - 1) / 8.0::DOUBLE)
+               AS h
+        FROM flat_pixels, range(3) t(j) GROUP BY image_id, j""",
+    "errors": """
+        SELECT image_id, label, pw, z,
+               CASE WHEN label = 1 THEN -pw / (1 + exp(z)) ELSE 1 / (1 + exp(-z)) END AS e
+        FROM (SELECT image_id, sum(h * (j + 1) / 4.0::DOUBLE) + 0.0625::DOUBLE AS z FROM unit_inputs GROUP BY image_id)
+             JOIN image_splits USING (image_id), image_weight
+        WHERE split = 'train'""",
+    "unit_errors": """
+        SELECT image_id, j, h, e, e * (j + 1) / 4.0::DOUBLE * (1 - h * h) AS d
+        FROM errors JOIN unit_inputs USING (image_id)""",
     "examples": "SELECT CAST(image_id AS VARCHAR) AS image_id, len(pixels) AS n_pixels FROM fx_pixels",
 }
 
@@ -309,6 +322,9 @@ FINAL = {
     "training_examples": """
         SELECT original_filename, label, split, CAST(n_pixels AS INTEGER) AS n_pixels
         FROM gold JOIN examples ON original_filename = image_id""",
+    "training_examples_bucketed": """
+        SELECT original_filename, label, split, CAST(n_pixels AS INTEGER) AS n_pixels
+        FROM gold JOIN examples ON original_filename = image_id""",
     "ops_metrics": """
         SELECT count(*) AS total_runs, count(DISTINCT job_name) AS unique_jobs,
                strftime(max(run_timestamp), '%Y-%m-%d %H:%M') AS latest_run
@@ -395,6 +411,28 @@ FINAL = {
                round((v / 255.0::DOUBLE - m) / s, 5) AS v
         FROM halved, (VALUES (0, 0.485::DOUBLE, 0.229::DOUBLE), (1, 0.456::DOUBLE, 0.224::DOUBLE),
                              (2, 0.406::DOUBLE, 0.225::DOUBLE)) AS k(channel, m, s)""",
+    "step_gradient": """
+        SELECT 'loss' AS kind, 0::BIGINT AS position,
+               round(avg(CASE WHEN label = 1 THEN pw * (ln(1 + exp(-abs(z))) + greatest(-z, 0))
+                              ELSE ln(1 + exp(-abs(z))) + greatest(z, 0) END), 6) + 0.0::DOUBLE AS value
+        FROM errors
+        UNION ALL
+        SELECT 'slope', CAST(pos * 3 + j AS BIGINT), round(sum(x::DOUBLE * d) / (SELECT count(*) FROM errors), 6) + 0.0::DOUBLE
+        FROM unit_errors JOIN flat_pixels USING (image_id) GROUP BY pos, j
+        UNION ALL
+        SELECT 'slope', CAST(192 + j AS BIGINT), round(avg(d), 6) + 0.0::DOUBLE FROM unit_errors GROUP BY j
+        UNION ALL
+        SELECT 'slope', CAST(195 + j AS BIGINT), round(avg(e * h), 6) + 0.0::DOUBLE FROM unit_errors GROUP BY j
+        UNION ALL
+        SELECT 'slope', 198::BIGINT, round(avg(e), 6) + 0.0::DOUBLE FROM errors""",
+    "epoch_facts": """
+        SELECT run_name, step, metric, value
+        FROM (SELECT 'phase1_frozen_backbone' AS run_name, step, 0.001::DOUBLE AS rate FROM range(3) t(step)
+              UNION ALL
+              SELECT 'phase2_fine_tune', step, round(0.0001::DOUBLE * (1 + cos(pi() * step / 8)) / 2, 9)
+              FROM range(8) t(step)),
+             (SELECT size FROM image_weight),
+             LATERAL (VALUES ('learning_rate', rate), ('train_rows', size::DOUBLE)) AS v(metric, value)""",
     "batch_scores": """
         SELECT image_id, CASE WHEN image_id % 9 <> 0
                               THEN round(1 / (1 + exp(-sum(x::DOUBLE * ((37 * pos) % 11 - 5) / 8.0::DOUBLE))), 6) END

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roentra import schemas
 from roentra.functions import times
-from roentra.operators import classifier, gold, headers, parsing, pixels, quality, scoring
+from roentra.operators import classifier, epochs, gold, headers, parsing, pixels, quality, scoring
 from roentra.operators.skew import hot_keys
 from roentra.plans.audit import log_run
-from roentra.sources.tables import read_table, write_table
+from roentra.sources.buckets import read_bucketed, write_bucketed
+from roentra.sources.tables import is_table, read_table, write_table
 from roentra.streaming.arrivals import run_manifest
 
 
@@ -35,6 +36,9 @@ class Layout:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return read_table(spark, self.path(table), self.fmt)
 
+    def exists(self, spark: SparkSession, table: str) -> bool:
+        return is_table(spark, self.path(table), self.fmt)
+
     def write(self, df: DataFrame, table: str, **options) -> dict[str, int]:
         return write_table(df, self.path(table), self.fmt, **options)
 
@@ -53,7 +57,10 @@ DEMOGRAPHICS = "gold/analytics_summary/demographics"
 DQ_SUMMARY = "gold/analytics_summary/dq_summary"
 MANIFEST = "bronze/image_manifest"
 EXAMPLES = "gold/training_examples"
+BUCKETED_IMAGES = "silver/images_bucketed"
 RUN_METRICS = "models/run_metrics"
+EPOCH_METRICS = "models/epoch_metrics"
+NETWORK = "models/network"
 PREDICTIONS = "gold/predictions"
 ALERTS = "gold/clinical_alerts"
 UPLOADS = "silver/uploads_screened"
@@ -267,19 +274,37 @@ def ingest_manifest(topic: DataFrame, layout: Layout) -> dict[str, int]:
     return counts
 
 
-def train_classifier(
-    spark: SparkSession, layout: Layout, **training
-) -> classifier.TrainedClassifier:
-    """Gold rows + processed images -> examples table, selected model, metric log.
+def bucket_images(spark: SparkSession, layout: Layout, buckets: int) -> None:
+    """Pixels of the processed images, shuffled once to buckets of their id.
 
-    The examples are written partitioned by split, so the many passes of the
-    training read only their partition and never repeat the join.
+    Run it after new images; later training sets join them in place. Choose so many
+    buckets that one holds some hundred MB of pixels.
     """
-    examples = gold.training_examples(
-        layout.read(spark, MODEL_READY), read_images(spark, layout)
-    )
-    layout.write(examples, EXAMPLES, partition_by=["split"])
-    stored = layout.read(spark, EXAMPLES)
+    images = read_images(spark, layout).select("image_id", "pixels")
+    write_bucketed(images, layout.path(BUCKETED_IMAGES), "image_id", buckets)
+
+
+def build_examples(spark: SparkSession, layout: Layout, bucketed: bool = False) -> DataFrame:
+    """Gold rows + processed images -> examples table, partitioned by split.
+
+    The many passes of a training read only their partition and never repeat the
+    join. With ``bucketed`` the pixels come from ``bucket_images`` and are not
+    shuffled, but for those of hot file names.
+    """
+    ready = layout.read(spark, MODEL_READY)
+    if bucketed:
+        images = read_bucketed(spark, layout.path(BUCKETED_IMAGES))
+    else:
+        images = read_images(spark, layout)
+    layout.write(gold.training_examples(ready, images), EXAMPLES, partition_by=["split"])
+    return layout.read(spark, EXAMPLES)
+
+
+def train_classifier(
+    spark: SparkSession, layout: Layout, bucketed: bool = False, **training
+) -> classifier.TrainedClassifier:
+    """Gold rows + processed images -> examples table, selected model, metric log."""
+    stored = build_examples(spark, layout, bucketed)
     trained = classifier.train_weighted(
         gold.rows_of_split(stored, "train"), gold.rows_of_split(stored, "val"), **training
     )
@@ -289,6 +314,43 @@ def train_classifier(
     return trained
 
 
+def train_network(
+    spark: SparkSession,
+    layout: Layout,
+    run: str,
+    units: int = 64,
+    batches: int = 16,
+    bucketed: bool = False,
+    phases: Sequence[epochs.Phase] = epochs.PHASES,
+    **training,
+) -> epochs.Trained:
+    """Gold rows + processed images -> examples, both phases of epochs, metric log, best network.
+
+    ``run`` names the folder of the checkpoints: the same name goes on from the last
+    whole epoch, on the mini-batches dealt at its start.
+    """
+    own = f"models/runs/{run}"
+    if not layout.exists(spark, f"{own}/train"):
+        stored = build_examples(spark, layout, bucketed)
+        for name, parts in (("val", 1), ("test", 1), ("train", batches)):
+            rows = gold.rows_of_split(stored, name)
+            dealt = epochs.dealt_rows(rows, F.col("file_path"), parts)
+            layout.write(dealt, f"{own}/{name}", partition_by=["batch"])
+    train, val, test = (layout.read(spark, f"{own}/{name}") for name in ("train", "val", "test"))
+    first = train.select(F.size("features").alias("n")).first()
+    if first is None:
+        raise ValueError("training rows must hold both classes")
+    network = epochs.Network.start(first["n"], units)
+    trained = epochs.train(
+        train, val, network, phases, checkpoints=layout.path(f"{own}/checkpoints"), **training
+    )
+    scored = epochs.score(trained.best, test).drop("features")
+    final = classifier.evaluation_rows(scored, trained.pos_weight)
+    layout.write(trained.run_metrics.unionByName(final), EPOCH_METRICS)
+    layout.write(epochs.as_table(spark, trained.best), NETWORK)
+    return trained
+
+
 def score_images(
     spark: SparkSession, layout: Layout, model: LogisticRegressionModel | None = None
 ) -> dict[str, int]:

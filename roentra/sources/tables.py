@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -15,6 +16,17 @@ def read_table(
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def is_table(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """Whether a table with a known schema lies at the path: a write that broke off is none."""
+    try:
+        read_table(spark, path, fmt)
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+    return True
+
+
 def write_table(
     df: DataFrame,
     path: str,

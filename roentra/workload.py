@@ -14,6 +14,7 @@ from roentra.functions import identity, scores, times
 from roentra.operators import (
     arrivals,
     classifier,
+    epochs,
     gold,
     headers,
     labels,
@@ -27,7 +28,7 @@ from roentra.operators import (
 from roentra.operators.durable import materialize, new_table_path
 from roentra.operators.skew import hot_keys
 from roentra.plans import audit, dashboard, jobs
-from roentra.sources import jdbc, jsonlines, tables
+from roentra.sources import buckets, jdbc, jsonlines, tables
 from roentra.streaming import alerts as alert_stream, arrivals as arrival_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -339,6 +340,20 @@ def training_examples(spark, sf):
     )
 
 
+@query
+def training_examples_bucketed(spark, sf):
+    """The same from images kept in buckets of their id, which are not shuffled again."""
+    images, path = view(spark, sf, "fx_pixels"), new_table_path(spark, "images")
+    named = images.select(F.col("image_id").cast("string").alias("image_id"), "pixels")
+    buckets.write_bucketed(named, path, "image_id", 16)
+    hot = hot_keys(_silver(spark, sf), "original_filename")
+    stored = buckets.read_bucketed(spark, path)
+    examples = gold.training_examples(_gold(spark, sf), stored, hot)
+    return examples.select(
+        "original_filename", "label", "split", F.size("pixels").alias("n_pixels")
+    )
+
+
 # --- dashboard tables --------------------------------------------------------
 
 
@@ -681,3 +696,56 @@ def fit_gradient(spark, sf):
     )
     rows = classifier.objective_gradient(trained, train, 0.1)
     return rows.select("feature", (F.round("gradient", 3) + F.lit(0.0)).alias("gradient"))
+
+
+def _fixed_network() -> epochs.Network:
+    """64 inputs under 3 units: weight k of the layer is ((37 k) mod 13 - 6) / 16, of the units'
+    offsets (k - 1) / 8, of the head (k + 1) / 4, and 1/16 is added to the logit."""
+    layer = ((np.arange(192) * 37) % 13 - 6) / 16
+    units = np.arange(3)
+    weights = np.concatenate([layer, (units - 1) / 8, (units + 1) / 4, [1 / 16]])
+    return epochs.Network(64, 3, weights)
+
+
+def _dealt(examples, split_name, batches):
+    """Mini-batches of one split, with the bare pixels as features."""
+    rows = gold.rows_of_split(examples, split_name)
+    return epochs.deal(rows, F.col("image_id"), batches, F.col("pixels").cast("array<double>"))
+
+
+@query
+def step_gradient(spark, sf):
+    """Mean loss and gradient over the training rows, summed over mini-batches, at fixed weights."""
+    rows = _dealt(_examples(spark, sf), "train", 4)
+    pos_weight = labels.class_weight(rows).first()["pos_weight"]
+    network, tasks = _fixed_network(), epochs.count_tasks(rows)
+    parts = [
+        epochs.batch_gradient(rows.where(F.col("batch") == b), network, pos_weight, tasks)
+        for b in range(4)
+    ]
+    n, loss, gradient = (sum(column) for column in zip(*[p for p in parts if p]))
+    values = [("loss", 0, loss / n)] + [("slope", i, g) for i, g in enumerate((gradient / n).tolist())]
+    found = spark.createDataFrame(values, "kind string, position long, value double")
+    return found.withColumn("value", F.round("value", 6) + F.lit(0.0))
+
+
+def _epochs(spark, sf, **options):
+    examples = _examples(spark, sf)
+    rows, val = _dealt(examples, "train", 2), _dealt(examples, "val", 1)
+    return epochs.train(rows, val, epochs.Network.start(64, 8), **options)
+
+
+@query
+def epoch_facts(spark, sf):
+    """Of every epoch of both phases the rate and the rows it read, as the metric log has them."""
+    log = _epochs(spark, sf).run_metrics
+    facts = log.where(F.col("metric").isin("learning_rate", "train_rows"))
+    return facts.withColumn("value", F.round("value", 9))
+
+
+@query
+def epoch_metrics(spark, sf):
+    """The whole metric log of both phases, stopped after five epochs and resumed."""
+    path = new_table_path(spark, "epochs")
+    _epochs(spark, sf, checkpoints=path, stop_after=5)
+    return _epochs(spark, sf, checkpoints=path).run_metrics

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from roentra import schemas
 from roentra.adapters import view
-from roentra.operators import gold, metrics, parsing
+from roentra.operators import epochs, gold, metrics, parsing
 from roentra.plans import audit, jobs
 from roentra.sources import files
 
@@ -176,6 +176,23 @@ def test_training_and_scoring_jobs(spark, layout):
     assert counts["alerts"] == predicted.where("high_confidence_positive").count()
 
 
+def test_network_job_resumes_and_takes_bucketed_pixels(spark, layout):
+    jobs.bucket_images(spark, layout, 4)
+    phases = (epochs.Phase("one", 1, 1e-3, frozen=True), epochs.Phase("two", 2, 1e-3, cosine=True))
+    options = dict(units=3, batches=2, bucketed=True, phases=phases)
+    jobs.train_network(spark, layout, "first", stop_after=1, **options)
+    trained = jobs.train_network(spark, layout, "first", **options)
+    log = layout.read(spark, jobs.EPOCH_METRICS)
+    assert sorted((r["run_name"], r["step"]) for r in log.where("metric = 'val_auroc'").collect()) == [
+        ("one", 0), ("two", 0), ("two", 1),
+    ]
+    assert {r["metric"] for r in log.where("run_name = 'final_test_evaluation'").collect()} == {"test_loss", "test_auroc"}
+    kept = epochs.from_table(layout.read(spark, jobs.NETWORK))
+    assert (kept.weights == trained.best.weights).all()
+    whole = jobs.train_network(spark, layout, "second", **options)
+    assert (whole.best.weights == trained.best.weights).all()
+
+
 def test_a_failing_step_stops_the_run(spark, tmp_path):
     layout = jobs.Layout(str(tmp_path / "empty"))
     info = spark.createDataFrame([("a", "Normal")], schemas.CLASS_INFO)

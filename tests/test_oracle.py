@@ -10,7 +10,7 @@ from roentra.oracles import ORACLES
 from roentra.workload import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-ROWS_ONLY = {"trained_scores", "test_evaluation", "candidate_metrics"}
+ROWS_ONLY = {"trained_scores", "test_evaluation", "candidate_metrics", "epoch_metrics"}
 
 
 @pytest.fixture(scope="module")
