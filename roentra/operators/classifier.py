@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roentra import schemas
 from roentra.operators import metrics
-from roentra.operators.durable import new_table_path
+from roentra.operators.durable import materialize, new_table_path
 from roentra.operators.labels import class_weight
 from roentra.operators.pixels import standardize_channels
 
@@ -62,10 +62,30 @@ def _stored(model: LogisticRegressionModel) -> LogisticRegressionModel:
     return LogisticRegressionModel.load(path)
 
 
-def evaluate(scored: DataFrame, pos_weight: float) -> tuple[float, float]:
-    """(mean weighted loss, AUROC)."""
-    loss = metrics.weighted_log_loss(scored, pos_weight).first()["loss"]
-    return loss, metrics.auroc(scored).first()["auroc"]
+def evaluate_all(
+    models: Sequence[LogisticRegressionModel],
+    rows: DataFrame,
+    pos_weight: float,
+    with_auroc: bool = True,
+) -> tuple[list[float], list[float | None]]:
+    """(losses, AUROCs) of several models over rows (label, features), scored in one scan."""
+    scored = rows
+    for i, model in enumerate(models):
+        named = model.copy().setRawPredictionCol(f"raw{i}").setProbabilityCol(f"chances{i}")
+        scored = named.setPredictionCol(f"guess{i}").transform(scored)
+    columns = [
+        vector_to_array(f"{kind}{i}")[1].alias(f"{name}{i}")
+        for i in range(len(models))
+        for kind, name in (("raw", "logit"), ("chances", "probability"))
+    ]
+    narrow = materialize(scored.select("label", *columns), "scored")
+    losses = narrow.agg(
+        *[metrics.mean_weighted_loss(pos_weight, "label", f"logit{i}") for i in range(len(models))]
+    ).first()
+    if not with_auroc:
+        return list(losses), []
+    areas = [metrics.auroc(narrow, "label", f"probability{i}") for i in range(len(models))]
+    return list(losses), [area.first()["auroc"] for area in areas]
 
 
 def train_weighted(
@@ -86,30 +106,37 @@ def train_weighted(
     if not pos_weight:
         raise ValueError("training rows must hold both classes")
     weight = F.when(F.col("label") == 1, F.lit(pos_weight)).otherwise(F.lit(1.0))
-    weighted = _vectors(train).select("label", "features", weight.alias("weight"))
+    # Features are made from pixels once, for all fits and evaluations.
+    weighted = materialize(
+        _vectors(train).select("label", "features", weight.alias("weight")), "train-vectors"
+    )
+    checks = materialize(_vectors(val).select("label", "features"), "val-vectors")
+
+    candidates = []
+    for reg in reg_params:
+        learner = LogisticRegression(
+            labelCol="label", weightCol="weight", regParam=reg, maxIter=max_iter
+        )
+        candidates.append(_stored(learner.fit(weighted)))
+    train_losses, _ = evaluate_all(candidates, weighted, pos_weight, with_auroc=False)
+    val_losses, val_aurocs = evaluate_all(candidates, checks, pos_weight)
+    if None in val_aurocs:
+        raise ValueError("validation rows must hold both classes")
 
     best, best_auroc = None, 0.0
     log = [
         (run_name, 0, "training_set_size", float(balance["neg"] + balance["pos"])),
         (run_name, 0, "pos_weight", pos_weight),
     ]
-    for step, reg in enumerate(reg_params):
-        learner = LogisticRegression(
-            labelCol="label", weightCol="weight", regParam=reg, maxIter=max_iter
-        )
-        candidate = _stored(learner.fit(weighted))
-        train_loss = metrics.weighted_log_loss(score(candidate, train), pos_weight).first()["loss"]
-        val_loss, val_auroc = evaluate(score(candidate, val), pos_weight)
-        if val_auroc is None:
-            raise ValueError("validation rows must hold both classes")
+    for step, (reg, candidate) in enumerate(zip(reg_params, candidates)):
         log += [
             (run_name, step, "reg_param", float(reg)),
-            (run_name, step, "train_loss", train_loss),
-            (run_name, step, "val_loss", val_loss),
-            (run_name, step, "val_auroc", val_auroc),
+            (run_name, step, "train_loss", train_losses[step]),
+            (run_name, step, "val_loss", val_losses[step]),
+            (run_name, step, "val_auroc", val_aurocs[step]),
         ]
-        if best is None or val_auroc > best_auroc:
-            best, best_auroc = candidate, val_auroc
+        if best is None or val_aurocs[step] > best_auroc:
+            best, best_auroc = candidate, val_aurocs[step]
     log.append((run_name, len(reg_params) - 1, "best_val_auroc", best_auroc))
     return TrainedClassifier(best, pos_weight, spark.createDataFrame(log, schemas.RUN_METRICS))
 

@@ -169,12 +169,17 @@ def auroc(
     )
 
 
+def mean_weighted_loss(pos_weight: float, label_col: str, logit_col: str) -> Column:
+    """Aggregate: mean weighted binary cross-entropy over the usable rows."""
+    loss = scores.weighted_bce(F.col(label_col), F.col(logit_col), pos_weight)
+    return F.avg(F.when(_usable(label_col, logit_col), loss))
+
+
 def weighted_log_loss(
     logits: DataFrame, pos_weight: float, label_col: str = "label", logit_col: str = "logit"
 ) -> DataFrame:
     """Mean weighted binary cross-entropy over rows (not over batch means)."""
-    loss = scores.weighted_bce(F.col(label_col), F.col(logit_col), pos_weight)
-    return logits.where(_usable(label_col, logit_col)).agg(F.avg(loss).alias("loss"))
+    return logits.agg(mean_weighted_loss(pos_weight, label_col, logit_col).alias("loss"))
 
 
 def metric_values(run_metrics: DataFrame, metric: str) -> DataFrame:
