@@ -281,6 +281,19 @@ FINAL = {
         SELECT CAST(image_id AS VARCHAR) AS filename, round(p, 4) AS pneumonia_probability,
                '1704067200.500000' AS alert_timestamp
         FROM upload_scores WHERE p > 0.7""",
+    "published_alerts": """
+        SELECT CAST(image_id AS VARCHAR) AS filename, round(p, 4) AS pneumonia_probability,
+               '1704067200.500000' AS alert_timestamp, run
+        FROM upload_scores, (VALUES ('first'), ('second')) AS r(run) WHERE p > 0.7""",
+    "published_predictions": """
+        SELECT CAST(image_id AS VARCHAR) AS filename, round(p, 4) AS pneumonia_probability,
+               CASE WHEN p > 0.5 THEN 'Pneumonia' ELSE 'Normal/Other' END AS prediction,
+               p > 0.7 AS high_confidence_positive, run
+        FROM upload_scores, (VALUES ('first'), ('second')) AS r(run)""",
+    "dead_letters": """
+        SELECT CAST(image_id AS VARCHAR) AS filename,
+               CASE image_id % 10 WHEN 0 THEN 'not_an_image' ELSE 'unreadable' END AS rejected_because, run
+        FROM fx_pixels, (VALUES ('first'), ('second')) AS r(run) WHERE image_id % 10 < 2""",
     "pixels_enlarge": """
         SELECT image_id, CAST(a.o AS INTEGER) AS r, CAST(b.o AS INTEGER) AS c, round(sum(x::DOUBLE * a.w * b.w), 5) AS v
         FROM flat_pixels JOIN overlap_12 a ON a.i = pos // 8 JOIN overlap_12 b ON b.i = pos % 8
@@ -342,6 +355,7 @@ FINAL = {
         FROM fx_headers""",
     "arrival_manifest": "SELECT * FROM manifest",
     "arrival_manifest_stream": "SELECT * FROM manifest",
+    "arrival_manifest_replayed": "SELECT * FROM manifest",
     "arrival_rejects": "SELECT reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY reason",
     "predictions": """
         SELECT filename, pneumonia_probability, prediction, high_confidence_positive FROM predicted""",
@@ -349,6 +363,10 @@ FINAL = {
     "clinical_alerts_stream": "SELECT * FROM alerts",
     "recent_alerts": """
         SELECT * FROM alerts ORDER BY alert_timestamp DESC, filename, pneumonia_probability DESC LIMIT 20""",
+    "topic_alerts": """
+        SELECT * FROM alerts ORDER BY alert_timestamp DESC, filename, pneumonia_probability DESC LIMIT 20""",
+    "standing_alerts": """
+        SELECT * FROM alerts ORDER BY alert_timestamp DESC, filename, pneumonia_probability DESC LIMIT 20""",
     "alert_banners": """
         SELECT printf('⚠️ **%s** — %.1f%% pneumonia probability at %s', filename, pneumonia_probability * 100,
                       strftime(alert_timestamp, '%Y-%m-%d %H:%M:%S')) AS text

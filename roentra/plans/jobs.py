@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roentra import schemas
 from roentra.functions import times
@@ -17,6 +18,7 @@ from roentra.plans.audit import log_run
 from roentra.sources.buckets import read_bucketed, write_bucketed
 from roentra.sources.tables import is_table, read_table, write_table
 from roentra.streaming.arrivals import run_manifest
+from roentra.streaming.jobs import drain_batches
 
 
 @dataclass(frozen=True)
@@ -64,6 +66,7 @@ NETWORK = "models/network"
 PREDICTIONS = "gold/predictions"
 ALERTS = "gold/clinical_alerts"
 UPLOADS = "silver/uploads_screened"
+DEAD_LETTERS = "silver/uploads_rejected"
 
 
 def ingest_class_info(class_info: DataFrame, layout: Layout) -> int:
@@ -233,6 +236,28 @@ def build_model_ready(spark: SparkSession, layout: Layout) -> dict[str, int]:
     return {"rows": written, "patients": counts["rows"]}
 
 
+def rebuild_split(spark: SparkSession, layout: Layout, split: str) -> int:
+    """The training rows of one split anew, from the headers and the written patients of the split.
+
+    Only this partition is replaced, at the end of the write: the files of the other
+    splits stay, and a failed run leaves the old rows.
+    """
+    found = layout.read(spark, HEADERS)
+    patients = layout.read(spark, PATIENTS).where(F.col("split") == split)
+    rows = gold.model_ready_rows(found, patients, hot_keys(found, "original_filename"))
+    final = schemas.conform(rows, schemas.MODEL_READY)
+    written = layout.write(final, MODEL_READY, partition_by=["split"], replace_partitions=True)
+    log_run(
+        spark,
+        layout.audit,
+        schemas.JOB_MODEL_READY,
+        written["rows"],
+        final.schema.simpleString(),
+        f"split {split} alone",
+    )
+    return written["rows"]
+
+
 def build_summaries(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Case counts, demographics and check pass rates.
 
@@ -351,21 +376,65 @@ def train_network(
     return trained
 
 
+def new_run(name: str) -> str:
+    """A name for a run that no other run has, in order of time."""
+    return f"{datetime.now(UTC):%Y%m%dT%H%M%S%f}-{name}"
+
+
+def _published(
+    spark: SparkSession, layout: Layout, scored: DataFrame, run: str, batch: int, stamp: Column
+) -> dict[str, int]:
+    """Scored rows (filename, probability, rejected_because) -> predictions, alerts and dead letters.
+
+    The rows are written once; the three tables are cut from that. All are partitioned by
+    run and batch and replace their own partitions only: nothing earlier is touched, and a
+    batch that is published again takes its own place.
+    """
+    place = {"run": F.lit(run), "batch": F.lit(batch).cast("long")}
+    own = f"run = '{run}' AND batch = {batch}"
+
+    def write(df: DataFrame, table: str, **counts) -> dict[str, int]:
+        return layout.write(
+            df.withColumns(place), table, partition_by=list(place), replace_partitions=True, **counts
+        )
+
+    rejected = F.count("rejected_because")
+    counts = write(
+        scored.select("filename", "probability", "rejected_because"), UPLOADS, rejected=rejected
+    )
+    if not counts["rows"]:
+        return {"rows": 0, "rejected": 0, "alerts": 0}
+    stored = layout.read(spark, UPLOADS).where(own)
+    good = stored.where("rejected_because IS NULL").select("filename", "probability")
+    predicted = schemas.conform(scoring.predictions(good), schemas.PREDICTION)
+    rows = write(predicted, PREDICTIONS)["rows"]
+    alerts = write(scoring.clinical_alerts(predicted, stamp), ALERTS)["rows"]
+    letters = stored.where("rejected_because IS NOT NULL")
+    write(letters.select("filename", "rejected_because"), DEAD_LETTERS)
+    return {"rows": rows, "rejected": counts["rejected"], "alerts": alerts}
+
+
 def score_images(
-    spark: SparkSession, layout: Layout, model: LogisticRegressionModel | None = None
+    spark: SparkSession,
+    layout: Layout,
+    model: LogisticRegressionModel | None = None,
+    run: str | None = None,
 ) -> dict[str, int]:
-    """Processed images -> prediction rows and alert rows."""
+    """Processed images -> prediction rows and alert rows of a new run, beside those of earlier runs.
+
+    The name of an earlier run replaces that run.
+    """
     if model is None:
         model = LogisticRegressionModel.load(layout.path("models/classifier"))
     images = read_images(spark, layout).select(
         F.concat("image_id", F.lit(".png")).alias("filename"), "pixels"
     )
-    scored = classifier.score(model, images).select("filename", "probability")
-    predicted = schemas.conform(scoring.predictions(scored), schemas.PREDICTION)
-    rows = layout.write(predicted, PREDICTIONS)["rows"]
+    scored = classifier.score(model, images).withColumn(
+        "rejected_because", F.lit(None).cast("string")
+    )
     stamp = times.iso_utc(times.utc_now())
-    alerts = scoring.clinical_alerts(layout.read(spark, PREDICTIONS), stamp)
-    return {"rows": rows, "alerts": layout.write(alerts, ALERTS)["rows"]}
+    counts = _published(spark, layout, scored, run or new_run("images"), 0, stamp)
+    return {"rows": counts["rows"], "alerts": counts["alerts"]}
 
 
 def score_uploads(
@@ -374,24 +443,49 @@ def score_uploads(
     model: LogisticRegressionModel | None = None,
     decode: Callable[[bytes], np.ndarray] = pixels.rgb_pixels,
     target: tuple[int, int] = schemas.TARGET_SIZE,
+    run: str | None = None,
 ) -> dict[str, int]:
-    """Uploads (filename, content_type, content) -> screened uploads, predictions and alerts.
+    """Uploads (filename, content_type, content) -> screened uploads, predictions, alerts and dead
+    letters of a new run, beside those of earlier runs.
 
-    Payloads are decoded and scored once, in the write of the screened table; the
-    other two are cut from it.
+    Payloads are decoded and scored once, in the write of the screened table.
     """
     spark = uploads.sparkSession
     if model is None:
         model = LogisticRegressionModel.load(layout.path("models/classifier"))
     screened = scoring.score_uploads(uploads, classifier.logits(model), decode, target)
-    counts = layout.write(screened, UPLOADS, rejected=F.count("rejected_because"))
-    accepted = layout.read(spark, UPLOADS).where("rejected_because IS NULL")
-    predicted = scoring.predictions(accepted.select("filename", "probability"))
-    rows = layout.write(schemas.conform(predicted, schemas.PREDICTION), PREDICTIONS)["rows"]
     stamp = times.iso_utc(times.utc_now())
-    alerts = scoring.clinical_alerts(layout.read(spark, PREDICTIONS), stamp)
-    written = layout.write(alerts, ALERTS)["rows"]
-    return {"rows": rows, "rejected": counts["rejected"], "alerts": written}
+    return _published(spark, layout, screened, run or new_run("uploads"), 0, stamp)
+
+
+def publish_uploads(
+    uploads: DataFrame,
+    layout: Layout,
+    run: str,
+    load_model: Callable[[], Callable[[np.ndarray], np.ndarray]],
+    decode: Callable[[bytes], np.ndarray] = pixels.rgb_pixels,
+    target: tuple[int, int] = schemas.TARGET_SIZE,
+    stamp: Column | None = None,
+    watch: Callable[[int], None] = lambda batch: None,
+) -> dict[str, int]:
+    """Drain a stream of uploads: predictions, alerts and dead letters of every micro-batch.
+
+    ``run`` names the stream and its checkpoint. A batch that fails between two tables is
+    scored and published again under its number when the stream is started again, and
+    replaces what it had written. ``watch`` is called when a batch is published.
+    """
+    totals = {"rows": 0, "rejected": 0, "alerts": 0}
+
+    def each(batch: DataFrame, number: int) -> None:
+        scored = scoring.score_uploads(batch, load_model, decode, target)
+        at = times.iso_utc(times.utc_now()) if stamp is None else stamp
+        counts = _published(batch.sparkSession, layout, scored, run, number, at)
+        watch(number)
+        for key, count in counts.items():
+            totals[key] += count
+
+    drain_batches(uploads, layout.path(f"silver/_uploads_progress/{run}"), each)
+    return totals
 
 
 def run_all(class_info: DataFrame, digests: DataFrame, layout: Layout) -> None:

@@ -33,18 +33,25 @@ def write_table(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    replace_partitions: bool = False,
     **counts,
 ) -> dict[str, int]:
     """Write a table and return its row count (``rows``) and any extra aggregate in ``counts``.
 
     The counts are observed by the write itself, so nothing is computed twice.
-    Do not overwrite a path the frame reads from.
+    Do not overwrite a path the frame reads from. With ``replace_partitions`` only the
+    partitions that the frame has rows of are replaced: they are staged beside the table and
+    moved in place at the end, so other files stay and a write that fails changes nothing.
     """
     observation = Observation()
     extra = [expr.alias(name) for name, expr in counts.items()]
     writer = df.observe(observation, F.count(F.lit(1)).alias("rows"), *extra).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if replace_partitions:
+        if not partition_by or mode != "overwrite":
+            raise ValueError("only partitions that are overwritten can be replaced")
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.format(fmt).mode(mode).save(path)
     return {name: value or 0 for name, value in observation.get.items()}
 

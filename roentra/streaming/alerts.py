@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
-from roentra.functions import messages
+from roentra.functions import messages, times
 from roentra.operators import scoring
 from roentra.streaming.jobs import drain
 
@@ -17,10 +18,11 @@ def flagged_alerts(scored: DataFrame, timestamp: Column | None = None) -> DataFr
 
 
 def alert_messages(alerts: DataFrame) -> DataFrame:
-    """Alerts as JSON ``value`` rows for a message topic."""
-    value = messages.to_message(
-        F.col("filename"), F.col("pneumonia_probability"), F.col("alert_timestamp")
-    )
+    """Alerts as JSON ``value`` rows for a message topic; times as ISO text with microseconds."""
+    stamp = F.col("alert_timestamp")
+    if not isinstance(alerts.schema["alert_timestamp"].dataType, StringType):
+        stamp = times.iso_utc(stamp).alias("alert_timestamp")
+    value = messages.to_message(F.col("filename"), F.col("pneumonia_probability"), stamp)
     return alerts.select(value.alias("value"))
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 # A query keeps its last 100 reports; micro-batches are bounded but never that short.
 POLL_SECONDS = 1
+# Rows that a stateful operator left out because they came after the watermark.
+LATE = "late"
 
 
 def drain(
@@ -17,25 +21,43 @@ def drain(
 
     The checkpoint remembers the position, so the next run continues there.
     """
-    query = (
-        stream.writeStream.format(fmt)
-        .outputMode("append")
-        .options(**options)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = stream.writeStream.format(fmt).outputMode("append").options(**options)
+    return _run(writer, checkpoint)
+
+
+def drain_batches(
+    stream: DataFrame,
+    checkpoint: str,
+    each: Callable[[DataFrame, int], None],
+    mode: str = "append",
+) -> dict[str, int]:
+    """Like ``drain``, handing every micro-batch with its number to ``each``.
+
+    A batch that fails is handed over again with the same number, so ``each`` has to
+    replace what it wrote under that number.
+    """
+    return _run(stream.writeStream.outputMode(mode).foreachBatch(each), checkpoint)
+
+
+def _run(writer: DataStreamWriter, checkpoint: str) -> dict[str, int]:
+    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return _finish(writer.start())
+
+
+def _finish(query: StreamingQuery) -> dict[str, int]:
     batches: dict[int, dict[str, int]] = {}
     finished = False
     while not finished:
         finished = query.awaitTermination(POLL_SECONDS)
         # Only the latest progress reports are kept by the query, so read them as it runs.
         for progress in query.recentProgress:
-            batches[progress.batchId] = {
+            counts = {
                 f"{name}.{field}": count or 0
                 for name, row in progress.observedMetrics.items()
                 for field, count in row.asDict().items()
             }
+            counts[LATE] = sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+            batches[progress.batchId] = counts
     totals: dict[str, int] = {}
     for counts in batches.values():
         for key, count in counts.items():

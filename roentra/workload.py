@@ -29,7 +29,7 @@ from roentra.operators.durable import materialize, new_table_path
 from roentra.operators.skew import hot_keys
 from roentra.plans import audit, dashboard, jobs
 from roentra.sources import buckets, jdbc, jsonlines, tables
-from roentra.streaming import alerts as alert_stream, arrivals as arrival_stream
+from roentra.streaming import alerts as alert_stream, arrivals as arrival_stream, newest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -414,6 +414,26 @@ def clinical_alerts_stream(spark, sf):
     return spark.read.schema(alert_stream.flagged_alerts(scored).schema).parquet(f"{out}/table")
 
 
+@query
+def arrival_manifest_replayed(spark, sf):
+    """The manifest of a topic whose messages come again, in other micro-batches and after a restart."""
+    rows = view(spark, sf, "fx_arrivals").withColumnsRenamed(
+        {"kafka_offset": "offset", "kafka_timestamp": "timestamp"}
+    )
+    rows = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    out = new_table_path(spark, "manifest")
+    # The given events span a month.
+    replays = arrival_stream.Replays(delay="40 days")
+    for delivered in (rows, rows.where("offset % 3 = 0"), rows):
+        delivered.write.mode("append").parquet(f"{out}/topic")
+        files = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8)
+        topic = files.parquet(f"{out}/topic")
+        arrival_stream.run_manifest(
+            topic, f"{out}/table", f"{out}/progress", fmt="parquet", replays=replays
+        )
+    return spark.read.schema(arrivals.arrival_manifest(rows).schema).parquet(f"{out}/table")
+
+
 # --- predictions and alerts --------------------------------------------------
 
 
@@ -433,6 +453,28 @@ def recent_alerts(spark, sf):
     return scoring.recent_alerts(_alerts(spark, sf))
 
 
+def _alert_topic(spark, sf):
+    return alert_stream.alert_messages(_alerts(spark, sf))
+
+
+@query
+def topic_alerts(spark, sf):
+    """The newest alerts out of the messages of their topic."""
+    newest_rows = scoring.recent_alerts(arrivals.parse_alerts(_alert_topic(spark, sf)))
+    return newest_rows.withColumn("alert_timestamp", F.col("alert_timestamp").cast("timestamp_ntz"))
+
+
+@query
+def standing_alerts(spark, sf):
+    """The newest alerts as a stream over the topic keeps them, after many micro-batches."""
+    out = new_table_path(spark, "newest")
+    _alert_topic(spark, sf).repartition(12, "value").write.parquet(f"{out}/topic")
+    files = spark.readStream.schema("value string").option("maxFilesPerTrigger", 4)
+    newest.run_topic(files.parquet(f"{out}/topic"), f"{out}/table", f"{out}/progress")
+    rows = newest.newest_alerts(spark, f"{out}/table")
+    return rows.withColumn("alert_timestamp", F.col("alert_timestamp").cast("timestamp_ntz"))
+
+
 @query
 def alert_banners(spark, sf):
     return scoring.alert_banners(_alerts(spark, sf))
@@ -618,16 +660,49 @@ def _upload_head():
 @query
 def upload_alerts(spark, sf):
     """From uploads to alerts: some are no images, some payloads are broken."""
+    scored = scoring.score_uploads(_uploads(spark, sf), _upload_head, _parse_grey_rows, (4, 4))
+    accepted = scored.where("rejected_because IS NULL")
+    return alert_stream.flagged_alerts(accepted, F.lit(PUBLISHED_AT))
+
+
+def _uploads(spark, sf):
+    """All images as uploads of grey rows; a tenth are no images, a tenth are broken."""
     grey = F.to_json(pixels.scale_to_byte(F.col("pixels")))
     kind = F.col("image_id") % 10
-    uploads = view(spark, sf, "fx_pixels").select(
+    return view(spark, sf, "fx_pixels").select(
         F.col("image_id").cast("string").alias("filename"),
         F.when(kind == 0, "text/plain").otherwise("image/png").alias("content_type"),
         F.when(kind == 1, "broken").otherwise(grey).cast("binary").alias("content"),
     )
-    scored = scoring.score_uploads(uploads, _upload_head, _parse_grey_rows, (4, 4))
-    accepted = scored.where("rejected_because IS NULL")
-    return alert_stream.flagged_alerts(accepted, F.lit(PUBLISHED_AT))
+
+
+def _published(spark, sf, table):
+    """Uploads as a stream of micro-batches, published by two runs."""
+    layout = jobs.Layout(new_table_path(spark, "lake"))
+    uploads = _uploads(spark, sf)
+    uploads.repartition(6, "filename").write.parquet(layout.path("uploads"))
+    for run in ("first", "second"):
+        files = spark.readStream.schema(uploads.schema).option("maxFilesPerTrigger", 3)
+        jobs.publish_uploads(
+            files.parquet(layout.path("uploads")), layout, run, _upload_head,
+            _parse_grey_rows, (4, 4), F.lit(PUBLISHED_AT),
+        )
+    return layout.read(spark, table).drop("batch")
+
+
+@query
+def published_alerts(spark, sf):
+    return _published(spark, sf, jobs.ALERTS)
+
+
+@query
+def published_predictions(spark, sf):
+    return _published(spark, sf, jobs.PREDICTIONS)
+
+
+@query
+def dead_letters(spark, sf):
+    return _published(spark, sf, jobs.DEAD_LETTERS)
 
 
 def _examples(spark, sf):

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,7 +9,7 @@ from roentra import schemas
 from roentra.adapters import view
 from roentra.operators import epochs, gold, metrics, parsing
 from roentra.plans import audit, jobs
-from roentra.sources import files
+from roentra.sources import files, tables
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -172,8 +173,13 @@ def test_training_and_scoring_jobs(spark, layout):
     counts = jobs.score_images(spark, layout)
     predicted = layout.read(spark, jobs.PREDICTIONS)
     assert counts["rows"] == predicted.count() == jobs.read_images(spark, layout).count()
-    assert [f.name for f in predicted.schema] == schemas.PREDICTION.fieldNames()
+    assert [f.name for f in predicted.schema] == [*schemas.PREDICTION.fieldNames(), "run", "batch"]
     assert counts["alerts"] == predicted.where("high_confidence_positive").count()
+    # A second run stands beside the first, and its own repetition takes its place.
+    for _ in range(2):
+        assert jobs.score_images(spark, layout, run="again") == counts
+    predicted = layout.read(spark, jobs.PREDICTIONS)
+    assert predicted.count() == 2 * counts["rows"] and predicted.select("run").distinct().count() == 2
 
 
 def test_network_job_resumes_and_takes_bucketed_pixels(spark, layout):
@@ -213,7 +219,87 @@ def test_uploads_become_predictions_and_alerts(spark, layout):
         ("c.txt", "text/plain", bytearray(b"hello world")),
     ]
     uploads = spark.createDataFrame(rows, "filename string, content_type string, content binary")
-    counts = jobs.score_uploads(uploads, layout, model, lambda b: np.array(json.loads(b)), (2, 2))
+    before = layout.read(spark, jobs.PREDICTIONS).count()
+    counts = jobs.score_uploads(
+        uploads, layout, model, lambda b: np.array(json.loads(b)), (2, 2), run="uploaded"
+    )
     assert counts["rows"] == 1 and counts["rejected"] == 2
-    row = layout.read(spark, jobs.PREDICTIONS).first()
+    rows = layout.read(spark, jobs.PREDICTIONS)
+    assert rows.count() == before + 1
+    row = rows.where("run = 'uploaded'").first()
     assert row["filename"] == "a.png" and 0 <= row["pneumonia_probability"] <= 1
+    letters = layout.read(spark, jobs.DEAD_LETTERS).where("run = 'uploaded'").collect()
+    assert sorted((r["filename"], r["rejected_because"]) for r in letters) == [
+        ("b.png", "unreadable"), ("c.txt", "not_an_image"),
+    ]
+
+
+def files_of(path):
+    return {f: f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+
+
+def test_one_split_is_rebuilt_alone(spark, layout):
+    root = Path(layout.path(jobs.MODEL_READY))
+    before = {s: files_of(root / f"split={s}") for s in ("train", "val", "test")}
+    old = layout.read(spark, jobs.MODEL_READY)
+    rows = sorted(map(str, old.collect()))
+    in_val = old.where("split = 'val'").count()
+    assert jobs.rebuild_split(spark, layout, "val") == in_val > 0
+    after = {s: files_of(root / f"split={s}") for s in ("train", "val", "test")}
+    assert after["train"] == before["train"] and after["test"] == before["test"]
+    assert after["val"] != before["val"]
+    assert sorted(map(str, layout.read(spark, jobs.MODEL_READY).collect())) == rows
+
+
+def test_a_failed_rewrite_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(10).selectExpr("id", "id % 2 p"), path, partition_by=["p"])
+    broken = spark.range(100, 120).selectExpr("if(id = 119, raise_error('no'), id) id", "0 p")
+    before = files_of(path)
+    with pytest.raises(Exception, match="no"):
+        tables.write_table(broken, path, partition_by=["p"], replace_partitions=True)
+    assert {f: t for f, t in files_of(path).items() if "spark-staging" not in str(f)} == before
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == list(range(10))
+    with pytest.raises(ValueError, match="replaced"):
+        tables.write_table(spark.range(3), path, replace_partitions=True)
+
+
+def upload(name, kind="image/png", grey=200):
+    body = json.dumps([[[grey] * 3] * 2] * 2) if grey is not None else "broken"
+    return (name, kind, bytearray(body.encode()))
+
+
+def test_published_batches_are_repeated_without_a_trace(spark, tmp_path):
+    """The second of three batches fails between its tables and its end."""
+    schema = "filename string, content_type string, content binary"
+    source, out = str(tmp_path / "in"), jobs.Layout(str(tmp_path / "lake"))
+    batches = [
+        [upload("a", grey=255), upload("b", grey=0), upload("x", "text/plain")],
+        [upload("c", grey=255), upload("y", grey=None)],
+        [upload("d", grey=255)],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    failed = []
+
+    def fail_once(number):
+        if number == 1 and not failed:
+            failed.append(number)
+            raise RuntimeError("lost")
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        return jobs.publish_uploads(
+            stream, out, "service", lambda: lambda x: x[:, 0], lambda b: np.array(json.loads(b)), (1, 1),
+            F.lit("2024-01-01T00:00:00+00:00"), fail_once,
+        )
+
+    with pytest.raises(Exception, match="FOREACH_BATCH_USER_FUNCTION_ERROR"):
+        run()
+    counts = run()
+    assert failed == [1] and counts == {"rows": 2, "rejected": 1, "alerts": 2}
+    names = lambda table: sorted(r["filename"] for r in out.read(spark, table).collect())
+    assert names(jobs.PREDICTIONS) == ["a", "b", "c", "d"]
+    assert names(jobs.ALERTS) == ["a", "c", "d"]
+    assert names(jobs.DEAD_LETTERS) == ["x", "y"]
+    assert run() == {"rows": 0, "rejected": 0, "alerts": 0}

@@ -1,12 +1,13 @@
 import json
+import random
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from roentra.operators import arrivals
+from roentra.operators import arrivals, scoring
 from roentra.sources import files
-from roentra.streaming import alerts as alert_stream, arrivals as arrival_stream
+from roentra.streaming import alerts as alert_stream, arrivals as arrival_stream, newest
 
 TOPIC_SCHEMA = "value binary, partition int, offset long"
 
@@ -119,3 +120,98 @@ def test_alert_stream_publishes_messages(spark, tmp_path):
     parsed = arrivals.parse_alerts(topic).collect()
     assert sorted((r["filename"], r["pneumonia_probability"]) for r in parsed) == [("s8.png", 0.8), ("s9.png", 0.9)]
     assert all(r["alert_timestamp"] is not None for r in parsed)
+
+
+REPLAYED = "value binary, topic string, partition int, offset long, timestamp timestamp"
+
+
+def timed(rows, hour):
+    return [(v, "t", p, o, datetime(2024, 1, 1, hour)) for v, p, o in rows]
+
+
+def test_replayed_messages_are_written_once(spark, tmp_path):
+    """Twice in one batch, in two batches, and after a restart; late ones are counted."""
+    topic, out, progress = (str(tmp_path / n) for n in ("topic", "out", "progress"))
+    clock, replays = F.lit("2024-01-01T00:00:00+00:00"), arrival_stream.Replays(delay="2 hours")
+
+    def add(rows):
+        spark.createDataFrame(rows, REPLAYED).coalesce(1).write.mode("append").parquet(topic)
+
+    def run():
+        stream = spark.readStream.schema(REPLAYED).option("maxFilesPerTrigger", 1).parquet(topic)
+        return arrival_stream.run_manifest(stream, out, progress, "json", clock, replays)
+
+    first = timed(messages(0, 20), 1)
+    add(first + first[:10])
+    add(first[5:] + timed(messages(20, 10), 2))
+    assert run() == {"seen": 55, "written": 12, "late": 0}
+    add(first + timed(messages(30, 10), 2))
+    assert run() == {"seen": 30, "written": 4, "late": 0}
+    # Five hours on, the old messages are neither remembered nor taken.
+    add(timed(messages(40, 10), 7))
+    assert run()["written"] == 4
+    add(first[:6])
+    assert run() == {"seen": 6, "written": 0, "late": 6}
+
+    once = spark.read.parquet(topic).dropDuplicates(["topic", "partition", "offset"])
+    batch = arrivals.arrival_manifest(once, clock)
+    streamed = spark.read.schema(batch.schema).json(out)
+    assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.collect()))
+
+
+def test_replays_need_an_identity(spark):
+    topic = spark.readStream.format("rate").load()
+    with pytest.raises(ValueError, match="none of the columns"):
+        arrival_stream.without_replays(topic, arrival_stream.Replays())
+
+
+ALERTS = "filename string, pneumonia_probability double, alert_timestamp timestamp"
+
+
+def test_the_newest_alerts_stand_after_every_batch(spark, tmp_path):
+    rng = random.Random(4)
+    source, path, progress = (str(tmp_path / n) for n in ("alerts", "newest", "progress"))
+    assert newest.newest_alerts(spark, path).collect() == []
+    for n in (3, 40, 0, 25, 60):
+        rows = [
+            (
+                rng.choice([None, f"s{rng.randrange(30)}"]),
+                rng.choice([None, rng.random()]),
+                rng.choice([None, datetime(2024, 1, 1, rng.randrange(24), rng.randrange(3))]),
+            )
+            for _ in range(n)
+        ]
+        if rows:
+            rows.append(rows[0])
+        spark.createDataFrame(rows, ALERTS).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(ALERTS).parquet(source)
+        newest.run_newest(stream, path, progress, keys=5)
+        found = newest.newest_alerts(spark, path)
+        expected = scoring.recent_alerts(spark.read.schema(ALERTS).parquet(source))
+        assert list(map(tuple, found.collect())) == list(map(tuple, expected.collect()))
+    # However many alerts there were, a key keeps no more than twenty.
+    kept = newest.standing(spark, path).where("shard >= 0").groupBy("shard").count().collect()
+    assert max(r["count"] for r in kept) <= 20
+
+
+def test_a_repeated_batch_replaces_its_half(spark, tmp_path):
+    path = str(tmp_path / "newest")
+    for number, name in ((0, "a"), (1, "b"), (1, "c")):
+        rows = [(number, 0, name, 0.9, datetime(2024, 1, 1)), (number, -1, None, None, None)]
+        table = spark.createDataFrame(rows, newest.STANDING).coalesce(1)
+        table.write.mode("overwrite").parquet(newest._half(path, number))
+    assert [r["filename"] for r in newest.newest_alerts(spark, path).collect()] == ["c"]
+    before = newest.standing(spark, path, before=1).where("shard >= 0").collect()
+    assert [r["filename"] for r in before] == ["a"]
+
+
+def test_newest_alerts_from_the_topic(spark, tmp_path):
+    topic, path, progress = (str(tmp_path / n) for n in ("topic", "newest", "progress"))
+    values = [
+        json.dumps({"filename": f"s{i}", "pneumonia_probability": 0.9, "alert_timestamp": f"2024-01-01T{i:02}:00:00+00:00"})
+        for i in range(24)
+    ] + ["broken", "[1]"]
+    spark.createDataFrame([(v,) for v in values], "value string").write.parquet(topic)
+    newest.run_topic(spark.readStream.schema("value string").parquet(topic), path, progress, 5)
+    found = newest.newest_alerts(spark, path, 5).collect()
+    assert [r["filename"] for r in found] == ["s23", "s22", "s21", "s20", "s19"]
