@@ -13,7 +13,7 @@ from roentra.operators.durable import materialize
 from roentra.operators.skew import ROWS_PER_SALT, hot_split_join
 
 
-def _result(check: str, field: Column | str, total: Column, failing: Column) -> Column:
+def check_result(check: str, field: Column | str, total: Column, failing: Column) -> Column:
     field = F.lit(field) if isinstance(field, str) else field
     return F.struct(
         F.lit(check).alias("check_name"),
@@ -24,7 +24,7 @@ def _result(check: str, field: Column | str, total: Column, failing: Column) ->
     )
 
 
-def _rows(one_row: DataFrame, results: Sequence[Column]) -> DataFrame:
+def explode_results(one_row: DataFrame, results: Sequence[Column]) -> DataFrame:
     return one_row.select(F.explode(F.array(*results)).alias("r")).select("r.*")
 
 
@@ -51,15 +51,15 @@ def header_checks(
     for i, name in enumerate(required):
         aggregates.append(F.count_if(F.col(name).isNull()).alias(f"missing_{i}"))
         results.append(
-            _result("schema_completeness", name, F.col("total"), F.col(f"missing_{i}"))
+            check_result("schema_completeness", name, F.col("total"), F.col(f"missing_{i}"))
         )
     if max_age is not None:
         low = identity.bucket_lower_bound(F.col("patient_age_bucket"))
         aggregates.append(F.count_if(low > max_age).alias("too_old"))
         results.append(
-            _result("age_range_validity", "patient_age_bucket", F.col("total"), F.col("too_old"))
+            check_result("age_range_validity", "patient_age_bucket", F.col("total"), F.col("too_old"))
         )
-    return _rows(df.agg(*aggregates), results)
+    return explode_results(df.agg(*aggregates), results)
 
 
 def referential_integrity(headers: DataFrame, class_info: DataFrame) -> DataFrame:
@@ -84,10 +84,10 @@ def referential_integrity(headers: DataFrame, class_info: DataFrame) -> DataFram
         F.count_if("labelled").alias("total"),
         F.count_if(F.col("labelled") & ~F.col("imaged")).alias("missing"),
     )
-    result = _result(
+    result = check_result(
         "referential_integrity", "patient_id_to_image", F.col("total"), F.col("missing")
     )
-    return _rows(counted, [result])
+    return explode_results(counted, [result])
 
 
 def file_digests(files: DataFrame) -> DataFrame:
@@ -104,8 +104,8 @@ def duplicate_detection(digests: DataFrame, sample: int | None = None) -> DataFr
         F.coalesce(F.sum("copies"), F.lit(0)).alias("total"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("extra"),
     )
-    result = _result("duplicate_detection", "image_pixel_hash", F.col("total"), F.col("extra"))
-    return _rows(counted, [result])
+    result = check_result("duplicate_detection", "image_pixel_hash", F.col("total"), F.col("extra"))
+    return explode_results(counted, [result])
 
 
 def duplicate_pairs(files: DataFrame, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:

@@ -307,6 +307,9 @@ FINAL = {
     "dq_duplicates": "SELECT * FROM duplicates",
     "dq_age_range": "SELECT * FROM age_range",
     "dq_results": "SELECT * FROM dq",
+    "dq_merged": "SELECT * FROM dq",
+    "incremental_case_counts": "SELECT * FROM cases",
+    "incremental_demographics": "SELECT * FROM people",
     "dq_report": """
         SELECT CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END AS status, check_name, field,
                '[' || status || '] ' || check_name || ' (' || field || '): ' || CAST(failing_rows AS VARCHAR)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roentra import schemas
 from roentra.functions import times
-from roentra.operators import classifier, epochs, gold, headers, parsing, pixels, quality, scoring
+from roentra.operators import check_state, classifier, epochs, gold, headers, parsing, pixels, quality, scoring
 from roentra.operators.skew import hot_keys
 from roentra.plans.audit import log_run
 from roentra.sources.buckets import read_bucketed, write_bucketed
@@ -52,6 +52,7 @@ HEADER_STAGE = "silver/dicom_parsed"
 HEADER_ERRORS = "silver/dicom_errors"
 IMAGES = "silver/images_processed"
 DQ_RESULTS = "silver/dq_results"
+CHECK_STATE = "silver/dq_state"
 PATIENTS = "gold/patient_splits"
 MODEL_READY = "gold/model_ready"
 CASE_COUNTS = "gold/analytics_summary/case_counts"
@@ -206,6 +207,27 @@ def run_quality_checks(
     return layout.read(spark, DQ_RESULTS)
 
 
+def check_delivery(
+    spark: SparkSession,
+    layout: Layout,
+    delivery: str,
+    headers_rows: DataFrame,
+    class_info: DataFrame,
+    digests: DataFrame,
+) -> DataFrame:
+    """All checks over everything delivered so far; only this delivery is read.
+
+    Its state replaces that of an earlier delivery of the same name.
+    """
+    state = check_state.delivery_state(headers_rows, class_info, digests)
+    named = state.withColumn("delivery", F.lit(delivery)).coalesce(1)
+    layout.write(named, CHECK_STATE, partition_by=["delivery"], replace_partitions=True)
+    results = check_state.merged_results(layout.read(spark, CHECK_STATE))
+    rows = layout.write(results.coalesce(1), DQ_RESULTS)["rows"]
+    log_run(spark, layout.audit, schemas.JOB_QUALITY, rows, notes=f"{rows} checks, delivery {delivery}")
+    return layout.read(spark, DQ_RESULTS)
+
+
 def build_model_ready(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Labels + headers -> training table partitioned by split.
 

@@ -17,6 +17,7 @@ from roentra.operators import (
     epochs,
     gold,
     headers,
+    incremental,
     labels,
     metrics,
     parsing,
@@ -282,6 +283,58 @@ def duplicate_pairs(spark, sf):
     return quality.duplicate_pairs(view(spark, sf, "fx_files"))
 
 
+def _third(df, key, i):
+    return df.where(F.pmod(F.xxhash64(key), F.lit(3)) == i)
+
+
+@query
+def dq_merged(spark, sf):
+    """The checks over three deliveries, none of which is read twice."""
+    layout = jobs.Layout(new_table_path(spark, "lake"))
+    silver, info, digests = _silver(spark, sf), view(spark, sf, "fx_class_info"), _digests(spark, sf)
+    for i in range(3):
+        results = jobs.check_delivery(
+            spark,
+            layout,
+            f"delivery-{i}",
+            _third(silver, "file_path", i),
+            _third(info, "patient_id", i),
+            _third(digests, "file_name", i),
+        )
+    return results
+
+
+def _summaries(spark, sf):
+    """Summaries after three deliveries: with wrong labels and strange headers, more, and put right."""
+    state = incremental.Summaries(spark, new_table_path(spark, "summaries"))
+    silver, info = _silver(spark, sf), view(spark, sf, "fx_class_info")
+    hits = F.pmod(F.xxhash64("patient_id"), F.lit(4)) == 0
+    wrong = info.where(hits).withColumn("class", F.lit("Lung Opacity"))
+    strange = _third(silver, "file_path", 2).withColumn("modality", F.lit("XX"))
+
+    def signed(df, weight):
+        return df.withColumn("weight", F.lit(weight))
+
+    first_labels = signed(info.where(~F.coalesce(hits, F.lit(False))).unionByName(wrong), 1)
+    first = signed(_third(silver, "file_path", 0).unionByName(strange), 1)
+    state.deliver(1, first, first_labels)
+    state.deliver(2, signed(_third(silver, "file_path", 1), 1), first_labels.limit(0))
+    put_right = signed(wrong, -1).unionByName(signed(info.where(hits), 1))
+    headers_right = signed(strange, -1).unionByName(signed(_third(silver, "file_path", 2), 1))
+    state.deliver(3, headers_right, put_right)
+    return state
+
+
+@query
+def incremental_case_counts(spark, sf):
+    return _summaries(spark, sf).case_counts()
+
+
+@query
+def incremental_demographics(spark, sf):
+    return _summaries(spark, sf).demographics()
+
+
 # --- gold and summaries ------------------------------------------------------
 
 
