@@ -1,16 +1,14 @@
 """License scans by conditional compression.
 
-Blocks of a text that could hold a license notice are compressed with each
-template as a raw zstandard dictionary. The bytes saved against compression
-without one rank the templates: what a notice says costs next to nothing once its
-template is known. Templates are then confirmed by their exact wording: the
-template's words are aligned with the block's, and a match needs nearly all of
-them, in order, with the differences listed. All templates are tried, as in a list
-of notices the neighbours may save more bytes than the cue's own notice; one is
-passed over only if the words it lacks near the cue rule out that it wins.
-
-A block is a window of words around a cue (a word that every template has), wide
-enough for the longest template. Texts without a cue are left in the JVM.
+At every cue (a word of the kind that every template has) each template names the blocks
+where it could lie: as many words as it has, placed so that one of its own cues falls on the
+cue. Such a block is compressed with the template as a raw zstandard dictionary and without:
+what a notice says costs next to nothing once its template is known. The bytes saved rank the
+candidates, and the winner is the first in that order that its exact wording confirms: the
+template's words, aligned with the text about the cue, must be there nearly all, in order, and
+the differences are listed. No candidate is left out of the ranking.
+
+Texts without a cue are left in the JVM.
 """
 
 from __future__ import annotations
@@ -19,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +44,32 @@ TEMPLATES = {
         "the GNU General Public License as published by the Free Software Foundation, either version "
         "3 of the License, or (at your option) any later version.",
     ),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU General Public License as published by the Free Software Foundation; either version "
+        "2 of the License, or (at your option) any later version.",
+    ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+        "version 2.1 of the License, or (at your option) any later version.",
+    ),
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Affero General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+    ),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.",),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0 which is available at",
+    ),
+    "Zlib": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following "
+        "restrictions",
+    ),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.",),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.",),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.",),
@@ -61,20 +85,26 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ),
 }
-# Every template has one of these, and starts or ends within reach of it.
+# Every template has one of these.
 CUE = r"licen[sc]ed?|permission|redistribut(?:e|ion)"
 WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
 # The share of a template's words that may differ.
 MOST_DIFFERENT = 0.1
 LEVEL = 19
+# Sizes of blocks that a task remembers.
+REMEMBERED = 1 << 14
 
 
 @dataclass
 class Template:
     license: str
     words: list[str]
-    text: bytes
-    whole: str
+    cues: list[int]
+
+
+def as_block(words: list[str]) -> bytes:
+    """Words between two marks, so that a block that ends otherwise saves less."""
+    return f"\n{' '.join(words)}\n".encode()
 
 
 def compile_templates(templates: dict[str, tuple[str, ...]]) -> list[Template]:
@@ -82,9 +112,10 @@ def compile_templates(templates: dict[str, tuple[str, ...]]) -> list[Template]:
     for name, notices in templates.items():
         for notice in notices:
             words = [w.lower() for w in WORD.findall(notice)]
-            if not words or not re.search(CUE, " ".join(words)):
+            cues = [i for i, word in enumerate(words) if re.search(CUE, word)]
+            if not cues:
                 raise ValueError(f"a notice of {name} has no cue")
-            found.append(Template(name, words, " ".join(words).encode(), notice))
+            found.append(Template(name, words, cues))
     return found
 
 
@@ -144,41 +175,54 @@ class Scanner:
             zstandard.ZstdCompressor(
                 level=LEVEL,
                 dict_data=zstandard.ZstdCompressionDict(
-                    t.text, dict_type=zstandard.DICT_TYPE_RAWCONTENT
+                    as_block(t.words), dict_type=zstandard.DICT_TYPE_RAWCONTENT
                 ),
             )
             for t in templates
         ]
-        self.sizes = [len(self.plain.compress(t.text)) for t in templates]
         self.counts = [Counter(t.words) for t in templates]
-        self.reach = max(len(t.words) for t in templates)
         self.cue = re.compile(CUE)
+        # Notices and their surroundings repeat.
+        self.size = lru_cache(maxsize=REMEMBERED)(self._size)
+
+    def _size(self, raw: bytes, which: int | None) -> int:
+        given = self.plain if which is None else self.given[which]
+        return len(given.compress(raw))
+
+    def rank(self, words: list[str], cue: int, begin: int) -> list[tuple[int, float, int, int]]:
+        """(saved, reduction, template, first word) of every template's best block about word number
+        ``cue``, not before ``begin``: most bytes saved first, then the template given first.
+        Templates that save nothing are no candidates."""
+        found = []
+        for i, template in enumerate(self.templates):
+            best = (0, 0.0, i, 0)
+            for place in template.cues:
+                low, high = max(begin, cue - place), cue - place + len(template.words)
+                raw = as_block(words[low:high])
+                alone = self.size(raw, None)
+                saved = alone - self.size(raw, i)
+                if saved > best[0]:
+                    best = (saved, saved / alone, i, cue - place)
+            if best[0] > 0:
+                found.append(best)
+        return sorted(found, key=lambda c: (-c[0], c[2]))
 
-    def _judge(self, words: list[str], cue: int) -> tuple | None:
-        """(template, reduction, begin, end) of the confirmed winner among the notices of the block
-        that hold its word number ``cue``."""
-        raw = " ".join(words).encode()
-        alone = len(self.plain.compress(raw))
-        saved = [alone - len(c.compress(raw)) for c in self.given]
-        # A template that is all there saves about its own compressed size.
-        ranked = sorted(range(len(saved)), key=lambda i: (-saved[i] / self.sizes[i], i))
-        best = None
-        for i in ranked:
-            template = self.templates[i]
-            allowed = int(MOST_DIFFERENT * len(template.words))
-            low = max(0, cue - len(template.words) - allowed)
-            near = words[low : cue + len(template.words) + allowed]
-            # Each word that is not near is a difference at least.
-            lacking = (self.counts[i] - Counter(near)).total()
-            if lacking > allowed or (best is not None and lacking > best[0][0]):
-                continue
-            wrong, begin, end = align(template.words, near)
-            holds_cue = low + begin <= cue < low + end
-            if wrong <= allowed and holds_cue:
-                rank = (wrong, -len(template.words), -saved[i])
-                if best is None or rank < best[0]:
-                    best = (rank, i, saved[i] / alone, low + begin, low + end)
-        return best and best[1:]
+    def confirm(
+        self, which: int, words: list[str], first: int, cue: int, begin: int
+    ) -> tuple[int, int] | None:
+        """(begin, end) of the stretch of words that is the template but for a few differences and
+        holds the cue, found about the block that begins at ``first``."""
+        template = self.templates[which]
+        allowed = int(MOST_DIFFERENT * len(template.words))
+        low = max(begin, first - allowed)
+        near = words[low : first + len(template.words) + allowed]
+        # Each word that is not near is a difference at least.
+        if (self.counts[which] - Counter(near)).total() > allowed:
+            return None
+        wrong, at, end = align(template.words, near)
+        if wrong <= allowed and low + at <= cue < low + end:
+            return low + at, low + end
+        return None
 
     def scan(self, text: str) -> list[tuple[int, int, str, float, str]]:
         """(begin, end, license, reduction, differences) of each notice, in characters."""
@@ -191,17 +235,15 @@ class Scanner:
         for at in cues:
             if at < done:
                 continue  # inside the notice found last
-            low, high = max(done, at - self.reach), min(len(words), at + self.reach)
-            block = words[low:high]
-            winner = self._judge(block, at - low)
-            if winner is None:
-                continue
-            which, reduction, begin, end = winner
-            template = self.templates[which]
-            edits = differences(template.words, block[begin:end])
-            done = low + end
-            place = (spans[low + begin][0], spans[done - 1][1])
-            found.append((*place, template.license, reduction, edits))
+            for _, reduction, which, first in self.rank(words, at, done):
+                stretch = self.confirm(which, words, first, at, done)
+                if stretch is not None:
+                    begin, done = stretch
+                    template = self.templates[which]
+                    edits = differences(template.words, words[begin:done])
+                    place = (spans[begin][0], spans[done - 1][1])
+                    found.append((*place, template.license, reduction, edits))
+                    break
         return found
 
 
@@ -215,9 +257,11 @@ def scan(
 
     ``begin`` and ``end`` are characters of the whole text, ``reduction`` is the share
     of the block's compressed size that the template saves, ``differences`` lists
-    lacking and extra words (empty: word for word). Notices do not overlap. Null and
-    empty texts have none; repeated rows and null ids are scanned each; other columns
-    are not read.
+    lacking and extra words (empty: word for word). Notices do not overlap. If two templates
+    save the same, the one given first is confirmed first. Null and empty texts and empty
+    tables have no notices; repeated rows and null ids are scanned each; other columns are not
+    read. The work on a long text grows with its cues, each of which looks at blocks
+    as long as the templates; its words are held as a list.
     """
     ready = compile_templates(templates)
     columns = df.where(F.col(text_col).rlike(f"(?i){CUE}")).select(
