@@ -5,10 +5,10 @@ into a fixed number of buckets; bytes that cannot be part of a letter count as
 spaces, so runs with a space mark the ends of words. A text is the mean of its
 subwords' embeddings, and a linear softmax over that mean gives the languages.
 
-Training is stochastic gradient descent in numpy, in one task, on a bounded
-sample of labelled documents (``max_train_docs`` dealt evenly to the labels, some
-tens each at least; the feature counts of a document are bounded by the number of
-buckets). A part of the sample is set aside to
+Training is stochastic gradient descent in numpy, in one task, on the subword counts of a
+bounded sample of labelled documents (``max_train_docs`` dealt evenly to the labels, some
+tens each at least; the counts of a document are bounded by the number of buckets, and
+are made where its text is). A part of the sample is set aside to
 calibrate: a temperature that makes the scores probabilities, and the score below
 which a text is rejected. The model has a fixed size and travels with the job.
 """
@@ -16,6 +16,7 @@ which a text is rejected. The model has a fixed size and travels with the job.
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,30 +46,40 @@ LETTERS = bytes(
 MULTIPLIERS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
 
 
+def _buckets(data: np.ndarray, n: int) -> Iterator[np.ndarray]:
+    """The buckets of the runs of each length that begin in the first ``n`` bytes of ``data``, which
+    has ``LONGEST - 1`` bytes more."""
+    run = np.zeros(n, dtype=np.uint32)
+    for i in range(LONGEST):
+        run = (run ^ data[i : i + n].astype(np.uint32)) * np.uint32(MULTIPLIERS[i])
+        run ^= run >> np.uint32(15)
+        yield (run * np.uint32(MULTIPLIERS[0])) >> np.uint32(32 - BUCKETS.bit_length() + 1)
+
+
 def subword_counts(texts: list[bytes]) -> np.ndarray:
     """Row per text, column per bucket: how often its subwords fall there.
 
-    Texts stand apart by enough spaces that no run spans two of them. Very long texts are counted
-    piece by piece; only the two runs across each cut differ.
+    Texts stand apart by enough spaces that no run spans two of them. A text beyond
+    ``PIECE_BYTES`` is counted in pieces, each run in the piece where it begins, which gives
+    the same counts.
     """
-    if any(len(t) > PIECE_BYTES for t in texts):
-        steps = [range(0, len(t) or 1, PIECE_BYTES) for t in texts]
-        return np.stack(
-            [
-                sum(subword_counts([t[i : i + PIECE_BYTES]])[0] for i in step)
-                for t, step in zip(texts, steps)
-            ]
-        )
     pad = b" " * (LONGEST - 1)
+    if any(len(t) > PIECE_BYTES for t in texts):
+        rows = []
+        for text in texts:
+            data = np.frombuffer(pad + text.translate(LETTERS) + pad + pad, dtype=np.uint8)
+            size, row = len(data) - len(pad), np.zeros(BUCKETS, dtype=np.int64)
+            for at in range(0, size, PIECE_BYTES):
+                n = min(PIECE_BYTES, size - at)
+                for bucket in _buckets(data[at : at + n + len(pad)], n):
+                    row += np.bincount(bucket, minlength=BUCKETS)
+            rows.append(row)
+        return np.stack(rows)
     padded = [pad + t.translate(LETTERS) + pad for t in texts]
-    data = np.frombuffer(b"".join(padded) + pad, dtype=np.uint8).astype(np.uint32)
+    data = np.frombuffer(b"".join(padded) + pad, dtype=np.uint8)
     owner = np.repeat(np.arange(len(texts)) * BUCKETS, list(map(len, padded)))
-    n, total = len(owner), np.zeros(len(texts) * BUCKETS, dtype=np.int64)
-    run = np.zeros(n, dtype=np.uint32)
-    for i in range(LONGEST):
-        run = (run ^ data[i : i + n]) * np.uint32(MULTIPLIERS[i])
-        run ^= run >> np.uint32(15)
-        bucket = (run * np.uint32(MULTIPLIERS[0])) >> np.uint32(32 - BUCKETS.bit_length() + 1)
+    total = np.zeros(len(texts) * BUCKETS, dtype=np.int64)
+    for bucket in _buckets(data, len(owner)):
         total += np.bincount(owner + bucket, minlength=len(total))
     return total.reshape(len(texts), BUCKETS)
 
@@ -94,19 +105,22 @@ class Model:
         return _softmax((means + self.bias) / self.temperature)
 
 
-def _examples(texts: list[bytes], labels: np.ndarray, rng) -> tuple[list[tuple], np.ndarray]:
-    """(buckets, shares) of each whole text and of some short pieces of it, as short texts differ."""
-    found, targets = [], []
-    for text, label in zip(texts, labels.tolist()):
-        pieces = [text]
-        for _ in range(SNIPPETS):
-            at = int(rng.integers(0, max(1, len(text) - SNIPPET_BYTES)))
-            pieces.append(text[at : at + SNIPPET_BYTES])
-        for row in subword_counts(pieces):
-            used = np.flatnonzero(row)
-            found.append((used.astype(np.int32), (row[used] / row.sum()).astype(np.float32)))
-            targets.append(label)
-    return found, np.array(targets)
+Vector = tuple[np.ndarray, np.ndarray]
+
+
+def vectors(text: bytes) -> list[Vector]:
+    """(buckets, shares) of a whole text and of some short pieces of it, as short texts differ. Where
+    the pieces begin follows from the text."""
+    rng = np.random.default_rng(zlib.crc32(text))
+    pieces = [text]
+    for _ in range(SNIPPETS):
+        at = int(rng.integers(0, max(1, len(text) - SNIPPET_BYTES)))
+        pieces.append(text[at : at + SNIPPET_BYTES])
+    found = []
+    for row in (subword_counts([p])[0] for p in pieces):
+        used = np.flatnonzero(row)
+        found.append((used.astype(np.int32), (row[used] / row.sum()).astype(np.float32)))
+    return found
 
 
 def spared(target: np.ndarray) -> np.ndarray:
@@ -118,23 +132,24 @@ def spared(target: np.ndarray) -> np.ndarray:
     return aside
 
 
-def fit(texts: list[bytes], labels: list[str], seed: int = 7) -> Model:
-    """Trains and calibrates; ``texts`` in any order.
+def fit(examples: list[list[Vector]], labels: list[str], seed: int = 7) -> Model:
+    """Trains and calibrates on the vectors of each text, in the given order.
 
-    A fifth of each label's texts calibrates (by content order; of two to four, one),
-    and none of a label with a single text, which is needed to learn it. Only if no
-    label has two texts is there nothing to calibrate on: the temperature stays 1
-    and the threshold is a guess between all languages.
+    A fifth of each label's texts calibrates (of two to four, one), and none of a label
+    with a single text, which is needed to learn it. Only if no label has two texts is there
+    nothing to calibrate on: the temperature stays 1 and the threshold is a guess between all
+    languages.
     """
     rng = np.random.default_rng(seed)
-    order = sorted(range(len(texts)), key=lambda i: (texts[i], labels[i]))
-    texts, labels = [texts[i] for i in order], [labels[i] for i in order]
     languages = sorted(set(labels))
     target = np.array([languages.index(x) for x in labels])
     aside = spared(target)
-    train = [t for t, a in zip(texts, aside) if not a]
-    rows, goal = _examples(train, target[~aside], rng)
 
+    def flat(chosen: np.ndarray) -> tuple[list[Vector], np.ndarray]:
+        rows = [(v, t) for e, t, c in zip(examples, target, chosen) if c for v in e]
+        return [v for v, _ in rows], np.array([t for _, t in rows])
+
+    rows, goal = flat(~aside)
     embed = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
     matrix = np.zeros((WIDTH, len(languages)), dtype=np.float32)
     bias = np.zeros(len(languages), dtype=np.float32)
@@ -152,9 +167,10 @@ def fit(texts: list[bytes], labels: list[str], seed: int = 7) -> Model:
             embed[used] -= np.outer(rate * len(used) ** 0.5 * share, back)
             step += 1
     model = Model(languages, (embed @ matrix).astype(np.float64), bias.astype(np.float64), 1.0, 0.0)
-    model.threshold = min(0.5, 1 / len(languages))
+    # A text no more certain than a guess between all languages goes in any case.
+    model.threshold = 1 / len(languages)
 
-    checks, truth = _examples([t for t, a in zip(texts, aside) if a], target[aside], rng)
+    checks, truth = flat(aside)
     if checks:
         logits = np.array([share @ model.weights[used] + bias for used, share in checks])
         scales = np.geomspace(0.05, 10, 60)
@@ -162,8 +178,7 @@ def fit(texts: list[bytes], labels: list[str], seed: int = 7) -> Model:
         loss = [-np.log(_softmax(logits / s)[own, truth] + 1e-12).mean() for s in scales]
         model.temperature = float(scales[int(np.argmin(loss))])
         best = _softmax(logits / model.temperature).max(axis=1)
-        # A text no more certain than a guess between all languages goes in any case.
-        model.threshold = float(min(0.5, max(1 / len(languages), np.quantile(best, LOST))))
+        model.threshold = float(max(model.threshold, np.quantile(best, LOST)))
     return model
 
 
@@ -195,18 +210,30 @@ def train(
     ranked = once.withColumn(
         "rank", F.row_number().over(Window.partitionBy("label").orderBy("place"))
     )
-    chosen = ranked.where(F.col("rank") <= bound).select("text", "label")
+    chosen = ranked.where(F.col("rank") <= bound).select("label", "place", "text")
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, labels = [], []
+    # Texts of any length become a few vectors in the tasks that hold them.
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts += batch.column(0).to_pylist()
-            labels += batch.column(1).to_pylist()
-        if texts:
-            model = pickle.dumps(fit(texts, labels).__dict__)
+            for label, place, text in zip(*batch.columns):
+                packed = pickle.dumps(vectors(text.as_py()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([label.as_py()]), pa.array([place.as_py()]), pa.array([packed])],
+                    names=["label", "place", "vectors"],
+                )
+
+    counted = materialize(
+        chosen.mapInArrow(count, "label string, place long, vectors binary"), "lang-vectors"
+    )
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        if rows:
+            examples = [pickle.loads(packed) for *_, packed in rows]
+            model = pickle.dumps(fit(examples, [label for label, *_ in rows]).__dict__)
             yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
-    found = chosen.coalesce(1).mapInArrow(task, "model binary").collect()
+    found = counted.coalesce(1).mapInArrow(task, "model binary").collect()
     return Model(**pickle.loads(found[0]["model"])) if found else None
 
 

@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import pytest
@@ -53,17 +54,64 @@ def test_a_text_does_not_depend_on_its_neighbours():
         assert (language_id.subword_counts([text])[0] == row).all()
 
 
-def test_long_texts_are_counted_in_pieces(monkeypatch):
-    text = b"some words here " * 100
-    whole = language_id.subword_counts([text])[0]
-    monkeypatch.setattr(language_id, "PIECE_BYTES", 160)
-    pieces = language_id.subword_counts([text, b"a"])[0]
-    assert abs(whole - pieces).sum() <= 10 * 10 * language_id.LONGEST
+@pytest.mark.parametrize("piece", [1, 2, 7, 160])
+def test_long_texts_have_the_same_counts(monkeypatch, piece):
+    texts = ["some words here, é à 漢字 ".encode() * 40, b"a", b""]
+    whole = language_id.subword_counts(texts)
+    monkeypatch.setattr(language_id, "PIECE_BYTES", piece)
+    assert (language_id.subword_counts(texts) == whole).all()
+
+
+def brute_buckets(text):
+    """Bucket of every run of one to three bytes, one by one."""
+    mask = 0xFFFFFFFF
+    data = b"  " + text.translate(language_id.LETTERS) + b"    "
+    for at in range(len(text) + 4):
+        run = 0
+        for i in range(language_id.LONGEST):
+            run = ((run ^ data[at + i]) * language_id.MULTIPLIERS[i]) & mask
+            run ^= run >> 15
+            yield ((run * language_id.MULTIPLIERS[0]) & mask) >> (33 - language_id.BUCKETS.bit_length())
+
+
+def test_predictions_follow_from_the_model(spark):
+    """Mean of weights, softmax with temperature and threshold, recomputed by plain loops."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).cache()
+    model = language_id.train(docs, "text", "lang")
+    for row in language_id.predict(docs, model).join(docs.select("doc_id", "text"), "doc_id").collect():
+        if not any(c.isalpha() for c in row["text"] or ""):
+            continue
+        buckets = list(brute_buckets(row["text"].encode()))
+        logits = [
+            (sum(model.weights[b][k] for b in buckets) / len(buckets) + model.bias[k]) / model.temperature
+            for k in range(len(model.languages))
+        ]
+        chances = [math.exp(z - max(logits)) for z in logits]
+        best = max(chances) / sum(chances)
+        assert row["lang_pred"] == model.languages[chances.index(max(chances))]
+        assert row["score"] == pytest.approx(best)
+        assert row["accepted"] == (row["score"] >= model.threshold)
+
+
+def test_texts_of_no_learnt_language_are_rejected():
+    own = ["a"] * 60 + ["b"] * 60 + ["c"] * 60
+    model = fit([prose(x, i) for i, x in enumerate(own)], own)
+    noise = [b"qqq zzkk wqzx jjvv kkqq", "漢字 仮名 文字".encode(), b"zxqj " * 50]
+    seen = [prose(x, 1000 + i) for i, x in enumerate("abc")]
+    scores = model.probabilities(noise + seen).max(axis=1)
+    assert (scores[:3] < model.threshold).all() and (scores[3:] >= model.threshold).all()
+    # Calibration decides, wherever it leads.
+    assert model.threshold > 0.5
+
+
+def fit(texts, labels):
+    order = sorted(range(len(texts)), key=lambda i: (texts[i], labels[i]))
+    return language_id.fit([language_id.vectors(texts[i]) for i in order], [labels[i] for i in order])
 
 
 @pytest.mark.parametrize("labels", [["a"], ["a", "b"], ["a", "a", "b"]])
 def test_fits_few_texts(labels):
-    model = language_id.fit([f"text {i}".encode() for i in range(len(labels))], labels)
+    model = fit([f"text {i}".encode() for i in range(len(labels))], labels)
     assert model.languages == sorted(set(labels))
 
 
@@ -76,7 +124,7 @@ def test_a_label_with_one_text_does_not_turn_calibration_off():
     own = ["b"] * 34 + ["a"] * 30
     texts = [prose(x, i) for i, x in enumerate(own)] + [b"l kvantti"]
     assert sorted(texts).index(b"l kvantti") % 5 == 4  # among every fifth text
-    model = language_id.fit(texts, own + ["rare"])
+    model = fit(texts, own + ["rare"])
     assert model.languages == ["a", "b", "rare"]
     assert model.temperature != 1.0 and model.threshold >= 1 / 3
 
