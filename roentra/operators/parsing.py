@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from roentra import schemas
+from roentra.sources.ranges import BLOCK, RandomAccess, RangeReader, open_path
 
 FIELDS = schemas.RAW_HEADER.fieldNames()
 NUMBERS = {"n_rows", "n_columns"}
@@ -22,7 +24,10 @@ def dicom_header(content: bytes) -> Mapping[str, object]:
 
     import pydicom
 
-    tags = pydicom.dcmread(io.BytesIO(content), stop_before_pixels=True)
+    return _columns(pydicom.dcmread(io.BytesIO(content), stop_before_pixels=True))
+
+
+def _columns(tags) -> Mapping[str, object]:
     found = {column: tags.get(tag) for column, tag in schemas.HEADER_TAGS.items()}
     return {
         column: value if value is None or column in NUMBERS else str(value)
@@ -74,6 +79,54 @@ def parse_headers(
     return files.select("path", "content").mapInPandas(run, PARSED_SCHEMA)
 
 
+def dicom_tags(file: BinaryIO) -> Mapping[str, object]:
+    """``dicom_header`` of an open file: stops before the pixels, so they are not fetched."""
+    import pydicom
+
+    return _columns(pydicom.dcmread(file, stop_before_pixels=True))
+
+
+def parse_ranges(
+    listing: DataFrame,
+    parse: Callable[[BinaryIO], Mapping[str, object]] = dicom_tags,
+    open_file: Callable[[str], RandomAccess] = open_path,
+    block: int = BLOCK,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Listed files (path) -> the rows of ``parse_headers``, ``bytes_read`` and the columns ``keep``.
+
+    The listing carries no content: every file is opened in its task and fetched in blocks
+    from the beginning, as far as the parser reads. A file that cannot be opened is
+    quarantined like one that does not parse.
+    """
+    kept = [listing.schema[c] for c in keep]
+    kind = f"{PARSED_SCHEMA}, bytes_read long"
+    kind += "".join(f", {f.name} {f.dataType.simpleString()}" for f in kept)
+
+    def row(path: str) -> list:
+        fetched = 0
+
+        def through_blocks(_: bytes) -> Mapping[str, object]:
+            nonlocal fetched
+            file = RangeReader(open_file(path), block)
+            try:
+                return parse(file)
+            finally:
+                fetched = file.fetched
+
+        return [path, *header_row(b"", through_blocks), fetched]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["file_path", *FIELDS, "error", "bytes_read"]
+        for batch in batches:
+            frame = pd.DataFrame([row(p) for p in batch["path"]], columns=columns, dtype=object)
+            for name in keep:
+                frame[name] = batch[name].to_numpy()
+            yield frame
+
+    return listing.select("path", *keep).mapInPandas(run, kind)
+
+
 def parsed_rows(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("error").isNull()).drop("error")
 

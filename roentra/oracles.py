@@ -225,6 +225,22 @@ FINAL = {
     "json_lines_round_trip": """
         SELECT job_name, row_count, notes FROM fx_audit
         UNION ALL SELECT job_name, row_count, notes FROM fx_audit WHERE row_count % 2 = 0""",
+    "files_listed": """
+        SELECT file_name, CAST(strlen(coalesce(content, '')) AS BIGINT) AS length
+        FROM fx_files WHERE CAST(regexp_extract(file_name, '([0-9]+)', 1) AS BIGINT) % 7 <> 0""",
+    "files_read": """
+        SELECT file_name, md5(coalesce(content, '')) AS content_hash
+        FROM fx_files WHERE CAST(regexp_extract(file_name, '([0-9]+)', 1) AS BIGINT) % 7 <> 0""",
+    "published_files": """
+        SELECT replace(file_name, '.dcm', '') AS patient_id, file_name, 1704067200.5::DOUBLE AS stamp
+        FROM fx_headers""",
+    "new_headers": """
+        SELECT original_filename, modality, patient_age_bucket, "rows", regexp_extract(file_path, '[^/]*$') AS file_path,
+               (SELECT count(*) FROM fx_headers) AS opened, 0::BIGINT AS opened_last, true AS read_a_part
+        FROM readable""",
+    "log_lines_read": "SELECT job_name, row_count, notes FROM fx_audit WHERE row_count % 5 <> 0",
+    "log_lines_broken": """
+        SELECT '{"job_name": "cut' AS line, count(*) AS n FROM fx_audit WHERE row_count % 5 = 0 HAVING count(*) > 0""",
     "clock_stamps": """
         SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS stamp FROM events""",
     "lake_case_counts": """

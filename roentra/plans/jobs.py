@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from typing import BinaryIO
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegressionModel
@@ -12,10 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roentra import schemas
 from roentra.functions import times
-from roentra.operators import check_state, classifier, epochs, gold, headers, parsing, pixels, quality, scoring
+from roentra.operators import check_state, classifier, epochs, gold, headers, ingest, parsing, pixels, quality, scoring
 from roentra.operators.skew import hot_keys
 from roentra.plans.audit import log_run
 from roentra.sources.buckets import read_bucketed, write_bucketed
+from roentra.sources.ranges import RandomAccess, open_path
 from roentra.sources.tables import is_table, read_table, write_table
 from roentra.streaming.arrivals import run_manifest
 from roentra.streaming.jobs import drain_batches
@@ -49,6 +51,7 @@ class Layout:
 CLASS_INFO = "bronze/metadata_raw"
 HEADERS = "silver/dicom_metadata"
 HEADER_STAGE = "silver/dicom_parsed"
+HEADER_VERSIONS = "silver/dicom_versions"
 HEADER_ERRORS = "silver/dicom_errors"
 IMAGES = "silver/images_processed"
 DQ_RESULTS = "silver/dq_results"
@@ -113,6 +116,58 @@ def ingest_headers(
     return {"rows": rows, "failed": failed}
 
 
+def ingest_new_headers(
+    listing: DataFrame,
+    layout: Layout,
+    parse: Callable[[BinaryIO], Mapping[str, object]] = parsing.dicom_tags,
+    open_file: Callable[[str], RandomAccess] = open_path,
+    run: str | None = None,
+) -> dict[str, int]:
+    """Listed files (path, modified, length) -> silver headers; only new and changed files are opened,
+    and of those only the bytes that the parser reads.
+
+    Every run adds its parsed rows as a partition, which is the manifest of what was
+    seen as well; silver takes the newest version of each file. The name of an earlier run
+    replaces that run.
+    """
+    spark, name = listing.sparkSession, run or new_run("headers")
+    versions = ["modified", "length", "bytes_read"]
+    if layout.exists(spark, HEADER_VERSIONS):
+        earlier = layout.read(spark, HEADER_VERSIONS).where(F.col("run") != name)
+        seen = earlier.select(F.col("file_path").alias("path"), "modified", "length")
+        listing = ingest.unseen(listing, seen)
+    parsed = parsing.parse_ranges(listing, parse, open_file, keep=["modified", "length"])
+    staged = headers.deidentified_headers(parsed, keep=["error", *versions])
+    counts = layout.write(
+        staged.withColumn("run", F.lit(name)),
+        HEADER_VERSIONS,
+        partition_by=["run"],
+        replace_partitions=True,
+        failed=F.count("error"),
+        bytes_read=F.sum("bytes_read"),
+    )
+    rows = 0
+    if layout.exists(spark, HEADER_VERSIONS):
+        stored = layout.read(spark, HEADER_VERSIONS)
+        last = ingest.newest(stored, "file_path", ["modified", "run"])
+        layout.write(parsing.parse_errors(last), HEADER_ERRORS)
+        silver = schemas.conform(parsing.parsed_rows(last), schemas.HEADERS)
+        rows = layout.write(silver, HEADERS)["rows"]
+    log_run(
+        spark,
+        layout.audit,
+        schemas.JOB_HEADERS_INGEST,
+        rows,
+        notes=f"{counts['rows']} files opened, {counts['failed']} of them quarantined",
+    )
+    return {
+        "opened": counts["rows"],
+        "failed": counts["failed"],
+        "bytes_read": counts["bytes_read"],
+        "rows": rows,
+    }
+
+
 def ingest_images(
     files: DataFrame,
     layout: Layout,

@@ -26,6 +26,16 @@ def list_files(
     return found if limit is None else found.orderBy("file_name").limit(limit)
 
 
+def list_versions(spark: SparkSession, directory: str, suffix: str) -> DataFrame:
+    """Files directly in a directory: path, modified, length. No bytes are read."""
+    return (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", f"*{suffix}")
+        .load(directory)
+        .select("path", F.col("modificationTime").alias("modified"), "length")
+    )
+
+
 def read_files(
     spark: SparkSession, directory: str, suffix: str, limit: int | None = None
 ) -> DataFrame:

@@ -6,6 +6,7 @@ import json
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roentra import schemas
@@ -29,7 +30,7 @@ from roentra.operators import (
 from roentra.operators.durable import materialize, new_table_path
 from roentra.operators.skew import hot_keys
 from roentra.plans import audit, dashboard, jobs
-from roentra.sources import buckets, jdbc, jsonlines, tables
+from roentra.sources import buckets, files, jdbc, jsonlines, tables
 from roentra.streaming import alerts as alert_stream, arrivals as arrival_stream, newest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,6 +182,105 @@ def processed_paths(spark, sf):
     return rows.select("file_path", identity.join_path("processed/", name).alias("processed_path"))
 
 
+# --- files on disk ------------------------------------------------------------
+
+
+def _write_files(files: DataFrame, folder: str) -> None:
+    """Each row (file_name, content) as a file of its own in a folder all tasks reach."""
+
+    def run(batches):
+        for batch in batches:
+            for name, content in zip(batch["file_name"], batch["content"]):
+                store, place = pyarrow.fs.FileSystem.from_uri(folder)
+                store.create_dir(place)
+                with store.open_output_stream(f"{place}/{name}") as out:
+                    out.write(bytes(content))
+            yield batch[["file_name"]]
+
+    rows = files.select("file_name", F.col("content").cast("binary").alias("content"))
+    rows.mapInPandas(run, "file_name string").write.format("noop").mode("overwrite").save()
+
+
+def _new_folder(spark, name):
+    """A fresh folder as a URI."""
+    path = new_table_path(spark, name)
+    scheme, colon, rest = path.partition(":")
+    if not colon:
+        return f"file://{path}"
+    return path if rest.startswith("//") else f"{scheme}://{rest}"
+
+
+def _text_files(spark, sf):
+    """The texts as files, some with a suffix in capitals."""
+    rows = view(spark, sf, "fx_files")
+    number = F.regexp_extract("file_name", "([0-9]+)", 1).cast("long")
+    name = F.when(number % 7 == 0, F.upper("file_name")).otherwise(F.col("file_name"))
+    folder = _new_folder(spark, "files")
+    _write_files(rows.select(name.alias("file_name"), F.coalesce("content", F.lit("")).alias("content")), folder)
+    return folder
+
+
+@query
+def files_listed(spark, sf):
+    return files.list_files(spark, _text_files(spark, sf), ".png").select("file_name", "length")
+
+
+@query
+def files_read(spark, sf):
+    found = files.read_files(spark, _text_files(spark, sf), ".png")
+    return quality.file_digests(found)
+
+
+@query
+def published_files(spark, sf):
+    """Events of the files of a folder: of those there at first, then of the others."""
+    rows = _header_files(spark, sf).withColumn("file_name", identity.base_name(F.col("path")))
+    folder, out = _new_folder(spark, "raw"), new_table_path(spark, "events")
+    early = F.pmod(F.xxhash64("file_name"), F.lit(2)) == 0
+    for part in (rows.where(early), rows.where(~early)):
+        _write_files(part, folder)
+        arrival_stream.run_publisher(
+            files.stream_files(spark, folder, ".dcm"), f"{out}/progress", "parquet",
+            {"path": f"{out}/table"}, F.lit(PUBLISHED_AT).cast("decimal(18,6)"),
+        )
+    events = arrivals.parsed_messages(spark.read.schema("value string").parquet(f"{out}/table"))
+    return events.select(
+        F.col("event")["patient_id"].alias("patient_id"),
+        identity.base_name(F.col("event")["file_path"]).alias("file_name"),
+        F.col("event")["ingestion_timestamp"].cast("double").alias("stamp"),
+    )
+
+
+def _parse_json_line(file) -> dict:
+    """The header is the first line; what follows stands for pixels and is not read."""
+    return _parse_json_header(file.readline())
+
+
+@query
+def new_headers(spark, sf):
+    """Silver headers after three runs over a growing folder of large files, and what they opened."""
+    rows = _header_files(spark, sf).withColumn("file_name", identity.base_name(F.col("path")))
+    body = F.concat("content", F.lit(b"\n"), F.repeat(F.lit("x"), 200_000).cast("binary"))
+    large = rows.select("file_name", body.alias("content"))
+    layout, folder = jobs.Layout(new_table_path(spark, "lake")), _new_folder(spark, "raw")
+    early = F.pmod(F.xxhash64("file_name"), F.lit(2)) == 0
+    counts = []
+    for part in (large.where(early), large.where(~early), None):
+        if part is not None:
+            _write_files(part, folder)
+        listing = files.list_versions(spark, folder, ".dcm")
+        counts.append(jobs.ingest_new_headers(listing, layout, _parse_json_line))
+    opened = sum(c["opened"] for c in counts)
+    share = sum(c["bytes_read"] for c in counts) / max(1, listing.agg(F.sum("length")).first()[0] or 1)
+    found = layout.read(spark, jobs.HEADERS)
+    return found.withColumn("file_path", identity.base_name(F.col("file_path"))).select(
+        "original_filename", "modality", "patient_age_bucket", "rows", "file_path",
+        F.lit(opened).cast("long").alias("opened"),
+        F.lit(counts[2]["opened"]).cast("long").alias("opened_last"),
+        F.lit(share < 0.5).alias("read_a_part"),
+    )
+
+
 # --- tables and logs ---------------------------------------------------------
 
 
@@ -218,6 +318,29 @@ def clock_stamps(spark, sf):
     return rows.select("event_id", times.iso_utc(F.col("ts")).alias("stamp"))
 
 
+def _log_with_broken_lines(spark, sf):
+    """A log in which every fifth user's lines break off."""
+    runs = view(spark, sf, "fx_audit").select("job_name", "row_count", "notes")
+    line = F.to_json(F.struct(*runs.columns), {"ignoreNullFields": "false"})
+    broken = F.when(F.col("row_count") % 5 == 0, F.lit('{"job_name": "cut')).otherwise(line)
+    path = new_table_path(spark, "log")
+    runs.select(broken.alias("value")).write.text(path)
+    return path, runs.schema
+
+
+@query
+def log_lines_read(spark, sf):
+    path, schema = _log_with_broken_lines(spark, sf)
+    return jsonlines.read_json_lines(spark, path, schema)
+
+
+@query
+def log_lines_broken(spark, sf):
+    path, schema = _log_with_broken_lines(spark, sf)
+    lines = jsonlines.broken_lines(spark, path, schema)
+    return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _layout(spark, sf):
     """All batch jobs over the given tables, into a new lake."""
     layout = jobs.Layout(new_table_path(spark, "lake"))
