@@ -239,6 +239,7 @@ FINAL = {
                (SELECT count(*) FROM fx_headers) AS opened, 0::BIGINT AS opened_last, true AS read_a_part
         FROM readable""",
     "log_lines_read": "SELECT job_name, row_count, notes FROM fx_audit WHERE row_count % 5 <> 0",
+    "packed_log": "SELECT job_name, row_count, notes, 1::BIGINT AS files FROM fx_audit",
     "log_lines_broken": """
         SELECT '{"job_name": "cut' AS line, count(*) AS n FROM fx_audit WHERE row_count % 5 = 0 HAVING count(*) > 0""",
     "clock_stamps": """

@@ -334,6 +334,20 @@ def log_lines_read(spark, sf):
     return jsonlines.read_json_lines(spark, path, schema)
 
 
+@query
+def packed_log(spark, sf):
+    """A log of many small appends, packed, appended to and packed again: its rows and its files."""
+    runs = view(spark, sf, "fx_audit").select("job_name", "row_count", "notes")
+    path = new_table_path(spark, "log")
+    for part in (runs.where("row_count % 2 = 0"), runs.where("row_count % 2 = 1")):
+        jsonlines.append_json_lines(part.repartition(40, "notes"), path)
+        jsonlines.pack(spark, path)
+        jsonlines.remove_covered(spark, path)
+    _, packed, _ = jsonlines.manifest(spark, path)
+    found = jsonlines.read_json_lines(spark, path, runs.schema)
+    return found.withColumn("files", F.lit(len(packed)).cast("long"))
+
+
 @query
 def log_lines_broken(spark, sf):
     path, schema = _log_with_broken_lines(spark, sf)
