@@ -32,6 +32,11 @@ def json_object(text: Column) -> Column:
     return single[0]
 
 
+def body(text: Column) -> Column:
+    """The message as a VARIANT, with whatever fields it has; NULL if it is no JSON or repeats a key."""
+    return F.try_parse_json(text)
+
+
 def is_json_value(text: Column) -> Column:
     """True when the whole text is one JSON value of any kind."""
     wrapped = F.concat(F.lit("["), text, F.lit("]"))

@@ -52,6 +52,47 @@ def arrival_manifest(topic: DataFrame, consumed_at: Column | None = None) -> Dat
     return parsed_messages(topic).where(is_valid_arrival(event)).select(*columns)
 
 
+def arrival_bodies(topic: DataFrame, consumed_at: Column | None = None) -> DataFrame:
+    """The rows of ``arrival_manifest`` with the whole message as ``body``, a VARIANT.
+
+    Fields that no schema names are kept and read by their path (``body_fields``). A message
+    that repeats a key has no body.
+    """
+    texts = parsed_messages(topic).withColumn("body", messages.body(F.col("text")))
+    valid = texts.where(is_valid_arrival(F.col("event")))
+
+    def field(name: str, kind: str) -> Column:
+        return F.try_variant_get("body", f"$.{name}", kind)
+
+    known = [
+        F.coalesce(field("patient_id", "string"), F.col("event")["patient_id"]).alias("patient_id"),
+        F.coalesce(field("file_path", "string"), F.col("event")["file_path"]).alias("file_path"),
+        F.coalesce(
+            field("ingestion_timestamp", "double"),
+            F.col("event")["ingestion_timestamp"].try_cast("double"),
+        ).alias("ingestion_timestamp"),
+        F.col("offset").cast("bigint").alias("kafka_offset"),
+    ]
+    if "partition" in topic.columns:
+        known.append(F.col("partition").alias("kafka_partition"))
+    if consumed_at is not None:
+        known.append(consumed_at.alias("consumed_at"))
+    return valid.select(*known, "body")
+
+
+def body_fields(bodies: DataFrame, **fields: tuple[str, str]) -> DataFrame:
+    """Add columns by name from (path, type) in the body; NULL where the message has no such field or
+    one of another kind."""
+    found = {n: F.try_variant_get("body", path, kind) for n, (path, kind) in fields.items()}
+    return bodies.withColumns(found)
+
+
+def body_shapes(bodies: DataFrame) -> DataFrame:
+    """How many messages have which fields and types: what senders have added or changed."""
+    shape = F.schema_of_variant("body").alias("shape")
+    return bodies.groupBy(shape).agg(F.count(F.lit(1)).alias("n"))
+
+
 def reject_reason(text: Column, event: Column) -> Column:
     """not_json, not_object or no_patient_id; NULL for a valid message."""
     looks_like_object = F.startswith(F.ltrim(text), F.lit("{"))

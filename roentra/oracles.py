@@ -375,6 +375,9 @@ FINAL = {
         FROM fx_headers""",
     "arrival_manifest": "SELECT * FROM manifest",
     "arrival_manifest_stream": "SELECT * FROM manifest",
+    "arrival_unknown_fields": """
+        SELECT *, 's' || CAST(kafka_offset % 7 AS VARCHAR) AS site, kafka_offset % 5 AS tag, NULL::VARCHAR AS none
+        FROM manifest""",
     "arrival_manifest_replayed": "SELECT * FROM manifest",
     "arrival_rejects": "SELECT reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY reason",
     "predictions": """

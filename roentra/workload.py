@@ -604,6 +604,20 @@ def clinical_alerts_stream(spark, sf):
     return spark.read.schema(alert_stream.flagged_alerts(scored).schema).parquet(f"{out}/table")
 
 
+@query
+def arrival_unknown_fields(spark, sf):
+    """Messages with a nested field that no schema names, kept in a table and read by path."""
+    site = F.concat(F.lit('{"device":{"site":"s'), (F.col("offset") % 7).cast("string"), F.lit('","tags":[1,'))
+    more = F.concat(site, (F.col("offset") % 5).cast("string"), F.lit("]},"))
+    value = F.when(F.startswith(F.col("value"), F.lit("{")), F.concat(more, F.expr("substring(value, 2)")))
+    topic = _topic(spark, sf).withColumn("value", F.coalesce(value, F.col("value")))
+    bodies = materialize(arrivals.arrival_bodies(topic), "bodies")
+    found = arrivals.body_fields(
+        bodies, site=("$.device.site", "string"), tag=("$.device.tags[1]", "bigint"), none=("$.device.no", "string")
+    )
+    return found.drop("body")
+
+
 @query
 def arrival_manifest_replayed(spark, sf):
     """The manifest of a topic whose messages come again, in other micro-batches and after a restart."""

@@ -215,3 +215,25 @@ def test_newest_alerts_from_the_topic(spark, tmp_path):
     newest.run_topic(spark.readStream.schema("value string").parquet(topic), path, progress, 5)
     found = newest.newest_alerts(spark, path, 5).collect()
     assert [r["filename"] for r in found] == ["s23", "s22", "s21", "s20", "s19"]
+
+
+BODIES = [
+    '{"patient_id":"p","file_path":"f","ingestion_timestamp":1.5,"device":{"site":"a","tags":[1,{"x":2}]}}',
+    '{"patient_id":7,"ingestion_timestamp":"2.5"}', '{"patient_id":null}', '{"patient_id":{"x":1}}', '{"patient_id":true}',
+    '{"patient_id":"p"} trailing', '{"file_path":"f"}', "[1]", "not json", "", None,
+    '{"patient_id":1,"patient_id":2}', '{"patient_id":"p","file_path":{"a":[1,2]}}', '{"patient_id":"p","ingestion_timestamp":"x"}',
+]
+
+
+def test_bodies_have_the_rows_of_the_manifest_and_all_fields(spark, tmp_path):
+    topic = spark.createDataFrame([(v, i % 2, i) for i, v in enumerate(BODIES)], "value string, partition int, offset long")
+    bodies, manifest = arrivals.arrival_bodies(topic), arrivals.arrival_manifest(topic)
+    assert sorted(map(str, bodies.drop("body").collect())) == sorted(map(str, manifest.collect()))
+    bodies.write.parquet(str(tmp_path / "bodies"))
+    stored = spark.read.parquet(str(tmp_path / "bodies"))
+    found = arrivals.body_fields(stored, site=("$.device.site", "string"), x=("$.device.tags[1].x", "int"), bad=("$.device.site", "int"))
+    (row,) = found.where("site IS NOT NULL").collect()
+    assert (row["site"], row["x"], row["bad"]) == ("a", 2, None)
+    shapes = {r["shape"]: r["n"] for r in arrivals.body_shapes(stored).collect()}
+    assert shapes["OBJECT<patient_id: VOID>"] == 1 and shapes[None] == 1
+    assert sum(shapes.values()) == manifest.count()
