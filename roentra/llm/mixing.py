@@ -8,69 +8,62 @@ source; every pass is a fresh permutation of blocks, and of the documents in a
 block. A document's place in the quota is its place in the mixture, so that every
 stretch of the mixture holds all sources in proportion to their weights.
 
-All of it is built-in expressions. What is gathered in one row is one number for
-each source; running totals go through blocks, so a source that holds a third of
-all tokens is spread over all its blocks.
+All of it is built-in expressions. The exponent is found in rounds over the table of source
+totals, each of which tries ``TRIALS`` exponents in one aggregate and brings a row for each to
+the driver, however many sources there are. Running totals go through blocks, so a
+source that holds a third of all tokens is spread over all its blocks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import math
+from collections.abc import Callable
+from itertools import takewhile
+
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from roentra.operators.durable import materialize
 
 SEED = 9
-BISECTIONS = 50
+# Exponents tried in a round, and rounds: six bits of the exponent each.
+TRIALS, ROUNDS = 63, 9
 # Documents in a block of a permutation, and the least number of blocks.
 BLOCK_ROWS, LEAST_BLOCKS = 20_000, 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def _total(numbers: Column) -> Column:
-    return F.aggregate(numbers, F.lit(0.0), lambda s, x: s + x)
-
-
-def _weights(tokens: Column, exponent: Column) -> Column:
-    """Normalised weights; the largest source is the unit, so that no power overflows."""
-    top = F.array_max(tokens)
-    raised = F.transform(tokens, lambda n: F.pow(n / top, exponent))
-    total = _total(raised)
-    return F.transform(raised, lambda r: r / total)
-
-
-def _entropy(weights: Column) -> Column:
-    return -_total(F.transform(weights, lambda w: F.when(w > 0, w * F.log(w)).otherwise(0.0)))
-
-
-def _rates(tokens: Column, weights: Column) -> Column:
-    """Weight of each source for each of its tokens."""
-    return F.transform(F.arrays_zip(tokens.alias("n"), weights.alias("w")), lambda z: z["w"] / z["n"])
-
-
-def _passes(tokens: Column, weights: Column, budget: Column) -> Column:
-    """Passes over the source that is repeated most."""
-    return F.array_max(_rates(tokens, weights)) * budget
-
+def _tried(totals: DataFrame, top: float, exponents: list[float]) -> list[Row]:
+    """(exponent, total, entropy, low, high) of each exponent: the sum of the raised totals, the
+    entropy of the weights, and the least and greatest weight of a source for each of its tokens.
 
-def _budget(tokens: Column, weights: Column, budget: float | None) -> Column:
-    """The given budget; without one, tokens enough to read every source once or more."""
-    return F.lit(float(budget)) if budget else F.lit(1.0) / F.array_min(_rates(tokens, weights))
-
-
-def _bisect(good) -> Column:
-    """An end of the range of exponents in 0..1 with ``good``; ``good`` says which half to keep:
-    true for the upper one."""
-    start = F.struct(F.lit(0.0).alias("low"), F.lit(1.0).alias("high"))
-
-    def halve(s: Column, _: Column) -> Column:
-        middle = (s["low"] + s["high"]) / 2
-        upper = good(middle)
-        return F.struct(
-            F.when(upper, middle).otherwise(s["low"]).alias("low"),
-            F.when(upper, s["high"]).otherwise(middle).alias("high"),
-        )
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(BISECTIONS)), start, halve)
+    The largest source is the unit, so that no power overflows.
+    """
+    trial = F.explode(F.array(*[F.lit(e) for e in exponents]))
+    raised = totals.select("tokens", trial.alias("exponent")).select(
+        "tokens", "exponent", F.pow(F.col("tokens") / top, F.col("exponent")).alias("r")
+    )
+    r, total = F.col("r"), F.sum("r")
+    rate = r / F.col("tokens")
+    return raised.groupBy("exponent").agg(
+        total.alias("total"),
+        (F.log(total) - F.sum(F.when(r > 0, r * F.log(r)).otherwise(0.0)) / total).alias("entropy"),
+        (F.min(rate) / total).alias("low"),
+        (F.max(rate) / total).alias("high"),
+    ).orderBy("exponent").collect()
+
+
+def _bisect(totals: DataFrame, top: float, keeps: Callable[[Row], bool]) -> tuple[float, float]:
+    """Neighbouring exponents in 0..1: the last that ``keeps`` and the first that does not, where
+    all below some exponent keep."""
+    low, high = 0.0, 1.0
+    for _ in range(ROUNDS):
+        step = (high - low) / (TRIALS + 1)
+        between = [low + step * (i + 1) for i in range(TRIALS)]
+        tried = _tried(totals, top, sorted(set(between)))
+        kept = list(takewhile(keeps, tried))
+        after = tried[len(kept)]["exponent"] if len(kept) < len(tried) else high
+        low, high = (kept[-1]["exponent"] if kept else low), after
+    return low, high
 
 
 def source_weights(
@@ -89,40 +82,33 @@ def source_weights(
     """
     if (target_entropy is None) == (max_repeats is None):
         raise ValueError("give target_entropy or max_repeats")
-    totals = sizes.groupBy("source").agg(F.sum("tokens").cast("double").alias("tokens"))
-    row = totals.where("tokens > 0").agg(
-        F.sort_array(F.collect_list(F.struct("source", "tokens"))).alias("sources")
+    totals = materialize(
+        sizes.groupBy("source").agg(F.sum("tokens").alias("tokens")).where("tokens > 0"), "mix-totals"
     )
-    row = row.where(F.size("sources") > 0).withColumn("tokens", F.col("sources.tokens"))
-    tokens = F.col("tokens")
+    top, n = totals.agg(F.max("tokens").cast("double"), F.count(F.lit(1))).first()
+    if not n:
+        none = [F.lit(None).cast(t).alias(c) for c, t in (("weight", "double"), ("exponent", "double"), ("passes", "double"), ("quota", "long"))]
+        return totals.select("source", "tokens", *none)
+
+    def spent(t: Row) -> float:
+        """Tokens to read: without a budget enough to read every source once or more."""
+        return float(budget) if budget else 1.0 / t["low"]
+
     if target_entropy is not None:
-        goal = F.log(F.size(tokens)) * target_entropy
-        found = _bisect(lambda e: _entropy(_weights(tokens, e)) >= goal)
-        whole = _entropy(_weights(tokens, F.lit(1.0))) >= goal
-        exponent = F.when(whole, F.lit(1.0)).otherwise(found["low"])
+        goal = math.log(n) * target_entropy
+        enough = lambda t: t["entropy"] >= goal
+        (whole,) = _tried(totals, top, [1.0])
+        exponent = 1.0 if enough(whole) else _bisect(totals, top, enough)[0]
     else:
-
-        def too_often(e: Column) -> Column:
-            weights = _weights(tokens, e)
-            return _passes(tokens, weights, _budget(tokens, weights, budget)) > max_repeats
-
-        found = _bisect(too_often)
-        none = F.lit(0.0)
-        exponent = F.when(too_often(none), found["high"]).otherwise(none)
-    row = row.withColumn("exponent", exponent)
-    row = row.withColumn("weights", _weights(tokens, F.col("exponent")))
-    row = row.withColumn("budget", _budget(tokens, F.col("weights"), budget))
-    flat = row.select(
-        "exponent", "budget", F.explode(F.arrays_zip("sources", "weights")).alias("z")
-    )
+        too_often = lambda t: t["high"] * spent(t) > max_repeats
+        (none,) = _tried(totals, top, [0.0])
+        exponent = _bisect(totals, top, too_often)[1] if too_often(none) else 0.0
+    (chosen,) = _tried(totals, top, [exponent])
+    weight = F.pow(F.col("tokens") / top, F.lit(exponent)) / F.lit(chosen["total"])
     # Whole tokens, so that rounding errors never begin another pass.
-    quota = F.round(F.col("weight") * F.col("budget")).cast("long")
-    return flat.select(
-        F.col("z.sources.source").alias("source"),
-        F.col("z.sources.tokens").cast("long").alias("tokens"),
-        F.col("z.weights").alias("weight"),
-        "exponent",
-        "budget",
+    quota = F.round(F.col("weight") * F.lit(spent(chosen))).cast("long")
+    return totals.select(
+        "source", F.col("tokens").cast("long").alias("tokens"), weight.alias("weight"), F.lit(exponent).alias("exponent")
     ).select(
         "source", "tokens", "weight", "exponent",
         (quota / F.col("tokens")).alias("passes"), quota.alias("quota"),

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import brute
@@ -354,6 +355,94 @@ def test_entropy_target(spark):
     assert [r["exponent"] for r in even] == [1.0, 1.0]
 
 
+def brute_exponent(tokens, keeps):
+    """The end of plain bisection: the last exponent that keeps, the first that does not."""
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        raised = [n**middle for n in tokens]
+        weights = [r / sum(raised) for r in raised]
+        low, high = (middle, high) if keeps(weights) else (low, middle)
+    return low, high
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_exponents_equal_plain_bisection(spark, seed):
+    rng = random.Random(seed)
+    tokens = {f"s{i}": rng.choice([1, 10, 1000]) * rng.randrange(1, 90) for i in range(rng.choice([3, 40]))}
+    table, plain = sizes(spark, tokens), list(tokens.values())
+    goal = 0.97 * math.log(len(tokens))
+    expected, _ = brute_exponent(plain, lambda w: -sum(x * math.log(x) for x in w) >= goal)
+    found = mixing.source_weights(table, target_entropy=0.97).first()["exponent"]
+    assert found == pytest.approx(expected, abs=1e-12)
+
+    def too_often(w):
+        rates = [x / n for x, n in zip(w, plain)]
+        return max(rates) / min(rates) > 2
+
+    _, expected = brute_exponent(plain, too_often)
+    found = mixing.source_weights(table, max_repeats=2.0).first()["exponent"]
+    assert found == pytest.approx(expected, abs=1e-12)
+
+
+def test_very_many_sources(spark):
+    """As many sources as hosts: no row holds them all."""
+    table = spark.range(60_000).selectExpr("concat('h', id) source", "id % 900 + 1 tokens")
+    found = mixing.source_weights(table, max_repeats=2.0)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    rows = found.agg(F.sum("weight"), F.max("passes"), F.min("passes"), F.count("*")).first()
+    assert rows[0] == pytest.approx(1) and rows[3] == 60_000
+    # Quotas are whole tokens: a source of one token is read once or twice.
+    assert rows[1] <= 2 and rows[2] >= 1
+
+
+def spark_hash(*values):
+    """xxhash64 of (value, bytes) columns as Spark chains it, signed."""
+    h = 42
+    for value, size in values:
+        h = xxhash.xxh64_intdigest(value.to_bytes(size, "little", signed=True), h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def test_passes_blocks_and_positions_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LEAST_BLOCKS", 5)
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.randrange(0, 30), None, rng.choice("aaab") if i % 9 else None, None) for i in range(400)]
+    found = mixing.mixture(spark.createDataFrame(rows, SCHEMA), max_repeats=3.0).collect()
+    tokens = {i: len(t.split()) for i, t, *_ in rows}
+    sources = {i: s for i, _, _, s, _ in rows}
+    totals = Counter()
+    for i, n in tokens.items():
+        totals[sources[i]] += n
+    names, plain = list(totals), list(totals.values())
+
+    def too_often(w):
+        rates = [x / n for x, n in zip(w, plain)]
+        return max(rates) / min(rates) > 3
+
+    start = [1 / len(plain)] * len(plain)
+    exponent = brute_exponent(plain, too_often)[1] if too_often(start) else 0.0
+    raised = [n**exponent for n in plain]
+    weights = dict(zip(names, (r / sum(raised) for r in raised)))
+    budget = 1 / min(weights[s] / totals[s] for s in names)
+    expected = Counter((i, 0, 0.0) for i, n in tokens.items() if not n)
+    for name in names:
+        quota = round(weights[name] * budget)
+        blocks = defaultdict(list)
+        for i, n in tokens.items():
+            if n and sources[i] == name:
+                place = spark_hash((mixing.SEED, 4), (i, 8), (n, 8))
+                blocks[place % 5].append((place, i))
+        for turn in range(-(-quota // totals[name])):
+            at = turn * totals[name]
+            for block in sorted(blocks, key=lambda b: (spark_hash((mixing.SEED + 1, 4), (b, 8), (turn, 4)), b)):
+                for _, i in sorted(blocks[block]):
+                    if at < quota:
+                        expected[i, turn, round(at / quota, 12)] += 1
+                    at += tokens[i]
+    assert Counter((r["doc_id"], r["pass"], round(r["position"], 12)) for r in found) == expected
+
+
 def test_repeat_limit(spark):
     tokens = {"a": 1000, "b": 100, "c": 10}
     rows = mixing.source_weights(sizes(spark, tokens), max_repeats=2.0).collect()
