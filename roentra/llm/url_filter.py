@@ -23,6 +23,8 @@ from roentra.operators.durable import materialize
 
 ORDER = 4
 ALPHABET = 256
+# Characters of a URL cut at once.
+PIECE = 64
 # One in so many of the labelled URLs calibrates.
 ASIDE = 5
 # Ranges of scores, whose totals are gathered to calibrate.
@@ -76,12 +78,19 @@ def rule_for(rules: list[Rule], host: Column, path: Column) -> tuple[Column, Col
 
 
 def _grams(df: DataFrame, keep: list[str]) -> DataFrame:
-    """Row per character of ``url``, the end included, with ``gram``: it after ORDER others."""
+    """Row per character of ``url``, the end included, with ``gram``: it after ORDER others.
+
+    The URL is first cut into pieces that overlap by ORDER characters, so that a gram is found
+    by its place in a short piece and the work is linear in the URL.
+    """
     text = F.concat(F.lit(START * ORDER), _lower(F.coalesce("url", F.lit(""))), F.lit(END))
-    places = df.select(*keep, text.alias("text")).select(
-        *keep, "text", F.explode(F.sequence(F.lit(1), F.length("text") - ORDER)).alias("at")
+    piece = f"(?s)(?=(.{{1,{PIECE + ORDER}}})).{{1,{PIECE}}}"
+    pieces = df.select(*keep, F.explode(F.regexp_extract_all(text, F.lit(piece), F.lit(1))).alias("piece"))
+    pieces = pieces.where(F.length("piece") > ORDER)
+    places = pieces.select(
+        *keep, "piece", F.explode(F.sequence(F.lit(1), F.length("piece") - ORDER)).alias("at")
     )
-    return places.select(*keep, F.substring("text", F.col("at"), F.lit(ORDER + 1)).alias("gram"))
+    return places.select(*keep, F.substring("piece", F.col("at"), F.lit(ORDER + 1)).alias("gram"))
 
 
 def examples(labelled: DataFrame) -> DataFrame:

@@ -246,6 +246,20 @@ def test_all_labelled_urls_count(spark):
         assert row["verdict"] == ("allow" if expected[url] >= best[1] else "block")
 
 
+def test_grams_of_urls_around_the_pieces_and_of_one_very_long_url(spark):
+    rng = random.Random(8)
+    piece, order = url_filter.PIECE, url_filter.ORDER
+    sizes = [*range(8), *range(piece - 8, piece + 8), 2 * piece - 5, 2 * piece - 1, 2 * piece, 600_000]
+    urls = ["".join(rng.choices("abAB漢😀\n/", k=n)) for n in sizes]
+    rows = spark.createDataFrame(list(enumerate(urls)), "row long, url string")
+    found = url_filter._grams(rows, ["row"]).groupBy("row", "gram").count().collect()
+    expected = Counter()
+    for i, u in enumerate(urls):
+        text = url_filter.START * order + u.translate(str.maketrans("AB", "ab")) + url_filter.END
+        expected.update((i, text[at : at + order + 1]) for at in range(len(text) - order))
+    assert {(r["row"], r["gram"]): r["count"] for r in found} == expected
+
+
 def test_only_long_urls(spark):
     urls = [f"http://good{i}.org/{'a' * 300}{i}" for i in range(20)] + [f"http://bad{i}.com/{'b' * 300}{i}" for i in range(20)]
     urls += ["http://x.net/aaaa", "http://x.net/bbbb"]
