@@ -4,10 +4,13 @@ Texts are dealt to tasks by length and content hash, and each task inserts the
 full byte strings into a compressed radix trie whose terminal nodes store the
 smallest identifier seen. Equality is decided by the bytes alone.
 
-Two things keep this bounded. Every map task first combines its own copies in a
-small trie, so a text that fills a third of the table leaves each task once. And
-a trie that outgrows its budget spills: its largest subtree is cut off, its
-strings go back to Spark and meet again in a further round, dealt to more tasks.
+Three things keep this bounded. Every map task first combines its own copies in a
+small trie, so a text that fills a third of the table leaves each task once. Where
+these still are far more than a share, they are dealt by a salt and combined once
+more before they meet. And a trie that outgrows its budget spills: its largest
+subtree is cut off, its strings go back to Spark and meet again in a further round,
+dealt to more tasks. Nothing lists the members of a group: each learns the label it
+goes under, and labels are joined to owners.
 """
 
 from __future__ import annotations
@@ -27,6 +30,10 @@ COMBINER_BYTES = 8_000_000
 COMBINER_ROWS = 100_000
 # Bytes of text dealt to one task in the first round.
 TASK_BYTES = 16_000_000
+# Slots of content, one of which is hot at so many times a mean slot's bytes, and what a row
+# weighs beside its text.
+SLOTS, HOT, ROW_BYTES = 1 << 16, 4, 64
+OPEN = ["gid", "keep_gid", "keep_id", "group_size", "n_bytes", "text"]
 
 
 class Node:
@@ -179,19 +186,23 @@ def _local_groups(columns: DataFrame) -> DataFrame:
     return columns.mapInArrow(task, kind)
 
 
-def _owned(groups: DataFrame, id_type: T.DataType) -> DataFrame:
-    """(gid, keep_gid, keep_id, group_size, id, n_bytes, text): groups under their owner.
+def _owned(groups: DataFrame, id_type: T.DataType, settle: bool = True) -> DataFrame:
+    """(gid, label, keep_gid, keep_id, group_size, n_bytes, text): rows of three kinds.
 
-    Rows with a text were spilled: their owner is not known yet. Reads the
-    columns gid, id, copies, n_bytes, text; equal texts must be in one partition.
+    A group that met equal ones has only its gid and the ``label`` they share, which is the gid
+    of one of them; such rows leave at once, so that no list of members is held. A settled text
+    has a label (and no gid) and its owner. A text that was spilled, or every text unless
+    ``settle``, has its label as gid, the owner so far, and the text: it goes on to a further
+    round. Reads the columns gid, keep_gid, keep_id, group_size, n_bytes, text; if settled, equal
+    texts must be in one partition.
     """
     kind = T.StructType(
         [
             T.StructField("gid", T.LongType()),
+            T.StructField("label", T.LongType()),
             T.StructField("keep_gid", T.LongType()),
             T.StructField("keep_id", id_type),
             T.StructField("group_size", T.LongType()),
-            T.StructField("id", id_type),
             T.StructField("n_bytes", T.LongType()),
             T.StructField("text", T.BinaryType()),
         ]
@@ -201,44 +212,53 @@ def _owned(groups: DataFrame, id_type: T.DataType) -> DataFrame:
         id_arrow, trie = pa.int64(), Patricia()
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
-            types = [pa.int64(), pa.int64(), id_arrow, pa.int64(), id_arrow, pa.int64(), pa.binary()]
-            columns = zip(*rows) if rows else [[]] * len(types)
+            types = [pa.int64(), pa.int64(), pa.int64(), id_arrow, pa.int64(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names=kind.fieldNames()
+                [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=kind.fieldNames()
             )
 
+        def going_on(text: bytes, owner: list) -> tuple:
+            keep, keep_gid, copies, label = owner
+            return label, None, keep_gid, keep, copies, len(text), text
+
         for batch in batches:
-            id_arrow = batch.schema.field(1).type
+            id_arrow = batch.schema.field(2).type
             plain = [batch.column(i).to_pylist() for i in range(4)]
-            spilled = []
-            for gid, doc, copies, size, text in zip(*plain, batch.column(4)):
+            rows = []
+            for gid, keep_gid, doc, copies, text in zip(*plain, batch.column(4)):
                 raw = text.as_py()
                 node = trie.find(raw)
                 if node is None:
-                    spilled.append((gid, None, None, copies, doc, size, raw))
+                    rows.append((gid, None, keep_gid, doc, copies, len(raw), raw))
                     continue
-                if node.owner is None:  # smallest id, its group, copies, groups
-                    node.owner = [doc, gid, 0, []]
+                if node.owner is None:  # smallest id, its group, copies, label
+                    node.owner = [doc, keep_gid, copies, gid]
                     trie.held += 1
-                elif _smaller(doc, node.owner[0]):
-                    node.owner[:2] = doc, gid
-                node.owner[2] += copies
-                node.owner[3].append((gid, doc, copies))
+                else:
+                    if _smaller(doc, node.owner[0]):
+                        node.owner[:2] = doc, keep_gid
+                    node.owner[2] += copies
+                    rows.append((gid, node.owner[3], *(None,) * 5))
                 # A single string always stays, however long, so every round settles some.
                 while trie.size > TRIE_BYTES and trie.held > 1:
-                    spilled += [
-                        (gid, None, None, copies, doc, len(text), text)
-                        for text, owner in trie.spill()
-                        for gid, doc, copies in owner[3]
-                    ]
-            if spilled:
-                yield out(spilled)
-        rows = []
-        for _, (keep, keep_gid, copies, members) in trie.strings(trie.root):
-            rows += [(gid, keep_gid, keep, copies, None, None, None) for gid, _, _ in members]
-        yield out(rows)
+                    rows += [going_on(*x) for x in trie.spill()]
+            if rows:
+                yield out(rows)
+        rows, size = [], 0
+        for text, owner in trie.strings(trie.root):
+            if settle:
+                keep, keep_gid, copies, label = owner
+                rows.append((None, label, keep_gid, keep, copies, None, None))
+            else:
+                rows.append(going_on(text, owner))
+                size += len(text)
+            if len(rows) >= COMBINER_ROWS or size > COMBINER_BYTES:
+                yield out(rows)
+                rows, size = [], 0
+        if rows:
+            yield out(rows)
 
-    return groups.select("gid", "id", "copies", "n_bytes", "text").mapInArrow(task, kind)
+    return groups.select("gid", "keep_gid", "keep_id", "group_size", "text").mapInArrow(task, kind)
 
 
 def _dealt(groups: DataFrame, tasks: int, turn: int) -> DataFrame:
@@ -247,46 +267,94 @@ def _dealt(groups: DataFrame, tasks: int, turn: int) -> DataFrame:
     return groups.repartition(tasks, "n_bytes", content)
 
 
+def _hot_slots(groups: DataFrame) -> tuple[DataFrame, list[int], int]:
+    """``groups`` with the slot of their text by content, the slots that hold ``HOT`` times a mean
+    slot's bytes, and the bytes of one slot that are not hot.
+
+    Each row weighs ``ROW_BYTES`` more than its text. At most ``SLOTS / HOT`` slots are hot, so
+    they are bounded whatever the table holds.
+    """
+    slotted = groups.withColumn("slot", F.pmod(F.xxhash64(F.lit(-1), "text"), F.lit(SLOTS)))
+    sizes = slotted.groupBy("slot").agg(F.sum(F.col("n_bytes") + ROW_BYTES).alias("size"))
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    bound = max(TASK_BYTES, HOT * total // SLOTS)
+    return slotted, [r["slot"] for r in sizes.where(F.col("size") > bound).collect()], bound
+
+
+def _merged(groups: DataFrame, tasks: int) -> tuple[DataFrame, DataFrame | None]:
+    """(groups, links): texts that hold far more than their share become one group for each salted
+    task, so that no task gets all groups of a hot text; (gid, label) of those merged.
+
+    A slot in which many texts meet by chance passes through as well, to no harm.
+    """
+    slotted, hot, bound = _hot_slots(groups)
+    if not hot:
+        return groups, None
+    id_type = groups.schema["keep_id"].dataType
+    own = slotted.where(F.col("slot").isin(hot))
+    # A task of this round gets groups of one slot up to the bound, about.
+    size = own.agg(F.sum(F.col("n_bytes") + ROW_BYTES)).first()[0]
+    salted = own.repartition(max(tasks, size // bound + 1), F.xxhash64("gid"))
+    part = materialize(_owned(salted, id_type, settle=False), "dedup-hot")
+    rest = slotted.where(~F.col("slot").isin(hot)).select(*OPEN)
+    return rest.unionByName(part.where("text IS NOT NULL").select(*OPEN)), _links(part)
+
+
+def _links(part: DataFrame) -> DataFrame:
+    return part.where("gid IS NOT NULL AND label IS NOT NULL").select("gid", "label")
+
+
 def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256): one row per row of ``df``.
 
     Texts are equal when identical after each run of ASCII white space becomes
     one space; null counts as empty. Of equal texts one row is kept, one with the
     smallest id (of repeated rows any one; rows with a null id only if the group
-    has no other, then keep_id is null). Other columns are not read.
+    has no other, then keep_id is null). Texts of any length are compared whole; a task holds a
+    few of the longest at once. An empty table gives no rows. Other columns are not read.
     """
     plain = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+", " ")
     columns = df.select(F.col(id_col).alias("id"), plain.cast("binary").alias("text"))
+    id_type = columns.schema["id"].dataType
     rows = materialize(_local_groups(columns), "dedup-rows")
-    open_ = rows.where("text IS NOT NULL").drop("text_sha256")
-    found = []
+    open_ = rows.where("text IS NOT NULL").select(
+        "gid",
+        F.col("gid").alias("keep_gid"),
+        F.col("id").alias("keep_id"),
+        F.col("copies").alias("group_size"),
+        "n_bytes",
+        "text",
+    )
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    open_, merged = _merged(open_, least)
     size, count = open_.agg(F.sum("n_bytes"), F.count(F.lit(1))).first()
-    turn = 0
-    while count:
-        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        tasks = max(least, size // TASK_BYTES + 1) * 2**turn
-        owned = _owned(_dealt(open_, tasks, turn), columns.schema["id"].dataType)
-        part = materialize(owned, "dedup-owners")
-        found.append(part.where("text IS NULL").select("gid", "keep_gid", "keep_id", "group_size"))
-        open_ = part.where("text IS NOT NULL").select(
-            "gid", "id", F.col("group_size").alias("copies"), "n_bytes", "text"
-        )
+    parts = []
+    # The first round also runs on an empty table, whose owners are none.
+    while count or not parts:
+        turn = len(parts)
+        tasks = max(least, (size or 0) // TASK_BYTES + 1) * 2**turn
+        part = materialize(_owned(_dealt(open_, tasks, turn), id_type), "dedup-owners")
+        parts.append(part)
+        open_ = part.where("text IS NOT NULL").select(*OPEN)
         size, count = open_.agg(F.sum("n_bytes"), F.count(F.lit(1))).first()
-        turn += 1
+    links = [_links(part) for part in parts]
+    if merged is not None:
+        links.insert(0, merged)
+        parts.insert(0, None)
+    # From the last round to the first: a group is owned as the label it goes under, whose owner
+    # is of the same round or, where its text went on, of a later one.
+    owners = None
+    for at in range(len(parts) - 1, -1, -1):
+        if parts[at] is not None:
+            settled = parts[at].where("gid IS NULL").select(
+                F.col("label").alias("gid"), "keep_gid", "keep_id", "group_size"
+            )
+            owners = settled if owners is None else settled.unionByName(owners)
+        under = links[at].join(owners.withColumnRenamed("gid", "label"), "label").drop("label")
+        owners = owners.unionByName(under.select(*owners.columns))
+        if at:
+            owners = materialize(owners, "dedup-links")
     members = rows.select("id", "gid", "text_sha256", (F.col("copies").isNotNull()).alias("stands"))
-    if not found:
-        id_type = columns.schema["id"].dataType
-        blank = F.lit(None).cast("long")
-        return members.select(
-            F.col("id").alias(id_col),
-            F.lit(None).cast(id_type).alias("keep_id"),
-            blank.alias("group_size"),
-            F.col("stands").alias("kept"),
-            "text_sha256",
-        )
-    owners = found[0]
-    for more in found[1:]:
-        owners = owners.unionByName(more)
     joined = members.join(owners, "gid")
     return joined.select(
         F.col("id").alias(id_col),

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from conftest import SCHEMA, odd_texts
@@ -107,11 +108,19 @@ def by_text(rows):
     return sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in rows)
 
 
-@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize("small", ["", "spilling", "hot", "spilling, hot"])
 def test_exact_equals_grouping(spark, monkeypatch, small):
-    if small:  # combiners are emptied all the time, and tries spill
+    if small:  # combiners are emptied all the time
         monkeypatch.setattr(exact_dedup, "COMBINER_ROWS", 7)
+    if "spilling" in small:
         monkeypatch.setattr(exact_dedup, "TRIE_BYTES", 60)
+    merged = []
+    if "hot" in small:  # most slots count as hot
+        monkeypatch.setattr(exact_dedup, "SLOTS", 8)
+        monkeypatch.setattr(exact_dedup, "HOT", 1)
+        monkeypatch.setattr(exact_dedup, "TASK_BYTES", 300)
+        plainly = exact_dedup._merged
+        monkeypatch.setattr(exact_dedup, "_merged", lambda *a: merged.append(plainly(*a)) or merged[-1])
     rng = random.Random(6)
     texts = [f"{'ab c' if i % 3 else ' é '}{rng.randrange(25)}{' ' * rng.randrange(3)}" for i in range(300)]
     texts += odd_texts()
@@ -125,6 +134,32 @@ def test_exact_equals_grouping(spark, monkeypatch, small):
         (i, groups[t][0], len(groups[t]), groups[t][0] == i, brute.sha(t)) for i, t in enumerate(plain)
     )
     assert by_text(exact_dedup.exact_duplicates(table(spark, texts)).collect()) == expected
+    if merged:
+        (_, links), = merged
+        assert links.count() > 10
+
+
+def test_a_hot_text_reaches_its_owner_from_a_few_tasks(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "COMBINER_ROWS", 5)
+    monkeypatch.setattr(exact_dedup, "TASK_BYTES", 4000)
+    texts = ["hot text"] * 3000 + [f"text {i}" for i in range(500)]
+    sent, dealt = [], exact_dedup._dealt
+    monkeypatch.setattr(exact_dedup, "_dealt", lambda g, *a: sent.append(g) or dealt(g, *a))
+    found = exact_dedup.exact_duplicates(table(spark, texts)).collect()
+    hot = [r for r in found if r["doc_id"] < 3000]
+    assert {r["group_size"] for r in hot} == {3000} and {r["keep_id"] for r in hot} == {0}
+    assert [r["doc_id"] for r in hot if r["kept"]] == [0]
+    assert sum(r["kept"] for r in found) == 501
+    # 600 groups in the combiners; one from each salted task is left.
+    assert sent[0].where(F.col("text") == b"hot text").count() < 20
+
+
+def test_exact_dedup_of_names(spark):
+    rows = [("b", "x y"), ("a", "x \ty"), ("c", "y"), (None, "y")]
+    found = exact_dedup.exact_duplicates(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert sorted((r["doc_id"], r["keep_id"], r["kept"]) for r in found.where("doc_id < 'z'").collect()) == [
+        ("a", "a", True), ("b", "a", False), ("c", "c", True)
+    ]
 
 
 def test_exact_odd_rows(spark, odd, none):
