@@ -1,8 +1,9 @@
 """Order MinHash: signatures that follow the edit distance of texts.
 
-The k-mers of a text are its runs of k words (the last ones padded with the end of
-the text; text without spaces and very long words are cut into runs of characters
-before), and the i-th occurrence of a k-mer counts as an element of its own. A
+The k-mers of a text are its runs of k elements (the last ones padded with the end of
+the text). A word's elements are its runs of 32 characters, or the word where it has
+fewer, so that a word of n characters has n - 31 and none jumps at a size; scripts
+without spaces are cut into runs of five characters before. The i-th occurrence of a k-mer counts as an element of its own. A
 hash of (k-mer, occurrence) deals the elements into strata and orders them. Two
 strata make an entry: the minimal element of each is kept, the two are put back in
 text order, and the ordered pair is hashed. Texts share an entry when they share
@@ -19,12 +20,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 K = 2
 ENTRIES = 32
-# The place in the text takes the low bits of an element's code, the order of its hash the rest.
-PLACE_BITS = 26
 HASH_BITS = 32
 EDGE = r"[\x20\x09-\x0D]+"
-# Longer words are cut into runs of characters, as are those of scripts without spaces.
-LONGEST, CHARACTERS = 64, 5
+# Characters of a run inside a word (a power of two), and of one in scripts without spaces.
+LONGEST, CHARACTERS = 32, 5
 # Thai to Myanmar, Khmer, Tai, Balinese, Han with radicals, kana, Bopomofo, Yi, Javanese, Han beyond.
 UNSPACED = (
     r"[\u0E00-\x{10FFFF}&&[\u0E00-\u109F\u1780-\u17FF\u1950-\u19FF\u1A20-\u1AAF\u1B00-\u1B7F"
@@ -42,6 +41,20 @@ def _runs(hashes: Column, k: int) -> Column:
     return joined
 
 
+def _windows(hashes: Column, size: int) -> Column:
+    """Array of the hashes of all whole runs of ``size`` elements, a power of two: each run is two
+    of half its size."""
+    if size == 1:
+        return hashes
+
+    def doubled(half: Column) -> Column:
+        n = F.size(half) - size // 2
+        rest = F.slice(half, size // 2 + 1, n)
+        return F.zip_with(F.slice(half, 1, n), rest, lambda a, b: F.xxhash64(a, b))
+
+    return _once(_windows(hashes, size // 2), doubled)
+
+
 def _once(value: Column, use) -> Column:
     """``use`` of the value, which is computed once however often it is used."""
     return F.transform(F.array(value), use)[0]
@@ -55,9 +68,10 @@ def kmers(text: Column, k: int = K) -> Column:
     """Array of the hashes of the text's k-mers of words, in text order; never empty (a text without
     words counts as one empty word, and null as empty).
 
-    A run of characters of a script without spaces is a word of its own, and such words
-    and those longer than ``LONGEST`` characters stand as one element for each
-    character: it and the next ``CHARACTERS`` - 1.
+    A run of characters of a script without spaces is a word of its own and stands as one
+    element for each character: it and the next ``CHARACTERS`` - 1. Every other word
+    stands as its runs of ``LONGEST`` characters: one if it has no more, one further with
+    each character beyond.
     """
     given = F.coalesce(text, F.lit(""))
     spaced = F.when(_unspaced(given), F.regexp_replace(given, f"({UNSPACED}+)", " $1 "))
@@ -69,7 +83,8 @@ def kmers(text: Column, k: int = K) -> Column:
     def cut(word: Column) -> Column:
         characters = F.transform(F.split(word, ""), lambda c: F.xxhash64(c))
         runs = _once(characters, lambda c: _runs(c, CHARACTERS))
-        return F.when(long(word), runs).otherwise(F.array(F.xxhash64(word)))
+        whole = F.when(long(word), _windows(characters, LONGEST)).otherwise(F.array(F.xxhash64(word)))
+        return F.when(_unspaced(word), runs).otherwise(whole)
 
     def elements(words: Column) -> Column:
         return F.when(F.exists(words, long), F.flatten(F.transform(words, cut))).otherwise(
@@ -86,8 +101,7 @@ def signatures(
     where an entry has no element.
 
     ``group`` and ``row`` together name a text; rows of a group are kept together.
-    Works on whole texts of any length; texts beyond 67 million words keep their
-    order only up to there.
+    Works on whole texts of any length, and orders them to their end.
     """
     key = [group, *row]
     elements = df.select(*key, F.posexplode(kmers(F.col(text), k)).alias("place", "kmer"))
@@ -95,25 +109,22 @@ def signatures(
     # The element first: its spread bits make the sort a radix sort.
     same = Window.partitionBy("element", group).orderBy("place")
     numbered = one.withColumn("value", F.xxhash64("kmer", F.row_number().over(same)))
-    place = F.least(F.col("place"), F.lit((1 << PLACE_BITS) - 1)).cast("long")
-    high = F.shiftleft(F.shiftright("value", PLACE_BITS), PLACE_BITS)
-    coded = numbered.select(
-        *key,
-        F.pmod("value", F.lit(2 * entries)).alias("stratum"),
-        high.bitwiseOR(place).alias("code"),
-    )
+    stratum = F.pmod("value", F.lit(2 * entries))
+    coded = numbered.select(*key, stratum.alias("stratum"), "value", "place")
     entry = F.shiftright("stratum", 1).cast("int").alias("entry")
     odd = F.col("stratum") % 2 == 1
+    even_value, odd_value = F.when(~odd, F.col("value")), F.when(odd, F.col("value"))
     least = coded.groupBy(*key, entry).agg(
-        F.min(F.when(~odd, F.col("code"))).alias("a"), F.min(F.when(odd, F.col("code"))).alias("b")
+        F.min(even_value).alias("a"),
+        F.min(odd_value).alias("b"),
+        F.min_by("place", even_value).alias("a_place"),
+        F.min_by("place", odd_value).alias("b_place"),
     )
-    mask = F.lit((1 << PLACE_BITS) - 1).cast("long")
-    in_order = F.col("a").bitwiseAND(mask) <= F.col("b").bitwiseAND(mask)
-    a, b = F.shiftright("a", PLACE_BITS), F.shiftright("b", PLACE_BITS)
+    a, b = F.col("a"), F.col("b")
     pair = (
-        F.when(F.col("a").isNull(), F.xxhash64(F.lit(1), b))
-        .when(F.col("b").isNull(), F.xxhash64(F.lit(0), a))
-        .when(in_order, F.xxhash64(F.lit(2), a, b))
+        F.when(a.isNull(), F.xxhash64(F.lit(1), b))
+        .when(b.isNull(), F.xxhash64(F.lit(0), a))
+        .when(F.col("a_place") <= F.col("b_place"), F.xxhash64(F.lit(2), a, b))
         .otherwise(F.xxhash64(F.lit(3), b, a))
     )
     hashed = least.select(*key, "entry", F.shiftrightunsigned(pair, 64 - HASH_BITS).alias("pair"))

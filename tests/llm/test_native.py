@@ -112,6 +112,66 @@ def test_words_as_before(spark):
         assert row["a"] == row["b"]
 
 
+def test_words_grow_by_one_element_a_character(spark):
+    word = "".join(random.Random(4).choices("abcdef", k=200))
+    long = order_minhash.LONGEST
+    sizes = [1, long - 2, long - 1, long, long + 1, long + 2, 2 * long, 200]
+    df = spark.createDataFrame([(n, word[:n]) for n in sizes], "n int, t string")
+    found = {r["n"]: r["k"] for r in df.select("n", order_minhash.kmers(df.t, 1).alias("k")).collect()}
+    assert {n: len(k) for n, k in found.items()} == {n: max(1, n - long + 1) for n in sizes}
+    assert found[long + 1] == found[200][:2] and found[2 * long] == found[200][: long + 1]
+    twice = spark.createDataFrame([("x" * 70 + word,)], "t string").select(order_minhash.kmers(F.col("t"), 1))
+    assert twice.first()[0][-len(found[200]) :] == found[200]
+
+
+def brute_signature(elements, entries):
+    """The signature from hashes of k-mers in text order."""
+    seen, least = Counter(), {}
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+
+    def spark_hash(*numbers):
+        out = 42
+        for kind, x in numbers:
+            raw = x.to_bytes(kind, "little", signed=True)
+            out = xxhash.xxh64_intdigest(raw, seed=out)
+        return signed(out)
+
+    for place, kmer in enumerate(elements):
+        seen[kmer] += 1
+        value = spark_hash((8, kmer), (4, seen[kmer]))
+        stratum = value % (2 * entries)
+        least[stratum] = min(least.get(stratum, (value, place)), (value, place))
+    out = []
+    for i in range(entries):
+        (a, x), (b, y) = (least.get(2 * i + j, (None, None)) for j in (0, 1))
+        if a is None and b is None:
+            out.append(None)
+            continue
+        if a is None:
+            pair = spark_hash((4, 1), (8, b))
+        elif b is None:
+            pair = spark_hash((4, 0), (8, a))
+        else:
+            pair = spark_hash((4, 2), (8, a), (8, b)) if x <= y else spark_hash((4, 3), (8, b), (8, a))
+        out.append((pair % (1 << 64)) >> 32)
+    return out
+
+
+def test_signatures_equal_brute_force(spark):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices("abcdefgh", k=n)) for n in (0, 1, 2, 5, 20, 50, 400, 3000)]
+    texts += [" ".join(f"w{rng.randrange(n)}" for _ in range(n)) for n in (5, 10, 50, 1000)]
+    texts += ["漢字かな交じり文と words", "z" * 500 + " end"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    elements = [r[0] for r in df.select(order_minhash.kmers(df.t)).collect()]
+    found = signature(spark, *texts)
+    for kmers, mine in zip(elements, found):
+        assert mine == brute_signature(kmers, order_minhash.ENTRIES)
+    frame = spark.createDataFrame(list(zip(found, found[1:])), "a array<long>, b array<long>")
+    near = [r[0] for r in frame.select(order_minhash.likeness(frame.a, frame.b)).collect()]
+    assert near == [share(a, b) for a, b in zip(found, found[1:])]
+
+
 def test_repeats_are_elements_of_their_own(spark):
     few, many = signature(spark, "a b " * 5, "a b " * 500)
     assert few != many and len(many) == order_minhash.ENTRIES
