@@ -7,6 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from roentra.functions.identity import base_name
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+# Tasks of a listing for each core.
+PARTS_PER_CORE = 4
+
+
+def listing_parts(spark: SparkSession) -> int:
+    """Partitions of a frame that carries no content. Left alone the scan takes a file for 4 MB, so it has
+    a task, and what is written from it a file, for about every 32 files."""
+    return PARTS_PER_CORE * spark.sparkContext.defaultParallelism
 
 
 def list_files(
@@ -22,6 +30,7 @@ def list_files(
         .option("pathGlobFilter", f"*{suffix}")
         .load(directory)
         .select("path", base_name(F.col("path")).alias("file_name"), "length")
+        .coalesce(listing_parts(spark))
     )
     return found if limit is None else found.orderBy("file_name").limit(limit)
 
@@ -33,6 +42,7 @@ def list_versions(spark: SparkSession, directory: str, suffix: str) -> DataFrame
         .option("pathGlobFilter", f"*{suffix}")
         .load(directory)
         .select("path", F.col("modificationTime").alias("modified"), "length")
+        .coalesce(listing_parts(spark))
     )
 
 

@@ -185,22 +185,39 @@ def processed_paths(spark, sf):
 # --- files on disk ------------------------------------------------------------
 
 
-def _write_files(files: DataFrame, folder: str) -> None:
-    """Each row (file_name, content) as a file of its own in a folder all tasks reach."""
+def _write_files(files: DataFrame, folder: str, tail: int = 0) -> None:
+    """Each row (file_name, content) as a file of its own in a folder all tasks reach.
+
+    ``tail`` zero bytes follow the content: as a hole, which is listed and read like other
+    bytes but takes no disk, where the store is a local file system.
+    """
 
     def run(batches):
+        store, place = pyarrow.fs.FileSystem.from_uri(folder)
+        store.create_dir(place)
+        holes = tail and isinstance(store, pyarrow.fs.LocalFileSystem)
         for batch in batches:
             for name, content in zip(batch["file_name"], batch["content"]):
-                store, place = pyarrow.fs.FileSystem.from_uri(folder)
-                store.create_dir(place)
+                if holes:
+                    with open(f"{place}/{name}", "wb") as out:
+                        out.write(content)
+                        out.truncate(len(content) + tail)
+                    continue
                 with store.open_output_stream(f"{place}/{name}") as out:
                     out.write(bytes(content))
+                    out.write(bytes(tail))
             yield batch[["file_name"]]
 
     rows = files.select("file_name", F.col("content").cast("binary").alias("content"))
     rows.mapInPandas(run, "file_name string").write.format("noop").mode("overwrite").save()
 
 
+def _named_header_files(spark, sf):
+    """Header files by name, dealt out by path, so that a small table is written as files by all cores."""
+    rows = _header_files(spark, sf).repartition(files.listing_parts(spark), "path")
+    return rows.withColumn("file_name", identity.base_name(F.col("path")))
+
+
 def _new_folder(spark, name):
     """A fresh folder as a URI."""
     path = new_table_path(spark, name)
@@ -259,15 +276,14 @@ def _parse_json_line(file) -> dict:
 @query
 def new_headers(spark, sf):
     """Silver headers after three runs over a growing folder of large files, and what they opened."""
-    rows = _header_files(spark, sf).withColumn("file_name", identity.base_name(F.col("path")))
-    body = F.concat("content", F.lit(b"\n"), F.repeat(F.lit("x"), 200_000).cast("binary"))
-    large = rows.select("file_name", body.alias("content"))
+    line = F.concat("content", F.lit(b"\n")).alias("content")
+    large = _named_header_files(spark, sf).select("file_name", line)
     layout, folder = jobs.Layout(new_table_path(spark, "lake")), _new_folder(spark, "raw")
     early = F.pmod(F.xxhash64("file_name"), F.lit(2)) == 0
     counts = []
     for part in (large.where(early), large.where(~early), None):
         if part is not None:
-            _write_files(part, folder)
+            _write_files(part, folder, tail=200_000)
         listing = files.list_versions(spark, folder, ".dcm")
         counts.append(jobs.ingest_new_headers(listing, layout, _parse_json_line))
     opened = sum(c["opened"] for c in counts)

@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from roentra import workload
 from roentra.operators import ingest, parsing
 from roentra.plans import jobs
 from roentra.sources import files
@@ -139,3 +140,31 @@ def test_runs_open_new_and_changed_files_only(spark, tmp_path):
     silver = {r["original_filename"]: r["modality"] for r in layout.read(spark, jobs.HEADERS).collect()}
     assert silver == {"0": "CR", "1": "CR", "2": "changed", "3": "CR", "4": "CR", "6": "CR", "bad": "mended"}
     assert layout.read(spark, jobs.HEADER_ERRORS).count() == 0
+
+
+def test_large_files_of_a_query_take_no_disk_for_their_pixels(spark, tmp_path, monkeypatch):
+    rows = [(i, f"Customer#{i}", i % 25, 10.0 * i, "BUILDING") for i in range(1, 41)]
+    kinds = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    spark.createDataFrame(rows, kinds).write.parquet(str(tmp_path / "customer.parquet"))
+    monkeypatch.setattr(workload, "_new_folder", lambda _, name: f"file://{tmp_path}/{name}")
+    found = workload.new_headers(spark, str(tmp_path)).collect()
+    raw = [os.stat(f) for f in (tmp_path / "raw").iterdir()]
+    assert len(raw) == 40 and all(200_000 < f.st_size < 201_000 for f in raw)
+    assert sum(f.st_blocks for f in raw) * 512 < 40 * 20_000
+    # Every 11th file has no modality, every file that ends in 5 no number of rows.
+    assert len(found) == 33 and {(r["opened"], r["opened_last"], r["read_a_part"]) for r in found} == {(40, 0, True)}
+
+
+def test_tail_bytes_follow_the_content(spark, tmp_path):
+    rows = spark.createDataFrame([("a", b"head"), ("b", b"")], "file_name string, content binary")
+    workload._write_files(rows, f"file://{tmp_path}/raw", tail=3000)
+    found = {f.name: f.read_bytes() for f in (tmp_path / "raw").iterdir()}
+    assert found == {"a": b"head" + bytes(3000), "b": bytes(3000)}
+
+
+def test_a_listing_has_no_task_for_every_few_files(spark, tmp_path):
+    for i in range(1500):
+        (tmp_path / f"{i}.dcm").write_bytes(b"x")
+    listing = files.list_versions(spark, str(tmp_path), ".dcm")
+    assert listing.rdd.getNumPartitions() <= files.listing_parts(spark)
+    assert listing.distinct().count() == 1500
