@@ -12,8 +12,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roentra.operators import arrivals
-from roentra.streaming.jobs import LATE, drain
+from roentra.sources.files import listing_parts
+from roentra.streaming.jobs import LATE, drain, settings
 
+# How many tasks look up the files of a micro-batch: 10,000 unless set, whatever the files and cores.
+LOOKUP_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 # What tells one message of a topic from all others, where the source has it.
 POSITION = ("topic", "partition", "offset")
 
@@ -74,4 +77,6 @@ def run_publisher(
     events = arrivals.arrival_events(files, published_at).observe(
         "events", F.count(F.lit(1)).alias("published")
     )
-    return drain(events, checkpoint, fmt, options).get("events.published", 0)
+    spark = files.sparkSession
+    with settings(spark, {LOOKUP_TASKS: listing_parts(spark)}):
+        return drain(events, checkpoint, fmt, options).get("events.published", 0)

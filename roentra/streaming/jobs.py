@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -14,6 +15,19 @@ POLL_SECONDS = 1
 LATE = "late"
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, object]) -> Iterator[None]:
+    """Session settings for as long as a stream runs; those before are put back."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def drain(
     stream: DataFrame, checkpoint: str, fmt: str, options: Mapping[str, str]
 ) -> dict[str, int]:

@@ -251,7 +251,7 @@ def files_read(spark, sf):
 @query
 def published_files(spark, sf):
     """Events of the files of a folder: of those there at first, then of the others."""
-    rows = _header_files(spark, sf).withColumn("file_name", identity.base_name(F.col("path")))
+    rows = _named_header_files(spark, sf)
     folder, out = _new_folder(spark, "raw"), new_table_path(spark, "events")
     early = F.pmod(F.xxhash64("file_name"), F.lit(2)) == 0
     for part in (rows.where(early), rows.where(~early)):

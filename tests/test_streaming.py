@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roentra.operators import arrivals, scoring
 from roentra.sources import files
-from roentra.streaming import alerts as alert_stream, arrivals as arrival_stream, newest
+from roentra.streaming import alerts as alert_stream, arrivals as arrival_stream, jobs as streaming_jobs, newest
 
 TOPIC_SCHEMA = "value binary, partition int, offset long"
 
@@ -106,6 +106,37 @@ def test_publisher_round_trip(spark, tmp_path):
     assert arrivals.arrival_manifest(topic).count() == 3
 
 
+def test_tasks_of_a_publication_follow_the_cores_not_the_files(spark, tmp_path, monkeypatch):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    raw.mkdir()
+    for i in range(1500):
+        (raw / f"{i}.dcm").write_bytes(b"x")
+    runs, finish = [], streaming_jobs._finish
+    monkeypatch.setattr(streaming_jobs, "_finish", lambda query: runs.append(query.runId) or finish(query))
+    before = spark.conf.get(arrival_stream.LOOKUP_TASKS)
+    stream = files.stream_files(spark, str(raw), ".dcm")
+    published = arrival_stream.run_publisher(stream, str(tmp_path / "progress"), "parquet", {"path": str(out)})
+    assert published == 1500 and spark.read.parquet(str(out)).distinct().count() == 1500
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(runs[0])]
+    tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+    assert len(tasks) >= 2 and max(tasks) <= files.listing_parts(spark)
+    assert len(list(out.glob("part-*"))) <= files.listing_parts(spark)
+    assert spark.conf.get(arrival_stream.LOOKUP_TASKS) == before
+
+
+def test_settings_are_put_back_when_a_stream_fails(spark):
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    for before in (None, "77"):
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+        found = spark.conf.get(key)
+        with pytest.raises(RuntimeError), streaming_jobs.settings(spark, {key: 5}):
+            assert spark.conf.get(key) == "5"
+            raise RuntimeError
+        assert spark.conf.get(key) == found
+    spark.conf.unset(key)
+
+
 def test_alert_stream_publishes_messages(spark, tmp_path):
     scored, out, progress = (str(tmp_path / n) for n in ("scored", "out", "progress"))
     rows = [(f"s{i}.png", i / 10, datetime(2024, 1, 1, i)) for i in range(10)]
