@@ -17,12 +17,15 @@ def unseen(listing: DataFrame, seen: DataFrame) -> DataFrame:
 
     A file younger than all seen files of its folder is new without a further look; only
     the others are compared with the files seen. Times at the mark are compared, too, so
-    no file is missed that came within the resolution of the store's clock.
+    no file is missed that came within the resolution of the store's clock. ``seen`` is never
+    broadcast: its columns are a small part of its table, but its rows are as many as the files.
     """
     marks = seen.groupBy(folder(F.col("path")).alias("_folder")).agg(F.max("modified").alias("_mark"))
     marked = listing.withColumn("_folder", folder(F.col("path"))).join(marks, "_folder", "left")
     younger = F.col("_mark").isNull() | (F.col("modified") > F.col("_mark"))
-    compared = marked.where(~younger).join(seen.select(*VERSION), list(VERSION), "left_anti")
+    compared = marked.where(~younger).join(
+        seen.select(*VERSION).hint("merge"), list(VERSION), "left_anti"
+    )
     return marked.where(younger).unionByName(compared).select(listing.columns)
 
 

@@ -1,14 +1,31 @@
-"""Directories of binary files."""
+"""Directories of binary files.
+
+A directory of a file system that all tasks see (scheme ``file``) is listed by a task, batch by batch,
+and its files are looked up by all tasks: no process holds the listing. In other stores,
+and where a name is a pattern, Spark's sources list, which hold every file on the driver.
+"""
 
 from __future__ import annotations
 
+import os
+import re
+import stat
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roentra.functions.identity import base_name
+from roentra.operators.durable import new_table_path
+from roentra.sources.tables import read_table, write_table
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+VERSION_SCHEMA = "path string, modified timestamp, length bigint"
 # Tasks of a listing for each core.
 PARTS_PER_CORE = 4
+# Files of a batch.
+BATCH_FILES = 10_000
+PATTERN = re.compile(r"[*?\[\]{}\\]")
 
 
 def listing_parts(spark: SparkSession) -> int:
@@ -17,6 +34,83 @@ def listing_parts(spark: SparkSession) -> int:
     return PARTS_PER_CORE * spark.sparkContext.defaultParallelism
 
 
+def _shared_folder(spark: SparkSession, directory: str, suffix: str) -> str | None:
+    """The place of a directory in the file system of all tasks; None if Spark has to list it."""
+    if PATTERN.search(directory + suffix):
+        return None
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    store = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    uri = store.makeQualified(path).toUri()
+    return uri.getPath() if uri.getScheme() == "file" and os.path.isdir(uri.getPath()) else None
+
+
+def _skipped(name: str) -> bool:
+    """Names that Spark's listings leave out, and those that are no text, which have no path."""
+    hidden = name.startswith(".") or name.endswith("._COPYING_")
+    return hidden or (name.startswith("_") and "=" not in name) or not _is_text(name)
+
+
+def _is_text(name: str) -> bool:
+    try:
+        return name.encode() is not None
+    except UnicodeEncodeError:
+        return False
+
+
+def _paths(folder: str, suffix: str) -> Iterator[pa.RecordBatch]:
+    """Paths of the entries of a folder, as they come."""
+    found: list[str] = []
+    with os.scandir(folder) as entries:
+        for entry in entries:
+            if entry.name.endswith(suffix) and not _skipped(entry.name):
+                found.append(f"file:{folder.rstrip('/')}/{entry.name}")
+            if len(found) == BATCH_FILES:
+                yield pa.record_batch({"path": pa.array(found, pa.string())})
+                found = []
+    yield pa.record_batch({"path": pa.array(found, pa.string())})
+
+
+def _versions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paths -> the rows of ``VERSION_SCHEMA`` of the files that are there and not empty."""
+    for batch in batches:
+        paths, modified, lengths = [], [], []
+        for path in batch["path"].to_pylist():
+            try:
+                found = os.stat(path.removeprefix("file:"))
+            except OSError:  # gone, or a link to nothing
+                continue
+            if stat.S_ISREG(found.st_mode) and found.st_size:
+                paths.append(path)
+                # In milliseconds, as Spark has it.
+                modified.append(found.st_mtime_ns // 1_000_000 * 1000)
+                lengths.append(found.st_size)
+        yield pa.record_batch(
+            {
+                "path": pa.array(paths, pa.string()),
+                "modified": pa.array(modified, pa.timestamp("us", "UTC")),
+                "length": pa.array(lengths, pa.int64()),
+            }
+        )
+
+
+def _listed(spark: SparkSession, folder: str, suffix: str) -> tuple[DataFrame, dict[str, int]]:
+    """The listing of a folder as a table in the shared folder, its ``rows`` and ``bytes``."""
+
+    def run(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _paths(folder, suffix)
+
+    names = spark.range(1, numPartitions=1).mapInArrow(run, "path string")
+    dealt = names.repartition(listing_parts(spark), "path")
+    place = new_table_path(spark, "listing")
+    versions = dealt.mapInArrow(_versions, VERSION_SCHEMA)
+    counts = write_table(versions, place, bytes=F.sum("length"))
+    return read_table(spark, place, schema=versions.schema), counts
+
+
+def _scan(spark: SparkSession, directory: str, suffix: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(directory)
+
+
 def list_files(
     spark: SparkSession, directory: str, suffix: str, limit: int | None = None
 ) -> DataFrame:
@@ -37,13 +131,13 @@ def list_files(
 
 def list_versions(spark: SparkSession, directory: str, suffix: str) -> DataFrame:
     """Files directly in a directory: path, modified, length. No bytes are read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(directory)
-        .select("path", F.col("modificationTime").alias("modified"), "length")
-        .coalesce(listing_parts(spark))
-    )
+    folder = _shared_folder(spark, directory, suffix)
+    if folder is not None:
+        found = _listed(spark, folder, suffix)[0]
+    else:
+        modified = F.col("modificationTime").alias("modified")
+        found = _scan(spark, directory, suffix).select("path", modified, "length")
+    return found.coalesce(listing_parts(spark))
 
 
 def read_files(

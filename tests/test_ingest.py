@@ -4,6 +4,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from roentra import workload
 from roentra.operators import ingest, parsing
@@ -114,6 +115,16 @@ def test_unseen_files(spark):
     assert ingest.unseen(nothing, seen).count() == 0
 
 
+def test_files_seen_are_not_broadcast(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("concat('a/', id) AS path", "timestamp_seconds(id) AS modified", "id AS length")
+    rows.write.parquet(str(tmp_path / "seen"))
+    seen = spark.read.parquet(str(tmp_path / "seen"))
+    listed = ingest.unseen(rows.unionByName(rows.withColumn("length", F.lit(-1))), seen)
+    assert listed.count() == 1000
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and not any("BroadcastHashJoin" in p and "LeftAnti" in p for p in plan.splitlines())
+
+
 def test_runs_open_new_and_changed_files_only(spark, tmp_path):
     raw, layout = tmp_path / "raw", jobs.Layout(str(tmp_path / "lake"))
     raw.mkdir()

@@ -1,6 +1,8 @@
 import json
+import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from roentra import schemas
@@ -34,6 +36,46 @@ def test_read_files(spark, folder):
     assert files.read_files(spark, folder, ".none", limit=2).count() == 0
 
 
+def of_the_folder(frame, folder):
+    """Files of the folder that the driver holds for a scan of the frame."""
+    return [f for f in frame.inputFiles() if f.startswith(f"file://{folder}/")]
+
+
+def test_the_driver_holds_no_listing_of_list_versions(spark, folder):
+    listed = files.list_versions(spark, folder, ".dcm")
+    assert not of_the_folder(listed, folder) and listed.count() == 3
+
+
+@pytest.fixture
+def odd_folder(folder, tmp_path):
+    for name in ("a b.dcm", "50%41.dcm", "x\u00e4.dcm", "_no.dcm", ".no.dcm", "_k=v.dcm", "no.dcm._COPYING_", "empty.dcm"):
+        (tmp_path / name).write_bytes(b"" if name == "empty.dcm" else name.encode())
+    (tmp_path / "sub.dcm").mkdir()
+    (tmp_path / "sub.dcm" / "y.dcm").write_bytes(b"y")
+    os.symlink(tmp_path / "d.txt", tmp_path / "link.dcm")
+    os.symlink(tmp_path / "nothing", tmp_path / "gone.dcm")
+    os.utime(tmp_path / "b.dcm", ns=(10**18 + 123_456_789, 10**18 + 123_999_999))
+    (tmp_path / "none").mkdir()
+    return folder
+
+
+@pytest.mark.parametrize("suffix", [".dcm", "", ".none"])
+def test_a_listing_is_that_of_spark(spark, odd_folder, suffix):
+    scan = files._scan(spark, odd_folder, suffix)
+    listed = files.list_versions(spark, odd_folder, suffix)
+    known = scan.select("path", F.col("modificationTime").alias("modified"), "length")
+    assert listed.schema.simpleString() == known.schema.simpleString()
+    assert sorted(listed.collect()) == sorted(known.collect())
+    assert listed.count() == {".dcm": 8, "": 10, ".none": 0}[suffix]
+
+
+def test_patterns_are_resolved_by_spark(spark, folder):
+    assert files.list_files(spark, f"{folder}/su[ab]", ".dcm").count() == 1
+    assert files.list_files(spark, folder, ".{dcm,DCM}").count() == 4
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        files.list_files(spark, f"{folder}/none", ".dcm")
+
+
 def test_parse_headers_quarantines(spark, tmp_path):
     (tmp_path / "a.dcm").write_text(json.dumps({"patient_id_raw": "p", "n_rows": 4, "patient_age": "051Y"}))
     (tmp_path / "b.dcm").write_text("broken")
