@@ -7,13 +7,16 @@ and where a name is a pattern, Spark's sources list, which hold every file on th
 
 from __future__ import annotations
 
+import errno
 import os
 import re
 import stat
+import time
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from roentra.functions.identity import base_name
 from roentra.operators.durable import new_table_path
@@ -25,6 +28,8 @@ VERSION_SCHEMA = "path string, modified timestamp, length bigint"
 PARTS_PER_CORE = 4
 # Files of a batch.
 BATCH_FILES = 10_000
+# The file is gone, or the name a link to nothing.
+GONE = (errno.ENOENT, errno.ENOTDIR, errno.ELOOP)
 PATTERN = re.compile(r"[*?\[\]{}\\]")
 
 
@@ -77,7 +82,9 @@ def _versions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in batch["path"].to_pylist():
             try:
                 found = os.stat(path.removeprefix("file:"))
-            except OSError:  # gone, or a link to nothing
+            except OSError as problem:
+                if problem.errno not in GONE:
+                    raise
                 continue
             if stat.S_ISREG(found.st_mode) and found.st_size:
                 paths.append(path)
@@ -164,14 +171,60 @@ def read_files(
     )
 
 
+class FolderStream(DataSource):
+    """The paths in a folder as a stream: every micro-batch has all of them. A position is the time of
+    a listing, so it is another one whenever the stream is asked."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "roentra_folder"
+
+    def schema(self) -> str:
+        return "path string"
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _FolderReader(self.options["folder"], self.options["suffix"])
+
+
+class _FolderReader(DataSourceStreamReader):
+    def __init__(self, folder: str, suffix: str):
+        self.folder, self.suffix = folder, suffix
+
+    def initialOffset(self) -> dict:
+        return {"listed": 0}
+
+    def latestOffset(self) -> dict:
+        return {"listed": time.time_ns()}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return [] if start == end else [InputPartition(0)]
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        return _paths(self.folder, self.suffix)
+
+
 def stream_files(
-    spark: SparkSession, directory: str, suffix: str, files_per_batch: int = 100_000
+    spark: SparkSession,
+    directory: str,
+    suffix: str,
+    files_per_batch: int = 100_000,
+    on_driver: bool = False,
 ) -> DataFrame:
-    """New files of a directory as a stream (path only), a bounded number per micro-batch.
+    """New files of a directory as a stream (path only).
 
     No file is too old. Names that begin with ``_`` or ``.`` are hidden from every
-    listing of this engine and have to be renamed before.
+    listing of this engine and have to be renamed before. In a folder that all tasks see, the
+    names that came before are keyed state of the stream, and a micro-batch takes all
+    new files, as none of its tasks holds them; elsewhere it takes ``files_per_batch``, and
+    the driver holds the names. ``on_driver`` is for checkpoints made before that: they go on
+    with Spark's own source only.
     """
+    folder = None if on_driver else _shared_folder(spark, directory, suffix)
+    if folder is not None:
+        spark.dataSource.register(FolderStream)
+        reader = spark.readStream.format(FolderStream.name()).options(folder=folder, suffix=suffix)
+        new = reader.load().dropDuplicates(["path"])
+        return new.mapInArrow(_versions, VERSION_SCHEMA).select("path")
     return (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)

@@ -17,6 +17,12 @@ from roentra.streaming.jobs import LATE, drain, settings
 
 # How many tasks look up the files of a micro-batch: 10,000 unless set, whatever the files and cores.
 LOOKUP_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+# Names of files seen before are kept on the disks of the executors, in as many parts as a listing has.
+STATE = "spark.sql.streaming.stateStore"
+STATE_STORE = {
+    f"{STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{STATE}.rocksdb.boundedMemoryUsage": "true",
+}
 # What tells one message of a topic from all others, where the source has it.
 POSITION = ("topic", "partition", "offset")
 
@@ -78,5 +84,6 @@ def run_publisher(
         "events", F.count(F.lit(1)).alias("published")
     )
     spark = files.sparkSession
-    with settings(spark, {LOOKUP_TASKS: listing_parts(spark)}):
+    parts = listing_parts(spark)
+    with settings(spark, {**STATE_STORE, LOOKUP_TASKS: parts, "spark.sql.shuffle.partitions": parts}):
         return drain(events, checkpoint, fmt, options).get("events.published", 0)

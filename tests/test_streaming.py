@@ -1,8 +1,10 @@
 import json
+import os
 import random
 from datetime import datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from roentra.operators import arrivals, scoring
@@ -125,6 +127,47 @@ def test_tasks_of_a_publication_follow_the_cores_not_the_files(spark, tmp_path,
     assert spark.conf.get(arrival_stream.LOOKUP_TASKS) == before
 
 
+def test_names_published_before_are_state_and_not_on_the_driver(spark, tmp_path):
+    """Files that come late with an early time, names seen before, empty and hidden files; a batch that fails."""
+    raw, out, progress = tmp_path / "raw", tmp_path / "out", tmp_path / "progress"
+    raw.mkdir()
+
+    def put(name, at, content=b"x"):
+        (raw / name).write_bytes(content)
+        os.utime(raw / name, (at, at))
+
+    def run(at=None):
+        stream = files.stream_files(spark, str(raw), ".dcm")
+        return arrival_stream.run_publisher(stream, str(progress), "parquet", {"path": str(out)}, at)
+
+    def published():
+        return sorted(json.loads(r["value"])["patient_id"] for r in spark.read.parquet(str(out)).collect())
+
+    put("a.dcm", 1.7e9), put("b c.dcm", 1.7e9), put("_no.dcm", 1.7e9), put("empty.dcm", 1.7e9, b"")
+    (raw / "sub.dcm").mkdir()
+    assert run() == 2 and published() == ["a", "b c"]
+    assert run() == 0
+    put("late.dcm", 1.0e9), put("a.dcm", 1.8e9, b"changed")
+    with pytest.raises(StreamingQueryException):
+        run(F.raise_error(F.lit("stopped")).cast("decimal(18,6)"))
+    assert run() == 1 and published() == ["a", "b c", "late"]
+    kept = [f for f in (progress / "sources").rglob("*") if f.is_file()]
+    assert not any(b"dcm" in f.read_bytes() for f in kept)
+
+
+def test_a_checkpoint_of_spark_s_own_source_goes_on(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+
+    def run():
+        stream = files.stream_files(spark, str(tmp_path / "raw"), ".dcm", on_driver=True)
+        return arrival_stream.run_publisher(stream, str(tmp_path / "progress"), "json", {"path": str(tmp_path / "out")})
+
+    for i in range(2):
+        (tmp_path / "raw" / f"{i}.dcm").write_bytes(b"x")
+        assert run() == 1
+    assert all(b"logOffset" in (tmp_path / "progress" / "offsets" / n).read_bytes() for n in "01")
+
+
 def test_settings_are_put_back_when_a_stream_fails(spark):
     key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     for before in (None, "77"):
