@@ -123,15 +123,11 @@ def list_files(
 ) -> DataFrame:
     """Files directly in a directory with a (case-sensitive) suffix: path, file_name, length.
 
-    The content column is pruned, so no bytes are read. ``limit`` keeps the
-    first files by name.
+    The files are those there at the call, and no bytes of them are read. ``limit`` keeps
+    the first files by name.
     """
-    found = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(directory)
-        .select("path", base_name(F.col("path")).alias("file_name"), "length")
-        .coalesce(listing_parts(spark))
+    found = list_versions(spark, directory, suffix).select(
+        "path", base_name(F.col("path")).alias("file_name"), "length"
     )
     return found if limit is None else found.orderBy("file_name").limit(limit)
 

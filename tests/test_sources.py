@@ -41,6 +41,11 @@ def of_the_folder(frame, folder):
     return [f for f in frame.inputFiles() if f.startswith(f"file://{folder}/")]
 
 
+def test_the_driver_holds_no_listing_of_list_files(spark, folder):
+    listed = files.list_files(spark, folder, ".dcm")
+    assert not of_the_folder(listed, folder) and listed.count() == 3
+
+
 def test_the_driver_holds_no_listing_of_list_versions(spark, folder):
     listed = files.list_versions(spark, folder, ".dcm")
     assert not of_the_folder(listed, folder) and listed.count() == 3
@@ -67,6 +72,8 @@ def test_a_listing_is_that_of_spark(spark, odd_folder, suffix):
     assert listed.schema.simpleString() == known.schema.simpleString()
     assert sorted(listed.collect()) == sorted(known.collect())
     assert listed.count() == {".dcm": 8, "": 10, ".none": 0}[suffix]
+    named = files.list_files(spark, odd_folder, suffix).collect()
+    assert sorted((r["path"], r["length"]) for r in named) == sorted((r["path"], r["length"]) for r in known.collect())
 
 
 def test_patterns_are_resolved_by_spark(spark, folder):
