@@ -1,7 +1,7 @@
 """Directories of binary files.
 
 A directory of a file system that all tasks see (scheme ``file``) is listed by a task, batch by batch,
-and its files are looked up by all tasks: no process holds the listing. In other stores,
+and its files are looked up and read by all tasks: no process holds the listing. In other stores,
 and where a name is a pattern, Spark's sources list, which hold every file on the driver.
 """
 
@@ -26,8 +26,11 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, co
 VERSION_SCHEMA = "path string, modified timestamp, length bigint"
 # Tasks of a listing for each core.
 PARTS_PER_CORE = 4
-# Files of a batch.
+# Bytes that a task reads, as in Spark's scans.
+TASK_BYTES = 128 << 20
+# A batch has so many files, or ends with the file whose content reaches so many bytes.
 BATCH_FILES = 10_000
+BATCH_BYTES = 8 << 20
 # The file is gone, or the name a link to nothing.
 GONE = (errno.ENOENT, errno.ENOTDIR, errno.ELOOP)
 PATTERN = re.compile(r"[*?\[\]{}\\]")
@@ -100,6 +103,27 @@ def _versions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paths -> (path, content), in batches bounded by size."""
+
+    def batch_of(paths: list[str], contents: list[bytes]) -> pa.RecordBatch:
+        return pa.record_batch(
+            {"path": pa.array(paths, pa.string()), "content": pa.array(contents, pa.binary())}
+        )
+
+    paths, contents, held = [], [], 0
+    for batch in batches:
+        for path in batch["path"].to_pylist():
+            with open(path.removeprefix("file:"), "rb") as file:
+                contents.append(file.read())
+            paths.append(path)
+            held += len(contents[-1])
+            if held >= BATCH_BYTES or len(paths) == BATCH_FILES:
+                yield batch_of(paths, contents)
+                paths, contents, held = [], [], 0
+    yield batch_of(paths, contents)
+
+
 def _listed(spark: SparkSession, folder: str, suffix: str) -> tuple[DataFrame, dict[str, int]]:
     """The listing of a folder as a table in the shared folder, its ``rows`` and ``bytes``."""
 
@@ -151,20 +175,22 @@ def read_files(
     With a limit only the paths of the first files come to the driver (at most
     ``limit`` strings), and only those files are opened.
     """
-    source: str | list[str] = directory
-    reader = spark.read.format("binaryFile")
-    if limit is None:
-        reader = reader.option("pathGlobFilter", f"*{suffix}")
-    else:
+    folder = _shared_folder(spark, directory, suffix)
+    if limit is not None:
         first = list_files(spark, directory, suffix, limit).select("path").collect()
-        source = [row["path"] for row in first]
-        if not source:
+        if not first:
             return spark.createDataFrame([], BINARY_FILE_SCHEMA).select(
                 "path", F.col("path").alias("file_name"), "content"
             )
-    return reader.load(source).select(
-        "path", base_name(F.col("path")).alias("file_name"), "content"
-    )
+        found = spark.read.format("binaryFile").load([row["path"] for row in first])
+    elif folder is not None:
+        listed, counts = _listed(spark, folder, suffix)
+        parts = max(listing_parts(spark), -(-counts["bytes"] // TASK_BYTES))
+        dealt = listed.select("path").repartition(max(1, min(parts, counts["rows"])), "path")
+        found = dealt.mapInArrow(_contents, "path string, content binary")
+    else:
+        found = _scan(spark, directory, suffix)
+    return found.select("path", base_name(F.col("path")).alias("file_name"), "content")
 
 
 class FolderStream(DataSource):

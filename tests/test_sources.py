@@ -1,6 +1,8 @@
 import json
 import os
+from unittest import mock
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -51,6 +53,11 @@ def test_the_driver_holds_no_listing_of_list_versions(spark, folder):
     assert not of_the_folder(listed, folder) and listed.count() == 3
 
 
+def test_the_driver_holds_no_listing_of_read_files(spark, folder):
+    read = files.read_files(spark, folder, ".dcm")
+    assert not of_the_folder(read, folder) and read.count() == 3
+
+
 @pytest.fixture
 def odd_folder(folder, tmp_path):
     for name in ("a b.dcm", "50%41.dcm", "x\u00e4.dcm", "_no.dcm", ".no.dcm", "_k=v.dcm", "no.dcm._COPYING_", "empty.dcm"):
@@ -74,6 +81,8 @@ def test_a_listing_is_that_of_spark(spark, odd_folder, suffix):
     assert listed.count() == {".dcm": 8, "": 10, ".none": 0}[suffix]
     named = files.list_files(spark, odd_folder, suffix).collect()
     assert sorted((r["path"], r["length"]) for r in named) == sorted((r["path"], r["length"]) for r in known.collect())
+    read = files.read_files(spark, odd_folder, suffix).select("path", "content").collect()
+    assert sorted(read) == sorted(scan.select("path", "content").collect())
 
 
 def test_patterns_are_resolved_by_spark(spark, folder):
@@ -83,6 +92,16 @@ def test_patterns_are_resolved_by_spark(spark, folder):
         files.list_files(spark, f"{folder}/none", ".dcm")
 
 
+def test_contents_come_in_batches_bounded_by_size(tmp_path):
+    for i in range(10):
+        (tmp_path / str(i)).write_bytes(bytes([i]) * 1000)
+    paths = pa.record_batch({"path": [f"file:{tmp_path}/{i}" for i in range(10)]})
+    with mock.patch.object(files, "BATCH_BYTES", 2500):
+        batches = list(files._contents(iter([paths])))
+    assert [b.num_rows for b in batches] == [3, 3, 3, 1]
+    assert [c for b in batches for c in b["content"].to_pylist()] == [bytes([i]) * 1000 for i in range(10)]
+
+
 def test_parse_headers_quarantines(spark, tmp_path):
     (tmp_path / "a.dcm").write_text(json.dumps({"patient_id_raw": "p", "n_rows": 4, "patient_age": "051Y"}))
     (tmp_path / "b.dcm").write_text("broken")
