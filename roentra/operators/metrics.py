@@ -169,17 +169,32 @@ def auroc(
     )
 
 
-def mean_weighted_loss(pos_weight: float, label_col: str, logit_col: str) -> Column:
-    """Aggregate: mean weighted binary cross-entropy over the usable rows."""
+def mean_weighted_loss(
+    pos_weight: float, label_col: str, logit_col: str, exact: bool = False
+) -> Column:
+    """Aggregate: mean weighted binary cross-entropy over the usable rows.
+
+    ``exact`` adds decimals, so the order of the rows changes no bit; losses too large for
+    that are added as they are.
+    """
     loss = scores.weighted_bce(F.col(label_col), F.col(logit_col), pos_weight)
-    return F.avg(F.when(_usable(label_col, logit_col), loss))
+    usable = F.when(_usable(label_col, logit_col), loss)
+    if not exact:
+        return F.avg(usable)
+    part, n = usable.try_cast("decimal(38,18)"), F.count(usable)
+    total = F.when(F.count(part) == n, F.try_sum(part).cast("double"))
+    return F.coalesce(F.try_divide(total, n), F.avg(usable))
 
 
 def weighted_log_loss(
-    logits: DataFrame, pos_weight: float, label_col: str = "label", logit_col: str = "logit"
+    logits: DataFrame,
+    pos_weight: float,
+    label_col: str = "label",
+    logit_col: str = "logit",
+    exact: bool = False,
 ) -> DataFrame:
     """Mean weighted binary cross-entropy over rows (not over batch means)."""
-    return logits.agg(mean_weighted_loss(pos_weight, label_col, logit_col).alias("loss"))
+    return logits.agg(mean_weighted_loss(pos_weight, label_col, logit_col, exact).alias("loss"))
 
 
 def metric_values(run_metrics: DataFrame, metric: str) -> DataFrame:

@@ -97,3 +97,18 @@ def test_best_epoch_ignores_missing_values(spark):
     rows = [("a", 0, None), ("a", 1, nan), ("a", 2, 0.9), ("a", 3, 0.5), ("b", 0, None)]
     df = spark.createDataFrame(rows, "run_name string, step long, val_auroc double")
     assert [tuple(r) for r in metrics.best_epoch(df).collect()] == [("a", 0.9, 2)]
+
+
+def test_an_exact_loss_has_no_order(spark):
+    rows = [(i % 2, 0.37 * i - 40.0) for i in range(300)] + [(None, 1.0), (1, None), (0, float("nan"))]
+
+    def loss(some, exact=True):
+        frame = spark.createDataFrame(some, "label int, logit double").coalesce(1)
+        return metrics.weighted_log_loss(frame, 2.5, exact=exact).first()["loss"]
+
+    assert len({loss(rows[i:] + rows[:i]) for i in (0, 77, 150, 290)}) == 1
+    assert loss(rows) == pytest.approx(loss(rows, exact=False), rel=1e-14)
+    assert loss([(None, 1.0)]) is None
+    # Losses beyond decimals are added as they are.
+    assert loss([(0, 1e30), (0, 3e30)]) == pytest.approx(2e30)
+    assert loss([(0, float("inf")), (0, 1.0)]) == float("inf")
